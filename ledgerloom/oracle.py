@@ -30,8 +30,9 @@ def rnd(num: str, den: str, digits: int = 2) -> str:
     a = f"(CAST(abs({num}) * {2 * unit} AS HUGEINT) + CAST({den} AS HUGEINT))"
     b = f"(CAST({den} AS HUGEINT) * 2)"
     q = f"({a} // {b})"
-    return (f"CASE WHEN {den} <> 0 THEN CAST(CASE WHEN {num} < 0 THEN -{q} ELSE {q} END "
-            f"AS DECIMAL(38,0)) / {unit} END")
+    step = f"CAST('{1 / unit:.{digits}f}' AS DECIMAL({digits + 1},{digits}))" if digits else "1"
+    return (f"CASE WHEN {den} <> 0 THEN CAST(CAST(CASE WHEN {num} < 0 THEN -{q} ELSE {q} END "
+            f"AS DECIMAL(38,0)) * {step} AS DECIMAL(38,{digits})) END")
 
 
 def rnd_money(num: str, den: str) -> str:
@@ -618,6 +619,9 @@ def sql(final: str) -> str:
     if not order:
         return final
     parts = ",\n".join(f"{n} AS (\n{CTES[n]}\n)" for n in order)
+    body = final.lstrip()
+    if body[:5].upper() == "WITH ":
+        return f"WITH {parts},\n{body[5:]}"
     return f"WITH {parts}\n{final}"
 
 
