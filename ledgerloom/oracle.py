@@ -155,7 +155,7 @@ SELECT 'OPP' || o_orderkey AS id, 'ACC' || o_custkey AS account_id,
        (o_orderstatus = 'F' AND o_orderkey % 3 <> 0) AS is_won,
        'New Business' AS type, o_orderpriority AS lead_source,
        'USR' || (o_orderkey % 10) AS owner_id,
-       CAST(o_orderdate AS DATE) - INTERVAL 30 DAY AS created_date,
+       CAST(CAST(o_orderdate AS DATE) - INTERVAL 30 DAY AS DATE) AS created_date,
        TIMESTAMP '2001-08-01 18:00:00' AS _fivetran_synced,
        {_DEL.format(k='o_orderkey')} AS _fivetran_deleted
 FROM orders""")

@@ -67,7 +67,7 @@ def oracle_statements() -> dict[str, str]:
 
 
 def _load() -> None:
-    from ledgerloom.plans import analytics  # noqa: F401  (registers queries)
+    from ledgerloom.plans import analytics, checks  # noqa: F401  (register queries)
 
 
 _load_done = False
