@@ -55,11 +55,13 @@ class Datasets:
 
     def __init__(self, spark: SparkSession, sf_dir: str | None = None,
                  as_of: _dt.date | None = None,
-                 tables: Mapping[str, DataFrame] | None = None):
+                 tables: Mapping[str, DataFrame] | None = None,
+                 land_sources: bool = False):
         _load_all()
         self.spark = spark
         self.sf_dir = sf_dir
         self.as_of = as_of
+        self.land_sources = land_sources
         self._cache: dict[str, DataFrame] = dict(tables or {})
 
     # -- access -------------------------------------------------------------
@@ -67,7 +69,11 @@ class Datasets:
         if name not in self._cache:
             if name not in _REGISTRY:
                 raise KeyError(f"unknown dataset {name!r}")
-            self._cache[name] = _REGISTRY[name](self)
+            if self.land_sources and _PROJECT.get(name) == "source" and self.sf_dir:
+                self._cache[name] = landed(self.spark, self.sf_dir, name,
+                                           lambda: _REGISTRY[name](self))
+            else:
+                self._cache[name] = _REGISTRY[name](self)
         return self._cache[name]
 
     def __contains__(self, name: str) -> bool:
@@ -80,7 +86,7 @@ class Datasets:
 
     def with_tables(self, **tables: DataFrame) -> "Datasets":
         """A new registry sharing the inputs but overriding some tables."""
-        new = Datasets(self.spark, self.sf_dir, self.as_of)
+        new = Datasets(self.spark, self.sf_dir, self.as_of, land_sources=self.land_sources)
         for k, v in self._cache.items():
             if k.startswith(("raw_", "sf_")):
                 new._cache[k] = v
@@ -127,3 +133,28 @@ class Datasets:
 
             df = enforce_contract(df, contract, name)
         return df
+
+
+# -- landing: write each mapped source table once, read it back -------------------
+
+_LANDED: dict[tuple[str, str, str], str] = {}
+
+
+def landed(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]
+           ) -> DataFrame:
+    """The source table ``name`` as a parquet table under ``spark.checkpoint.dir``.
+
+    Plays the role of the loaded raw tables: the adapter plan runs once per
+    session and input folder (an ingest), and every model reads the written
+    table, which also cuts lineage and survives executor loss. Keyed by
+    application id, so a new session re-lands into a fresh folder.
+    """
+    from ledgerloom.session import scratch_path
+
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    path = _LANDED.get(key)
+    if path is None:
+        path = scratch_path(spark, f"landing-{name}")
+        build().write.mode("overwrite").parquet(path)
+        _LANDED[key] = path
+    return spark.read.parquet(path)
