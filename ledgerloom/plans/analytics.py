@@ -586,3 +586,106 @@ def mv_vs_marts(ds: Datasets) -> DataFrame:
     )
     return j.select(F.inline(rows)).withColumn(
         "matches", F.col("metric_view_value").eqNullSafe(F.col("semantic_value")))
+
+
+# ----------------------------------------------------- metric explorer breakdowns ---
+
+_APP_VALUE_SQL = {
+    "app_recognised_revenue": "sum({p}amount_paid)",
+    "app_avg_order_value": avg_x("sum({p}amount_paid)", "count({p}amount_paid)"),
+    "app_return_rate_pct": ("CAST(count(DISTINCT CASE WHEN {p}status = 'returned' THEN "
+                            "{p}order_id END) AS DOUBLE) / CAST(count(DISTINCT {p}order_id) "
+                            "AS DOUBLE) * 100"),
+    "app_total_customers": "count(DISTINCT {p}customer_id)",
+    "app_avg_lifetime_value": avg_x("sum({p}total_lifetime_value)",
+                                    "count({p}total_lifetime_value)"),
+}
+_ORDER_METRICS = {"app_recognised_revenue", "app_avg_order_value", "app_return_rate_pct"}
+_COMPLETED_ONLY = {"app_recognised_revenue", "app_avg_order_value"}
+
+
+def _breakdown_sql(metric: str, dim: str) -> str:
+    orders = metric in _ORDER_METRICS
+    where = "WHERE o.status = 'completed'" if metric in _COMPLETED_ONLY else ""
+    if orders:
+        value = _APP_VALUE_SQL[metric].format(p="o.")
+        if dim == "month":
+            return (f"SELECT CAST(date_trunc('month', o.order_date) AS DATE) AS period, "
+                    f"{value} AS value FROM fct_orders o {where} GROUP BY 1")
+        if dim == "customer_segment":
+            return (f"SELECT c.customer_segment AS period, {value} AS value FROM fct_orders o "
+                    f"JOIN dim_customers c ON o.customer_id = c.customer_id {where} GROUP BY 1")
+        return f"SELECT o.{dim} AS period, {value} AS value FROM fct_orders o {where} GROUP BY 1"
+    value = _APP_VALUE_SQL[metric].format(p="")
+    period = "CAST(date_trunc('month', created_date) AS DATE)" if dim == "month" else dim
+    return f"SELECT {period} AS period, {value} AS value FROM dim_customers GROUP BY 1"
+
+
+def _breakdown(metric: str, dim: str):
+    from ledgerloom.plans.semantic import APP_WHERE
+
+    where = APP_WHERE.get(metric)
+
+    def run(ds: Datasets) -> DataFrame:
+        if dim == "month":
+            out = query_metrics(ds, REGISTRY, [metric], grain="month", where=where)
+            return out.select(F.col("metric_time").alias("period"), F.col(metric).alias("value"))
+        out = query_metrics(ds, REGISTRY, [metric], by=[dim], where=where)
+        return out.select(F.col(dim).alias("period"), F.col(metric).alias("value"))
+    return run
+
+
+def _register_breakdowns() -> None:
+    from ledgerloom.plans.semantic import APP_BREAKDOWNS
+
+    for metric, dims in APP_BREAKDOWNS.items():
+        for label, dim in dims.items():
+            name = f"metric_breakdown_{metric[4:]}_{label}"
+            register(name, _breakdown_sql(metric, dim))(_breakdown(metric, dim))
+
+
+_register_breakdowns()
+
+
+# ------------------------------------------------------------- operator aliases ---
+
+@register("scan_source", "SELECT * FROM raw_orders")
+def scan_source(ds: Datasets) -> DataFrame:
+    """Batch scan of a landing table (``source(schema, table)``)."""
+    return ds["raw_orders"]
+
+
+@register("segment_bucket", """
+SELECT customer_id, total_lifetime_value, customer_segment FROM dim_customers""")
+def segment_bucket(ds: Datasets) -> DataFrame:
+    """Searched-CASE value bucketing (first match wins, NULL LTV falls to low_value)."""
+    return ds["dim_customers"].select("customer_id", "total_lifetime_value", "customer_segment")
+
+
+@register("order_gaps", f"""
+WITH lagged AS (
+  SELECT customer_id,
+         datediff('day', lag(order_date) OVER (PARTITION BY customer_id ORDER BY order_date),
+                  order_date) AS d
+  FROM fct_orders)
+SELECT customer_id, {avg_x('sum(d)', 'count(d)')} AS avg_days_between_orders,
+       CASE WHEN count(d) > 1 THEN sqrt(CAST(CAST(count(d) AS HUGEINT) * sum(CAST(d AS HUGEINT) * d)
+            - CAST(sum(d) AS HUGEINT) * sum(d) AS DOUBLE)
+            / CAST(CAST(count(d) AS HUGEINT) * (count(d) - 1) AS DOUBLE)) END
+           AS stddev_days_between_orders,
+       max(d) AS max_gap_days
+FROM lagged WHERE d IS NOT NULL GROUP BY customer_id""")
+def order_gaps(ds: Datasets) -> DataFrame:
+    """lag(order_date) per customer -> avg / sample stddev / max gap in days."""
+    from ledgerloom.operators.gaps import gap_stats
+    return gap_stats(ds["fct_orders"], "customer_id", "order_date")
+
+
+@register("metric_return_rate", """
+SELECT status_filter.payment_method,
+       CAST(count(DISTINCT CASE WHEN status = 'returned' THEN order_id END) AS DOUBLE)
+           / CAST(count(DISTINCT order_id) AS DOUBLE) AS return_rate
+FROM fct_orders status_filter GROUP BY 1""")
+def metric_return_rate(ds: Datasets) -> DataFrame:
+    """Ratio metric with a numerator filter, by payment method."""
+    return query_metrics(ds, REGISTRY, ["return_rate"], by=["payment_method"])

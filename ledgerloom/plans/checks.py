@@ -567,3 +567,17 @@ def stream_gold_fct_orders(ds: Datasets) -> DataFrame:
     silver = run.silver(ds.spark)
     g = ds.with_tables(**{f"silver_{t}": df for t, df in silver.items()})
     return g["gold_fct_orders"]
+
+
+@register("stream_bronze", "SELECT * FROM raw_payments")
+def stream_bronze(ds: Datasets) -> DataFrame:
+    """Landing files -> bronze streaming table, verbatim (availableNow, own checkpoint)."""
+    run = _medallion(ds, ["payments"])
+    return ds.spark.read.parquet(run.bronze_paths["payments"])
+
+
+@register("stream_silver", "SELECT * FROM silver_payments")
+def stream_silver(ds: Datasets) -> DataFrame:
+    """Bronze table -> silver stream (stream from stream) with expectations."""
+    run = _medallion(ds, ["payments"])
+    return ds.spark.read.parquet(run.silver_paths["payments"])

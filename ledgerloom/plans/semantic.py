@@ -81,8 +81,6 @@ METRICS = [
 ]
 # ------------------------------------------------------------------------------
 
-REGISTRY = MetricRegistry(MODELS, METRICS)
-
 # --- fixed values: metric view definitions --------------------------------------
 ORDERS_METRIC_VIEW_YAML = """
 version: 1.1
@@ -145,3 +143,38 @@ measures:
 
 ORDERS_VIEW = MetricView.from_yaml(ORDERS_METRIC_VIEW_YAML)
 CUSTOMERS_VIEW = MetricView.from_yaml(CUSTOMERS_METRIC_VIEW_YAML)
+
+# --- fixed values: dashboard metric explorer (5 metrics x 3 breakdowns) ----------------
+# The dashboard's average order value and return rate are completed-only and percent,
+# unlike the semantic-layer metrics of the same name; they are kept as separate metrics.
+# The completed-only metrics are requested with a row filter (``where``), as the
+# dashboard does, so periods without completed orders do not appear at all.
+APP_METRICS = [
+    Metric("app_recognised_revenue", "fct_orders", agg="sum", expr="amount_paid"),
+    Metric("app_avg_order_value", "fct_orders", agg="average", expr="amount_paid"),
+    Metric("app_returned_orders", "fct_orders", agg="count_distinct", expr="order_id",
+           filter="status = 'returned'", hidden=True),
+    Metric("app_return_rate_pct", "fct_orders", type="derived",
+           inputs=("app_returned_orders", "total_orders"),
+           derived="app_returned_orders / total_orders * 100"),
+    Metric("app_total_customers", "dim_customers", agg="count_distinct", expr="customer_id"),
+    Metric("app_avg_lifetime_value", "dim_customers", agg="average",
+           expr="total_lifetime_value"),
+]
+APP_WHERE = {"app_recognised_revenue": COMPLETED, "app_avg_order_value": COMPLETED}
+# metric -> breakdown -> dimension (or "month" for the model's time grain)
+APP_BREAKDOWNS = {
+    "app_recognised_revenue": {"by_month": "month", "by_segment": "customer_segment",
+                               "by_payment_method": "payment_method"},
+    "app_avg_order_value": {"by_month": "month", "by_segment": "customer_segment",
+                            "by_payment_method": "payment_method"},
+    "app_return_rate_pct": {"by_month": "month", "by_segment": "customer_segment",
+                            "by_payment_method": "payment_method"},
+    "app_total_customers": {"by_month": "month", "by_segment": "customer_segment",
+                            "by_country": "country"},
+    "app_avg_lifetime_value": {"by_month": "month", "by_segment": "customer_segment",
+                               "by_country": "country"},
+}
+# ------------------------------------------------------------------------------------
+
+REGISTRY = MetricRegistry(MODELS, METRICS + APP_METRICS)
