@@ -11,8 +11,9 @@
 * :class:`MetricView` - YAML dimensions x measures over one source DataFrame.
 
 Dimensions of another model are reached through declared N:1 entity links
-only (fact -> dimension), and the fact is pre-aggregated to the link key
-before the join, so a 1:N path can never inflate a sum.
+only (fact -> dimension on the dimension's primary key), so a join can never
+multiply fact rows and a 1:N path can never inflate a sum; the fact stays on
+the streamed side so AQE can split a hot key.
 """
 
 from __future__ import annotations
@@ -81,18 +82,27 @@ def _agg_column(agg: str, value: Column) -> Column:
     raise ValueError(f"unsupported agg {agg!r}")
 
 
-def _simple_parts(m: Metric, alias: str) -> tuple[list[Column], Column]:
-    """(aggregate columns, final expression over them) for a simple metric."""
+def _simple_parts(m: Metric, alias: str, primary_key: str | None = None
+                  ) -> tuple[list[Column], Column]:
+    """(aggregate columns, final expression over them) for a simple metric.
+
+    ``count_distinct`` of the model's primary key is a plain ``count``: each
+    distinct aggregate would otherwise make Spark expand every input row once
+    per distinct expression and shuffle the keys.
+    """
     value = F.expr(m.expr)
     if m.filter:
         value = F.when(F.expr(m.filter), value)
     if m.agg == "average":
         s, n = f"{alias}__s", f"{alias}__n"
         return [F.sum(value).alias(s), F.count(value).alias(n)], avg_exact(F.col(s), F.col(n))
-    return [_agg_column(m.agg, value).alias(alias)], F.col(alias)
+    agg = m.agg
+    if agg == "count_distinct" and primary_key is not None and m.expr.strip() == primary_key:
+        agg = "count"
+    return [_agg_column(agg, value).alias(alias)], F.col(alias)
 
 
-def _with_filter(ref: Metric | str, reg: MetricRegistry) -> Metric:
+def _resolve(ref: Metric | str, reg: MetricRegistry) -> Metric:
     return reg[ref] if isinstance(ref, str) else ref
 
 
@@ -152,12 +162,12 @@ def query_metrics(ds, reg: MetricRegistry, metrics: Sequence[str], by: Sequence[
             lst.append((alias, m))
 
     def plan(name_or_metric: Metric | str, alias: str):
-        m = _with_filter(name_or_metric, reg)
+        m = _resolve(name_or_metric, reg)
         if m.type == "simple":
             need(alias, m)
             return ("col", alias)
         if m.type == "ratio":
-            num, den = _with_filter(m.numerator, reg), _with_filter(m.denominator, reg)
+            num, den = _resolve(m.numerator, reg), _resolve(m.denominator, reg)
             return ("ratio", plan(num, f"{alias}__num"), plan(den, f"{alias}__den"))
         if m.type == "derived":
             return ("derived", m.derived,
@@ -173,8 +183,9 @@ def query_metrics(ds, reg: MetricRegistry, metrics: Sequence[str], by: Sequence[
     for model_name, comps in needed.items():
         src, dims = _model_frame(ds, reg, model_name, by, grain, where)
         aggs: list[Column] = []
+        pk = reg.models[model_name].primary_key
         for alias, m in comps:
-            cols, final = _simple_parts(m, alias)
+            cols, final = _simple_parts(m, alias, pk)
             aggs.extend(cols)
             exprs[alias] = final
         agg = src.groupBy(*dims).agg(*aggs) if dims else src.agg(*aggs)
