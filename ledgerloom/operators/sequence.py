@@ -1,12 +1,12 @@
-"""Surrogate keys and appends.
-
-``global_rank`` numbers rows 0..n-1 in a total order without a single-task
-window: the rows are range-partitioned and sorted (``orderBy``), each row's
-position inside its partition comes from ``monotonically_increasing_id`` (the
-upper bits carry the partition id, the lower 33 bits the row number), and
-per-partition row counts - a table with one row per partition, so its size
-is bounded by the partition count - give each partition's offset. Nothing is
-collected to the driver.
+"""Row numbering, surrogate keys and appends without single-task windows.
+
+``global_rank`` numbers rows 0..n-1 and ``number_within`` numbers rows inside
+groups. Both range-partition and sort the rows, record each row's partition
+id and position inside the partition (``monotonically_increasing_id`` keeps
+the row index in its lower 33 bits) in a written table under the shared
+checkpoint folder, and derive offsets from per-partition counts - tables
+bounded by the partition count (times the keys a partition holds). Nothing is
+collected to the driver and no key is ever processed by a single task.
 """
 
 from __future__ import annotations
@@ -21,22 +21,67 @@ from pyspark.sql.types import StructType
 _LOW_BITS = 33
 
 
-def global_rank(df: DataFrame, order: Sequence[str], output: str = "__rank") -> DataFrame:
-    """Add a dense 0-based position in ``order`` (``order`` must be a total order)."""
+def positioned(df: DataFrame, order: Sequence[str], name: str = "positioned") -> DataFrame:
+    """``df`` range-partitioned and sorted by ``order``, written once with its
+    partition id (``__pid``) and position inside the partition (``__pos``).
+
+    Range partitioning splits even a single hot key over many tasks. Writing the
+    two columns to the shared checkpoint folder fixes them: later passes (counts,
+    offsets, the final join) read the same numbers, whatever AQE does to the
+    partitioning of each pass, and the lineage is cut.
+    """
+    from ledgerloom.session import scratch_path
+
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
     mono = F.monotonically_increasing_id()
-    ordered = df.orderBy(*order).withColumn("__mono", mono)
-    tagged = ordered.select("*", F.shiftright("__mono", _LOW_BITS).alias("__part"),
-                            (F.col("__mono") - F.shiftleft(F.shiftright("__mono", _LOW_BITS),
-                                                           _LOW_BITS)).alias("__pos"))
-    counts = tagged.groupBy("__part").agg(F.count(F.lit(1)).alias("__cnt"))
+    (df.repartitionByRange(*order).sortWithinPartitions(*order)
+     .withColumn("__pid", F.spark_partition_id())
+     .withColumn("__pos", mono - F.shiftleft(F.shiftright(mono, _LOW_BITS), _LOW_BITS))
+     .write.mode("overwrite").parquet(path))
+    return spark.read.parquet(path)
+
+
+def global_rank(df: DataFrame, order: Sequence[str], output: str = "__rank") -> DataFrame:
+    """Add a dense 0-based position in ``order`` (ties keep an arbitrary order)."""
+    pos = positioned(df, order, "global-rank")
+    counts = pos.groupBy("__pid").agg(F.count(F.lit(1)).alias("__cnt"))
     # one row per partition: an unpartitioned running sum over it is tiny
     offsets = counts.select(
-        "__part",
-        (F.sum("__cnt").over(Window.orderBy("__part")
-                             .rowsBetween(Window.unboundedPreceding, -1))).alias("__off"))
-    return tagged.join(F.broadcast(offsets), "__part") \
-        .withColumn(output, F.coalesce(F.col("__off"), F.lit(0)) + F.col("__pos")) \
-        .drop("__mono", "__part", "__pos", "__off")
+        "__pid",
+        F.coalesce(F.sum("__cnt").over(Window.orderBy("__pid")
+                                       .rowsBetween(Window.unboundedPreceding, -1)),
+                   F.lit(0)).alias("__off"))
+    return pos.join(F.broadcast(offsets), "__pid") \
+        .withColumn(output, F.col("__off") + F.col("__pos")) \
+        .drop("__pid", "__pos", "__off")
+
+
+def number_within(df: DataFrame, keys: Sequence[str], order: Sequence[str],
+                  output: str = "row_number") -> DataFrame:
+    """``row_number() over (partition by keys order by order)``, skew-safe.
+
+    The window form puts every row of a key into one task. Here rows are range
+    partitioned on ``keys + order`` (a hot key spans many partitions); per
+    ``(partition, key)`` a count and the first position are aggregated - at
+    most one row per partition for any key - and a running sum of the counts
+    over a key's partitions gives the offset. The final join is on
+    ``(partition, key)``, so a hot key is spread over as many tasks as it has
+    partitions.
+    """
+    pos = positioned(df, list(keys) + list(order), "number-within")
+    stats = pos.groupBy("__pid", *keys).agg(F.count(F.lit(1)).alias("__n"),
+                                            F.min("__pos").alias("__first"))
+    w = Window.partitionBy(*keys).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = stats.select(
+        F.col("__pid").alias("__o_pid"), *[F.col(k).alias(f"__o_{k}") for k in keys],
+        F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__off"), "__first")
+    cond = pos["__pid"] == offsets["__o_pid"]
+    for k in keys:
+        cond = cond & pos[k].eqNullSafe(offsets[f"__o_{k}"])
+    return pos.join(offsets, cond).withColumn(
+        output, F.col("__off") + F.col("__pos") - F.col("__first") + 1
+    ).drop("__pid", "__pos", "__o_pid", "__off", "__first", *[f"__o_{k}" for k in keys])
 
 
 def assign_ids(incoming: DataFrame, existing: DataFrame, id_col: str,

@@ -10,10 +10,11 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import money_from_cents
+from ledgerloom.operators.sequence import number_within
 from ledgerloom.sources.datasets import Datasets, model
 
 # --- fixed values of the adapter mapping ---------------------------------------
@@ -111,24 +112,29 @@ def raw_orders(ds: Datasets) -> DataFrame:
     )
 
 
-def _numbered_lines(ds: Datasets) -> DataFrame:
+LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice",
+              "l_quantity"]
+
+
+@model("line_items_numbered", "source")
+def line_items_numbered(ds: Datasets) -> DataFrame:
     """Line items with ``order_item_id = l_orderkey * 100 + rank within order``.
 
     ``(l_orderkey, l_linenumber)`` is not unique in the driver data, so the rank
-    orders by every distinguishing column. The window is partitioned by order
-    key; an order's lines are bounded by the line-number space of one order.
+    orders by every distinguishing column. The rank is computed with the
+    skew-safe :func:`number_within` (range partitioning), not a window that
+    would put a whole order into one task.
     """
-    w = Window.partitionBy("l_orderkey").orderBy(
-        "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity")
     li = ds.driver("lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_returnflag", "l_shipdate")
-    return li.withColumn("order_item_id", F.col("l_orderkey") * 100 + F.row_number().over(w))
+    return number_within(li, ["l_orderkey"], LINE_ORDER, "__rn") \
+        .withColumn("order_item_id", F.col("l_orderkey") * 100 + F.col("__rn")).drop("__rn")
 
 
 @model("raw_order_items", "source")
 def raw_order_items(ds: Datasets) -> DataFrame:
-    li = _numbered_lines(ds)
+    li = ds["line_items_numbered"]
     o = _lookup(ds.driver("orders"), "o_orderkey", "o_orderdate")
     return li.join(o, li.l_orderkey == o.o_orderkey, "left").select(
         F.col("order_item_id"),
@@ -185,7 +191,7 @@ def raw_payments(ds: Datasets) -> DataFrame:
 
 @model("raw_reviews", "source")
 def raw_reviews(ds: Datasets) -> DataFrame:
-    li = _numbered_lines(ds).filter(F.col("l_returnflag") == "A")
+    li = ds["line_items_numbered"].filter(F.col("l_returnflag") == "A")
     o = _lookup(ds.driver("orders"), "o_orderkey", "o_custkey")
     return li.join(o, li.l_orderkey == o.o_orderkey, "left").select(
         F.col("order_item_id").alias("review_id"),
