@@ -40,7 +40,7 @@ MODEL_QUERIES = [
 
 def _model(name: str) -> Query:
     def run(ds: Datasets) -> DataFrame:
-        return ds[name]
+        return ds.build(name)
     run.__name__ = name
     return run
 

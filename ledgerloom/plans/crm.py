@@ -14,7 +14,7 @@ HIGH_VALUE_OPEN_AMOUNT = Decimal("100000")
 # ------------------------------------------------------------------------------
 
 
-@model("dim_accounts")
+@model("dim_accounts", materialized="table")
 def dim_accounts(ds: Datasets) -> DataFrame:
     a = ds["stg_crm_accounts"]
     u = ds["stg_crm_users"].select(F.col("user_id").alias("owner_id"),
@@ -26,7 +26,7 @@ def dim_accounts(ds: Datasets) -> DataFrame:
     )
 
 
-@model("fct_opportunities")
+@model("fct_opportunities", materialized="table")
 def fct_opportunities(ds: Datasets) -> DataFrame:
     o = ds["stg_crm_opportunities"]
     a = ds["stg_crm_accounts"].select("account_id", "account_name")
@@ -46,7 +46,7 @@ def fct_opportunities(ds: Datasets) -> DataFrame:
     )
 
 
-@model("crm_opportunity_alerts")
+@model("crm_opportunity_alerts", materialized="table")
 def crm_opportunity_alerts(ds: Datasets) -> DataFrame:
     """Open opportunities that are large (>= 100k) or overdue as of ``ds.as_of``.
 

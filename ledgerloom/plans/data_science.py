@@ -78,7 +78,7 @@ def rfm_features(customers: DataFrame, orders: DataFrame, as_of) -> DataFrame:
     )
 
 
-@model("rfm_customer_features", "data_science")
+@model("rfm_customer_features", "data_science", materialized="table")
 def rfm_customer_features(ds: Datasets) -> DataFrame:
     return rfm_features(ds["dim_customers"], ds["fct_orders"], ds.as_of_col())
 
@@ -132,12 +132,12 @@ def churn_features(customers: DataFrame, orders: DataFrame, as_of) -> DataFrame:
     return features
 
 
-@model("customer_churn_features", "data_science")
+@model("customer_churn_features", "data_science", materialized="table")
 def customer_churn_features(ds: Datasets) -> DataFrame:
     return churn_features(ds["dim_customers"], ds["fct_orders"], ds.as_of_col())
 
 
-@model("payment_method_affinity_pairs", "data_science")
+@model("payment_method_affinity_pairs", "data_science", materialized="table")
 def payment_method_affinity_pairs(ds: Datasets) -> DataFrame:
     completed = ds["fct_orders"].filter(F.col("status") == "completed") \
         .select("customer_id", "payment_method", "amount_paid")

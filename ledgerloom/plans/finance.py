@@ -9,7 +9,7 @@ from ledgerloom.functions.columns import MONEY, dec0
 from ledgerloom.sources.datasets import Datasets, model
 
 
-@model("fct_revenue", "finance")
+@model("fct_revenue", "finance", materialized="table")
 def fct_revenue(ds: Datasets) -> DataFrame:
     o = ds["fct_orders"]
     zero = F.lit(0).cast(MONEY)
@@ -37,7 +37,7 @@ def order_totals(ds: Datasets) -> DataFrame:
     )
 
 
-@model("fct_revenue_by_product", "finance")
+@model("fct_revenue_by_product", "finance", materialized="table")
 def fct_revenue_by_product(ds: Datasets) -> DataFrame:
     """Product spine x all orders, as in the demo model (every product gets the
     same order totals).
@@ -73,7 +73,7 @@ def product_order_lines(ds: Datasets) -> DataFrame:
     )
 
 
-@model("revenue_by_product_lines", "finance")
+@model("revenue_by_product_lines", "finance", materialized="table")
 def revenue_by_product_lines(ds: Datasets) -> DataFrame:
     """Line-level attribution: each product earns only its own line totals."""
     pol = product_order_lines(ds)

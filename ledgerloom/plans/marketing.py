@@ -31,7 +31,7 @@ def customer_order_rollup(ds: Datasets) -> DataFrame:
     )
 
 
-@model("mart_customer_segments", "marketing")
+@model("mart_customer_segments", "marketing", materialized="table")
 def mart_customer_segments(ds: Datasets) -> DataFrame:
     c = ds["dim_customers"]
     r = customer_order_rollup(ds).select(
@@ -61,7 +61,7 @@ def _country_rollup(ds: Datasets) -> DataFrame:
     return c.join(r, "customer_id", "left")
 
 
-@model("mart_country_performance", "marketing")
+@model("mart_country_performance", "marketing", materialized="table")
 def mart_country_performance(ds: Datasets) -> DataFrame:
     """Country roll-up of customers LEFT JOIN orders, computed without the fan-out.
 
@@ -85,7 +85,7 @@ def mart_country_performance(ds: Datasets) -> DataFrame:
     )
 
 
-@model("mart_country_performance_per_customer", "marketing")
+@model("mart_country_performance_per_customer", "marketing", materialized="table")
 def mart_country_performance_per_customer(ds: Datasets) -> DataFrame:
     """Fan-out-safe variant: ``avg_ltv`` averages each customer once."""
     j = _country_rollup(ds)

@@ -19,7 +19,7 @@ VALUE_DEFAULT = "low_value"
 # ------------------------------------------------------------------------------
 
 
-@model("order_payments")
+@model("order_payments", materialized="ephemeral")
 def order_payments(ds: Datasets) -> DataFrame:
     """Successful payments per order (shared by ``fct_orders`` and LTV)."""
     p = ds["stg_payments"]
@@ -30,7 +30,7 @@ def order_payments(ds: Datasets) -> DataFrame:
     )
 
 
-@model("int_customer_orders")
+@model("int_customer_orders", materialized="ephemeral")
 def int_customer_orders(ds: Datasets) -> DataFrame:
     """Orders -> customer: order count, LTV (NULL when no order has a payment row)."""
     o = ds["stg_orders"].select("order_id", "customer_id", "order_date")
@@ -47,7 +47,7 @@ def int_customer_orders(ds: Datasets) -> DataFrame:
     )
 
 
-@model("int_order_items_enriched")
+@model("int_order_items_enriched", materialized="ephemeral")
 def int_order_items_enriched(ds: Datasets) -> DataFrame:
     oi = ds["stg_order_items"]
     p = ds["stg_products"].select("product_id", "product_name", "category")
@@ -57,7 +57,7 @@ def int_order_items_enriched(ds: Datasets) -> DataFrame:
     )
 
 
-@model("dim_customers")
+@model("dim_customers", materialized="table")
 def dim_customers(ds: Datasets) -> DataFrame:
     c = ds["stg_customers"]
     co = ds["int_customer_orders"]
@@ -71,13 +71,13 @@ def dim_customers(ds: Datasets) -> DataFrame:
     )
 
 
-@model("dim_products")
+@model("dim_products", materialized="table")
 def dim_products(ds: Datasets) -> DataFrame:
     return ds["stg_products"].select("product_id", "product_name", "category",
                                      "unit_price", "is_active")
 
 
-@model("order_items_by_order")
+@model("order_items_by_order", materialized="ephemeral")
 def order_items_by_order(ds: Datasets) -> DataFrame:
     """Item count and total per order.
 
@@ -95,7 +95,7 @@ def order_items_by_order(ds: Datasets) -> DataFrame:
     )
 
 
-@model("fct_orders")
+@model("fct_orders", materialized="table")
 def fct_orders(ds: Datasets) -> DataFrame:
     o = ds["stg_orders"]
     oi = ds["order_items_by_order"]

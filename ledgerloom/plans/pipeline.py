@@ -41,6 +41,8 @@ BRONZE = ("customers", "orders", "order_items", "products", "payments")
 
 
 def _bronze(name: str):
+    # batch registry: bronze is the landed source table itself (the streaming
+    # runner writes physical bronze/silver tables)
     @model(f"bronze_{name}", "pipeline")
     def build(ds: Datasets) -> DataFrame:
         return ds[f"raw_{name}"]
@@ -110,7 +112,7 @@ def _success_by_order(ds: Datasets) -> DataFrame:
     return p.groupBy("order_id").agg(F.sum("amount").alias("amount_paid"))
 
 
-@model("gold_dim_customers", "pipeline")
+@model("gold_dim_customers", "pipeline", materialized="table")
 def gold_dim_customers(ds: Datasets) -> DataFrame:
     o = ds["silver_orders"].select("order_id", "customer_id", "order_date")
     pay = _success_by_order(ds)
@@ -132,7 +134,7 @@ def gold_dim_customers(ds: Datasets) -> DataFrame:
     )
 
 
-@model("gold_fct_orders", "pipeline")
+@model("gold_fct_orders", "pipeline", materialized="table")
 def gold_fct_orders(ds: Datasets) -> DataFrame:
     o = ds["silver_orders"]
     items = ds["silver_order_items"].groupBy("order_id").agg(
@@ -148,7 +150,7 @@ def gold_fct_orders(ds: Datasets) -> DataFrame:
     )
 
 
-@model("gold_fct_revenue", "pipeline")
+@model("gold_fct_revenue", "pipeline", materialized="table")
 def gold_fct_revenue(ds: Datasets) -> DataFrame:
     o = ds["gold_fct_orders"].filter(F.col("status") == "completed")
     return o.groupBy("order_date",
@@ -188,13 +190,13 @@ def _segments_b(ds: Datasets, sentinel: bool) -> DataFrame:
                     seg.alias("marketing_segment"))
 
 
-@model("marketing_customer_segments", "marketing_pipeline")
+@model("marketing_customer_segments", "marketing_pipeline", materialized="table")
 def marketing_customer_segments(ds: Datasets) -> DataFrame:
     """SQL variant: no-order customers keep NULL days -> ``never_purchased``."""
     return _segments_b(ds, sentinel=False)
 
 
-@model("marketing_customer_segments_py", "marketing_pipeline")
+@model("marketing_customer_segments_py", "marketing_pipeline", materialized="table")
 def marketing_customer_segments_py(ds: Datasets) -> DataFrame:
     """Python variant: NULL days become 9999, so no-order customers are ``lapsed``."""
     return _segments_b(ds, sentinel=True)
@@ -210,7 +212,7 @@ def _completed_with_country(ds: Datasets) -> DataFrame:
     return per.join(c, "customer_id", "inner")
 
 
-@model("marketing_country_performance", "marketing_pipeline")
+@model("marketing_country_performance", "marketing_pipeline", materialized="table")
 def marketing_country_performance(ds: Datasets) -> DataFrame:
     """SQL variant: ``active_customers`` counts distinct customers."""
     j = _completed_with_country(ds)
@@ -225,7 +227,7 @@ def marketing_country_performance(ds: Datasets) -> DataFrame:
     )
 
 
-@model("marketing_country_performance_py", "marketing_pipeline")
+@model("marketing_country_performance_py", "marketing_pipeline", materialized="table")
 def marketing_country_performance_py(ds: Datasets) -> DataFrame:
     """Python variant: ``active_customers = count(customer_id)`` counts orders."""
     j = _completed_with_country(ds)
@@ -242,7 +244,7 @@ def marketing_country_performance_py(ds: Datasets) -> DataFrame:
 
 # -- finance consumer pipeline ----------------------------------------------------
 
-@model("finance_fct_revenue", "finance_pipeline")
+@model("finance_fct_revenue", "finance_pipeline", materialized="table")
 def finance_fct_revenue(ds: Datasets) -> DataFrame:
     o = ds["gold_fct_orders"]
     return o.select(
@@ -255,7 +257,7 @@ def finance_fct_revenue(ds: Datasets) -> DataFrame:
     )
 
 
-@model("finance_fct_revenue_by_product", "finance_pipeline")
+@model("finance_fct_revenue_by_product", "finance_pipeline", materialized="table")
 def finance_fct_revenue_by_product(ds: Datasets) -> DataFrame:
     """Completed orders x products, grouped by (category, product_name).
 
@@ -278,11 +280,11 @@ def finance_fct_revenue_by_product(ds: Datasets) -> DataFrame:
 
 # -- data-science consumer pipeline (same feature logic on gold) -------------------
 
-@model("ds_rfm_customer_features", "ds_pipeline")
+@model("ds_rfm_customer_features", "ds_pipeline", materialized="table")
 def ds_rfm_customer_features(ds: Datasets) -> DataFrame:
     return rfm_features(ds["gold_dim_customers"], ds["gold_fct_orders"], ds.as_of_col())
 
 
-@model("ds_customer_churn_features", "ds_pipeline")
+@model("ds_customer_churn_features", "ds_pipeline", materialized="table")
 def ds_customer_churn_features(ds: Datasets) -> DataFrame:
     return churn_features(ds["gold_dim_customers"], ds["gold_fct_orders"], ds.as_of_col())

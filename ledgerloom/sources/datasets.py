@@ -20,19 +20,35 @@ Builder = Callable[["Datasets"], DataFrame]
 
 _REGISTRY: dict[str, Builder] = {}
 _PROJECT: dict[str, str] = {}
+_MATERIALIZED: dict[str, str] = {}
+MATERIALIZATIONS = ("view", "ephemeral", "table")
 
 
-def model(name: str, project: str = "platform") -> Callable[[Builder], Builder]:
-    """Register ``fn(ds) -> DataFrame`` as the builder of ``name``."""
+def model(name: str, project: str = "platform",
+          materialized: str = "view") -> Callable[[Builder], Builder]:
+    """Register ``fn(ds) -> DataFrame`` as the builder of ``name``.
+
+    ``materialized``: ``view``/``ephemeral`` models stay lazy plans inlined into
+    their consumers; ``table`` models are written once per run when the registry
+    is built with ``materialize=True`` and read back by every consumer.
+    """
+    if materialized not in MATERIALIZATIONS:
+        raise ValueError(f"materialized must be one of {MATERIALIZATIONS}")
 
     def deco(fn: Builder) -> Builder:
         _REGISTRY[name] = fn
         _PROJECT[name] = project
+        _MATERIALIZED[name] = materialized
         return fn
 
     return deco
 
 
+def materialization(name: str) -> str:
+    _load_all()
+    return "table" if _PROJECT.get(name) == "source" else _MATERIALIZED.get(name, "view")
+
+
 def registered() -> Mapping[str, Builder]:
     _load_all()
     return dict(_REGISTRY)
@@ -56,12 +72,15 @@ class Datasets:
     def __init__(self, spark: SparkSession, sf_dir: str | None = None,
                  as_of: _dt.date | None = None,
                  tables: Mapping[str, DataFrame] | None = None,
-                 land_sources: bool = False):
+                 land_sources: bool = False, materialize: bool = False):
         _load_all()
         self.spark = spark
         self.sf_dir = sf_dir
         self.as_of = as_of
         self.land_sources = land_sources
+        # table materialization needs inputs that are fully determined by
+        # (sf_dir, as_of); registries with injected tables never materialize
+        self.materialize = materialize and not tables
         self._cache: dict[str, DataFrame] = dict(tables or {})
 
     # -- access -------------------------------------------------------------
@@ -70,18 +89,32 @@ class Datasets:
             if name not in _REGISTRY:
                 raise KeyError(f"unknown dataset {name!r}")
             if self.land_sources and _PROJECT.get(name) == "source" and self.sf_dir:
-                self._cache[name] = landed(self.spark, self.sf_dir, name,
+                self._cache[name] = landed(self.spark, (self.sf_dir, None), name,
+                                           lambda: _REGISTRY[name](self))
+            elif (self.materialize and _MATERIALIZED.get(name) == "table" and self.sf_dir):
+                self._cache[name] = landed(self.spark, (self.sf_dir, self.as_of), name,
                                            lambda: _REGISTRY[name](self))
             else:
                 self._cache[name] = _REGISTRY[name](self)
         return self._cache[name]
 
+    def build(self, name: str) -> DataFrame:
+        """The plan of model ``name`` itself, over (possibly materialized) inputs.
+
+        Unlike ``ds[name]`` this never reads a materialized copy of ``name``:
+        it is what running one model does, with its refs resolved as tables.
+        """
+        if name not in _REGISTRY:
+            raise KeyError(f"unknown dataset {name!r}")
+        return _REGISTRY[name](self)
+
     def __contains__(self, name: str) -> bool:
         return name in self._cache or name in _REGISTRY
 
     def put(self, name: str, df: DataFrame) -> "Datasets":
         """Inject or replace a dataset (fixtures, streamed tables)."""
         self._cache[name] = df
+        self.materialize = False
         return self
 
     def with_tables(self, **tables: DataFrame) -> "Datasets":
@@ -137,21 +170,22 @@ class Datasets:
 
 # -- landing: write each mapped source table once, read it back -------------------
 
-_LANDED: dict[tuple[str, str, str], str] = {}
+_LANDED: dict[tuple, str] = {}
 
 
-def landed(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]
+def landed(spark: SparkSession, scope: tuple, name: str, build: Callable[[], DataFrame]
            ) -> DataFrame:
-    """The source table ``name`` as a parquet table under ``spark.checkpoint.dir``.
+    """Table ``name`` written once per scope as parquet under ``spark.checkpoint.dir``.
 
-    Plays the role of the loaded raw tables: the adapter plan runs once per
-    session and input folder (an ingest), and every model reads the written
-    table, which also cuts lineage and survives executor loss. Keyed by
-    application id, so a new session re-lands into a fresh folder.
+    Sources play the role of the loaded raw tables (the adapter plan runs once
+    per session and input folder, an ingest); ``table`` models are the built
+    marts. Every consumer reads the written table, which also cuts lineage and
+    survives executor loss. ``scope`` holds what the table depends on (input
+    folder, as-of date); the application id keeps sessions apart.
     """
     from ledgerloom.session import scratch_path
 
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    key = (spark.sparkContext.applicationId, scope, name)
     path = _LANDED.get(key)
     if path is None:
         path = scratch_path(spark, f"landing-{name}")
