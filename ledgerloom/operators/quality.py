@@ -5,8 +5,8 @@ Generic tests return the *failing rows* of a DataFrame (dbt semantics: NULL
 passes ``unique`` / ``accepted_values`` / ``relationships``). :func:`run_tests`
 evaluates a whole test suite as one Spark job: the NULL and accepted-value
 tests of one model fold into a single conditional aggregation (one scan per
-model), ``unique`` is a partially aggregated ``groupBy`` and ``relationships``
-an anti join.
+model), all ``unique`` tests of all models share one keyed aggregation (one
+shuffle for the suite) and ``relationships`` is an anti join.
 """
 
 from __future__ import annotations
@@ -101,13 +101,30 @@ def run_tests(ds, tests: Sequence[DataTest],
             for i, t in enumerate(scans):
                 parts.append(one.select(*row(t, F.coalesce(F.col(f"__t{i}"), F.lit(0)))))
         for t in ts:
-            if t.kind == "unique":
-                failing = unique(df, t.column).agg(F.count(F.lit(1)).alias("__f"))
-                parts.append(failing.select(*row(t, F.col("__f"))))
-            elif t.kind == "relationships":
+            if t.kind == "relationships":
                 failing = relationships(df, t.column, ds[t.to], t.field) \
                     .agg(F.count(F.lit(1)).alias("__f"))
                 parts.append(failing.select(*row(t, F.col("__f"))))
+    uniq = [t for t in tests if t.kind == "unique"]
+    if uniq:
+        # every unique test of every model in ONE keyed aggregation: the tested
+        # values are tagged with their test and combined map-side, so the suite
+        # costs one shuffle instead of one per test
+        keyed = None
+        for t in uniq:
+            k = ds[t.model].where(F.col(t.column).isNotNull()).select(
+                F.lit(t.test_name).alias("__test"), F.col(t.column).cast("string").alias("__v"))
+            keyed = k if keyed is None else keyed.unionByName(k)
+        dups = keyed.groupBy("__test", "__v").agg(F.count(F.lit(1)).alias("__n")) \
+            .where(F.col("__n") > 1).groupBy("__test").agg(F.count(F.lit(1)).alias("__f"))
+        spec = ds.spark.createDataFrame(
+            [(t.test_name, t.model, t.column, t.kind, t.severity) for t in uniq],
+            "test_name string, model string, column_name string, test_type string, "
+            "severity string")
+        parts.append(spec.join(F.broadcast(dups), spec.test_name == dups["__test"], "left")
+                     .select("test_name", "model", "column_name", "test_type",
+                             F.coalesce(F.col("__f"), F.lit(0)).cast("bigint").alias("failures"),
+                             "severity"))
     for name, (severity, fn) in (singular or {}).items():
         t = DataTest(model=name, kind="singular", severity=severity, name=name)
         failing = fn(ds).agg(F.count(F.lit(1)).alias("__f"))
