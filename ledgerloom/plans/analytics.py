@@ -689,3 +689,17 @@ FROM fct_orders status_filter GROUP BY 1""")
 def metric_return_rate(ds: Datasets) -> DataFrame:
     """Ratio metric with a numerator filter, by payment method."""
     return query_metrics(ds, REGISTRY, ["return_rate"], by=["payment_method"])
+
+
+@register("metric_pipeline_by_month", """
+SELECT CAST(date_trunc('month', close_date) AS DATE) AS metric_time,
+       sum(CASE WHEN is_closed = false THEN amount END) AS open_pipeline_amount,
+       sum(CASE WHEN is_won = true THEN amount END) AS won_amount,
+       CAST(count(DISTINCT CASE WHEN is_won = true THEN opportunity_id END) AS DOUBLE)
+           / CAST(nullif(count(DISTINCT CASE WHEN is_closed = true THEN opportunity_id END), 0)
+                  AS DOUBLE) AS win_rate
+FROM fct_opportunities GROUP BY 1""")
+def metric_pipeline_by_month(ds: Datasets) -> DataFrame:
+    """CRM metrics on their aggregation time dimension (``close_date``) by month."""
+    return query_metrics(ds, REGISTRY, ["open_pipeline_amount", "won_amount", "win_rate"],
+                         grain="month")

@@ -16,12 +16,13 @@ from ledgerloom.operators.expectations import (
     Expectation, apply_expectations, enforce, expectation_report,
 )
 from ledgerloom.operators.quality import (
-    Contract, DataTest, FreshnessRule, facts_long, load_audit, reconcile, run_tests,
+    DataTest, FreshnessRule, facts_long, load_audit, reconcile, run_tests,
     source_freshness,
 )
 from ledgerloom.operators.sequence import append_batch, assign_ids
 from ledgerloom.oracle import AS_OF, AS_OF_TS
 from ledgerloom.plans.catalog import register
+from ledgerloom.plans.contracts import CONTRACT_SCHEMA_EXPECTED, CONTRACTS
 from ledgerloom.plans.pipeline import BRONZE, SILVER_EXPECTATIONS
 from ledgerloom.session import scratch_path
 from ledgerloom.sources.datasets import Datasets
@@ -106,48 +107,6 @@ FRESHNESS = [
     FreshnessRule("sf_user", "_fivetran_synced", 1 * D, 3 * D),
 ]
 
-# --- fixed values: contracted marts (ids widened to bigint: driver keys are bigint) --
-CONTRACTS = [
-    Contract("dim_customers", {
-        "customer_id": "bigint", "first_name": "string", "last_name": "string",
-        "email": "string", "created_date": "date", "country": "string",
-        "number_of_orders": "bigint", "total_lifetime_value": "decimal(18,2)",
-        "first_order_date": "date", "most_recent_order_date": "date",
-        "customer_segment": "string"}, not_null=("customer_id", "email"),
-        primary_key="customer_id"),
-    Contract("dim_products", {
-        "product_id": "bigint", "product_name": "string", "category": "string",
-        "unit_price": "decimal(18,2)", "is_active": "boolean"},
-        not_null=("product_id", "product_name"), primary_key="product_id"),
-    Contract("fct_orders", {
-        "order_id": "bigint", "customer_id": "bigint", "order_date": "date",
-        "status": "string", "payment_method": "string", "number_of_items": "bigint",
-        "items_total": "decimal(18,2)", "amount_paid": "decimal(18,2)"},
-        not_null=("order_id", "customer_id", "order_date", "amount_paid"),
-        primary_key="order_id"),
-    Contract("dim_accounts", {
-        "account_id": "string", "account_name": "string", "account_type": "string",
-        "industry": "string", "annual_revenue": "decimal(18,2)",
-        "number_of_employees": "bigint", "billing_country": "string", "owner_id": "string",
-        "account_owner": "string", "created_date": "date"},
-        not_null=("account_id",), primary_key="account_id"),
-    Contract("fct_opportunities", {
-        "opportunity_id": "string", "account_id": "string", "account_name": "string",
-        "opportunity_name": "string", "stage_name": "string", "amount": "decimal(18,2)",
-        "close_date": "date", "probability": "decimal(5,2)", "is_closed": "boolean",
-        "is_won": "boolean", "opportunity_type": "string", "lead_source": "string",
-        "owner_id": "string", "opportunity_owner": "string",
-        "weighted_amount": "decimal(18,2)", "created_date": "date"},
-        not_null=("opportunity_id",), primary_key="opportunity_id"),
-    Contract("crm_opportunity_alerts", {
-        "opportunity_id": "string", "account_id": "string", "account_name": "string",
-        "opportunity_name": "string", "opportunity_owner": "string", "stage_name": "string",
-        "amount": "decimal(18,2)", "close_date": "date", "alert_reason": "string"},
-        not_null=("opportunity_id",), primary_key="opportunity_id"),
-]
-# schema-only outcome per contract on our marts: (missing, extra, mismatched, widened)
-CONTRACT_SCHEMA_EXPECTED = {"dim_products": (0, 0, 0, 1)}
-
 # --- fixed values: column docs persisted with dim_customers -------------------------
 DIM_CUSTOMERS_DOCS = {
     "customer_id": "Primary key. One row per customer.",

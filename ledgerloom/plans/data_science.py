@@ -14,6 +14,7 @@ from ledgerloom.functions.columns import MONEY, avg_exact, round_half_up_ratio
 from ledgerloom.operators.affinity import affinity_pairs
 from ledgerloom.operators.gaps import gap_stats, moments_stddev
 from ledgerloom.operators.quantiles import QUINTILES, ScoreSpec, quantile_scores
+from ledgerloom.plans.contracts import public
 from ledgerloom.sources.datasets import Datasets, model
 
 # --- fixed values --------------------------------------------------------------
@@ -24,10 +25,10 @@ RFM_PROBS = QUINTILES    # cut points 0.2 / 0.4 / 0.6 / 0.8
 
 @model("stg_customer_order_history", "data_science")
 def stg_customer_order_history(ds: Datasets) -> DataFrame:
-    c = ds["dim_customers"].select(
+    c = public(ds, "dim_customers").select(
         "customer_id", "customer_segment", "country", "total_lifetime_value",
         "number_of_orders", "first_order_date", "most_recent_order_date")
-    o = ds["fct_orders"].select(
+    o = public(ds, "fct_orders").select(
         "order_id", "customer_id", "order_date", "status", "payment_method",
         "number_of_items", "items_total", "amount_paid")
     # orders on the streamed side: AQE can split a hot customer's partition
@@ -80,7 +81,7 @@ def rfm_features(customers: DataFrame, orders: DataFrame, as_of) -> DataFrame:
 
 @model("rfm_customer_features", "data_science", materialized="table")
 def rfm_customer_features(ds: Datasets) -> DataFrame:
-    return rfm_features(ds["dim_customers"], ds["fct_orders"], ds.as_of_col())
+    return rfm_features(public(ds, "dim_customers"), public(ds, "fct_orders"), ds.as_of_col())
 
 
 def churn_features(customers: DataFrame, orders: DataFrame, as_of) -> DataFrame:
@@ -134,11 +135,11 @@ def churn_features(customers: DataFrame, orders: DataFrame, as_of) -> DataFrame:
 
 @model("customer_churn_features", "data_science", materialized="table")
 def customer_churn_features(ds: Datasets) -> DataFrame:
-    return churn_features(ds["dim_customers"], ds["fct_orders"], ds.as_of_col())
+    return churn_features(public(ds, "dim_customers"), public(ds, "fct_orders"), ds.as_of_col())
 
 
 @model("payment_method_affinity_pairs", "data_science", materialized="table")
 def payment_method_affinity_pairs(ds: Datasets) -> DataFrame:
-    completed = ds["fct_orders"].filter(F.col("status") == "completed") \
+    completed = public(ds, "fct_orders").filter(F.col("status") == "completed") \
         .select("customer_id", "payment_method", "amount_paid")
     return affinity_pairs(completed, "customer_id", "payment_method", "amount_paid")

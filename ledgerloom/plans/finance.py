@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import MONEY, dec0
+from ledgerloom.plans.contracts import public
 from ledgerloom.sources.datasets import Datasets, model
 
 
 @model("fct_revenue", "finance", materialized="table")
 def fct_revenue(ds: Datasets) -> DataFrame:
-    o = ds["fct_orders"]
+    o = public(ds, "fct_orders")
     zero = F.lit(0).cast(MONEY)
     return o.select(
         "order_id", "customer_id", "order_date",
@@ -27,7 +28,7 @@ def fct_revenue(ds: Datasets) -> DataFrame:
 
 def order_totals(ds: Datasets) -> DataFrame:
     """All orders reduced to a single row (the side every product shares)."""
-    o = ds["fct_orders"]
+    o = public(ds, "fct_orders")
     return o.agg(
         F.count("order_id").alias("total_orders"),
         F.sum(F.when(F.col("status") == "completed", F.col("amount_paid"))).alias("recognised"),
@@ -47,7 +48,7 @@ def fct_revenue_by_product(ds: Datasets) -> DataFrame:
     is never materialised. ``order_id`` is the key of ``fct_orders``, so the
     distinct counts are plain counts.
     """
-    p = ds["dim_products"]
+    p = public(ds, "dim_products")
     t = order_totals(ds)
     return p.crossJoin(F.broadcast(t)).select(
         "product_id", "product_name", "category", "unit_price", "is_active",
@@ -65,7 +66,7 @@ def product_order_lines(ds: Datasets) -> DataFrame:
     counts into plain counts and combines a hot product map-side.
     """
     oi = ds["stg_order_items"].select("order_id", "product_id", "line_total")
-    o = ds["fct_orders"].select("order_id", "status", "order_date")
+    o = public(ds, "fct_orders").select("order_id", "status", "order_date")
     return (
         oi.join(o, "order_id", "inner")
         .groupBy("product_id", "order_id", "status", "order_date")
@@ -84,7 +85,7 @@ def revenue_by_product_lines(ds: Datasets) -> DataFrame:
         F.min("order_date").alias("first_order_date"),
         F.max("order_date").alias("most_recent_order_date"),
     )
-    p = ds["dim_products"]
+    p = public(ds, "dim_products")
     return p.join(agg, "product_id", "left").select(
         "product_id", "product_name", "category", "unit_price", "is_active",
         F.coalesce("total_orders", F.lit(0).cast("bigint")).alias("total_orders"),

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import MONEY, avg_exact, ratio
+from ledgerloom.plans.contracts import public
 from ledgerloom.sources.datasets import Datasets, model
 
 # --- fixed values: marketing segment rule set A (days since last order) ----------
@@ -21,7 +22,7 @@ def customer_order_rollup(ds: Datasets) -> DataFrame:
     ``order_id`` is the primary key of ``fct_orders``, so counts of orders are
     plain conditional counts (no distinct/Expand needed).
     """
-    o = ds["fct_orders"]
+    o = public(ds, "fct_orders")
     completed = F.col("status") == "completed"
     return o.groupBy("customer_id").agg(
         F.count("order_id").alias("n_orders"),
@@ -33,7 +34,7 @@ def customer_order_rollup(ds: Datasets) -> DataFrame:
 
 @model("mart_customer_segments", "marketing", materialized="table")
 def mart_customer_segments(ds: Datasets) -> DataFrame:
-    c = ds["dim_customers"]
+    c = public(ds, "dim_customers")
     r = customer_order_rollup(ds).select(
         "customer_id", "last_order_date", "completed_orders",
         F.datediff(ds.as_of_col(), F.col("last_order_date")).alias("days_since_last_order"))
@@ -55,7 +56,7 @@ def mart_customer_segments(ds: Datasets) -> DataFrame:
 
 
 def _country_rollup(ds: Datasets) -> DataFrame:
-    c = ds["dim_customers"].select("customer_id", "country", "customer_segment",
+    c = public(ds, "dim_customers").select("customer_id", "country", "customer_segment",
                                    "total_lifetime_value")
     r = customer_order_rollup(ds).select("customer_id", "n_orders", "recognised")
     return c.join(r, "customer_id", "left")

@@ -271,3 +271,19 @@ def test_materialized_registry_matches_lazy(spark):
     # a registry with injected tables never reads materialized copies
     assert not Datasets(spark, sf, D(2001, 8, 2), tables={"x": lazy["fct_orders"]},
                         materialize=True).materialize
+
+
+def test_consumer_ref_fails_before_any_job_on_contract_break(spark):
+    from ledgerloom.plans.contracts import public
+    sf = "/root/testdata/sf0.001"
+    ds = Datasets(spark, sf, D(2001, 8, 2))
+    broken = ds["fct_orders"].drop("amount_paid")
+    bad = Datasets(spark, sf, D(2001, 8, 2), tables={"fct_orders": broken})
+    with pytest.raises(ContractError, match="amount_paid"):
+        bad.build("mart_customer_segments")
+    retyped = Datasets(spark, sf, D(2001, 8, 2), tables={
+        "fct_orders": ds["fct_orders"].withColumn("order_date", F.col("order_date").cast("string"))})
+    with pytest.raises(ContractError, match="order_date"):
+        public(retyped, "fct_orders")
+    with pytest.raises(KeyError):
+        ds.ref("marketing", "fct_orders")
