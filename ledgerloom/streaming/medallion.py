@@ -58,9 +58,19 @@ class MedallionRun:
         return {t: spark.read.parquet(p) for t, p in self.silver_paths.items()}
 
 
-def land(df: DataFrame, path: str, files: int = 4) -> None:
-    """Drop a batch of landing files (stands in for the source system's export)."""
-    df.repartition(files).write.mode("append").parquet(path)
+MAX_RECORDS_PER_FILE = 5_000_000
+
+
+def land(df: DataFrame, path: str, files: int | None = None) -> None:
+    """Drop a batch of landing files (stands in for the source system's export).
+
+    By default the input partitioning is kept and files are capped by row count,
+    so a large table lands as many bounded files that later micro-batches can
+    pick up ``maxFilesPerTrigger`` at a time; ``files`` forces a file count
+    (small fixtures).
+    """
+    out = df.repartition(files) if files else df
+    out.write.mode("append").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(path)
 
 
 def _observed(q: StreamingQuery) -> dict:
@@ -75,7 +85,7 @@ def _observed(q: StreamingQuery) -> dict:
 
 
 def run_medallion(spark: SparkSession, raw: dict[str, DataFrame], tables: Sequence[str] = BRONZE,
-                  root: str | None = None, files: int = 4) -> MedallionRun:
+                  root: str | None = None, files: int | None = None) -> MedallionRun:
     """Land ``raw[t]`` files, stream them to bronze, then bronze to silver."""
     root = root or scratch_path(spark, "medallion")
     silver_paths, bronze_paths, metrics = {}, {}, {}
