@@ -1,18 +1,28 @@
 """Quantile scoring without driver round trips.
 
 ``DataFrame.approxQuantile`` runs one eager job per column and ships the cut
-points back through the driver. Here all cut points of all scored columns come
-from one ``percentile_approx`` aggregation (mergeable sketches, partial
-aggregation per task) that yields a single row; that row is broadcast (size
-bound: one row) and the scores are plain ``CASE`` expressions.
+points back through the driver. Here the cut points are a one-row DataFrame
+that is broadcast (size bound: one row) and the scores are plain ``CASE``
+expressions. Two ways to get the cut points:
+
+* ``exact`` (default): nearest-rank discrete quantiles, i.e. the value at
+  1-based rank ``ceil(n * p)``. The column is first combined to
+  ``(value, count)`` (map-side), the distinct values are range-partitioned and
+  written once with their positions, cumulative counts come from
+  per-partition sums (a table bounded by the partition count), and the value
+  covering each target rank is picked. No task ever holds all values, and the
+  result does not depend on data size.
+* ``approx``: one ``percentile_approx`` aggregation (mergeable sketches); exact
+  only while a column has fewer distinct values than ``accuracy``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 QUINTILES = (0.2, 0.4, 0.6, 0.8)
@@ -36,13 +46,52 @@ def score_from_cuts(value: Column, cuts: Column, n_cuts: int, reverse: bool) ->
     return expr.otherwise(F.lit(last))
 
 
+def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
+                    output: str = "cuts") -> DataFrame:
+    """One row: ``array`` of nearest-rank quantiles of ``col`` (NULLs ignored)."""
+    from ledgerloom.operators.sequence import positioned
+
+    vals = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("__c"))
+    pos = positioned(vals, [col], "quantiles")
+    before = F.coalesce(F.sum("__c").over(
+        Window.partitionBy("__pid").orderBy("__pos")
+        .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    part = pos.groupBy("__pid").agg(F.sum("__c").alias("__pc"))
+    offsets = part.select("__pid", F.coalesce(F.sum("__pc").over(
+        Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)),
+        F.lit(0)).alias("__off"))
+    n = part.agg(F.sum("__pc").alias("__n"))
+    targets = n.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("__i"),
+                 (F.greatest(F.ceil(F.col("__n") * F.lit(Decimal(str(p)))), F.lit(1)) - 1)
+                 .alias("__idx"))
+        for i, p in enumerate(probs)])).alias("__t")).select("__t.*")
+    spans = pos.select("__pid", "__c", col, before.alias("__before")) \
+        .join(F.broadcast(offsets), "__pid") \
+        .withColumn("__lo", F.col("__off") + F.col("__before"))
+    hits = spans.join(F.broadcast(targets),
+                      (F.col("__idx") >= F.col("__lo"))
+                      & (F.col("__idx") < F.col("__lo") + F.col("__c")))
+    return hits.agg(F.transform(F.array_sort(F.collect_list(F.struct("__i", col))),
+                                lambda s_: s_[col]).alias(output))
+
+
 def quantile_scores(df: DataFrame, specs: Sequence[ScoreSpec],
-                    probs: Sequence[float] = QUINTILES, accuracy: int = 10000) -> DataFrame:
+                    probs: Sequence[float] = QUINTILES, accuracy: int = 10000,
+                    method: str = "exact") -> DataFrame:
     """Add one integer score column per spec (1..len(probs)+1)."""
-    cuts = df.agg(*[
-        F.percentile_approx(s.column, list(probs), accuracy).alias(f"__cuts_{i}")
-        for i, s in enumerate(specs)
-    ])
+    if method == "approx":
+        cuts = df.agg(*[
+            F.percentile_approx(s.column, list(probs), accuracy).alias(f"__cuts_{i}")
+            for i, s in enumerate(specs)
+        ])
+    elif method == "exact":
+        cuts = None
+        for i, s in enumerate(specs):
+            one = exact_quantiles(df, s.column, probs, f"__cuts_{i}")
+            cuts = one if cuts is None else cuts.crossJoin(one)
+    else:
+        raise ValueError("method must be 'exact' or 'approx'")
     out = df.crossJoin(F.broadcast(cuts))
     for i, s in enumerate(specs):
         out = out.withColumn(s.output, score_from_cuts(F.col(s.column), F.col(f"__cuts_{i}"),
@@ -52,6 +101,6 @@ def quantile_scores(df: DataFrame, specs: Sequence[ScoreSpec],
 
 def quintile_score(df: DataFrame, col: str, probs: Sequence[float] = QUINTILES,
                    reverse: bool = False, accuracy: int = 10000,
-                   output: str | None = None) -> DataFrame:
+                   output: str | None = None, method: str = "exact") -> DataFrame:
     return quantile_scores(df, [ScoreSpec(col, output or f"{col}_score", reverse)],
-                           probs, accuracy)
+                           probs, accuracy, method)

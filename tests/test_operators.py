@@ -287,3 +287,19 @@ def test_consumer_ref_fails_before_any_job_on_contract_break(spark):
         public(retyped, "fct_orders")
     with pytest.raises(KeyError):
         ds.ref("marketing", "fct_orders")
+
+
+@pytest.mark.parametrize("n,expected", [(10, [2, 4, 6, 8]), (7, [2, 3, 5, 6]), (3, [1, 2, 2, 3]),
+                                        (2, [1, 1, 2, 2]), (1, [1, 1, 1, 1])])
+def test_exact_quantiles_nearest_rank(spark, n, expected):
+    from ledgerloom.operators.quantiles import exact_quantiles
+    df = spark.range(1, n + 1).select(F.col("id").alias("x")).repartition(3)
+    assert exact_quantiles(df, "x", [0.2, 0.4, 0.6, 0.8]).collect()[0].cuts == expected
+
+
+def test_exact_quantiles_with_duplicates_and_nulls(spark):
+    from ledgerloom.operators.quantiles import exact_quantiles
+    vals = [0] * 50 + [5] * 30 + [9] * 20 + [None] * 7
+    df = spark.createDataFrame([(v,) for v in vals], "x int")
+    # ranks ceil(100 p): 20, 40, 60, 80 -> 0, 0, 5, 5
+    assert exact_quantiles(df, "x", [0.2, 0.4, 0.6, 0.8]).collect()[0].cuts == [0, 0, 5, 5]
