@@ -46,34 +46,74 @@ def score_from_cuts(value: Column, cuts: Column, n_cuts: int, reverse: bool) ->
     return expr.otherwise(F.lit(last))
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
-                    output: str = "cuts") -> DataFrame:
-    """One row: ``array`` of nearest-rank quantiles of ``col`` (NULLs ignored)."""
+def _common_type(df: DataFrame, cols: Sequence[str]) -> str:
+    """A type every scored column converts to exactly and in order."""
+    from pyspark.sql.types import DecimalType, DoubleType, FloatType
+
+    types = [df.schema[c].dataType for c in cols]
+    if any(isinstance(t, (DoubleType, FloatType)) for t in types):
+        return "double"
+    scale = max([t.scale for t in types if isinstance(t, DecimalType)], default=0)
+    return f"decimal(38,{scale})"
+
+
+def _cast_field(field: str, type_: str):
+    # a one-argument lambda: ``transform`` passes the element index to a second one
+    return lambda s_: s_[field].cast(type_)
+
+
+def exact_quantiles_multi(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
+                          outputs: Sequence[str] | None = None) -> DataFrame:
+    """One row, one ``array`` of nearest-rank quantiles per column (NULLs ignored).
+
+    All columns are stacked as ``(column index, value)`` and combined to
+    ``(column, value, count)`` in one pass over ``df``, then numbered in one
+    positioned write; offsets are per ``(partition, column)``.
+    """
     from ledgerloom.operators.sequence import positioned
 
-    vals = df.where(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("__c"))
-    pos = positioned(vals, [col], "quantiles")
+    outputs = list(outputs) if outputs is not None else [f"{c}_cuts" for c in cols]
+    common = _common_type(df, cols)
+    stacked = df.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("__k"), F.col(c).cast(common).alias("__v"))
+        for i, c in enumerate(cols)])).alias("__s")).select("__s.*")
+    vals = stacked.where(F.col("__v").isNotNull()).groupBy("__k", "__v") \
+        .agg(F.count(F.lit(1)).alias("__c"))
+    pos = positioned(vals, ["__k", "__v"], "quantiles")
     before = F.coalesce(F.sum("__c").over(
-        Window.partitionBy("__pid").orderBy("__pos")
+        Window.partitionBy("__pid", "__k").orderBy("__pos")
         .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    part = pos.groupBy("__pid").agg(F.sum("__c").alias("__pc"))
-    offsets = part.select("__pid", F.coalesce(F.sum("__pc").over(
-        Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)),
+    part = pos.groupBy("__pid", "__k").agg(F.sum("__c").alias("__pc"))
+    # one row per (partition, column): bounded by partitions x columns
+    offsets = part.select("__pid", "__k", F.coalesce(F.sum("__pc").over(
+        Window.partitionBy("__k").orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)),
         F.lit(0)).alias("__off"))
-    n = part.agg(F.sum("__pc").alias("__n"))
-    targets = n.select(F.explode(F.array(*[
+    n = part.groupBy("__k").agg(F.sum("__pc").alias("__n"))
+    targets = n.select("__k", F.explode(F.array(*[
         F.struct(F.lit(i).alias("__i"),
                  (F.greatest(F.ceil(F.col("__n") * F.lit(Decimal(str(p)))), F.lit(1)) - 1)
                  .alias("__idx"))
-        for i, p in enumerate(probs)])).alias("__t")).select("__t.*")
-    spans = pos.select("__pid", "__c", col, before.alias("__before")) \
-        .join(F.broadcast(offsets), "__pid") \
+        for i, p in enumerate(probs)])).alias("__t")).select("__k", "__t.*") \
+        .withColumnRenamed("__k", "__tk")
+    spans = pos.select("__pid", "__k", "__c", "__v", before.alias("__before")) \
+        .join(F.broadcast(offsets), ["__pid", "__k"]) \
         .withColumn("__lo", F.col("__off") + F.col("__before"))
     hits = spans.join(F.broadcast(targets),
-                      (F.col("__idx") >= F.col("__lo"))
+                      (F.col("__k") == F.col("__tk")) & (F.col("__idx") >= F.col("__lo"))
                       & (F.col("__idx") < F.col("__lo") + F.col("__c")))
-    return hits.agg(F.transform(F.array_sort(F.collect_list(F.struct("__i", col))),
-                                lambda s_: s_[col]).alias(output))
+    aggs = []
+    for i, (c, out) in enumerate(zip(cols, outputs)):
+        t = df.schema[c].dataType.simpleString()
+        picked = F.array_sort(F.collect_list(
+            F.when(F.col("__k") == i, F.struct("__i", "__v"))))
+        aggs.append(F.transform(picked, _cast_field("__v", t)).alias(out))
+    return hits.agg(*aggs)
+
+
+def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float],
+                    output: str = "cuts") -> DataFrame:
+    """One row: ``array`` of nearest-rank quantiles of ``col`` (NULLs ignored)."""
+    return exact_quantiles_multi(df, [col], probs, [output])
 
 
 def quantile_scores(df: DataFrame, specs: Sequence[ScoreSpec],
@@ -86,10 +126,8 @@ def quantile_scores(df: DataFrame, specs: Sequence[ScoreSpec],
             for i, s in enumerate(specs)
         ])
     elif method == "exact":
-        cuts = None
-        for i, s in enumerate(specs):
-            one = exact_quantiles(df, s.column, probs, f"__cuts_{i}")
-            cuts = one if cuts is None else cuts.crossJoin(one)
+        cuts = exact_quantiles_multi(df, [s.column for s in specs], probs,
+                                     [f"__cuts_{i}" for i in range(len(specs))])
     else:
         raise ValueError("method must be 'exact' or 'approx'")
     out = df.crossJoin(F.broadcast(cuts))
