@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Sequence
 from decimal import Decimal
 
@@ -83,3 +84,12 @@ def round_half_up_ratio(num: Column, den: Column, digits: int) -> Column:
     signed = F.when(num < 0, -q).otherwise(q)
     scale = F.lit(1).cast("decimal(38,0)") if digits == 0 else F.lit(f"{1 / unit:.{digits}f}").cast(f"decimal({digits + 1},{digits})")
     return F.when(den != 0, (signed * scale).cast(f"decimal(38,{digits})"))
+
+
+def ts_ntz(v: _dt.datetime) -> Column:
+    """A ``timestamp_ntz`` literal from its wall-clock text.
+
+    ``lit(datetime)`` goes through the Python process time zone and then the
+    session time zone; the string cast does not depend on either.
+    """
+    return F.lit(v.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")

@@ -18,6 +18,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.columns import ts_ntz
+
 SEVERITIES = ("error", "warn")
 
 
@@ -147,7 +149,7 @@ class FreshnessRule:
 
 def source_freshness(ds, rules: Sequence[FreshnessRule], now: _dt.datetime) -> DataFrame:
     """``[source, max_loaded_at, age_seconds, status]``; an empty source is an error."""
-    now_col = F.lit(now).cast("timestamp_ntz")
+    now_col = ts_ntz(now)
     parts = []
     for r in rules:
         m = ds[r.source].agg(F.max(F.col(r.loaded_at).cast("timestamp_ntz")).alias("mx"))

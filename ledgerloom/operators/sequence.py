@@ -16,6 +16,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+
+from ledgerloom.functions.columns import ts_ntz
 from pyspark.sql.types import StructType
 
 _LOW_BITS = 33
@@ -103,6 +105,6 @@ def append_batch(df: DataFrame, path: str, schema: StructType | None = None,
     if schema is not None:
         out = enforce_contract(df.drop(loaded_at) if loaded_at in df.columns else df,
                                StructType([f for f in schema.fields if f.name != loaded_at]))
-    stamp = F.lit(now).cast("timestamp_ntz") if now is not None else \
+    stamp = ts_ntz(now) if now is not None else \
         F.current_timestamp().cast("timestamp_ntz")
     out.withColumn(loaded_at, stamp).write.mode("append").parquet(path)

@@ -13,7 +13,7 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.columns import money_from_cents
+from ledgerloom.functions.columns import money_from_cents, ts_ntz
 from ledgerloom.operators.sequence import number_within
 from ledgerloom.sources.datasets import Datasets, model
 
@@ -53,7 +53,7 @@ def _priority(c: str = "o_orderpriority") -> Column:
 
 
 def _ts(v: _dt.datetime) -> Column:
-    return F.lit(v).cast("timestamp_ntz")
+    return ts_ntz(v)
 
 
 def _lookup(df: DataFrame, key: str, *cols: str) -> DataFrame:

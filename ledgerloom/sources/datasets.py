@@ -148,7 +148,9 @@ class Datasets:
 
         if self.as_of is None:
             return F.current_timestamp().cast("timestamp_ntz")
-        return F.lit(_dt.datetime.combine(self.as_of, _dt.time())).cast("timestamp_ntz")
+        from ledgerloom.functions.columns import ts_ntz
+
+        return ts_ntz(_dt.datetime.combine(self.as_of, _dt.time()))
 
     # -- cross-project ref with a contract check ------------------------------
     def ref(self, project: str, name: str, contract: StructType | None = None) -> DataFrame:
