@@ -70,9 +70,6 @@ def _load() -> None:
     from ledgerloom.plans import analytics, checks  # noqa: F401  (register queries)
 
 
-_load_done = False
-try:  # analytics registers into QUERIES on import
-    _load()
-    _load_done = True
-except ImportError:  # pragma: no cover - during bootstrap
-    pass
+# the query modules register into QUERIES/ORACLE on import (they import
+# ``register`` from this module, which is defined above)
+_load()
