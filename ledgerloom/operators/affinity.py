@@ -8,6 +8,10 @@ join sees at most one row per item per key. The pair-weighted averages of the
 literal form are recovered exactly::
 
     avg_a = sum_k(sum_a * cnt_b) / sum_k(cnt_a * cnt_b)
+
+Output bound: a key contributes at most d(d-1)/2 pair rows, where d is the
+number of distinct items of that key (payment methods: d <= 3), however many
+rows the key has; a key holding a third of all rows still yields d(d-1)/2 rows.
 """
 
 from __future__ import annotations
