@@ -42,7 +42,17 @@ def stg_customer_order_history(ds: Datasets) -> DataFrame:
     )
 
 
-def rfm_features(customers: DataFrame, orders: DataFrame, as_of) -> DataFrame:
+def rfm_features(customers: DataFrame, orders: DataFrame, as_of,
+                 null_recency: str = "zero") -> DataFrame:
+    """R/F/M features and quintile scores per customer.
+
+    ``null_recency``: ``"zero"`` (as the reference model does) fills the
+    recency of customers without orders with 0 before scoring, so they score as
+    most recent (r = 5); ``"worst"`` keeps it NULL, leaves it out of the cut
+    points and scores it r = 1.
+    """
+    if null_recency not in ("zero", "worst"):
+        raise ValueError("null_recency must be 'zero' or 'worst'")
     completed = F.col("status") == "completed"
     per = orders.groupBy("customer_id").agg(
         F.max("order_date").alias("last_order_date"),
@@ -63,8 +73,8 @@ def rfm_features(customers: DataFrame, orders: DataFrame, as_of) -> DataFrame:
             F.col("total_items_purchased"),
         )
         # customers without (completed) orders: 0, including recency (scores as most recent)
-        .fillna(0, subset=["recency_days", "frequency", "monetary_value",
-                           "avg_order_value", "total_items_purchased"])
+        .fillna(0, subset=(["recency_days"] if null_recency == "zero" else [])
+                + ["frequency", "monetary_value", "avg_order_value", "total_items_purchased"])
     )
     scored = quantile_scores(rfm, [
         ScoreSpec("recency_days", "r_score", reverse=True),

@@ -303,3 +303,23 @@ def test_exact_quantiles_with_duplicates_and_nulls(spark):
     df = spark.createDataFrame([(v,) for v in vals], "x int")
     # ranks ceil(100 p): 20, 40, 60, 80 -> 0, 0, 5, 5
     assert exact_quantiles(df, "x", [0.2, 0.4, 0.6, 0.8]).collect()[0].cuts == [0, 0, 5, 5]
+
+
+def test_rfm_null_recency_options(spark):
+    from ledgerloom.plans.data_science import rfm_features
+    customers = spark.createDataFrame([(1, "high_value", "X"), (2, "low_value", "X"),
+                                       (3, "low_value", "Y")],
+                                      "customer_id int, customer_segment string, country string")
+    orders = spark.createDataFrame(
+        [(10, 1, D(2020, 1, 1), "completed", Decimal("10.00"), 1),
+         (11, 2, D(2020, 3, 1), "completed", Decimal("5.00"), 2)],
+        "order_id int, customer_id int, order_date date, status string, "
+        "amount_paid decimal(18,2), number_of_items bigint")
+    as_of = F.lit(D(2020, 4, 1))
+    zero = {r.customer_id: (r.recency_days, r.r_score)
+            for r in rfm_features(customers, orders, as_of).collect()}
+    worst = {r.customer_id: (r.recency_days, r.r_score)
+             for r in rfm_features(customers, orders, as_of, null_recency="worst").collect()}
+    assert zero[3] == (0, 5)          # as written: no orders scores as most recent
+    assert worst[3] == (None, 1)      # option: no orders scores as least recent
+    assert zero[1][0] == worst[1][0] == 91
