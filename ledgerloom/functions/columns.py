@@ -52,11 +52,6 @@ def avg_exact(sum_col: Column, count_col: Column) -> Column:
     return sum_col.cast("double") / F.when(count_col != 0, count_col.cast("double"))
 
 
-def round_money_avg(sum_col: Column, count_col: Column) -> Column:
-    """``round(sum / count, 2)`` for decimal money, exact (HALF_UP) as decimal(18,2)."""
-    q = sum_col.cast("decimal(38,2)") / F.when(count_col != 0, count_col)
-    return F.round(q, 2).cast(MONEY)
-
 
 def title_from_snake(c: Column | str) -> Column:
     """``'high_value_open'`` -> ``'High Value Open'``."""
@@ -64,10 +59,6 @@ def title_from_snake(c: Column | str) -> Column:
     return F.initcap(F.regexp_replace(col, "_", " "))
 
 
-def not_true(cond: Column) -> Column:
-    """Violation predicate for expectations: NULL counts as a violation."""
-    return ~F.coalesce(cond, F.lit(False))
-
 
 def round_half_up_ratio(num: Column, den: Column, digits: int) -> Column:
     """``round(num / den, digits)`` (half away from zero) computed exactly.

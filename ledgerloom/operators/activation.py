@@ -14,6 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.columns import title_from_snake
+
 
 def changed_rows(current: DataFrame, previous: DataFrame, key: str | Sequence[str],
                  compare: Sequence[str] | None = None) -> DataFrame:
@@ -43,6 +45,6 @@ def render_message(df: DataFrame, title_col: str, parts: Sequence[tuple[str, str
 
     ``'high_value_open'`` renders as ``'High Value Open'``; NULL parts are skipped.
     """
-    title = F.initcap(F.regexp_replace(F.col(title_col), "_", " "))
+    title = title_from_snake(title_col)
     pieces = [F.concat(F.lit(prefix), F.col(c).cast("string")) for prefix, c in parts]
     return df.withColumn(output, F.concat_ws(sep, title, *pieces))

@@ -8,7 +8,6 @@ the library itself reads is ``spark.checkpoint.dir`` (see
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -61,7 +60,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-folder of the shared checkpoint root."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def sf_dir_default() -> str:
-    return os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")

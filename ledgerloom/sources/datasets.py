@@ -142,18 +142,9 @@ class Datasets:
             return F.current_date()
         return F.lit(self.as_of)
 
-    def as_of_ts(self):
-        """The as-of instant: midnight at the start of ``as_of``."""
-        from pyspark.sql import functions as F
-
-        if self.as_of is None:
-            return F.current_timestamp().cast("timestamp_ntz")
-        from ledgerloom.functions.columns import ts_ntz
-
-        return ts_ntz(_dt.datetime.combine(self.as_of, _dt.time()))
-
     # -- cross-project ref with a contract check ------------------------------
-    def ref(self, project: str, name: str, contract: StructType | None = None) -> DataFrame:
+    def ref(self, project: str, name: str,
+            contract: StructType | Mapping[str, str] | None = None) -> DataFrame:
         """Cross-project reference; validates ``contract`` at analysis time.
 
         Raises :class:`~ledgerloom.operators.contracts.ContractError` before any
