@@ -11,7 +11,8 @@ exchange. Raw tables come from an input adapter or are injected directly
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Callable, Mapping
+import threading
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -82,9 +83,21 @@ class Datasets:
         # (sf_dir, as_of); registries with injected tables never materialize
         self.materialize = materialize and not tables
         self._cache: dict[str, DataFrame] = dict(tables or {})
+        self._guard = threading.Lock()
+        self._locks: dict[str, threading.RLock] = {}
 
     # -- access -------------------------------------------------------------
     def __getitem__(self, name: str) -> DataFrame:
+        if name in self._cache:
+            return self._cache[name]
+        with self._lock_for(name):
+            return self._get(name)
+
+    def _lock_for(self, name: str) -> threading.RLock:
+        with self._guard:
+            return self._locks.setdefault(name, threading.RLock())
+
+    def _get(self, name: str) -> DataFrame:
         if name not in self._cache:
             if name not in _REGISTRY:
                 raise KeyError(f"unknown dataset {name!r}")
@@ -164,6 +177,13 @@ class Datasets:
 # -- landing: write each mapped source table once, read it back -------------------
 
 _LANDED: dict[tuple, str] = {}
+_LOCKS: dict[tuple, threading.Lock] = {}
+_LOCKS_GUARD = threading.Lock()
+
+
+def _lock_for(key: tuple) -> threading.Lock:
+    with _LOCKS_GUARD:
+        return _LOCKS.setdefault(key, threading.Lock())
 
 
 def landed(spark: SparkSession, scope: tuple, name: str, build: Callable[[], DataFrame]
@@ -179,9 +199,25 @@ def landed(spark: SparkSession, scope: tuple, name: str, build: Callable[[], Dat
     from ledgerloom.session import scratch_path
 
     key = (spark.sparkContext.applicationId, scope, name)
-    path = _LANDED.get(key)
-    if path is None:
-        path = scratch_path(spark, f"landing-{name}")
-        build().write.mode("overwrite").parquet(path)
-        _LANDED[key] = path
+    # one writer per table: concurrent builders (threads) wait for the first one
+    with _lock_for(key):
+        path = _LANDED.get(key)
+        if path is None:
+            path = scratch_path(spark, f"landing-{name}")
+            build().write.mode("overwrite").parquet(path)
+            _LANDED[key] = path
     return spark.read.parquet(path)
+
+
+def build_tables(ds: "Datasets", names: Sequence[str], threads: int = 4) -> dict[str, DataFrame]:
+    """Materialize ``names`` with up to ``threads`` concurrent Spark jobs.
+
+    Like a project build with several threads: independent tables are written
+    at the same time; a table that several of them need is written once (the
+    others wait on its lock) and dependencies resolve through ``ds[...]``.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
+    with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
+        futures = {n: pool.submit(ds.__getitem__, n) for n in names}
+        return {n: f.result() for n, f in futures.items()}

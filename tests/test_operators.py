@@ -323,3 +323,19 @@ def test_rfm_null_recency_options(spark):
     assert zero[3] == (0, 5)          # as written: no orders scores as most recent
     assert worst[3] == (None, 1)      # option: no orders scores as least recent
     assert zero[1][0] == worst[1][0] == 91
+
+
+def test_concurrent_build_writes_each_table_once(spark):
+    from ledgerloom.sources import datasets as dsm
+    sf = "/root/testdata/sf0.001"
+    ds = Datasets(spark, sf, D(2001, 8, 2), land_sources=True, materialize=True)
+    before = len(dsm._LANDED)
+    out = dsm.build_tables(ds, ["fct_orders", "dim_customers", "gold_fct_orders",
+                                "gold_dim_customers", "fct_orders"], threads=4)
+    assert set(out) == {"fct_orders", "dim_customers", "gold_fct_orders", "gold_dim_customers"}
+    keys = [k for k in dsm._LANDED if k[1][0] == sf]
+    assert len({k[2] for k in keys}) == len(keys)          # no table landed twice
+    assert len(dsm._LANDED) >= before
+    lazy = Datasets(spark, sf, D(2001, 8, 2))
+    assert sorted(map(tuple, out["fct_orders"].collect())) == \
+        sorted(map(tuple, lazy["fct_orders"].collect()))
