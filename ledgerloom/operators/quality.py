@@ -3,10 +3,10 @@ source freshness, load audit and fact reconciliation.
 
 Generic tests return the *failing rows* of a DataFrame (dbt semantics: NULL
 passes ``unique`` / ``accepted_values`` / ``relationships``). :func:`run_tests`
-evaluates a whole test suite as one Spark job: the NULL and accepted-value
-tests of one model fold into a single conditional aggregation (one scan per
-model), all ``unique`` tests of all models share one keyed aggregation (one
-shuffle for the suite) and ``relationships`` is an anti join.
+evaluates a whole test suite as one Spark job: all NULL and accepted-value
+tests of all models fold into one keyed aggregation of (test, violation)
+pairs (each model scanned once), all ``unique`` tests of all models share one
+keyed aggregation, and ``relationships`` is an anti join per test.
 """
 
 from __future__ import annotations
@@ -89,19 +89,43 @@ def run_tests(ds, tests: Sequence[DataTest],
                 F.lit(t.kind).alias("test_type"), failures.cast("bigint").alias("failures"),
                 F.lit(t.severity).alias("severity")]
 
-    for model, ts in by_model.items():
-        df = ds[model]
-        scans = [t for t in ts if t.kind in ("not_null", "accepted_values")]
-        if scans:
-            aggs = []
-            for i, t in enumerate(scans):
+    def spec_of(ts: Sequence[DataTest]) -> DataFrame:
+        return ds.spark.createDataFrame(
+            [(t.test_name, t.model, t.column, t.kind, t.severity) for t in ts],
+            "test_name string, model string, column_name string, test_type string, "
+            "severity string")
+
+    def with_spec(ts: Sequence[DataTest], counts: DataFrame) -> DataFrame:
+        spec = spec_of(ts)
+        return spec.join(F.broadcast(counts), spec.test_name == counts["__test"], "left") \
+            .select("test_name", "model", "column_name", "test_type",
+                    F.coalesce(F.col("__f"), F.lit(0)).cast("bigint").alias("failures"),
+                    "severity")
+
+    checks = [t for t in tests if t.kind in ("not_null", "accepted_values")]
+    if checks:
+        # every column check of every model in ONE keyed aggregation: each model
+        # is scanned once, its rows become (test, violation) pairs that are
+        # summed map-side, so the suite needs one shuffle of partial counts
+        # instead of one aggregation stage per model
+        flagged = None
+        for model, ts in by_model.items():
+            mine = [t for t in ts if t in checks]
+            if not mine:
+                continue
+            pairs = []
+            for t in mine:
                 c = F.col(t.column)
                 bad = c.isNull() if t.kind == "not_null" else \
                     (c.isNotNull() & ~c.isin(list(t.values)))
-                aggs.append(F.sum(F.when(bad, 1).otherwise(0)).alias(f"__t{i}"))
-            one = df.agg(*aggs)   # one scan for all column checks of the model
-            for i, t in enumerate(scans):
-                parts.append(one.select(*row(t, F.coalesce(F.col(f"__t{i}"), F.lit(0)))))
+                pairs.append(F.struct(F.lit(t.test_name).alias("__test"),
+                                      F.when(bad, 1).otherwise(0).alias("__bad")))
+            part = ds[model].select(F.explode(F.array(*pairs)).alias("__p")).select("__p.*")
+            flagged = part if flagged is None else flagged.unionByName(part)
+        counts = flagged.groupBy("__test").agg(F.sum("__bad").alias("__f"))
+        parts.append(with_spec(checks, counts))
+    for model, ts in by_model.items():
+        df = ds[model]
         for t in ts:
             if t.kind == "relationships":
                 failing = relationships(df, t.column, ds[t.to], t.field) \
@@ -119,14 +143,7 @@ def run_tests(ds, tests: Sequence[DataTest],
             keyed = k if keyed is None else keyed.unionByName(k)
         dups = keyed.groupBy("__test", "__v").agg(F.count(F.lit(1)).alias("__n")) \
             .where(F.col("__n") > 1).groupBy("__test").agg(F.count(F.lit(1)).alias("__f"))
-        spec = ds.spark.createDataFrame(
-            [(t.test_name, t.model, t.column, t.kind, t.severity) for t in uniq],
-            "test_name string, model string, column_name string, test_type string, "
-            "severity string")
-        parts.append(spec.join(F.broadcast(dups), spec.test_name == dups["__test"], "left")
-                     .select("test_name", "model", "column_name", "test_type",
-                             F.coalesce(F.col("__f"), F.lit(0)).cast("bigint").alias("failures"),
-                             "severity"))
+        parts.append(with_spec(uniq, dups))
     for name, (severity, fn) in (singular or {}).items():
         t = DataTest(model=name, kind="singular", severity=severity, name=name)
         failing = fn(ds).agg(F.count(F.lit(1)).alias("__f"))

@@ -145,7 +145,12 @@ class Datasets:
             raise ValueError("no sf_dir given; inject raw tables instead")
         key = f"driver:{name}"
         if key not in self._cache:
-            self._cache[key] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            path = f"{self.sf_dir}/{name}.parquet"
+            gkey = (self.spark.sparkContext.applicationId, "driver", path)
+            with _lock_for(gkey):
+                if gkey not in _LANDED:
+                    _LANDED[gkey] = self.spark.read.parquet(path)
+            self._cache[key] = _LANDED[gkey]
         return self._cache[key]
 
     def as_of_col(self):
@@ -176,7 +181,7 @@ class Datasets:
 
 # -- landing: write each mapped source table once, read it back -------------------
 
-_LANDED: dict[tuple, str] = {}
+_LANDED: dict[tuple, DataFrame] = {}      # key -> DataFrame reading the written table
 _LOCKS: dict[tuple, threading.Lock] = {}
 _LOCKS_GUARD = threading.Lock()
 
@@ -201,12 +206,15 @@ def landed(spark: SparkSession, scope: tuple, name: str, build: Callable[[], Dat
     key = (spark.sparkContext.applicationId, scope, name)
     # one writer per table: concurrent builders (threads) wait for the first one
     with _lock_for(key):
-        path = _LANDED.get(key)
-        if path is None:
+        df = _LANDED.get(key)
+        if df is None:
             path = scratch_path(spark, f"landing-{name}")
             build().write.mode("overwrite").parquet(path)
-            _LANDED[key] = path
-    return spark.read.parquet(path)
+            # the reader is kept too: listing files and reading the parquet footer
+            # once per session, not once per query
+            df = spark.read.parquet(path)
+            _LANDED[key] = df
+    return df
 
 
 def build_tables(ds: "Datasets", names: Sequence[str], threads: int = 4) -> dict[str, DataFrame]:
