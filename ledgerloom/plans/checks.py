@@ -23,7 +23,7 @@ from ledgerloom.operators.sequence import append_batch, assign_ids
 from ledgerloom.oracle import AS_OF, AS_OF_TS
 from ledgerloom.plans.catalog import register
 from ledgerloom.plans.contracts import CONTRACT_SCHEMA_EXPECTED, CONTRACTS
-from ledgerloom.plans.pipeline import BRONZE, SILVER_EXPECTATIONS
+from ledgerloom.plans.medallion import BRONZE, SILVER_EXPECTATIONS
 from ledgerloom.session import scratch_path
 from ledgerloom.sources.datasets import Datasets
 

@@ -58,7 +58,7 @@ def registered() -> Mapping[str, Builder]:
 def _load_all() -> None:
     # Importing the plan modules registers their models.
     from ledgerloom.plans import (  # noqa: F401
-        crm, data_science, finance, marketing, marts, pipeline, staging,
+        crm, data_science, finance, marketing, marts, medallion, staging,
     )
     from ledgerloom.sources import adapters  # noqa: F401
 

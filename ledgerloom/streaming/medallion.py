@@ -24,7 +24,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ledgerloom.operators.expectations import Expectation, apply_expectations
-from ledgerloom.plans.pipeline import BRONZE, SILVER_EXPECTATIONS, SILVER_FNS
+from ledgerloom.plans.medallion import BRONZE, SILVER_EXPECTATIONS, SILVER_FNS
 from ledgerloom.session import scratch_path
 
 MAX_FILES_PER_TRIGGER = 64
