@@ -540,3 +540,23 @@ def stream_silver(ds: Datasets) -> DataFrame:
     """Bronze table -> silver stream (stream from stream) with expectations."""
     run = _medallion(ds, ["payments"])
     return ds.spark.read.parquet(run.silver_paths["payments"])
+
+
+@register("stream_gold_dim_customers", "SELECT * FROM gold_dim_customers")
+def stream_gold_dim_customers(ds: Datasets) -> DataFrame:
+    """Customers, orders and payments streamed to silver; gold customer dimension in batch."""
+    run = _medallion(ds, ["customers", "orders", "payments"])
+    g = ds.with_tables(**{f"silver_{t}": df for t, df in run.silver(ds.spark).items()})
+    return g["gold_dim_customers"]
+
+
+@register("stream_silver_products_items", """
+SELECT i.*, p.category FROM silver_order_items i LEFT JOIN silver_products p
+  ON i.product_id = p.product_id""")
+def stream_silver_products_items(ds: Datasets) -> DataFrame:
+    """The remaining two streamed silver tables, joined in batch (items -> product category)."""
+    run = _medallion(ds, ["order_items", "products"])
+    s = run.silver(ds.spark)
+    cats = s["products"].groupBy("product_id").agg(F.max("category").alias("category"))
+    return s["order_items"].join(cats, "product_id", "left").select(
+        *[F.col(c) for c in s["order_items"].columns], "category")
