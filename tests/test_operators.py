@@ -362,3 +362,26 @@ def test_cross_join_models_equal_literal_form(spark):
     assert sorted(ours.columns) == cols
     norm = lambda df: sorted(tuple(str(r[c]) for c in cols) for r in df.collect())
     assert norm(ours) == norm(lit)
+
+
+def test_round_half_up_ratio_matches_decimal_rounding(spark):
+    import random
+    from fractions import Fraction
+    random.seed(11)
+    rows = []
+    for _ in range(3000):
+        den = random.choice([1, 2, 3, 4, 7, 8, 16, 40, 1000, random.randint(1, 10**9)])
+        num = Decimal(random.randint(-10**12, 10**12)) / 100
+        rows.append((num, den))
+    rows += [(Decimal("0.05"), 10), (Decimal("-0.05"), 10), (Decimal("12.34"), 1), (Decimal("0.00"), 5)]
+    df = spark.createDataFrame(rows, "n decimal(18,2), d bigint")
+    for digits in (2, 4):
+        got = {(r.n, r.d): r.r for r in
+               df.select("n", "d", round_half_up_ratio(F.col("n"), F.col("d"), digits).alias("r"))
+               .collect()}
+        unit = 10 ** digits
+        for (n, d), r in got.items():
+            x = Fraction(n) / d * unit                      # exact rational
+            k = (abs(x.numerator) * 2 + x.denominator) // (2 * x.denominator)
+            expected = Decimal(k if x >= 0 else -k).scaleb(-digits)
+            assert r == expected, (n, d, r, expected)
