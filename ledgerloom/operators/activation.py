@@ -41,7 +41,7 @@ def changed_rows(current: DataFrame, previous: DataFrame, key: str | Sequence[st
 
 def render_message(df: DataFrame, title_col: str, parts: Sequence[tuple[str, str]],
                    sep: str = " | ", output: str = "message") -> DataFrame:
-    """Slack-style text: title-cased ``title_col`` then ``prefix + value`` parts.
+    """Chat-message text: title-cased ``title_col`` then ``prefix + value`` parts.
 
     ``'high_value_open'`` renders as ``'High Value Open'``; NULL parts are skipped.
     """

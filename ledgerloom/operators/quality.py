@@ -1,7 +1,7 @@
 """Data tests (not_null, unique, accepted_values, relationships, singular),
 source freshness, load audit and fact reconciliation.
 
-Generic tests return the *failing rows* of a DataFrame (dbt semantics: NULL
+Generic tests return the *failing rows* of a DataFrame (generic-test semantics: NULL
 passes ``unique`` / ``accepted_values`` / ``relationships``). :func:`run_tests`
 evaluates a whole test suite as one Spark job: all NULL and accepted-value
 tests of all models fold into one keyed aggregation of (test, violation)
