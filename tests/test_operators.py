@@ -385,3 +385,21 @@ def test_round_half_up_ratio_matches_decimal_rounding(spark):
             k = (abs(x.numerator) * 2 + x.denominator) // (2 * x.denominator)
             expected = Decimal(k if x >= 0 else -k).scaleb(-digits)
             assert r == expected, (n, d, r, expected)
+
+
+def test_changed_rows_composite_key_and_compare_subset(spark):
+    prev = spark.createDataFrame([(1, "a", 10, "x"), (1, "b", 20, "y")], "k1 int, k2 string, v int, note string")
+    cur = spark.createDataFrame([(1, "a", 10, "changed"), (1, "b", 21, "y"), (2, "a", 1, None)],
+                                "k1 int, k2 string, v int, note string")
+    got = {(r.k1, r.k2): r.change for r in changed_rows(cur, prev, ["k1", "k2"], compare=["v"]).collect()}
+    # only v is compared: a note-only change is not sent
+    assert got == {(1, "b"): "updated", (2, "a"): "new"}
+
+
+def test_period_growth_quarter_and_year_over_year(spark):
+    df = spark.createDataFrame([(D(2020, 2, 1), 100), (D(2020, 5, 1), 50), (D(2021, 2, 3), 150)],
+                               "d date, v int")
+    q = {r.period: (r.value, r.prev_value) for r in period_growth(df, "d", "v", "quarter", 1).collect()}
+    assert q[D(2020, 4, 1)] == (50, 100) and q[D(2021, 1, 1)] == (150, None)
+    y = {r.period: r.growth_pct for r in period_growth(df, "d", "v", "month", 12).collect()}
+    assert y[D(2021, 2, 1)] == pytest.approx(50.0) and y[D(2020, 2, 1)] is None
