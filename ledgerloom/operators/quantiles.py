@@ -40,7 +40,8 @@ def score_from_cuts(value: Column, cuts: Column, n_cuts: int, reverse: bool) ->
     expr = None
     for i in range(n_cuts):
         score = (n_cuts + 1 - i) if reverse else (i + 1)
-        cond = value <= cuts[i]
+        # try_element_at: no cut points (empty or all-NULL column) compares as NULL
+        cond = value <= F.try_element_at(cuts, F.lit(i + 1))
         expr = F.when(cond, F.lit(score)) if expr is None else expr.when(cond, F.lit(score))
     last = 1 if reverse else n_cuts + 1
     return expr.otherwise(F.lit(last))

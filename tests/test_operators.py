@@ -403,3 +403,9 @@ def test_period_growth_quarter_and_year_over_year(spark):
     assert q[D(2020, 4, 1)] == (50, 100) and q[D(2021, 1, 1)] == (150, None)
     y = {r.period: r.growth_pct for r in period_growth(df, "d", "v", "month", 12).collect()}
     assert y[D(2021, 2, 1)] == pytest.approx(50.0) and y[D(2020, 2, 1)] is None
+
+
+def test_quantile_scores_all_null_column(spark):
+    df = spark.createDataFrame([(1, None), (2, None)], "id int, v int")
+    got = {r.id: r.s for r in quantile_scores(df, [ScoreSpec("v", "s", reverse=True)]).collect()}
+    assert got == {1: 1, 2: 1}
