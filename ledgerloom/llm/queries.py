@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import table
-from . import mixing
+from . import mixing, quality_rules
 
 MIX_CYCLE = (3, 1, 2)
 
@@ -54,8 +55,18 @@ FROM run
 """
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rules = quality_rules.learn_from(docs, table(spark, sf_dir, "labels"))
+    return quality_rules.judge(docs, rules).select(
+        "doc_id", *(F.col(f"_quality.{c}") for c in (
+            "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")),
+        F.col("_kept").alias("kept"))
+
+
 def queries() -> dict:
-    return {"op1_source_mixing": op1_source_mixing}
+    return {"op1_source_mixing": op1_source_mixing,
+            "op3_quality_rules": op3_quality_rules}
 
 
 def oracle_sql() -> dict[str, str]:
