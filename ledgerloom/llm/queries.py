@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
-from . import mixing, quality_rules
+from . import mixing, quality_rules, simhash
 
 MIX_CYCLE = (3, 1, 2)
+SIMHASH_BITS, SIMHASH_SHINGLE = 3, 3
 
 
 def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,9 +65,16 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("_kept").alias("kept"))
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), SIMHASH_BITS, SIMHASH_SHINGLE)
+    return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"),
+                        "component_id")
+
+
 def queries() -> dict:
     return {"op1_source_mixing": op1_source_mixing,
-            "op3_quality_rules": op3_quality_rules}
+            "op3_quality_rules": op3_quality_rules,
+            "op10_simhash": op10_simhash}
 
 
 def oracle_sql() -> dict[str, str]:
