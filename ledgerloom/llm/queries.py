@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
-from . import mixing, quality_rules, simhash
+from . import mixing, quality_rules, simhash, substring_dedup
 
 MIX_CYCLE = (3, 1, 2)
+WINDOW_WORDS = 13
 SIMHASH_BITS, SIMHASH_SHINGLE = 3, 3
 
 
@@ -65,8 +66,38 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("_kept").alias("kept"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.dedup(docs, WINDOW_WORDS).select(
+        "doc_id", F.col("_sub_n_words").alias("n_words"),
+        F.col("_sub_n_removed").alias("n_removed"), F.col("_sub_sha256").alias("kept_sha256"))
+
+
+OP6_SQL = r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+') AS ws FROM documents),
+win AS (
+  SELECT doc_id, i, array_to_string(list_slice(ws, i, i + 12), ' ') AS s
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w WHERE len(ws) >= 13)),
+firsts AS (SELECT s, min(doc_id) AS d FROM win GROUP BY s HAVING count(DISTINCT doc_id) > 1),
+covered AS (
+  SELECT DISTINCT win.doc_id, unnest(range(win.i, win.i + 13)) AS j
+  FROM win JOIN firsts ON win.s = firsts.s AND win.doc_id > firsts.d),
+gone AS (SELECT doc_id, list(j) AS js FROM covered GROUP BY doc_id),
+kept AS (
+  SELECT w.doc_id, len(ws) AS n, coalesce(len(js), 0) AS r,
+         [ws[k] FOR k IN range(1, len(ws) + 1) IF js IS NULL OR NOT list_contains(js, k)] AS ks
+  FROM w LEFT JOIN gone USING (doc_id))
+SELECT doc_id, n::BIGINT AS n_words, r::BIGINT AS n_removed,
+       sha256(coalesce(array_to_string(ks, ' '), '')) AS kept_sha256
+FROM kept
+"""
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), SIMHASH_BITS, SIMHASH_SHINGLE)
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"),
+                                    SIMHASH_BITS, SIMHASH_SHINGLE)
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"),
                         "component_id")
 
@@ -74,8 +105,9 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     return {"op1_source_mixing": op1_source_mixing,
             "op3_quality_rules": op3_quality_rules,
+            "op6_substring_dedup": op6_substring_dedup,
             "op10_simhash": op10_simhash}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_source_mixing": OP1_SQL}
+    return {"op1_source_mixing": OP1_SQL, "op6_substring_dedup": OP6_SQL}
