@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
-from . import mixing, quality_rules, simhash, substring_dedup
+from . import mixing, packing, quality_rules, simhash, substring_dedup
 
 MIX_CYCLE = (3, 1, 2)
 WINDOW_WORDS = 13
@@ -57,6 +57,10 @@ FROM run
 """
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), packing.CAPACITY)
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     rules = quality_rules.learn_from(docs, table(spark, sf_dir, "labels"))
@@ -104,6 +108,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {"op1_source_mixing": op1_source_mixing,
+            "op2_packing": op2_packing,
             "op3_quality_rules": op3_quality_rules,
             "op6_substring_dedup": op6_substring_dedup,
             "op10_simhash": op10_simhash}
