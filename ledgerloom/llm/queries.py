@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
-from . import mixing, packing, quality_rules, simhash, substring_dedup
+from . import mixing, packing, quality_rules, simhash, substring_dedup, url_filters
 
 MIX_CYCLE = (3, 1, 2)
 WINDOW_WORDS = 13
@@ -70,6 +70,38 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("_kept").alias("kept"))
 
 
+URL_RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"),
+             ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"),
+             ("net", "/fr/", "block"))
+
+
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return url_filters.judge(table(spark, sf_dir, "pages").select("page_id", "url"), rules).select(
+        "page_id", F.col("_url_host").alias("host"), F.col("_url_path").alias("path"),
+        F.col("_url_rule").alias("rule"), F.col("_url_verdict").alias("verdict"))
+
+
+OP4_SQL = r"""
+WITH rest AS (
+  SELECT page_id, CASE WHEN instr(url, '://') > 0
+                       THEN substr(url, instr(url, '://') + 3) ELSE '' END AS r FROM pages),
+h AS (SELECT page_id, r, regexp_extract(r, '^[^/?#]*') AS host FROM rest),
+u AS (
+  SELECT page_id, translate(host, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(substr(r, length(host) + 1), '^[^?#]*') AS path FROM h),
+rules(rh, rp, verdict) AS (VALUES
+  ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+  ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+hits AS (
+  SELECT page_id, rh || rp AS rule, verdict,
+         row_number() OVER (PARTITION BY page_id ORDER BY length(rh || rp) DESC) AS k
+  FROM u JOIN rules ON (host = rh OR host LIKE '%.' || rh) AND starts_with(path, rp))
+SELECT u.page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
+FROM u LEFT JOIN hits ON u.page_id = hits.page_id AND k = 1
+"""
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return substring_dedup.dedup(docs, WINDOW_WORDS).select(
@@ -110,9 +142,11 @@ def queries() -> dict:
     return {"op1_source_mixing": op1_source_mixing,
             "op2_packing": op2_packing,
             "op3_quality_rules": op3_quality_rules,
+            "op4_url_filters": op4_url_filters,
             "op6_substring_dedup": op6_substring_dedup,
             "op10_simhash": op10_simhash}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_source_mixing": OP1_SQL, "op6_substring_dedup": OP6_SQL}
+    return {"op1_source_mixing": OP1_SQL, "op4_url_filters": OP4_SQL,
+            "op6_substring_dedup": OP6_SQL}
