@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
-from . import mixing, packing, quality_rules, simhash, substring_dedup, url_filters
+from . import exact_topk, mixing, packing, quality_rules, simhash, substring_dedup, url_filters
 
 MIX_CYCLE = (3, 1, 2)
 WINDOW_WORDS = 13
@@ -102,6 +102,31 @@ FROM u LEFT JOIN hits ON u.page_id = hits.page_id AND k = 1
 """
 
 
+TOP_K, QUERY_EVERY = 5, 50
+
+
+def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return exact_topk.top_k(vectors, F.col("vec_id") % QUERY_EVERY == 0, TOP_K)
+
+
+OP5_SQL = """
+WITH v AS (
+  SELECT vec_id, [floor(x::DOUBLE * 256)::BIGINT FOR x IN embedding] AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         list_sum([q.e[i] * c.e[i] FOR i IN range(1, len(q.e) + 1)])::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.e) = len(c.e)
+  WHERE q.vec_id % 50 = 0),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS k FROM scored)
+SELECT query_id, k::INTEGER AS rank, vec_id, score FROM ranked WHERE k <= 5
+"""
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return substring_dedup.dedup(docs, WINDOW_WORDS).select(
@@ -143,10 +168,11 @@ def queries() -> dict:
             "op2_packing": op2_packing,
             "op3_quality_rules": op3_quality_rules,
             "op4_url_filters": op4_url_filters,
+            "op5_exact_topk": op5_exact_topk,
             "op6_substring_dedup": op6_substring_dedup,
             "op10_simhash": op10_simhash}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_source_mixing": OP1_SQL, "op4_url_filters": OP4_SQL,
-            "op6_substring_dedup": OP6_SQL}
+            "op5_exact_topk": OP5_SQL,            "op6_substring_dedup": OP6_SQL}
