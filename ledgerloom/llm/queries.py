@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
-from . import exact_topk, mixing, packing, quality_rules, simhash, substring_dedup, url_filters
+from . import exact_topk, mixing, packing, quality_rules, simhash, substring_dedup, url_filters, warc
 
 MIX_CYCLE = (3, 1, 2)
 WINDOW_WORDS = 13
@@ -156,6 +156,28 @@ FROM kept
 """
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = warc.archive_and_index(table(spark, sf_dir, "pages"))
+    return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP7_SQL = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h
+  FROM pages),
+d AS (
+  SELECT page_id, payload_bytes, max(page_id) OVER (PARTITION BY h, payload_bytes) AS top,
+         array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 +
+           (((('0x' || substr(h, 5 * (i // 4) + 1, 5))::INTEGER >> (15 - 5 * (i % 4))::INTEGER)) & 31), 1)
+           FOR i IN range(32)], '') AS payload_digest
+  FROM p)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
+       CASE WHEN top = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN top = page_id THEN NULL ELSE top END AS refers_to
+FROM d
+"""
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"),
                                     SIMHASH_BITS, SIMHASH_SHINGLE)
@@ -170,9 +192,11 @@ def queries() -> dict:
             "op4_url_filters": op4_url_filters,
             "op5_exact_topk": op5_exact_topk,
             "op6_substring_dedup": op6_substring_dedup,
+            "op7_warc": op7_warc,
             "op10_simhash": op10_simhash}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_source_mixing": OP1_SQL, "op4_url_filters": OP4_SQL,
-            "op5_exact_topk": OP5_SQL,            "op6_substring_dedup": OP6_SQL}
+            "op5_exact_topk": OP5_SQL,            "op6_substring_dedup": OP6_SQL,
+            "op7_warc": OP7_SQL}
