@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import table
-from . import exact_topk, language_id, mixing, packing, quality_rules, simhash, substring_dedup, url_filters, warc
+from . import cotraining, exact_topk, language_id, mixing, packing, quality_rules, simhash, substring_dedup, url_filters, warc
 
 MIX_CYCLE = (3, 1, 2)
 WINDOW_WORDS = 13
@@ -178,6 +178,11 @@ FROM d
 """
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cotraining.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select(
+        "doc_id", "held_out", "score", "text_score", "meta_score", "kept")
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return language_id.identify(docs).select("doc_id", "held_out", "lang_pred", "score", "accepted")
@@ -198,6 +203,7 @@ def queries() -> dict:
             "op5_exact_topk": op5_exact_topk,
             "op6_substring_dedup": op6_substring_dedup,
             "op7_warc": op7_warc,
+            "op8_quality_classifier": op8_quality_classifier,
             "op9_language_id": op9_language_id,
             "op10_simhash": op10_simhash}
 
