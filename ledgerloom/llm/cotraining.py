@@ -200,7 +200,7 @@ def sample(docs: DataFrame, labels: DataFrame, max_labelled: int, max_unlabelled
 
 
 def fit(rows: list, rounds: int = 4, per_round: float = 0.1, confident: float = 0.98,
-        steps: int = 120) -> Model | None:
+        steps: int | None = None) -> Model | None:
     """Co-train on the sample's rows; None without both classes."""
     y = np.array([-1 if r["label"] is None else r["label"] for r in rows], int)
     if not len(rows) or not ((y == 0).sum() >= 2 and (y == 1).sum() >= 2):
@@ -220,6 +220,7 @@ def fit(rows: list, rounds: int = 4, per_round: float = 0.1, confident: float =
     check = np.flatnonzero((y >= 0) & (held if held.any() else True))
     known = [np.where(held, -1, y), np.where(held, -1, y)]
     free = y < 0
+    steps = steps or max(120, min(1500, 1_500_000 // len(rows)))     # small samples: more passes
     prior = float(np.log((y == 1).sum() / (y == 0).sum()))
     most = max(1, int(per_round * max(1, free.sum())))
     exchanged, before = [], [None, None]
