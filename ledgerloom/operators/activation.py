@@ -39,12 +39,34 @@ def changed_rows(current: DataFrame, previous: DataFrame, key: str | Sequence[st
     return j.select(*current.columns, change.alias("change")).filter(F.col("change").isNotNull())
 
 
-def render_message(df: DataFrame, title_col: str, parts: Sequence[tuple[str, str]],
-                   sep: str = " | ", output: str = "message") -> DataFrame:
-    """Chat-message text: title-cased ``title_col`` then ``prefix + value`` parts.
+def sync(current: DataFrame, state: str, key: str | Sequence[str], run: str,
+         compare: Sequence[str] | None = None) -> DataFrame:
+    """One run of the feed: the rows of ``current`` to send, compared with the last run's.
+
+    ``state`` is a folder with one snapshot a run (``run=<name>``). The snapshot of
+    this run is written first and the rows to send are read from the two
+    snapshots, so what was compared is what was stored, and a run that is
+    repeated after a failure overwrites its own snapshot and sends the same rows.
+    Runs are ordered by name. The first run sends every row as new.
+    """
+    spark = current.sparkSession
+    current.write.mode("overwrite").parquet(f"{state}/run={run}")
+    stored = spark.read.parquet(state).withColumn("run", F.col("run").cast("string"))
+    last = stored.filter(F.col("run") < run).agg(F.max("run")).first()[0]
+    now = spark.read.schema(current.schema).parquet(f"{state}/run={run}")
+    before = spark.read.schema(current.schema).parquet(f"{state}/run={last}") if last \
+        else now.limit(0)
+    return changed_rows(now, before, key, compare)
+
+
+def render_message(df: DataFrame, title_col: str, name_col: str,
+                   lines: Sequence[Sequence[tuple[str, str]]], sep: str = "  |  ",
+                   output: str = "message") -> DataFrame:
+    """Chat-message text: title-cased ``title_col`` and name, then lines of label and value.
 
     ``'high_value_open'`` renders as ``'High Value Open'``; NULL parts are skipped.
     """
-    title = title_from_snake(title_col)
-    pieces = [F.concat(F.lit(prefix), F.col(c).cast("string")) for prefix, c in parts]
-    return df.withColumn(output, F.concat_ws(sep, title, *pieces))
+    head = F.concat(title_from_snake(title_col), F.lit(" - "), F.col(name_col))
+    body = [F.concat_ws(sep, *[F.concat(F.lit(label), F.col(c).cast("string"))
+                               for label, c in parts]) for parts in lines]
+    return df.withColumn(output, F.concat_ws("\n", head, *body))

@@ -3,10 +3,10 @@ source freshness, load audit and fact reconciliation.
 
 Generic tests return the *failing rows* of a DataFrame (generic-test semantics: NULL
 passes ``unique`` / ``accepted_values`` / ``relationships``). :func:`run_tests`
-evaluates a whole test suite as one Spark job: all NULL and accepted-value
-tests of all models fold into one keyed aggregation of (test, violation)
-pairs (each model scanned once), all ``unique`` tests of all models share one
-keyed aggregation, and ``relationships`` is an anti join per test.
+evaluates a whole test suite as one Spark job: per model all NULL, accepted-value
+and row-condition tests are conditional counts of one aggregation (one scan, no
+row is multiplied), ``unique`` groups by the key in its own type, and
+``relationships`` is an anti join per test.
 """
 
 from __future__ import annotations
@@ -41,7 +41,7 @@ def accepted_values(df: DataFrame, column: str, values: Sequence[str]) -> DataFr
 
 def relationships(df: DataFrame, column: str, parent: DataFrame, field_: str) -> DataFrame:
     """Child rows whose non-NULL ``column`` has no parent ``field_``."""
-    p = parent.select(F.col(field_).alias("__parent_key")).distinct()
+    p = parent.select(F.col(field_).alias("__parent_key"))
     return df.filter(F.col(column).isNotNull()) \
         .join(p, F.col(column) == F.col("__parent_key"), "left_anti")
 
@@ -71,86 +71,48 @@ def _status(failures: Column, severity: Column) -> Column:
 
 
 def run_tests(ds, tests: Sequence[DataTest],
-              singular: Mapping[str, tuple[str, object]] | None = None) -> DataFrame:
+              singular: Mapping[str, tuple[str, str, str]] | None = None) -> DataFrame:
     """``DataFrame[test_name, model, column_name, test_type, failures, severity, status]``.
 
-    ``singular`` maps a test name to ``(severity, fn(ds) -> DataFrame of failing rows)``.
+    ``singular`` maps a test name to ``(severity, model, condition)``; rows of the
+    model for which the condition holds are failures.
     """
+    counts: dict[str, list[tuple[DataTest, Column]]] = {}
+    rows = [(t.test_name, t.model, t.column, t.kind, t.severity) for t in tests]
     parts: list[DataFrame] = []
-    by_model: dict[str, list[DataTest]] = {}
+
+    def counted(t: DataTest, failing: DataFrame) -> DataFrame:
+        return failing.agg(F.lit(t.test_name).alias("__test"), F.count(F.lit(1)).alias("__f"))
+
     for t in tests:
         if t.severity not in SEVERITIES:
             raise ValueError(f"severity must be one of {SEVERITIES}")
-        by_model.setdefault(t.model, []).append(t)
-
-    def row(t: DataTest, failures: Column) -> list[Column]:
-        return [F.lit(t.test_name).alias("test_name"), F.lit(t.model).alias("model"),
-                F.lit(t.column).cast("string").alias("column_name"),
-                F.lit(t.kind).alias("test_type"), failures.cast("bigint").alias("failures"),
-                F.lit(t.severity).alias("severity")]
-
-    def spec_of(ts: Sequence[DataTest]) -> DataFrame:
-        return ds.spark.createDataFrame(
-            [(t.test_name, t.model, t.column, t.kind, t.severity) for t in ts],
-            "test_name string, model string, column_name string, test_type string, "
-            "severity string")
-
-    def with_spec(ts: Sequence[DataTest], counts: DataFrame) -> DataFrame:
-        spec = spec_of(ts)
-        return spec.join(F.broadcast(counts), spec.test_name == counts["__test"], "left") \
-            .select("test_name", "model", "column_name", "test_type",
-                    F.coalesce(F.col("__f"), F.lit(0)).cast("bigint").alias("failures"),
-                    "severity")
-
-    checks = [t for t in tests if t.kind in ("not_null", "accepted_values")]
-    if checks:
-        # every column check of every model in ONE keyed aggregation: each model
-        # is scanned once, its rows become (test, violation) pairs that are
-        # summed map-side, so the suite needs one shuffle of partial counts
-        # instead of one aggregation stage per model
-        flagged = None
-        for model, ts in by_model.items():
-            mine = [t for t in ts if t in checks]
-            if not mine:
-                continue
-            pairs = []
-            for t in mine:
-                c = F.col(t.column)
-                bad = c.isNull() if t.kind == "not_null" else \
-                    (c.isNotNull() & ~c.isin(list(t.values)))
-                pairs.append(F.struct(F.lit(t.test_name).alias("__test"),
-                                      F.when(bad, 1).otherwise(0).alias("__bad")))
-            part = ds[model].select(F.explode(F.array(*pairs)).alias("__p")).select("__p.*")
-            flagged = part if flagged is None else flagged.unionByName(part)
-        counts = flagged.groupBy("__test").agg(F.sum("__bad").alias("__f"))
-        parts.append(with_spec(checks, counts))
-    for model, ts in by_model.items():
-        df = ds[model]
-        for t in ts:
-            if t.kind == "relationships":
-                failing = relationships(df, t.column, ds[t.to], t.field) \
-                    .agg(F.count(F.lit(1)).alias("__f"))
-                parts.append(failing.select(*row(t, F.col("__f"))))
-    uniq = [t for t in tests if t.kind == "unique"]
-    if uniq:
-        # every unique test of every model in ONE keyed aggregation: the tested
-        # values are tagged with their test and combined map-side, so the suite
-        # costs one shuffle instead of one per test
-        keyed = None
-        for t in uniq:
-            k = ds[t.model].where(F.col(t.column).isNotNull()).select(
-                F.lit(t.test_name).alias("__test"), F.col(t.column).cast("string").alias("__v"))
-            keyed = k if keyed is None else keyed.unionByName(k)
-        dups = keyed.groupBy("__test", "__v").agg(F.count(F.lit(1)).alias("__n")) \
-            .where(F.col("__n") > 1).groupBy("__test").agg(F.count(F.lit(1)).alias("__f"))
-        parts.append(with_spec(uniq, dups))
-    for name, (severity, fn) in (singular or {}).items():
-        t = DataTest(model=name, kind="singular", severity=severity, name=name)
-        failing = fn(ds).agg(F.count(F.lit(1)).alias("__f"))
-        parts.append(failing.select(*row(t, F.col("__f"))))
-    out = parts[0]
+        c = F.col(t.column)
+        if t.kind == "not_null":
+            counts.setdefault(t.model, []).append((t, c.isNull()))
+        elif t.kind == "accepted_values":
+            counts.setdefault(t.model, []).append((t, c.isNotNull() & ~c.isin(list(t.values))))
+        elif t.kind == "unique":
+            parts.append(counted(t, unique(ds[t.model], t.column)))
+        else:
+            parts.append(counted(t, relationships(ds[t.model], t.column, ds[t.to], t.field)))
+    for name, (severity, model, condition) in (singular or {}).items():
+        t = DataTest(model=model, kind="singular", severity=severity, name=name)
+        counts.setdefault(model, []).append((t, F.coalesce(F.expr(condition), F.lit(False))))
+        rows.append((name, name, None, "singular", severity))
+    for model, checks in counts.items():
+        one = ds[model].agg(*[F.count_if(bad).alias(f"__c{i}") for i, (_, bad) in enumerate(checks)])
+        pairs = ", ".join(f"'{t.test_name}', __c{i}" for i, (t, _) in enumerate(checks))
+        parts.append(one.select(F.expr(f"stack({len(checks)}, {pairs}) as (__test, __f)")))
+    failures = parts[0]
     for p in parts[1:]:
-        out = out.unionByName(p)
+        failures = failures.unionByName(p)
+    spec = ds.spark.createDataFrame(
+        rows, "test_name string, model string, column_name string, test_type string, severity string")
+    # both sides have one row a test
+    out = spec.join(F.broadcast(failures), spec.test_name == failures["__test"], "left").select(
+        "test_name", "model", "column_name", "test_type",
+        F.coalesce("__f", F.lit(0)).cast("bigint").alias("failures"), "severity")
     return out.withColumn("status", _status(F.col("failures"), F.col("severity")))
 
 

@@ -74,7 +74,8 @@ def dim_customers(ds: Datasets) -> DataFrame:
 @model("dim_products", materialized="table")
 def dim_products(ds: Datasets) -> DataFrame:
     return ds["stg_products"].select("product_id", "product_name", "category",
-                                     "unit_price", "is_active")
+                                     F.col("unit_price").cast(MONEY).alias("unit_price"),
+                                     "is_active")
 
 
 @model("order_items_by_order", materialized="ephemeral")

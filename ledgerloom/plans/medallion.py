@@ -263,11 +263,12 @@ def finance_fct_revenue_by_product(ds: Datasets) -> DataFrame:
 
     Every product row sees the same completed orders, so the orders side is
     reduced to one row (broadcast, one-row bound) and a group holding ``k``
-    products scales it by ``k``; the cross product is never built.
+    products scales it by ``k``; the cross product is never built. Without a
+    completed order the product is empty, so is the result.
     """
     o = ds["gold_fct_orders"].filter(F.col("status") == "completed")
     t = o.agg(F.count("order_id").alias("n"), F.sum("amount_paid").alias("s"),
-              F.count("amount_paid").alias("c"))
+              F.count("amount_paid").alias("c")).filter("n > 0")
     p = ds["silver_products"].groupBy("category", "product_name").agg(
         F.count(F.lit(1)).alias("k"))
     return p.crossJoin(F.broadcast(t)).select(

@@ -8,6 +8,7 @@ the library itself reads is ``spark.checkpoint.dir`` (see
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -42,11 +43,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written intermediate tables.
 
     On a cluster ``spark.checkpoint.dir`` names a shared, fault-tolerant folder
-    and is used as is. Only when it is unset (local tests) a fresh scratch
-    folder is created and recorded in the session.
+    and is used as is. Only in local mode, where driver and executors are one
+    process, a fresh scratch folder is created when it is unset and recorded in
+    the session; on a cluster that folder would differ from machine to machine,
+    so an unset name is an error there.
     """
     root = spark.conf.get(CHECKPOINT_CONF, None)
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError(f"{CHECKPOINT_CONF} is not set: with master {master!r} it must name "
+                               "a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="ledgerloom-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, root)
     try:

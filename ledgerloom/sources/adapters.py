@@ -14,11 +14,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import money_from_cents, ts_ntz
-from ledgerloom.operators.sequence import number_within
-from ledgerloom.sources.datasets import Datasets, model
+from ledgerloom.operators.sequence import global_rank
+from ledgerloom.sources.datasets import Datasets, model, once
 
 # --- fixed values of the adapter mapping ---------------------------------------
-ORDER_DROP_CUSTKEY_MOD = 17          # orders of o_custkey % 17 = 0 are dropped
+PROSPECT_NAME = "PROSPECT"           # last name of suppliers listed as customers without orders
 PAYMENT_MOD = 20                     # payment rules work on order_id % 20
 PAYMENT_MISSING = 13                 #   no payment row
 PAYMENT_PENDING = 3                  #   'Pending'
@@ -68,7 +68,12 @@ def _lookup(df: DataFrame, key: str, *cols: str) -> DataFrame:
 
 @model("raw_customers", "source")
 def raw_customers(ds: Datasets) -> DataFrame:
+    """Customers, and suppliers as prospects: customers of negative id that order nothing."""
     c = ds.driver("customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    prospects = ds.driver("supplier").select(
+        (-F.col("s_suppkey")).alias("c_custkey"), F.col("s_name").alias("c_name"),
+        F.col("s_nationkey").alias("c_nationkey"), F.lit(PROSPECT_NAME).alias("c_mktsegment"))
+    c = c.unionByName(prospects)
     n = _lookup(ds.driver("nation"), "n_nationkey", "n_name")
     return (
         c.join(n, c.c_nationkey == n.n_nationkey, "left")
@@ -96,7 +101,7 @@ def _order_line_flags(ds: Datasets) -> DataFrame:
 
 @model("raw_orders", "source")
 def raw_orders(ds: Datasets) -> DataFrame:
-    o = ds.driver("orders").filter(F.col("o_custkey") % ORDER_DROP_CUSTKEY_MOD != 0)
+    o = ds.driver("orders")
     flags = _order_line_flags(ds)
     j = o.join(flags, o.o_orderkey == flags.l_orderkey, "left")
     status = F.when(F.col("n_returned") * 2 > F.col("n_lines"), F.lit(RETURNED_STATUS)) \
@@ -113,23 +118,26 @@ def raw_orders(ds: Datasets) -> DataFrame:
 
 
 LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice",
-              "l_quantity"]
+              "l_quantity", "l_returnflag"]
 
 
-@model("line_items_numbered", "source")
+@model("line_items_numbered", "adapter", materialized="ephemeral")
 def line_items_numbered(ds: Datasets) -> DataFrame:
-    """Line items with ``order_item_id = l_orderkey * 100 + rank within order``.
+    """Line items with ``order_item_id``: their place, from 1, in the order of all lines.
 
-    ``(l_orderkey, l_linenumber)`` is not unique in the driver data, so the rank
-    orders by every distinguishing column. The rank is computed with the
-    skew-safe :func:`number_within` (range partitioning), not a window that
-    would put a whole order into one task.
+    ``(l_orderkey, l_linenumber)`` is not unique in the driver data, so the order
+    runs over every column used. The place is unique however many lines an order
+    has. The lines are range partitioned and written once (a hot order spans
+    many tasks); the place is derived from that table, not written again.
     """
-    li = ds.driver("lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-        "l_extendedprice", "l_returnflag", "l_shipdate")
-    return number_within(li, ["l_orderkey"], LINE_ORDER, "__rn") \
-        .withColumn("order_item_id", F.col("l_orderkey") * 100 + F.col("__rn")).drop("__rn")
+    def number() -> DataFrame:
+        li = ds.driver("lineitem").select(
+            "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+            "l_extendedprice", "l_returnflag", "l_shipdate")
+        return global_rank(li, ["l_orderkey", *LINE_ORDER], "__rn") \
+            .withColumn("order_item_id", F.col("__rn") + 1).drop("__rn")
+
+    return once(ds.spark, ds.scope, "line_items_numbered", number) if ds.sf_dir else number()
 
 
 @model("raw_order_items", "source")

@@ -67,7 +67,7 @@ class Datasets:
     """Registry of lazily built DataFrames for one run.
 
     ``as_of`` pins every "today"-relative computation (recency, overdue,
-    freshness); it defaults to ``current_date()`` only when not given.
+    freshness); without one it is the day on which the registry is made.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str | None = None,
@@ -77,7 +77,8 @@ class Datasets:
         _load_all()
         self.spark = spark
         self.sf_dir = sf_dir
-        self.as_of = as_of
+        self.as_of = as_of or _dt.date.today()      # one day for the whole run
+        self._scope: tuple | None = None
         self.land_sources = land_sources
         # table materialization needs inputs that are fully determined by
         # (sf_dir, as_of); registries with injected tables never materialize
@@ -102,10 +103,10 @@ class Datasets:
             if name not in _REGISTRY:
                 raise KeyError(f"unknown dataset {name!r}")
             if self.land_sources and _PROJECT.get(name) == "source" and self.sf_dir:
-                self._cache[name] = landed(self.spark, (self.sf_dir, None), name,
+                self._cache[name] = landed(self.spark, (*self.scope, None), name,
                                            lambda: _REGISTRY[name](self))
             elif (self.materialize and _MATERIALIZED.get(name) == "table" and self.sf_dir):
-                self._cache[name] = landed(self.spark, (self.sf_dir, self.as_of), name,
+                self._cache[name] = landed(self.spark, (*self.scope, self.as_of), name,
                                            lambda: _REGISTRY[name](self))
             else:
                 self._cache[name] = _REGISTRY[name](self)
@@ -121,6 +122,18 @@ class Datasets:
             raise KeyError(f"unknown dataset {name!r}")
         return _REGISTRY[name](self)
 
+    def landed_path(self, name: str) -> str | None:
+        """Folder of a written table of this run, if ``name`` is one."""
+        key = (self.spark.sparkContext.applicationId, (*self.scope, None), name)
+        return _PATHS.get(key) if self.land_sources else None
+
+    @property
+    def scope(self) -> tuple:
+        """The input folder and what lies in it now: written tables of another state are stale."""
+        if self._scope is None:
+            self._scope = (self.sf_dir, input_listing(self.spark, self.sf_dir))
+        return self._scope
+
     def __contains__(self, name: str) -> bool:
         return name in self._cache or name in _REGISTRY
 
@@ -146,7 +159,7 @@ class Datasets:
         key = f"driver:{name}"
         if key not in self._cache:
             path = f"{self.sf_dir}/{name}.parquet"
-            gkey = (self.spark.sparkContext.applicationId, "driver", path)
+            gkey = (self.spark.sparkContext.applicationId, "driver", path, self.scope[1])
             with _lock_for(gkey):
                 if gkey not in _LANDED:
                     _LANDED[gkey] = self.spark.read.parquet(path)
@@ -156,8 +169,6 @@ class Datasets:
     def as_of_col(self):
         from pyspark.sql import functions as F
 
-        if self.as_of is None:
-            return F.current_date()
         return F.lit(self.as_of)
 
     # -- cross-project ref with a contract check ------------------------------
@@ -179,9 +190,25 @@ class Datasets:
         return df
 
 
+def input_listing(spark: SparkSession, folder: str) -> tuple:
+    """(path, length, modification time) of the parquet files of an input folder.
+
+    Through Spark's file systems, so any store that Spark reads will do.
+    """
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = []
+    for top in fs.globStatus(jvm.org.apache.hadoop.fs.Path(f"{folder}/*.parquet")) or []:
+        files = fs.listStatus(top.getPath()) if top.isDirectory() else [top]
+        found += [(f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in files]
+    return tuple(sorted(found))
+
+
 # -- landing: write each mapped source table once, read it back -------------------
 
 _LANDED: dict[tuple, DataFrame] = {}      # key -> DataFrame reading the written table
+_PATHS: dict[tuple, str] = {}             # key -> its folder
 _LOCKS: dict[tuple, threading.Lock] = {}
 _LOCKS_GUARD = threading.Lock()
 
@@ -213,10 +240,19 @@ def landed(spark: SparkSession, scope: tuple, name: str, build: Callable[[], Dat
             # the reader is kept too: listing files and reading the parquet footer
             # once per session, not once per query
             df = spark.read.parquet(path)
-            _LANDED[key] = df
+            _LANDED[key], _PATHS[key] = df, path
     return df
 
 
+def once(spark: SparkSession, scope: tuple, name: str, build: Callable[[], object]):
+    """``build()`` once per scope: what it wrote (a table, a streamed run) is not written again."""
+    key = (spark.sparkContext.applicationId, scope, name)
+    with _lock_for(key):
+        if key not in _LANDED:
+            _LANDED[key] = build()
+        return _LANDED[key]
+
+
 def build_tables(ds: "Datasets", names: Sequence[str], threads: int = 4) -> dict[str, DataFrame]:
     """Materialize ``names`` with up to ``threads`` concurrent Spark jobs.
 

@@ -189,8 +189,9 @@ def test_changed_rows_cases(spark):
     assert got == {2: "updated", 3: "updated", 5: "new"}
     msg = render_message(spark.createDataFrame([("high_value_open", "X", None)],
                                                "r string, n string, o string"),
-                         "r", [("Opp ", "n"), ("Owner ", "o")]).collect()[0].message
-    assert msg == "High Value Open | Opp X"
+                         "r", "n", [[("Owner: ", "o"), ("Name: ", "n")], [("Reason: ", "r")]]
+                         ).collect()[0].message
+    assert msg == "High Value Open - X\nName: X\nReason: high_value_open"
 
 
 def test_global_rank_and_assign_ids(spark):
