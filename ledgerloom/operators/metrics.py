@@ -12,12 +12,22 @@
 
 Dimensions of another model are reached through declared N:1 entity links
 only (fact -> dimension on the dimension's primary key), so a join can never
-multiply fact rows and a 1:N path can never inflate a sum; the fact stays on
-the streamed side so AQE can split a hot key.
+multiply fact rows and a 1:N path can never inflate a sum. Facts are aggregated
+by the link's foreign key first and joined then, so a customer that holds a third
+of the rows is combined map-side; only what cannot be aggregated twice (distinct
+counts, conditions that mix both sides) joins row by row, with the fact on the
+streamed side so that AQE can split a hot key.
+
+A request's ``where`` is applied to every model from which all its columns can be
+reached, directly or through a link; it is an error if there is none.
+
+Precondition: a model's ``primary_key`` is unique (the ``unique`` test of the model
+checks it). Distinct counts of the key are plain counts.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -68,38 +78,50 @@ class MetricRegistry:
         return [m.name for m in self.metrics.values() if not m.hidden]
 
 
-def _agg_column(agg: str, value: Column) -> Column:
-    if agg == "sum":
-        return F.sum(value)
-    if agg == "count":
-        return F.count(value)
-    if agg == "count_distinct":
-        return F.countDistinct(value)
-    if agg == "min":
-        return F.min(value)
-    if agg == "max":
-        return F.max(value)
-    raise ValueError(f"unsupported agg {agg!r}")
+_COMBINE = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}
+_AGGREGATE = {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max,
+              "count_distinct": F.countDistinct}
+
+
+@dataclass(frozen=True)
+class _Part:
+    """One aggregate column of a metric: its rows' condition and value, as SQL."""
+
+    alias: str
+    agg: str
+    expr: str
+    filter: str | None
+
+
+def _names(sql: str | None, known: set[str]) -> set[str]:
+    """Those of ``known`` columns that occur in a SQL expression (outside literals)."""
+    words = re.findall(r"[A-Za-z_][A-Za-z0-9_]*", re.sub(r"'[^']*'", " ", sql or ""))
+    return known & set(words)
 
 
 def _simple_parts(m: Metric, alias: str, primary_key: str | None = None
-                  ) -> tuple[list[Column], Column]:
+                  ) -> tuple[list[_Part], Column]:
     """(aggregate columns, final expression over them) for a simple metric.
 
-    ``count_distinct`` of the model's primary key is a plain ``count``: each
-    distinct aggregate would otherwise make Spark expand every input row once
-    per distinct expression and shuffle the keys.
+    ``count_distinct`` of the model's primary key, plain or in a ``case``, is a plain
+    ``count``: each distinct aggregate would otherwise make Spark expand every
+    input row once per distinct expression and shuffle the keys.
     """
-    value = F.expr(m.expr)
-    if m.filter:
-        value = F.when(F.expr(m.filter), value)
     if m.agg == "average":
         s, n = f"{alias}__s", f"{alias}__n"
-        return [F.sum(value).alias(s), F.count(value).alias(n)], avg_exact(F.col(s), F.col(n))
+        return ([_Part(s, "sum", m.expr, m.filter), _Part(n, "count", m.expr, m.filter)],
+                avg_exact(F.col(s), F.col(n)))
     agg = m.agg
-    if agg == "count_distinct" and primary_key is not None and m.expr.strip() == primary_key:
+    if agg not in _AGGREGATE:
+        raise ValueError(f"unsupported agg {agg!r}")
+    if agg == "count_distinct" and primary_key is not None and \
+            re.fullmatch(_key_pattern(primary_key), m.expr.strip(), re.I | re.S):
         agg = "count"
-    return [_agg_column(agg, value).alias(alias)], F.col(alias)
+    return [_Part(alias, agg, m.expr, m.filter)], F.col(alias)
+
+
+def _key_pattern(key: str) -> str:
+    return rf"(?:{key}|case\s+when\s(?:(?!\bend\b).)*\sthen\s+{key}\s+end)"
 
 
 def _resolve(ref: Metric | str, reg: MetricRegistry) -> Metric:
@@ -115,38 +137,84 @@ def _time_col(model: SemanticModel, grain: str) -> Column:
     return col if grain == "day" else F.trunc(col, grain)
 
 
-def _model_frame(ds, reg: MetricRegistry, model_name: str, by: Sequence[str],
-                 grain: str | None, where: str | None) -> tuple[DataFrame, list[str]]:
-    """Source rows of one model with requested dimension columns attached.
+def _linked_columns(ds, reg: MetricRegistry, model_name: str) -> dict[str, str]:
+    """Column -> linked model, for columns reached through an N:1 link."""
+    own, out = set(ds[model_name].columns), {}
+    for target in reg.models[model_name].links:
+        for c in ds[target].columns:
+            if c not in own:
+                out.setdefault(c, target)
+    return out
 
-    Dimensions owned by the model are used directly; others are fetched from
-    a linked dimension model through its N:1 key. ``metric_time`` is the model's
-    time dimension truncated to ``grain``.
+
+def _model_result(ds, reg: MetricRegistry, model_name: str, parts: Sequence[_Part],
+                  by: Sequence[str], grain: str | None, where: str | None
+                  ) -> tuple[DataFrame, list[str]]:
+    """One row per combination of the dimensions with every part's aggregate.
+
+    Dimensions owned by the model are used directly; others come from a linked
+    model through its N:1 key. ``metric_time`` is the model's time dimension
+    truncated to ``grain``.
     """
     sm = reg.models[model_name]
     df = ds[model_name]
-    if where:
-        df = df.filter(F.expr(where))
+    own, linked = set(df.columns), _linked_columns(ds, reg, model_name)
     dims: list[str] = []
     for d in by:
         if d in sm.dimension_exprs:
             df = df.withColumn(d, F.expr(sm.dimension_exprs[d]))
-        elif d not in df.columns:
-            # N:1 link only (fact -> dimension on the dimension's primary key):
-            # the join cannot multiply fact rows. The fact stays on the left
-            # (streamed) side so AQE may split a hot key.
-            target = next((t for t in sm.links if d in ds[t].columns), None)
-            if target is None:
-                raise ValueError(f"dimension {d!r} is not reachable from {model_name} "
-                                 "through an N:1 link")
-            fk, pk = sm.links[target]
-            dim = ds[target].select(F.col(pk).alias(fk), F.col(d))
-            df = df.join(dim, fk, "left")
+        elif d not in own and d not in linked:
+            raise ValueError(f"dimension {d!r} is not reachable from {model_name} "
+                             "through an N:1 link")
         dims.append(d)
     if grain:
         df = df.withColumn("metric_time", _time_col(sm, grain))
         dims.append("metric_time")
-    return df, dims
+
+    foreign = lambda sql: _names(sql, set(linked))
+    mixed = lambda sql: foreign(sql) and _names(sql, own)
+    if where and not foreign(where):
+        df, where = df.filter(F.expr(where)), None
+    needed = {d for d in by if d in linked and d not in sm.dimension_exprs} | foreign(where)
+    for p in parts:
+        needed |= foreign(p.filter) | foreign(p.expr)
+
+    def value(p: _Part, conditional: bool = True) -> Column:
+        v = F.expr(p.expr)
+        return F.when(F.expr(p.filter), v) if p.filter and conditional else v
+
+    def grouped(rows: DataFrame, keys: Sequence[str], aggs: Sequence[Column]) -> DataFrame:
+        return rows.groupBy(*keys).agg(*aggs) if keys else rows.agg(*aggs)
+
+    if not needed:
+        return grouped(df, dims, [_AGGREGATE[p.agg](value(p)).alias(p.alias) for p in parts]), dims
+
+    targets: dict[str, set[str]] = {}
+    for c in needed:
+        targets.setdefault(linked[c], set()).add(c)
+
+    def attach(rows: DataFrame) -> DataFrame:
+        for target, columns in targets.items():
+            fk, pk = sm.links[target]
+            rows = rows.join(ds[target].select(F.col(pk).alias(fk), *sorted(columns)), fk, "left")
+        return rows.filter(F.expr(where)) if where else rows
+
+    if mixed(where) or any(p.agg == "count_distinct" or mixed(p.filter) or foreign(p.expr)
+                           for p in parts):
+        return grouped(attach(df), dims,
+                       [_AGGREGATE[p.agg](value(p)).alias(p.alias) for p in parts]), dims
+
+    # by foreign key first; conditions on linked columns pick whole keys afterwards
+    keys = [d for d in dims if d not in needed]
+    keys += [fk for fk in dict.fromkeys(sm.links[t][0] for t in targets) if fk not in keys]
+    partial = df.groupBy(*keys).agg(*[
+        _AGGREGATE[p.agg](value(p, not foreign(p.filter))).alias(p.alias) for p in parts])
+    combined = []
+    for p in parts:
+        v = F.when(F.expr(p.filter), F.col(p.alias)) if foreign(p.filter) else F.col(p.alias)
+        c = _COMBINE[p.agg](v)
+        combined.append((F.coalesce(c, F.lit(0)) if p.agg == "count" else c).alias(p.alias))
+    return grouped(attach(partial), dims, combined), dims
 
 
 def query_metrics(ds, reg: MetricRegistry, metrics: Sequence[str], by: Sequence[str] = (),
@@ -177,18 +245,25 @@ def query_metrics(ds, reg: MetricRegistry, metrics: Sequence[str], by: Sequence[
     for name in metrics:
         finals[name] = plan(name, name)
 
-    # 2) one aggregation per model
+    # 2) one aggregation per model; the condition goes where its columns are
+    reach = {m: set(ds[m].columns) | set(_linked_columns(ds, reg, m)) for m in needed}
+    known = set().union(*reach.values(), *(set(ds[m].columns) for m in reg.models)) if where else set()
+    asked = _names(where, known)
+    owners = [m for m in needed if asked and asked <= reach[m]]
+    if where and not owners:
+        raise ValueError(f"where={where!r}: its columns {sorted(asked)} cannot be reached from "
+                         f"{sorted(needed)}")
     frames: list[tuple[DataFrame, list[str]]] = []
     exprs: dict[str, Column] = {}
     for model_name, comps in needed.items():
-        src, dims = _model_frame(ds, reg, model_name, by, grain, where)
-        aggs: list[Column] = []
+        parts: list[_Part] = []
         pk = reg.models[model_name].primary_key
         for alias, m in comps:
             cols, final = _simple_parts(m, alias, pk)
-            aggs.extend(cols)
+            parts.extend(cols)
             exprs[alias] = final
-        agg = src.groupBy(*dims).agg(*aggs) if dims else src.agg(*aggs)
+        agg, dims = _model_result(ds, reg, model_name, parts, by, grain,
+                                  where if model_name in owners else None)
         keep = [F.col(d) for d in dims] + [exprs[a].alias(a) for a, _ in comps]
         frames.append((agg.select(*keep), dims))
 
@@ -267,9 +342,10 @@ class MetricView:
     dimensions: tuple[ViewField, ...]
     measures: tuple[ViewField, ...]
     comment: str = ""
+    primary_key: str | None = None      # unique in the source: its distinct counts are counts
 
     @staticmethod
-    def from_yaml(text: str) -> "MetricView":
+    def from_yaml(text: str, primary_key: str | None = None) -> "MetricView":
         import yaml
 
         doc = yaml.safe_load(text)
@@ -283,7 +359,13 @@ class MetricView:
             return tuple(out)
 
         return MetricView(str(doc["source"]), fields(doc.get("dimensions")),
-                          fields(doc.get("measures")), str(doc.get("comment", "")))
+                          fields(doc.get("measures")), str(doc.get("comment", "")), primary_key)
+
+    def _measure(self, expr: str) -> Column:
+        if self.primary_key:
+            expr = re.sub(rf"count\s*\(\s*distinct\s+({_key_pattern(self.primary_key)})\s*\)",
+                          r"count(\1)", expr, flags=re.I | re.S)
+        return F.expr(expr)
 
     def query(self, df: DataFrame, dimensions: Sequence[str] = (),
               measures: Sequence[str] | None = None) -> DataFrame:
@@ -291,5 +373,5 @@ class MetricView:
         meas = {m.name: m for m in self.measures}
         chosen = list(measures) if measures is not None else list(meas)
         keys = [F.expr(dims[d].expr).alias(d) for d in dimensions]
-        aggs = [F.expr(meas[m].expr).alias(m) for m in chosen]
+        aggs = [self._measure(meas[m].expr).alias(m) for m in chosen]
         return df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)

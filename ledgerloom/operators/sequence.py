@@ -44,6 +44,15 @@ def positioned(df: DataFrame, order: Sequence[str], name: str = "positioned") ->
     return spark.read.parquet(path)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared checkpoint folder and read back."""
+    from ledgerloom.session import scratch_path
+
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def global_rank(df: DataFrame, order: Sequence[str], output: str = "__rank") -> DataFrame:
     """Add a dense 0-based position in ``order`` (ties keep an arbitrary order)."""
     pos = positioned(df, order, "global-rank")

@@ -66,7 +66,7 @@ SELECT c.c_custkey AS customer_id, c.c_name AS first_name, c.c_mktsegment AS las
        c.c_name || '@Example.COM' AS email, DATE '1994-12-31' AS created_at,
        n.n_name AS country, TIMESTAMP '2001-08-01 00:00:00' AS _loaded_at
 FROM (SELECT c_custkey, c_name, c_mktsegment, c_nationkey FROM customer
-      UNION ALL SELECT -s_suppkey, s_name, 'PROSPECT', s_nationkey FROM supplier) c
+      UNION ALL SELECT -1 - s_suppkey, s_name, 'PROSPECT', s_nationkey FROM supplier) c
 LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey""")
 
 cte("line_flags", """

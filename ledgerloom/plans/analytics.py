@@ -283,10 +283,11 @@ def return_rate_by_category_high_value(ds: Datasets) -> DataFrame:
         .select("customer_id")
     o = ds["fct_orders"].select("order_id", "customer_id", "status") \
         .join(hv, "customer_id", "left_semi")
-    items = ds["stg_order_items"].select("order_id", "product_id")
+    # items of high-value orders only go on to the products and the deduplication
+    items = ds["stg_order_items"].select("order_id", "product_id") \
+        .join(o.select("order_id", "status"), "order_id", "inner")
     p = ds["dim_products"].select("product_id", "category")
-    pairs = items.join(p, "product_id", "inner").select("order_id", "category").distinct()
-    oc = pairs.join(o, "order_id", "inner")
+    oc = items.join(p, "product_id", "inner").select("order_id", "category", "status").distinct()
     returned = F.count(F.when(F.col("status") == "returned", F.lit(1)))
     return oc.groupBy("category").agg(
         F.count(F.lit(1)).alias("orders"),
@@ -545,47 +546,94 @@ def all_metrics(ds: Datasets) -> DataFrame:
         "customer_count", "avg_lifetime_value", "avg_order_value")
 
 
-@register("mv_vs_marts", """
+@register("mv_vs_marts", f"""
 WITH mv AS (
   SELECT CAST(sum(CASE WHEN status = 'completed' THEN amount_paid ELSE 0 END) AS DOUBLE) AS rev,
          CAST(count(DISTINCT order_id) AS DOUBLE) AS n,
          CAST(count(DISTINCT CASE WHEN status = 'returned' THEN order_id END) AS DOUBLE)
-             / CAST(count(DISTINCT order_id) AS DOUBLE) * 100 AS rr
+             / CAST(count(DISTINCT order_id) AS DOUBLE) * 100 AS rr,
+         CAST({rnd("sum(CASE WHEN status = 'completed' THEN amount_paid END)",
+                   "count(CASE WHEN status = 'completed' THEN amount_paid END)", 6)} AS DOUBLE) AS aov
   FROM fct_orders),
+mc AS (SELECT CAST(count(DISTINCT customer_id) AS DOUBLE) AS cn,
+              CAST({rnd('sum(total_lifetime_value)', 'count(total_lifetime_value)', 6)} AS DOUBLE) AS ltv
+       FROM dim_customers),
 sl AS (
   SELECT CAST(sum(CASE WHEN status = 'completed' THEN amount_paid END) AS DOUBLE) AS rev,
          CAST(count(DISTINCT order_id) AS DOUBLE) AS n,
          CAST(count(DISTINCT CASE WHEN status = 'returned' THEN order_id END) AS DOUBLE)
-             / CAST(count(DISTINCT order_id) AS DOUBLE) * 100 AS rr
-  FROM fct_orders)
+             / CAST(count(DISTINCT order_id) AS DOUBLE) * 100 AS rr,
+         {avg_x('sum(amount_paid)', 'count(amount_paid)')} AS aov
+  FROM fct_orders),
+sc AS (SELECT CAST(count(DISTINCT customer_id) AS DOUBLE) AS cn,
+              {avg_x('sum(total_lifetime_value)', 'count(total_lifetime_value)')} AS ltv
+       FROM dim_customers)
 SELECT metric, metric_view_value, semantic_value,
-       metric_view_value IS NOT DISTINCT FROM semantic_value AS matches
+       coalesce(abs(metric_view_value - semantic_value) < 0.005,
+                metric_view_value IS NULL AND semantic_value IS NULL) AS matches
 FROM (SELECT 'total_revenue' AS metric, mv.rev AS metric_view_value, sl.rev AS semantic_value
       FROM mv, sl
       UNION ALL SELECT 'total_orders', mv.n, sl.n FROM mv, sl
-      UNION ALL SELECT 'return_rate_pct', mv.rr, sl.rr FROM mv, sl)""")
+      UNION ALL SELECT 'return_rate_pct', mv.rr, sl.rr FROM mv, sl
+      UNION ALL SELECT 'avg_order_value', mv.aov, sl.aov FROM mv, sl
+      UNION ALL SELECT 'customer_count', mc.cn, sc.cn FROM mc, sc
+      UNION ALL SELECT 'avg_lifetime_value', mc.ltv, sc.ltv FROM mc, sc)""")
 def mv_vs_marts(ds: Datasets) -> DataFrame:
-    """The same metric two ways (metric view vs semantic layer) must agree."""
-    mv = ORDERS_VIEW.query(ds["fct_orders"], [], ["total_revenue", "total_orders",
-                                                  "return_rate"])
-    sl = query_metrics(ds, REGISTRY, ["total_recognised_revenue", "total_orders",
-                                      "return_rate"])
-    j = mv.crossJoin(sl.select(F.col("total_recognised_revenue").alias("s_rev"),
-                               F.col("total_orders").alias("s_n"),
-                               F.col("return_rate").alias("s_rr")))
-    rows = F.array(
-        F.struct(F.lit("total_revenue").alias("metric"),
-                 F.col("total_revenue").cast("double").alias("metric_view_value"),
-                 F.col("s_rev").cast("double").alias("semantic_value")),
-        F.struct(F.lit("total_orders").alias("metric"),
-                 F.col("total_orders").cast("double").alias("metric_view_value"),
-                 F.col("s_n").cast("double").alias("semantic_value")),
-        F.struct(F.lit("return_rate_pct").alias("metric"),
-                 F.col("return_rate").cast("double").alias("metric_view_value"),
-                 (F.col("s_rr") * 100).cast("double").alias("semantic_value")),
-    )
+    """The six board metrics two ways (metric view, semantic layer), equal to half a cent.
+
+    The average order value is meant to differ: the view averages completed orders,
+    the semantic metric all of them.
+    """
+    pairs = {"total_revenue": ("total_revenue", "total_recognised_revenue", 1),
+             "total_orders": ("total_orders", "total_orders", 1),
+             "return_rate_pct": ("return_rate_pct", "return_rate", 100),
+             "avg_order_value": ("avg_order_value", "avg_order_value", 1),
+             "customer_count": ("customer_count", "total_customers", 1),
+             "avg_lifetime_value": ("avg_lifetime_value", "avg_customer_lifetime_value", 1)}
+    mv = all_metrics(ds)
+    sl = query_metrics(ds, REGISTRY, [m for _, m, _ in pairs.values()])
+    sl = sl.select(*[F.col(c).alias(f"s_{c}") for c in sl.columns])
+    j = mv.crossJoin(F.broadcast(sl))           # one row each
+    rows = F.array(*[
+        F.struct(F.lit(name).alias("metric"), F.col(view).cast("double").alias("metric_view_value"),
+                 (F.col(f"s_{metric}").cast("double") * F.lit(float(scale))).alias("semantic_value"))
+        for name, (view, metric, scale) in pairs.items()])
+    a, b = F.col("metric_view_value"), F.col("semantic_value")
     return j.select(F.inline(rows)).withColumn(
-        "matches", F.col("metric_view_value").eqNullSafe(F.col("semantic_value")))
+        "matches", F.coalesce(F.abs(a - b) < 0.005, a.isNull() & b.isNull()))
+
+
+@register("metric_high_value_orders_by_month", """
+SELECT date_trunc('month', o.order_date)::DATE AS metric_time, count(DISTINCT o.order_id) AS total_orders,
+       sum(CASE WHEN o.status = 'completed' THEN o.amount_paid END) AS total_recognised_revenue
+FROM fct_orders o JOIN dim_customers c ON o.customer_id = c.customer_id
+WHERE c.customer_segment = 'high_value' GROUP BY 1""")
+def metric_high_value_orders_by_month(ds: Datasets) -> DataFrame:
+    """A condition on a linked dimension: orders of high-value customers by month."""
+    return query_metrics(ds, REGISTRY, ["total_orders", "total_recognised_revenue"], grain="month",
+                         where="customer_segment = 'high_value'")
+
+
+@register("metric_revenue_per_customer_shipped", """
+SELECT CAST((SELECT sum(CASE WHEN status = 'completed' THEN amount_paid END) FROM fct_orders
+             WHERE status IN ('completed', 'shipped')) AS DOUBLE)
+       / CAST((SELECT nullif(count(*), 0) FROM dim_customers) AS DOUBLE) AS revenue_per_customer""")
+def metric_revenue_per_customer_shipped(ds: Datasets) -> DataFrame:
+    """A condition that only one of the two models owns filters that model."""
+    return query_metrics(ds, REGISTRY, ["revenue_per_customer"],
+                         where="status in ('completed', 'shipped')")
+
+
+@register("metric_win_rate_of_industry", """
+SELECT lead_source,
+       CAST(count(CASE WHEN is_won THEN 1 END) AS DOUBLE)
+           / CAST(nullif(count(CASE WHEN is_closed THEN 1 END), 0) AS DOUBLE) AS win_rate
+FROM fct_opportunities o JOIN dim_accounts a ON o.account_id = a.account_id
+WHERE a.industry = 'BUILDING' GROUP BY 1""")
+def metric_win_rate_of_industry(ds: Datasets) -> DataFrame:
+    """Win rate by lead source, for accounts of one industry."""
+    return query_metrics(ds, REGISTRY, ["win_rate"], by=["lead_source"],
+                         where="industry = 'BUILDING'")
 
 
 # ----------------------------------------------------- metric explorer breakdowns ---

@@ -25,7 +25,7 @@ from ledgerloom.plans.catalog import register
 from ledgerloom.plans.contracts import CONTRACTS
 from ledgerloom.plans.medallion import BRONZE, SILVER_EXPECTATIONS, SILVER_FNS
 from ledgerloom.session import scratch_path
-from ledgerloom.sources.datasets import Datasets, once
+from ledgerloom.sources.datasets import Datasets, once, publish
 
 H, D = _dt.timedelta(hours=1), _dt.timedelta(days=1)
 
@@ -392,10 +392,10 @@ def expect_fail(ds: Datasets) -> DataFrame:
 
 @register("persist_docs", "SELECT * FROM dim_customers")
 def persist_docs(ds: Datasets) -> DataFrame:
-    """dim_customers with column comments attached as schema metadata (kept by parquet)."""
-    df = ds["dim_customers"]
-    return df.select(*[F.col(c).alias(c, metadata={"comment": DIM_CUSTOMERS_DOCS[c]})
-                       if c in DIM_CUSTOMERS_DOCS else F.col(c) for c in df.columns])
+    """dim_customers built into a named folder with its column comments, read back from there."""
+    places = publish(ds, ["dim_customers"], path=scratch_path(ds.spark, "published"),
+                     docs={"dim_customers": DIM_CUSTOMERS_DOCS})
+    return ds.spark.read.parquet(places["dim_customers"])
 
 
 @register("soft_delete_filter", """

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.columns import MONEY, avg_exact, round_half_up_ratio
 from ledgerloom.operators.affinity import affinity_pairs
 from ledgerloom.operators.gaps import gap_stats, moments_stddev
+from ledgerloom.operators.sequence import written
 from ledgerloom.operators.quantiles import QUINTILES, ScoreSpec, quantile_scores
 from ledgerloom.plans.contracts import public
 from ledgerloom.sources.datasets import Datasets, model
@@ -76,6 +77,7 @@ def rfm_features(customers: DataFrame, orders: DataFrame, as_of,
         .fillna(0, subset=(["recency_days"] if null_recency == "zero" else [])
                 + ["frequency", "monetary_value", "avg_order_value", "total_items_purchased"])
     )
+    rfm = written(rfm, "rfm")       # read for the cut points and for the scores
     scored = quantile_scores(rfm, [
         ScoreSpec("recency_days", "r_score", reverse=True),
         ScoreSpec("frequency", "f_score"),

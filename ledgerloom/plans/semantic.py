@@ -141,8 +141,8 @@ measures:
 """
 # ------------------------------------------------------------------------------
 
-ORDERS_VIEW = MetricView.from_yaml(ORDERS_METRIC_VIEW_YAML)
-CUSTOMERS_VIEW = MetricView.from_yaml(CUSTOMERS_METRIC_VIEW_YAML)
+ORDERS_VIEW = MetricView.from_yaml(ORDERS_METRIC_VIEW_YAML, "order_id")
+CUSTOMERS_VIEW = MetricView.from_yaml(CUSTOMERS_METRIC_VIEW_YAML, "customer_id")
 
 # --- fixed values: dashboard metric explorer (5 metrics x 3 breakdowns) ----------------
 # The dashboard's average order value and return rate are completed-only and percent,

@@ -71,7 +71,7 @@ def raw_customers(ds: Datasets) -> DataFrame:
     """Customers, and suppliers as prospects: customers of negative id that order nothing."""
     c = ds.driver("customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     prospects = ds.driver("supplier").select(
-        (-F.col("s_suppkey")).alias("c_custkey"), F.col("s_name").alias("c_name"),
+        (-1 - F.col("s_suppkey")).alias("c_custkey"), F.col("s_name").alias("c_name"),
         F.col("s_nationkey").alias("c_nationkey"), F.lit(PROSPECT_NAME).alias("c_mktsegment"))
     c = c.unionByName(prospects)
     n = _lookup(ds.driver("nation"), "n_nationkey", "n_name")

@@ -73,7 +73,8 @@ class Datasets:
     def __init__(self, spark: SparkSession, sf_dir: str | None = None,
                  as_of: _dt.date | None = None,
                  tables: Mapping[str, DataFrame] | None = None,
-                 land_sources: bool = False, materialize: bool = False):
+                 land_sources: bool = False, materialize: bool = False,
+                 catalog: Mapping[str, str] | None = None):
         _load_all()
         self.spark = spark
         self.sf_dir = sf_dir
@@ -82,7 +83,9 @@ class Datasets:
         self.land_sources = land_sources
         # table materialization needs inputs that are fully determined by
         # (sf_dir, as_of); registries with injected tables never materialize
-        self.materialize = materialize and not tables
+        self.materialize = materialize and not (tables or catalog)
+        # dataset name -> catalog table ("schema.table"): read where it stands
+        self.catalog = dict(catalog or {})
         self._cache: dict[str, DataFrame] = dict(tables or {})
         self._guard = threading.Lock()
         self._locks: dict[str, threading.RLock] = {}
@@ -100,6 +103,9 @@ class Datasets:
 
     def _get(self, name: str) -> DataFrame:
         if name not in self._cache:
+            if name in self.catalog:
+                self._cache[name] = self.spark.table(self.catalog[name])
+                return self._cache[name]
             if name not in _REGISTRY:
                 raise KeyError(f"unknown dataset {name!r}")
             if self.land_sources and _PROJECT.get(name) == "source" and self.sf_dir:
@@ -135,7 +141,11 @@ class Datasets:
         return self._scope
 
     def __contains__(self, name: str) -> bool:
-        return name in self._cache or name in _REGISTRY
+        return name in self._cache or name in self.catalog or name in _REGISTRY
+
+    def source(self, schema: str, table: str) -> DataFrame:
+        """A loaded table of the session's catalog."""
+        return self.spark.table(f"{schema}.{table}")
 
     def put(self, name: str, df: DataFrame) -> "Datasets":
         """Inject or replace a dataset (fixtures, streamed tables)."""
@@ -145,7 +155,8 @@ class Datasets:
 
     def with_tables(self, **tables: DataFrame) -> "Datasets":
         """A new registry sharing the inputs but overriding some tables."""
-        new = Datasets(self.spark, self.sf_dir, self.as_of, land_sources=self.land_sources)
+        new = Datasets(self.spark, self.sf_dir, self.as_of, land_sources=self.land_sources,
+                       catalog=self.catalog)
         for k, v in self._cache.items():
             if k.startswith(("raw_", "sf_")):
                 new._cache[k] = v
@@ -253,6 +264,51 @@ def once(spark: SparkSession, scope: tuple, name: str, build: Callable[[], objec
         return _LANDED[key]
 
 
+def publish(ds: "Datasets", names: Sequence[str], path: str | None = None,
+            schema: str | None = None, docs: Mapping[str, Mapping[str, str]] | None = None,
+            comments: Mapping[str, str] | None = None,
+            properties: Mapping[str, Mapping[str, str]] | None = None) -> dict[str, str]:
+    """Build models into a named place, where other jobs find them; name -> place.
+
+    ``table`` models become parquet folders below ``path``, or catalog tables of
+    ``schema`` (with table comment and properties); ``view`` models become temporary
+    views of their name; ``ephemeral`` models are inlined and get no place. ``docs``
+    holds column comments by model, kept in the written schema.
+    """
+    if (path is None) == (schema is None):
+        raise ValueError("give either a path or a schema")
+    places = {}
+    for name in names:
+        kind = materialization(name)
+        df = commented(ds.build(name), (docs or {}).get(name, {}))
+        if kind == "ephemeral":
+            continue
+        if kind == "view":
+            df.createOrReplaceTempView(name)
+            places[name] = name
+        elif path is not None:
+            places[name] = f"{path.rstrip('/')}/{name}"
+            df.write.mode("overwrite").parquet(places[name])
+        else:
+            places[name] = f"{schema}.{name}"
+            df.write.mode("overwrite").saveAsTable(places[name])
+            quoted = lambda v: "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+            if name in (comments or {}):
+                ds.spark.sql(f"COMMENT ON TABLE {places[name]} IS {quoted(comments[name])}")
+            if name in (properties or {}):
+                pairs = ", ".join(f"{quoted(k)} = {quoted(v)}" for k, v in properties[name].items())
+                ds.spark.sql(f"ALTER TABLE {places[name]} SET TBLPROPERTIES ({pairs})")
+    return places
+
+
+def commented(df: DataFrame, docs: Mapping[str, str]) -> DataFrame:
+    """``df`` with column comments in its schema."""
+    from pyspark.sql import functions as F
+
+    return df.select(*[F.col(c).alias(c, metadata={"comment": docs[c]}) if c in docs else F.col(c)
+                       for c in df.columns])
+
+
 def build_tables(ds: "Datasets", names: Sequence[str], threads: int = 4) -> dict[str, DataFrame]:
     """Materialize ``names`` with up to ``threads`` concurrent Spark jobs.
 
