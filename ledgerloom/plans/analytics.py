@@ -633,35 +633,28 @@ def metric_win_rate_of_industry(ds: Datasets) -> DataFrame:
 
 # ----------------------------------------------------- metric explorer breakdowns ---
 
-_APP_VALUE_SQL = {
-    "app_recognised_revenue": "sum({p}amount_paid)",
-    "app_avg_order_value": avg_x("sum({p}amount_paid)", "count({p}amount_paid)"),
-    "app_return_rate_pct": ("CAST(count(DISTINCT CASE WHEN {p}status = 'returned' THEN "
-                            "{p}order_id END) AS DOUBLE) / CAST(count(DISTINCT {p}order_id) "
-                            "AS DOUBLE) * 100"),
-    "app_total_customers": "count(DISTINCT {p}customer_id)",
-    "app_avg_lifetime_value": avg_x("sum({p}total_lifetime_value)",
-                                    "count({p}total_lifetime_value)"),
-}
 _ORDER_METRICS = {"app_recognised_revenue", "app_avg_order_value", "app_return_rate_pct"}
 _COMPLETED_ONLY = {"app_recognised_revenue", "app_avg_order_value"}
 
 
 def _breakdown_sql(metric: str, dim: str) -> str:
-    orders = metric in _ORDER_METRICS
-    where = "WHERE o.status = 'completed'" if metric in _COMPLETED_ONLY else ""
-    if orders:
-        value = _APP_VALUE_SQL[metric].format(p="o.")
-        if dim == "month":
-            return (f"SELECT CAST(date_trunc('month', o.order_date) AS DATE) AS period, "
-                    f"{value} AS value FROM fct_orders o {where} GROUP BY 1")
-        if dim == "customer_segment":
-            return (f"SELECT c.customer_segment AS period, {value} AS value FROM fct_orders o "
-                    f"JOIN dim_customers c ON o.customer_id = c.customer_id {where} GROUP BY 1")
-        return f"SELECT o.{dim} AS period, {value} AS value FROM fct_orders o {where} GROUP BY 1"
-    value = _APP_VALUE_SQL[metric].format(p="")
-    period = "CAST(date_trunc('month', created_date) AS DATE)" if dim == "month" else dim
-    return f"SELECT {period} AS period, {value} AS value FROM dim_customers GROUP BY 1"
+    """Per value of the dimension, from the orders' (or customers') own rows."""
+    key = {"month": "make_date(year(day), month(day), 1)"}.get(dim, dim)
+    if metric not in _ORDER_METRICS:
+        rows = "SELECT created_date AS day, * FROM dim_customers"
+        value = {"app_total_customers": "count(*)",
+                 "app_avg_lifetime_value": avg_x("sum(total_lifetime_value)", "count(*)")}[metric]
+        return f"SELECT {key} AS period, {value} AS value FROM ({rows}) GROUP BY period"
+    rows = ("SELECT order_date AS day, lower(r.status) AS st, lower(r.payment_method) AS payment_method, "
+            "customer_segment, coalesce(received, 0) AS v FROM raw_orders r "
+            "LEFT JOIN order_money USING (order_id) JOIN dim_customers USING (customer_id)")
+    done = "FILTER (WHERE st = 'completed')"
+    value = {"app_recognised_revenue": f"sum(v) {done}",
+             "app_avg_order_value": avg_x(f"sum(v) {done}", f"count(*) {done}"),
+             "app_return_rate_pct": "CAST(count(*) FILTER (WHERE st = 'returned') AS DOUBLE) "
+                                    "/ CAST(count(*) AS DOUBLE) * 100"}[metric]
+    some = f"HAVING count(*) {done} > 0" if metric in _COMPLETED_ONLY else ""
+    return f"SELECT {key} AS period, {value} AS value FROM ({rows}) GROUP BY period {some}"
 
 
 def _breakdown(metric: str, dim: str):
