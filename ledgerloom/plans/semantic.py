@@ -81,7 +81,7 @@ METRICS = [
 ]
 # ------------------------------------------------------------------------------
 
-# --- fixed values: metric view definitions --------------------------------------
+# --- fixed values: metric view definitions (formats and synonyms included) -------
 ORDERS_METRIC_VIEW_YAML = """
 version: 1.1
 source: fct_orders
@@ -90,28 +90,46 @@ dimensions:
   - name: order_date
     expr: order_date
     display_name: Order Date
+    format: {type: date, date_format: year_month_day, leading_zeros: true}
+    synonyms: [date, when ordered, order day]
   - name: status
     expr: status
     display_name: Order Status
+    comment: "Valid values: placed, shipped, completed, returned"
+    synonyms: [order status, fulfillment status, state]
   - name: payment_method
     expr: payment_method
     display_name: Payment Method
+    synonyms: [how paid, payment type, tender]
 measures:
   - name: total_revenue
     expr: SUM(CASE WHEN status = 'completed' THEN amount_paid ELSE 0 END)
     display_name: Total Revenue
-    format: {type: currency, currency_code: USD, decimal_places: 2}
+    comment: Sum of amount_paid for completed orders only.
+    format: {type: currency, currency_code: USD, decimal_places: {type: exact, places: 2},
+             hide_group_separator: false, abbreviation: compact}
+    synonyms: [revenue, total sales, recognised revenue, sales]
   - name: avg_order_value
     expr: AVG(CASE WHEN status = 'completed' THEN amount_paid END)
     display_name: Average Order Value
+    comment: Average payment amount for completed orders only.
+    format: {type: currency, currency_code: USD, decimal_places: {type: exact, places: 2},
+             hide_group_separator: false}
+    synonyms: [aov, average revenue per order, average basket]
   - name: total_orders
     expr: COUNT(DISTINCT order_id)
     display_name: Total Orders
+    comment: Count of all orders regardless of status.
+    format: {type: number, decimal_places: {type: all}, hide_group_separator: false}
+    synonyms: [order count, number of orders, orders]
   - name: return_rate
     expr: >
       COUNT(DISTINCT CASE WHEN status = 'returned' THEN order_id END)
       / CAST(COUNT(DISTINCT order_id) AS DOUBLE) * 100
     display_name: Return Rate (%)
+    comment: Percentage of orders that were returned.
+    format: {type: percentage, decimal_places: {type: exact, places: 1}, hide_group_separator: true}
+    synonyms: [returns, refund rate, percentage returned, churn]
 """
 
 CUSTOMERS_METRIC_VIEW_YAML = """
@@ -122,22 +140,37 @@ dimensions:
   - name: country
     expr: country
     display_name: Country
+    synonyms: [region, location, market]
   - name: customer_segment
     expr: customer_segment
     display_name: Customer Segment
+    comment: "high_value: >= $500 LTV | mid_value: $100-$499 | low_value: < $100."
+    synonyms: [segment, tier, value tier, customer tier]
   - name: created_date
     expr: created_date
     display_name: Customer Since
+    format: {type: date, date_format: year_month_day, leading_zeros: true}
+    synonyms: [signup date, acquisition date, join date]
 measures:
   - name: customer_count
     expr: COUNT(DISTINCT customer_id)
     display_name: Total Customers
+    comment: Count of distinct customers.
+    format: {type: number, decimal_places: {type: all}, hide_group_separator: false}
+    synonyms: [customers, number of customers, unique customers, user count]
   - name: avg_lifetime_value
     expr: AVG(total_lifetime_value)
     display_name: Average Lifetime Value
+    comment: Average total_lifetime_value across all customers.
+    format: {type: currency, currency_code: USD, decimal_places: {type: exact, places: 2},
+             hide_group_separator: false}
+    synonyms: [avg ltv, average clv, customer value, lifetime value]
   - name: high_value_customers
     expr: COUNT(DISTINCT CASE WHEN customer_segment = 'high_value' THEN customer_id END)
     display_name: High Value Customers
+    comment: Count of customers with total_lifetime_value >= $500.
+    format: {type: number, decimal_places: {type: all}}
+    synonyms: [vip customers, top customers, premium customers]
 """
 # ------------------------------------------------------------------------------
 

@@ -256,3 +256,22 @@ def test_reconcile_with_committed_facts(spark):
     bad = {r.fact for r in reconcile(facts(orders.filter("order_id > 0")), committed, ["fact"]).collect()
            if not r.matches}
     assert bad == {"orders_total", "orders_completed", "recognised_revenue", "paid_all_statuses"}
+
+
+def test_metric_views_keep_their_metadata():
+    from ledgerloom.plans.semantic import CUSTOMERS_VIEW, ORDERS_VIEW
+
+    revenue = {m.name: m for m in ORDERS_VIEW.measures}["total_revenue"]
+    assert revenue.meta["format"]["currency_code"] == "USD"
+    assert revenue.meta["format"]["decimal_places"] == {"type": "exact", "places": 2}
+    assert "recognised revenue" in revenue.meta["synonyms"]
+    assert all("synonyms" in f.meta for v in (ORDERS_VIEW, CUSTOMERS_VIEW) for f in v.dimensions + v.measures)
+
+
+def test_metric_views_have_no_expand(spark):
+    from ledgerloom.plans.semantic import CUSTOMERS_VIEW, ORDERS_VIEW
+
+    ds = Datasets(spark, SF, DAY)
+    for view, df in ((ORDERS_VIEW, ds["fct_orders"]), (CUSTOMERS_VIEW, ds["dim_customers"])):
+        plan = view.query(df)._jdf.queryExecution().optimizedPlan().toString()
+        assert "Expand" not in plan
