@@ -692,10 +692,18 @@ def scan_source(ds: Datasets) -> DataFrame:
 
 
 @register("segment_bucket", """
-SELECT customer_id, total_lifetime_value, customer_segment FROM dim_customers""")
+SELECT customer_id, CAST(coalesce(received, 0) AS DECIMAL(18,2)) AS total_lifetime_value,
+       CASE WHEN received < 500 AND received >= 100 THEN 'mid_value'
+            WHEN received >= 500 THEN 'high_value' ELSE 'low_value' END AS customer_segment
+FROM raw_customers LEFT JOIN customer_totals USING (customer_id)""")
 def segment_bucket(ds: Datasets) -> DataFrame:
     """Searched-CASE value bucketing (first match wins, NULL LTV falls to low_value)."""
-    return ds["dim_customers"].select("customer_id", "total_lifetime_value", "customer_segment")
+    from ledgerloom.functions.columns import segment
+    from ledgerloom.plans.marts import VALUE_BANDS, VALUE_DEFAULT
+
+    return ds["dim_customers"].select(
+        "customer_id", "total_lifetime_value",
+        segment("total_lifetime_value", VALUE_BANDS, VALUE_DEFAULT).alias("customer_segment"))
 
 
 @register("order_gaps", f"""

@@ -383,11 +383,11 @@ def expect_drop(ds: Datasets) -> DataFrame:
     return df
 
 
-@register("expect_fail", "SELECT * FROM silver_orders")
+@register("expect_fail", "SELECT * FROM silver_orders_rows")
 def expect_fail(ds: Datasets) -> DataFrame:
-    """Fail rule: the job raises if any order id is NULL (none are)."""
-    return enforce(ds["silver_orders"], [Expectation("valid_order_id", "order_id IS NOT NULL",
-                                                     "fail")])
+    """Fail rule on silver's rows: the job raises if any order id is NULL (none are)."""
+    return enforce(SILVER_FNS["orders"](ds["bronze_orders"]),
+                   [Expectation("valid_order_id", "order_id IS NOT NULL", "fail")])
 
 
 @register("persist_docs", "SELECT * FROM dim_customers")
