@@ -8,7 +8,9 @@ joined to the period ``lag`` steps earlier. Joining on the calendar instead of
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _MONTHS = {"month": 1, "quarter": 3, "year": 12}
@@ -36,3 +38,21 @@ def period_growth(df: DataFrame, date_col: str, value: Column | str, grain: str
         ((F.col(name) - p).cast("double") / F.when(p != 0, p.cast("double")) * 100)
         .alias("growth_pct"),
     )
+
+
+def windowed_totals(df: DataFrame, date_col: str, value: Column | str, grain: str = "month",
+                    by: Sequence[str] = (), trailing: int | None = None,
+                    name: str = "value") -> DataFrame:
+    """``[by..., period, value, windowed]``: running total, or that of the last ``trailing`` periods.
+
+    The window slides over the periods of each group, a table bounded by the
+    calendar; it counts calendar periods, so periods without rows take part as zero.
+    """
+    if grain not in _MONTHS:
+        raise ValueError(f"grain must be one of {sorted(_MONTHS)}")
+    v = value if isinstance(value, Column) else F.col(value)
+    totals = df.groupBy(*by, F.trunc(F.col(date_col), grain).alias("period")).agg(F.sum(v).alias(name))
+    month = F.year("period") * 12 + F.month("period")
+    first = Window.unboundedPreceding if trailing is None else -(trailing * _MONTHS[grain] - 1)
+    w = Window.partitionBy(*by).orderBy(month).rangeBetween(first, 0)
+    return totals.select(*by, "period", name, F.sum(name).over(w).alias("windowed"))

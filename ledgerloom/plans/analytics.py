@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import MONEY, avg_exact, ratio
 from ledgerloom.operators.metrics import query_metrics
-from ledgerloom.operators.periods import period_growth
+from ledgerloom.operators.periods import period_growth, windowed_totals
 from ledgerloom.operators.topk import top_k
 from ledgerloom.oracle import AS_OF, avg_x, rnd
 from ledgerloom.plans.catalog import register
@@ -179,6 +179,37 @@ def revenue_yoy(ds: Datasets) -> DataFrame:
     return period_growth(o, "order_date", "amount_paid", "month", 12, name="recognised_revenue")
 
 
+_WINDOWED_SQL = """
+WITH m AS (
+  SELECT lower(payment_method) AS payment_method, make_date(year(order_date), month(order_date), 1) AS period,
+         sum(coalesce(received, 0)) AS recognised_revenue
+  FROM raw_orders LEFT JOIN order_money USING (order_id) WHERE status = 'COMPLETED' GROUP BY 1, 2)
+SELECT a.payment_method, a.period, any_value(a.recognised_revenue) AS recognised_revenue,
+       sum(b.recognised_revenue) AS windowed
+FROM m a JOIN m b ON a.payment_method = b.payment_method AND b.period <= a.period
+  {condition}
+GROUP BY a.payment_method, a.period"""
+
+
+def _windowed_revenue(ds: Datasets, trailing: int | None) -> DataFrame:
+    o = ds["fct_orders"].filter(_completed())
+    return windowed_totals(o, "order_date", "amount_paid", "month", ["payment_method"], trailing,
+                           name="recognised_revenue")
+
+
+@register("metric_cumulative_revenue", _WINDOWED_SQL.format(condition=""))
+def metric_cumulative_revenue(ds: Datasets) -> DataFrame:
+    """Recognised revenue to date, by month and payment method."""
+    return _windowed_revenue(ds, None)
+
+
+@register("metric_trailing_quarter_revenue", _WINDOWED_SQL.format(
+    condition="AND b.period > a.period - INTERVAL 3 MONTH"))
+def metric_trailing_quarter_revenue(ds: Datasets) -> DataFrame:
+    """Recognised revenue of the month and the two before it, by payment method."""
+    return _windowed_revenue(ds, 3)
+
+
 def _inactive(ds: Datasets, days: int) -> DataFrame:
     c = ds["dim_customers"]
     d = F.datediff(ds.as_of_col(), F.col("most_recent_order_date"))
