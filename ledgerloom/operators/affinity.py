@@ -12,6 +12,8 @@ literal form are recovered exactly::
 Output bound: a key contributes at most d(d-1)/2 pair rows, where d is the
 number of distinct items of that key (payment methods: d <= 3), however many
 rows the key has; a key holding a third of all rows still yields d(d-1)/2 rows.
+The pairs are quadratic in d, so the number of distinct items is a precondition:
+more than ``max_items`` of them are an error, not a slow query.
 """
 
 from __future__ import annotations
@@ -26,9 +28,14 @@ def affinity_pairs(df: DataFrame, key: str, item: str, value: str,
                    names: tuple[str, str] = ("method_a", "method_b"),
                    outputs: tuple[str, str, str] = ("shared_customers", "avg_spend_method_a",
                                                     "avg_spend_method_b"),
-                   digits: int = 2) -> DataFrame:
+                   digits: int = 2, max_items: int = 64) -> DataFrame:
+    from ledgerloom.operators.sequence import written
+
     per = df.where(F.col(item).isNotNull()).groupBy(key, item).agg(
         F.count(F.col(value)).alias("cnt"), F.sum(value).alias("total"))
+    per = written(per, "affinity")          # read for the check and by both sides of the join
+    if per.select(item).distinct().limit(max_items + 1).count() > max_items:
+        raise ValueError(f"{item} has more than {max_items} distinct values")
     a = per.select(F.col(key).alias("__k"), F.col(item).alias("a_item"),
                    F.col("cnt").alias("a_cnt"), F.col("total").alias("a_sum"))
     b = per.select(F.col(key).alias("__k"), F.col(item).alias("b_item"),

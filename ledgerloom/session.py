@@ -63,7 +63,26 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+_SCRATCH: list[str] = []        # folders handed out by this process
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-folder of the shared checkpoint root."""
     root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.append(f"{root}/{name}-{uuid.uuid4().hex[:12]}")
+    return _SCRATCH[-1]
+
+
+def clear_scratch(spark: SparkSession) -> int:
+    """Delete this process's scratch folders, at the end of a run; the number deleted.
+
+    What reads them (landed tables, streamed tables, plans over numbered rows) must
+    be done with; ``ledgerloom.sources.datasets.end_run`` also forgets those tables.
+    """
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    done = 0
+    while _SCRATCH:
+        path = jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        done += bool(path.getFileSystem(conf).delete(path, True))
+    return done

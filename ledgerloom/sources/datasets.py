@@ -255,6 +255,16 @@ def landed(spark: SparkSession, scope: tuple, name: str, build: Callable[[], Dat
     return df
 
 
+def end_run(spark: SparkSession) -> int:
+    """Forget all written tables and delete the run's scratch folders."""
+    from ledgerloom.session import clear_scratch
+
+    with _LOCKS_GUARD:
+        _LANDED.clear()
+        _PATHS.clear()
+    return clear_scratch(spark)
+
+
 def once(spark: SparkSession, scope: tuple, name: str, build: Callable[[], object]):
     """``build()`` once per scope: what it wrote (a table, a streamed run) is not written again."""
     key = (spark.sparkContext.applicationId, scope, name)

@@ -275,3 +275,24 @@ def test_metric_views_have_no_expand(spark):
     for view, df in ((ORDERS_VIEW, ds["fct_orders"]), (CUSTOMERS_VIEW, ds["dim_customers"])):
         plan = view.query(df)._jdf.queryExecution().optimizedPlan().toString()
         assert "Expand" not in plan
+
+
+def test_end_of_a_run_clears_its_scratch(spark, monkeypatch):
+    from ledgerloom.sources import datasets
+
+    monkeypatch.setattr(session, "_SCRATCH", [])
+    monkeypatch.setattr(datasets, "_LANDED", {})
+    monkeypatch.setattr(datasets, "_PATHS", {})
+    ds = Datasets(spark, SF, DAY, land_sources=True)
+    n, path = ds["raw_products"].count(), ds.landed_path("raw_products")
+    assert os.path.isdir(path)
+    assert datasets.end_run(spark) >= 1 and not os.path.exists(path)
+    assert Datasets(spark, SF, DAY, land_sources=True)["raw_products"].count() == n
+
+
+def test_affinity_needs_few_items(spark):
+    from ledgerloom.operators.affinity import affinity_pairs
+
+    df = spark.range(200).selectExpr("id % 5 as k", "cast(id as string) as item", "cast(1 as decimal(18,2)) as v")
+    with pytest.raises(ValueError, match="more than 64"):
+        affinity_pairs(df, "k", "item", "v")
