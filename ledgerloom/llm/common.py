@@ -51,5 +51,11 @@ def small_side(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
+def batch_rows(batch):
+    """Rows of an Arrow batch as dicts, one at a time: wide rows are never all Python objects."""
+    for i in range(batch.num_rows):
+        yield {name: batch.column(name)[i].as_py() for name in batch.schema.names}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

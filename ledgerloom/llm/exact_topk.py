@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import batch_rows, saved
 
 GROUP = 16_384          # entries of a group, about
 CHUNK = 8_192           # queries of a block, about
@@ -83,7 +83,7 @@ def _ranges(batches):
 def _group_rows(batches, grids: dict[int, tuple[np.ndarray, np.ndarray]]):
     """One row a group: its entries' cells, exact integers and ids as blocks of bytes."""
     for batch in batches:
-        for row in batch.to_pylist():
+        for row in batch_rows(batch):
             d = row["dim"]
             exact = np.frombuffer(b"".join(row["vecs"]), np.int64).reshape(-1, d)
             low, step = grids[d]

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import batch_rows, saved
 
 BLOCK = 4096            # codes of a leaf block
 SUB = 32                # codes of a sub-block inside a comparison
@@ -162,7 +162,7 @@ def _blocks(batches, bits: int, block: int):
 def _cross_links(batches, bits: int):
     """Pairs of blocks -> a spanning forest of the links between their roots."""
     for batch in batches:
-        for row in batch.to_pylist():
+        for row in batch_rows(batch):
             codes = [np.frombuffer(row[c], np.uint64) for c in ("a_codes", "b_codes")]
             roots = [np.frombuffer(row[c], np.uint64) for c in ("a_roots", "b_roots")]
             names, at = np.unique(np.concatenate(roots), return_inverse=True)
@@ -178,7 +178,7 @@ def _cross_links(batches, bits: int):
 
 def _members(batches):
     for batch in batches:
-        for row in batch.to_pylist():
+        for row in batch_rows(batch):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.frombuffer(row[c], np.int64), pa.int64()) for c in ("codes", "roots")],
                 names=["fp", "root"])
