@@ -361,6 +361,10 @@ class MetricView:
         return MetricView(str(doc["source"]), fields(doc.get("dimensions")),
                           fields(doc.get("measures")), str(doc.get("comment", "")), primary_key)
 
+    def _dimension_name(self, word: re.Match) -> str:
+        known = {d.name for d in self.dimensions}
+        return f"__{word[0]}" if word[0] in known else word[0]
+
     def _measure(self, expr: str) -> Column:
         if self.primary_key:
             expr = re.sub(rf"count\s*\(\s*distinct\s+({_key_pattern(self.primary_key)})\s*\)",
@@ -368,7 +372,12 @@ class MetricView:
         return F.expr(expr)
 
     def query(self, df: DataFrame, dimensions: Sequence[str] = (),
-              measures: Sequence[str] | None = None) -> DataFrame:
+              measures: Sequence[str] | None = None, where: str | None = None) -> DataFrame:
+        """Measures by dimensions; ``where`` is a condition on the view's dimensions."""
+        if where:
+            df = df.withColumns({f"__{d.name}": F.expr(d.expr) for d in self.dimensions}).filter(
+                re.sub(r"'[^']*'|[A-Za-z_][A-Za-z0-9_]*", self._dimension_name, where)).drop(
+                *[f"__{d.name}" for d in self.dimensions])
         dims = {d.name: d for d in self.dimensions}
         meas = {m.name: m for m in self.measures}
         chosen = list(measures) if measures is not None else list(meas)

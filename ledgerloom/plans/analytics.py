@@ -534,6 +534,17 @@ def orders_metric_view(ds: Datasets) -> DataFrame:
     return ORDERS_VIEW.query(ds["fct_orders"], ["order_date", "status", "payment_method"])
 
 
+@register("orders_metric_view_filtered", """
+SELECT lower(payment_method) AS payment_method, sum(coalesce(received, 0)) AS total_revenue,
+       count(*) AS total_orders
+FROM raw_orders LEFT JOIN order_money USING (order_id)
+WHERE status = 'COMPLETED' AND order_date >= DATE '2000-01-01' GROUP BY 1""")
+def orders_metric_view_filtered(ds: Datasets) -> DataFrame:
+    """A metric view asked with a condition on its dimensions."""
+    return ORDERS_VIEW.query(ds["fct_orders"], ["payment_method"], ["total_revenue", "total_orders"],
+                             where="status = 'completed' and order_date >= date '2000-01-01'")
+
+
 @register("customer_metric_view", f"""
 SELECT country, customer_segment, count(DISTINCT customer_id) AS customer_count,
        {rnd('sum(total_lifetime_value)', 'count(total_lifetime_value)', 6)} AS avg_lifetime_value,
