@@ -121,12 +121,13 @@ def _list_anchors(batches, length: int):
                 names=["doc_id", "tid", "digest", "long", "anchors"])
 
 
-def _read_runs(batches, n_keys: int):
+def _read_runs(batches, n_keys: int, later: bool):
     """Sorted rows (keys, doc, more) -> the rows of runs with two or more documents.
 
     kind 0: settled, ``first`` is the run's least document. kind 1: a row of the
     partition's first run, or of a last run with one document. kind 2: what this
     partition knows of its first or last run: least and greatest document.
+    ``later``: of settled runs only the rows after the least document.
     """
     names, key, least, most, held = None, None, None, None, []
     first = True                        # the current run is the partition's first
@@ -165,10 +166,10 @@ def _read_runs(batches, n_keys: int):
         if first:
             yield out(head, least, 1)
         elif least < most:
-            for b in held:
+            for b in [] if later else held:
                 yield out(b, least, 0)
             held = []
-            yield out(head, least, 0)
+            yield out(head.filter(pa.array(docs[:starts[1]] > least)) if later else head, least, 0)
         else:
             held.append(head)           # equal rows of one document
         if len(low) == 1:
@@ -179,7 +180,7 @@ def _read_runs(batches, n_keys: int):
         first, held = False, []
         run, multi = np.cumsum(new) - 1, low < high
         multi[0] = False
-        picked = multi[run]
+        picked = multi[run] & (docs > low[run]) if later else multi[run]
         if picked.any():
             yield out(batch.filter(pa.array(picked)), low[run][picked], 0)
         key, least, most = tuple(keys[:, -1].tolist()), int(low[-1]), int(high[-1])
@@ -191,9 +192,10 @@ def _read_runs(batches, n_keys: int):
             yield out(b, least, 1)
 
 
-def repeats(rows: DataFrame, keys: list[str]) -> DataFrame:
+def repeats(rows: DataFrame, keys: list[str], later: bool = False) -> DataFrame:
     """The rows whose key occurs with two or more doc_id, with ``first``, the least of them.
 
+    ``later``: without the rows of that least document.
     ``rows``: a written table of bigint columns keys, doc_id and others.
     """
     names = [*keys, "doc_id", *(c for c in rows.columns if c not in (*keys, "doc_id"))]
@@ -201,13 +203,14 @@ def repeats(rows: DataFrame, keys: list[str]) -> DataFrame:
                .sortWithinPartitions(*keys, "doc_id"))
     schema = ", ".join(f"{c} long" for c in [*names, "first"]) + ", kind int"
     n_keys = len(keys)
-    read = saved(ordered.mapInArrow(lambda b: _read_runs(b, n_keys), schema), "substring-runs")
+    read = saved(ordered.mapInArrow(lambda b: _read_runs(b, n_keys, later), schema), "substring-runs")
     edges = (read.filter("kind = 2").groupBy(*keys)
              .agg(F.min("doc_id").alias("low"), F.max("first").alias("high"))
              .filter("low < high").drop("high"))      # two rows a partition at most
     at_edges = read.filter("kind = 1").join(F.broadcast(edges), keys).withColumn("first", F.col("low"))
-    return read.filter("kind = 0").select(*names, "first").unionByName(
+    out = read.filter("kind = 0").select(*names, "first").unionByName(
         at_edges.select(*names, "first"))
+    return out.filter("doc_id > first") if later else out
 
 
 def _text_id(text: Column) -> Column:
@@ -301,7 +304,7 @@ def covered_windows(docs: DataFrame, length: int, doc_id: str, text: str) -> Dat
     windows = saved(packed.join(anchors, "doc_id").select("doc_id", "tid", "text", "anchors")
                     .mapInArrow(lambda b: _extend(b, length),
                                 "h1 long, h2 long, doc_id long, tid long"), "substring-windows")
-    full = repeats(windows, ["h1", "h2"]).filter("doc_id > first").join(
+    full = repeats(windows, ["h1", "h2"], later=True).join(
         whole, ["doc_id", "tid"], "left_anti")
     found = full.groupBy("doc_id", "tid").agg(
         F.collect_list(F.struct("h1", "h2")).alias("pairs")).select(

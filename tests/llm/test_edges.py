@@ -101,12 +101,14 @@ def test_runs_split_over_partitions(spark):
     try:
         table = spark.createDataFrame(sorted(set(rows)), "h long, doc_id long")
         got = {(r.h, r.doc_id): r["first"] for r in substring_dedup.repeats(table, ["h"]).collect()}
+        later = {(r.h, r.doc_id) for r in substring_dedup.repeats(table, ["h"], later=True).collect()}
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     by = {}
     for h, d in rows:
         by.setdefault(h, set()).add(d)
     assert got == {(h, d): min(ds) for h, ds in by.items() if len(ds) > 1 for d in ds}
+    assert later == {(h, d) for (h, d), first in got.items() if d > first}
 
 
 def test_simhash(spark, docs):
