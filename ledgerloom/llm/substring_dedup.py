@@ -289,8 +289,11 @@ def covered_windows(docs: DataFrame, length: int, doc_id: str, text: str) -> Dat
         "substring-anchors")
 
     long = listed.filter("long").select("doc_id", "tid", "digest")
-    equal = long.groupBy("digest").agg(
-        F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("least < most")
+    # written, so that the join below has exchanges of its own, which AQE splits where a
+    # digest is hot
+    equal = saved(long.groupBy("digest").agg(
+        F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("least < most"),
+        "substring-equal")
     state = saved(long.join(equal, "digest", "left").select(
         "doc_id", "tid", F.coalesce(F.col("doc_id") > F.col("least"), F.lit(False)).alias("copy")),
         "substring-copies")

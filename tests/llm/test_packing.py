@@ -1,4 +1,5 @@
 """Packing: ids equal to the tokenizer's, pieces as cut, gapless sequences, few of them."""
+import functools
 import zlib
 
 import numpy as np
@@ -11,9 +12,14 @@ from ledgerloom.llm import packing as K
 SF = "/root/testdata/sf0.001"
 
 
+@functools.cache
+def _encoder():
+    return K.Encoder(K.tokenizer_files())
+
+
 @pytest.fixture(scope="module")
 def encoder():
-    return K.Encoder(K.tokenizer_files())
+    return _encoder()
 
 
 def _ids(encoder, text):
@@ -24,7 +30,7 @@ def _ids(encoder, text):
 @given(text=st.one_of(st.text(), st.text(alphabet="ab' \n\té1²<|endoftext|>"),
                       st.lists(st.text(alphabet="we'll é,.ß12")).map(" ".join)))
 def test_ids_equal_tokenizer(text):
-    enc = test_ids_equal_tokenizer.__dict__.setdefault("e", K.Encoder(K.tokenizer_files()))
+    enc = _encoder()
     text = text.encode("utf-8", "ignore").decode()
     assert _ids(enc, text) == enc.full.encode(text, add_special_tokens=False).ids
 
