@@ -57,21 +57,21 @@ def test_stream_counts_equal_batch_counts(spark):
 
 
 def test_counters_are_complete_beyond_a_hundred_batches(spark):
-    """160 one-file batches, each with a row that breaks the rule."""
+    """152 one-file batches, each with a row that breaks the rule."""
     from ledgerloom.operators.expectations import Expectation
     from ledgerloom.streaming.medallion import BATCH, expectation_counts
 
     root = scratch_path(spark, "many")
-    rows = spark.range(320).selectExpr("id", "id % 2 as amount")
-    land(rows.repartitionByRange(160, "id"), f"{root}/landing")
+    rows = spark.range(304).selectExpr("id", "id % 2 as amount")
+    land(rows.repartitionByRange(152, "id"), f"{root}/landing")
     q = stream_table(spark, f"{root}/landing", f"{root}/out", rows.schema, f"{root}/chk",
                      expectations=[Expectation("positive_amount", "amount > 0", "drop")],
                      counters=f"{root}/counters", max_files=1)
     q.awaitTermination()
     counts = {r.expectation: r.violations for r in expectation_counts(spark, f"{root}/counters").collect()}
-    assert counts == {"__rows": 320, "positive_amount": 160}
+    assert counts == {"__rows": 304, "positive_amount": 152}
     out = spark.read.parquet(f"{root}/out")
-    assert out.count() == 160 and out.select(BATCH).distinct().count() == 160
+    assert out.count() == 152 and out.select(BATCH).distinct().count() == 152
 
 
 def test_rerun_adds_nothing(spark):
