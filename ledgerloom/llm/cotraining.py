@@ -6,16 +6,20 @@ only the other columns: hashed language and source, and the stated length.
 
 Co-training. Each view has a logistic classifier, fitted on the labelled documents
 of a bounded sample (``max_labelled``). In every round each classifier is
-calibrated, scores the unlabelled documents of the sample (``max_unlabelled``), and
-hands those it is most confident of, with the label it gives them, to the other
-one's training rows; then both are fitted again. A view that is never confident
-hands over nothing. At the end each view is calibrated (Platt scaling) on labelled
+calibrated, scores all unlabelled documents, and hands those of either class that
+it is most confident of (``max_handed`` of a class at most), with the label it
+gives them, to the other one's training rows; then both are fitted again. A view
+that is never confident hands over nothing. Only the training rows are bounded:
+every unlabelled document is a candidate in every round. Documents that are alike
+in both views are one candidate. At the end each view is calibrated (Platt scaling) on labelled
 documents that neither was fitted on, and the calibrated log-odds are added, the
 prior counted once; a last scaling on the same documents corrects the sum, as
 views are never quite independent.
 
-All documents are scored in parallel over their whole texts. Documents whose
-checksum puts them in the held-out quarter are never learned from.
+The whole texts are read once, in parallel; what the views see of them is written
+as a table (counts of subwords and the statistics), which the rounds and the last
+scoring read. Documents whose checksum puts them in the held-out quarter are never
+learned from.
 
 Defined results: a null or blank text has no subwords and statistics 0; null
 metadata is a value of its own; documents without an id are scored, not learned
@@ -149,6 +153,20 @@ class Model:
     last: tuple[float, float]
     exchanged: list[int]        # pseudo-labels handed over in each round
 
+    def standard(self, text: np.ndarray) -> np.ndarray:
+        """The text view's columns as its classifier takes them.
+
+        Clipped, as a column that is constant among the labelled rows may not be elsewhere.
+        """
+        out = np.clip((text - self.mean) / self.spread, -10, 10)
+        out[:, :BUCKETS] /= np.sqrt(BUCKETS)
+        return out
+
+    def raws(self, text: np.ndarray, meta: dict) -> list[np.ndarray]:
+        """Both views' raw scores of frequencies and statistics, and of metadata columns."""
+        return [x @ w[:-1].astype(float) + float(w[-1])
+                for x, w in zip((self.standard(text), _metadata(meta)), self.weights)]
+
     def log_odds(self, raws: list[np.ndarray]) -> list[np.ndarray]:
         return [a * r + b for r, (a, b) in zip(raws, self.scale)]
 
@@ -158,145 +176,234 @@ class Model:
         return sigmoid(a * (views[0] + views[1] - self.prior) + b)
 
 
-def _text_rows(batches):
-    """Text view of the sample: frequencies and statistics as bytes of float32."""
-    for batch in batches:
-        for part in (batch.slice(i, 256) for i in range(0, batch.num_rows, 256)):
-            texts = pc.fill_null(part.column(0), "")
-            stats = text_statistics(texts)
-            out = []
-            for text, s in zip(texts.cast(pa.binary()).to_pylist(), stats):
-                at, n = subwords.counts(text, BUCKETS)
-                row = np.zeros(BUCKETS + STATISTICS, np.float32)
-                row[at] = n / max(1, n.sum())
-                row[BUCKETS:] = s
-                out.append(row.tobytes())
+def _features(batches):
+    """Text view of every row: subword counts in the least type that holds them, statistics."""
+    for whole in batches:
+        for part in (whole.slice(i, 256) for i in range(0, whole.num_rows, 256)):
+            texts, n = pc.fill_null(part.column(0), ""), part.num_rows
+            counts = np.zeros(n * BUCKETS, np.int64)
+            for found, bounds in subwords.buckets(texts.cast(pa.binary()).to_pylist(), BUCKETS):
+                of = np.repeat(np.arange(n), np.diff(bounds))
+                counts += np.bincount(of * BUCKETS + found, minlength=n * BUCKETS)
+            packed = [c.astype(np.min_scalar_type(c.max())).tobytes() for c in counts.reshape(n, BUCKETS)]
+            stats = [x.tobytes() for x in text_statistics(texts)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(out, pa.binary()), *part.columns[1:]],
-                names=["view", *part.schema.names[1:]])
+                [pa.array(packed, pa.binary()), pa.array(stats, pa.binary()), *part.columns[1:]],
+                names=["counts", "stats", *part.schema.names[1:]])
 
 
-def sample(docs: DataFrame, labels: DataFrame, max_labelled: int, max_unlabelled: int) -> list:
-    """The two views of about ``max_labelled`` + ``max_unlabelled`` drawn documents."""
-    marks = saved(labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
-                  .groupBy("doc_id").agg(F.min("quality").alias("label")), "cotrain-labels")
-    rows = docs.filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    n_all, n_marked = docs.count(), marks.count()
-    draw = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("cotrain")), F.lit(1 << 20))
-    cut = lambda most, n: int(min(1.0, most / max(1, n)) * (1 << 20))
-    drawn_marks = marks.filter(draw < cut(max_labelled, 0.75 * n_marked))       # bounded
-    pool = rows.filter(draw < cut(max_unlabelled, 0.75 * max(1, n_all - n_marked)))
-    named = [c for c in rows.columns if c != "text"]
-    labelled = rows.join(F.broadcast(drawn_marks), "doc_id").select("text", *named, "label")
-    # unlabelled: of the drawn part of the documents, those without any label
-    free = pool.select("text", *named).join(
-        marks.filter(draw < cut(max_unlabelled, 0.75 * max(1, n_all - n_marked))).select("doc_id"),
-        "doc_id", "left_anti").select("text", *named, F.lit(None).cast("int").alias("label"))
+def _text_view(counts: list[bytes], stats: list[bytes]) -> np.ndarray:
+    """n x (BUCKETS + STATISTICS): frequencies of the subwords, then the statistics."""
+    out = np.empty((len(counts), BUCKETS + STATISTICS))
+    for i, (c, s) in enumerate(zip(counts, stats)):
+        out[i, :BUCKETS] = np.frombuffer(c, f"u{len(c) // BUCKETS}")
+        out[i, BUCKETS:] = np.frombuffer(s)
+    out[:, :BUCKETS] /= np.maximum(out[:, :BUCKETS].sum(1, keepdims=True), 1)
+    return out
+
+
+_META = ("m_lang", "m_source", "m_chars")
+
+
+def features(docs: DataFrame) -> DataFrame:
+    """The written table of what both views see of every row; ``key`` is equal where that is."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"view binary, doc_id {kind}, m_lang int, m_source int, m_chars double, label int"
-    order = ["text", "doc_id", "m_lang", "m_source", "m_chars", "label"]
-    found = labelled.select(*order).unionByName(free.select(*order)).mapInArrow(_text_rows, schema).collect()
+    rows = docs.select("text", "doc_id", *_META, F.xxhash64("text", *_META).alias("key"))
+    return saved(rows.mapInArrow(
+        _features, f"counts binary, stats binary, doc_id {kind}, m_lang int, m_source int, "
+                   "m_chars double, key long"), "cotrain-features")
+
+
+def _learnable(rows: DataFrame) -> DataFrame:
+    return rows.filter(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+
+
+def _collected(rows: DataFrame, *more: str) -> list[dict]:
+    """Bounded rows of the features as :func:`fit` takes them."""
+    found = rows.select("counts", "stats", "doc_id", "key", *_META, *more).collect()
+    return [{**{c: r[c] for c in ("doc_id", "key", *_META, *more)},
+             "view": _text_view([r["counts"]], [r["stats"]])[0].astype(np.float32).tobytes()}
+            for r in found]
+
+
+def known_labels(labels: DataFrame) -> DataFrame:
+    """The written label of every labelled id."""
+    return saved(labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
+                 .groupBy("doc_id").agg(F.min("quality").alias("label")), "cotrain-labels")
+
+
+def sample(rows: DataFrame, marks: DataFrame, max_labelled: int) -> list[dict]:
+    """The two views of about ``max_labelled`` drawn labelled documents."""
+    draw = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("cotrain")), F.lit(1 << 20))
+    cut = int(min(1.0, max_labelled / max(1, 0.75 * marks.count())) * (1 << 20))
+    drawn = marks.filter(draw < cut)                                            # bounded
+    found = _collected(_learnable(rows).join(F.broadcast(drawn), "doc_id"), "label")
     return sorted(found, key=lambda r: (r["doc_id"], r["view"]))
 
 
+class Listed:
+    """Candidates for pseudo-labels that are rows in memory."""
+
+    def __init__(self, rows: list):
+        self.rows = rows
+
+    def __len__(self) -> int:
+        return len(self.rows)
+
+    def surest(self, model: Model, edge: float, most: int, taken: list[set]) -> list[tuple]:
+        if not self.rows:
+            return []
+        text = np.stack([np.frombuffer(r["view"], np.float32) for r in self.rows])
+        odds = model.log_odds(model.raws(text, {c: [r[c] for r in self.rows] for c in _META}))
+        out = []
+        for mine, label in ((0, 0), (0, 1), (1, 0), (1, 1)):
+            z = odds[mine] if label else -odds[mine]
+            order = [i for i in np.argsort(-z, kind="stable") if z[i] >= edge and i not in taken[1 - mine]]
+            out += [(1 - mine, label, int(i), self.rows[i]) for i in order[:most]]
+        return out
+
+
+class Unlabelled:
+    """All documents of the features that are not held out and have no label, as candidates."""
+
+    def __init__(self, rows: DataFrame, marks: DataFrame):
+        self.rows, self.marks = _learnable(rows), marks.select("doc_id")
+
+    def __len__(self) -> int:
+        return self.rows.select("doc_id").join(self.marks, "doc_id", "left_anti").count()
+
+    def surest(self, model: Model, edge: float, most: int, taken: list[set]) -> list[tuple]:
+        """(receiving view, label, key, row) of the ``most`` surest of either view and class."""
+        kind = self.rows.schema["doc_id"].dataType.simpleString()
+
+        def run(batches):       # narrow rows, and only those that a view is sure of
+            for batch, raws in _view_raws(batches, model):
+                z = [np.round(x, 6) for x in model.log_odds(raws)]
+                sure = np.flatnonzero((np.abs(z[0]) >= edge) | (np.abs(z[1]) >= edge))
+                take = pa.array(sure)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").take(take), batch.column("key").take(take),
+                     *(pa.array(x[sure]) for x in z)], names=["doc_id", "key", "z0", "z1"])
+
+        scored = self.rows.select("counts", "stats", "doc_id", *_META, "key").mapInArrow(
+            run, f"doc_id {kind}, key long, z0 double, z1 double")
+        scored = saved(scored.join(self.marks, "doc_id", "left_anti").groupBy("key").agg(
+            F.max("z0").alias("z0"), F.max("z1").alias("z1")), "cotrain-sure")
+        picked = []
+        for mine, label in ((0, 0), (0, 1), (1, 0), (1, 1)):
+            z, known = F.col(f"z{mine}") * F.lit(2 * label - 1), taken[1 - mine]
+            best = (scored.filter(z >= edge).orderBy(z.desc(), "key").limit(most + len(known))
+                    .select("key").collect())       # bounded; every partition gives its best
+            keys = [r["key"] for r in best if r["key"] not in known][:most]
+            picked += [(1 - mine, label, k) for k in keys]
+        if not picked:
+            return []
+        wanted = self.rows.sparkSession.createDataFrame(
+            [(k,) for k in sorted({k for _, _, k in picked})], "key long")
+        found = _collected(self.rows.join(F.broadcast(wanted), "key").dropDuplicates(["key"]))
+        by_key = {r["key"]: r for r in found}
+        return [(view, label, k, by_key[k]) for view, label, k in picked]
+
+
 def fit(rows: list, rounds: int = 4, per_round: float = 0.1, confident: float = 0.98,
-        steps: int | None = None) -> Model | None:
-    """Co-train on the sample's rows; None without both classes."""
-    y = np.array([-1 if r["label"] is None else r["label"] for r in rows], int)
-    if not len(rows) or not ((y == 0).sum() >= 2 and (y == 1).sum() >= 2):
+        steps: int | None = None, pool: Listed | Unlabelled | None = None,
+        max_handed: int = 600) -> Model | None:
+    """Co-train on the sample's labelled rows; None without both classes.
+
+    ``pool`` holds the candidates for pseudo-labels; without one they are the rows
+    that have no label. A view hands over at most ``max_handed`` rows of a class in
+    a round, and at most ``per_round`` of all candidates.
+    """
+    if pool is None:
+        pool = Listed([r for r in rows if r["label"] is None])
+    rows = [r for r in rows if r["label"] is not None]
+    y = np.array([r["label"] for r in rows], int)
+    if not ((y == 0).sum() >= 2 and (y == 1).sum() >= 2):
         return None
     text = np.stack([np.frombuffer(r["view"], np.float32) for r in rows])
     mean, spread = text.mean(0), text.std(0) + 1e-3
-    text -= mean
-    text /= spread
-    text[:, :BUCKETS] *= np.float32(1 / np.sqrt(BUCKETS))
-    views = [text, _metadata({c: [r[c] for r in rows] for c in ("m_lang", "m_source", "m_chars")})
-             .astype(np.float32)]
+    model = Model(mean, spread, [], [], float(np.log((y == 1).sum() / (y == 0).sum())), (1.0, 0.0), [])
+
+    def views(some: list) -> list[np.ndarray]:
+        seen = np.stack([np.frombuffer(r["view"], np.float32) for r in some])
+        return [model.standard(seen).astype(np.float32),
+                _metadata({c: [r[c] for r in some] for c in _META}).astype(np.float32)]
+
     held = np.zeros(len(rows), bool)
     for label in (0, 1):        # every fourth labelled row of either class calibrates
         held[np.flatnonzero(y == label)[3::4]] = True
     if not all(((y == k) & held).any() for k in (0, 1)):
         held[:] = False
-    check = np.flatnonzero((y >= 0) & (held if held.any() else True))
-    known = [np.where(held, -1, y), np.where(held, -1, y)]
-    free = y < 0
+    check = np.flatnonzero(held if held.any() else ~held)
+    own = views(rows)
+    checked = [x[check] for x in own]
+    train, known = [x[~held] for x in own], [y[~held], y[~held]]
+    taken: list[set] = [set(), set()]
     steps = steps or max(120, min(1500, 1_500_000 // len(rows)))     # small samples: more passes
-    prior = float(np.log((y == 1).sum() / (y == 0).sum()))
-    most = max(1, int(per_round * max(1, free.sum())))
-    exchanged, before = [], [None, None]
+    most = max(1, min(max_handed, int(per_round * len(pool))))
+    edge = float(np.log(confident / (1 - confident)))
+    before = [None, None]
     for turn in range(rounds + 1):
-        weights, scale, raws = [], [], []
-        for k, (x, labels) in enumerate(zip(views, known)):
-            have = labels >= 0
-            w = logistic(x[have], labels[have], before[k], steps if turn == 0 else steps // 4)
-            raw = x @ w[:-1] + w[-1]
-            weights.append(w)
-            raws.append(raw)
-            scale.append(platt(raw[check], y[check]))
-        before = weights
+        model.weights = [logistic(x, labels, w, steps if turn == 0 else steps // 4)
+                         for x, labels, w in zip(train, known, before)]
+        raws = [x @ w[:-1] + w[-1] for x, w in zip(checked, model.weights)]
+        model.scale = [platt(raw, y[check]) for raw in raws]
+        before = model.weights
         if turn == rounds:
             break
-        handed = 0
-        for mine in (0, 1):
-            other = 1 - mine
-            p = sigmoid(scale[mine][0] * raws[mine] + scale[mine][1])
-            sure = np.flatnonzero(free & (known[other] < 0) & (np.maximum(p, 1 - p) >= confident))
-            sure = sure[np.argsort(-np.maximum(p, 1 - p)[sure], kind="stable")][:most]
-            known[other][sure] = (p[sure] > 0.5).astype(int)
-            handed += len(sure)
-        exchanged.append(handed)
-    model = Model(mean, spread, weights, scale, prior, (1.0, 0.0), exchanged)
-    odds = model.log_odds([r[check] for r in raws])
-    model.last = platt(odds[0] + odds[1] - prior, y[check])
+        handed = pool.surest(model, edge, most, taken)
+        for to in (0, 1):
+            new = [(label, key, row) for view, label, key, row in handed if view == to]
+            if new:
+                train[to] = np.concatenate([train[to], views([row for _, _, row in new])[to]])
+                known[to] = np.append(known[to], [label for label, _, _ in new])
+                taken[to].update(key for _, key, _ in new)
+        model.exchanged.append(len(handed))
+    odds = model.log_odds(raws)
+    model.last = platt(odds[0] + odds[1] - model.prior, y[check])
     return model
 
 
-def score(docs: DataFrame, model: Model | None, share: float = 0.5) -> DataFrame:
-    """doc_id, score and both views' calibrated probabilities, for every row."""
+def _view_raws(batches, model: Model):
+    """Batches of the features and both views' raw scores of their rows."""
+    for whole in batches:
+        for batch in (whole.slice(i, 1024) for i in range(0, whole.num_rows, 1024)):
+            text = _text_view(batch.column("counts").to_pylist(), batch.column("stats").to_pylist())
+            yield batch, model.raws(text, {c: batch.column(c).to_numpy() for c in _META})
+
+
+def score(rows: DataFrame, model: Model | None, share: float = 0.5) -> DataFrame:
+    """doc_id, score and both views' calibrated probabilities, for every row of the features."""
     if model is None:
-        return docs.select("doc_id", *(F.lit(float(share)).alias(c)
+        return rows.select("doc_id", *(F.lit(float(share)).alias(c)
                                        for c in ("score", "text_score", "meta_score")))
-    # the text view's weights on raw frequencies and statistics
-    w = model.weights[0][:-1].astype(float) / model.spread
-    w[:BUCKETS] /= np.sqrt(BUCKETS)
-    base = float(model.weights[0][-1]) - float(w @ model.mean)
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
-        for whole in batches:
-            for batch in (whole.slice(i, 256) for i in range(0, whole.num_rows, 256)):
-                texts = pc.fill_null(batch.column(0), "")
-                raw = text_statistics(texts) @ w[BUCKETS:] + base
-                total, number = np.zeros(len(texts)), np.zeros(len(texts))
-                for found, bounds in subwords.buckets(texts.cast(pa.binary()).to_pylist(), BUCKETS):
-                    number += np.diff(bounds)
-                    total += subwords.sums(w[:BUCKETS][found], bounds)
-                raw += total / np.maximum(number, 1)
-                meta = _metadata({c: batch.column(c).to_numpy() for c in
-                                  ("m_lang", "m_source", "m_chars")})
-                raws = [raw, meta @ model.weights[1][:-1] + model.weights[1][-1]]
-                views = [sigmoid(x) for x in model.log_odds(raws)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(1), *(pa.array(x, pa.float64()) for x in
-                                        (model.combined(raws), *views))],
-                    names=["doc_id", "score", "text_score", "meta_score"])
+        for batch, raws in _view_raws(batches, model):
+            seen = [sigmoid(x) for x in model.log_odds(raws)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), *(pa.array(x, pa.float64()) for x in
+                                           (model.combined(raws), *seen))],
+                names=["doc_id", "score", "text_score", "meta_score"])
 
-    return docs.select("text", "doc_id", "m_lang", "m_source", "m_chars").mapInArrow(
+    return rows.select("counts", "stats", "doc_id", *_META).mapInArrow(
         run, f"doc_id {kind}, score double, text_score double, meta_score double")
 
 
-def classify(docs: DataFrame, labels: DataFrame, max_labelled: int = 6000, max_unlabelled: int = 6000,
-             threshold: float = 0.5, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
+def classify(docs: DataFrame, labels: DataFrame, max_labelled: int = 6000, threshold: float = 0.5,
+             doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
              source: str = "source", n_chars: str = "n_chars", **how) -> DataFrame:
     """doc_id, held_out, score, text_score, meta_score and kept for every row of ``docs``.
 
     ``labels``: (doc_id, quality), 1 good, 0 bad.
     """
-    rows = docs.select(docs[doc_id].alias("doc_id"), docs[text].cast("string").alias("text"),
-                       *metadata_columns(docs[lang], docs[source], docs[n_chars]))
-    drawn = sample(rows, labels, max_labelled, max_unlabelled)
-    known = [r["label"] for r in drawn if r["label"] is not None]
-    model = fit(drawn, **how)
+    rows = features(docs.select(docs[doc_id].alias("doc_id"), docs[text].cast("string").alias("text"),
+                                *metadata_columns(docs[lang], docs[source], docs[n_chars])))
+    marks = known_labels(labels)
+    drawn = sample(rows, marks, max_labelled)
+    known = [r["label"] for r in drawn]
+    model = fit(drawn, pool=Unlabelled(rows, marks), **how)
     out = score(rows, model, sum(known) / len(known) if known else 0.5)
     return out.withColumn("held_out", held_out(F.col("doc_id"))).withColumn(
         "kept", F.col("score") >= threshold)

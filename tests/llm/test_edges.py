@@ -298,3 +298,32 @@ def test_co_training_exchanges_labels():
     model = cotraining.fit(rows)
     assert sum(model.exchanged) > 0
     assert cotraining.fit([r for r in rows if r["label"] != 0]) is None
+
+
+def test_co_training_looks_at_every_unlabelled_document(spark):
+    """Each surest document is handed over, wherever it is; copies count once, the rest never."""
+    n = 9000        # more than any sample of unlabelled documents was
+    rare = {n - 7, n - 3}
+    rows = [(i, "plain words of a text" if i not in rare else f"rare kind {i}", "en",
+             "spam" if i in rare else "web", 10) for i in range(n)]
+    rows += [(n, "rare kind labelled", "en", "spam", 10), (None, "rare kind unnamed", "en", "spam", 10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long") \
+        .repartition(5)
+    held = {r.doc_id for r in docs.filter(cotraining.held_out(F.col("doc_id"))).collect()}
+    marks = cotraining.known_labels(spark.createDataFrame([(n, 0)], "doc_id long, quality int"))
+    table = cotraining.features(docs.select("doc_id", "text", *cotraining.metadata_columns(
+        *(F.col(c) for c in ("lang", "source", "n_chars")))))
+    pool = cotraining.Unlabelled(table, marks)
+    assert len(pool) == n - len(held - {n})
+    spam = table.filter(F.col("doc_id") == n).first().m_source
+    size = cotraining.BUCKETS + cotraining.STATISTICS
+    meta = np.zeros(2 * cotraining.META_BUCKETS + 3)
+    meta[cotraining.META_BUCKETS + spam], meta[-1] = -10, 5         # sure of good, but of bad for spam
+    model = cotraining.Model(np.zeros(size), np.ones(size), [np.zeros(size + 1), meta],
+                             [(1.0, 0.0)] * 2, 0.0, (1.0, 0.0), [])
+    found = pool.surest(model, 4.0, 50, [set(), set()])
+    assert {(to, label) for to, label, _, _ in found} == {(0, 0), (0, 1)}
+    assert {r["doc_id"] for _, label, _, r in found if label == 0} == rare - held != set()
+    assert sum(label for _, label, _, _ in found) == 1              # one of the equal ones
+    again = pool.surest(model, 4.0, 50, [{k for _, _, k, _ in found}, set()])
+    assert again == []
