@@ -20,7 +20,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one of least id, of each SimHash component."""
+    """One row, the one of least id, of each SimHash component."""
     return simhash.keep_one(docs, SIMHASH_BITS, SIMHASH_SHINGLE)
 
 

@@ -59,18 +59,20 @@ def _fingerprint(text: bytes | None, shingle: int) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, doc_id: str = "doc_id",
-                 text: str = "text") -> DataFrame:
-    """(doc_id, fp): the SimHash of every whole text as a signed 64-bit integer."""
+                 text: str = "text", row: Column | None = None) -> DataFrame:
+    """(doc_id, fp): the SimHash of every whole text as a signed 64-bit integer; ``row`` is kept."""
     kind = docs.schema[doc_id].dataType.simpleString()
 
     def run(batches):
         for batch in batches:
             fps = [_fingerprint(t.as_py(), shingle) for t in batch.column(1).cast(pa.binary())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())],
-                                             names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(fps, pa.int64()), *batch.columns[2:]],
+                names=["doc_id", "fp", *batch.schema.names[2:]])
 
-    narrow = docs.select(docs[doc_id].alias("doc_id"), docs[text].cast("string").alias("text"))
-    return narrow.mapInArrow(run, f"doc_id {kind}, fp long")
+    more = [] if row is None else [row.alias("row")]
+    narrow = docs.select(docs[doc_id].alias("doc_id"), docs[text].cast("string").alias("text"), *more)
+    return narrow.mapInArrow(run, f"doc_id {kind}, fp long" + (", row long" if more else ""))
 
 
 def gray_rank(code: Column) -> Column:
@@ -289,32 +291,52 @@ def components(codes: DataFrame, bits: int, block: int = BLOCK) -> DataFrame:
         "fp", F.coalesce("component", "root").alias("component"))
 
 
+def _with_component(rows: DataFrame, bits: int, block: int) -> DataFrame:
+    """Written rows of :func:`fingerprints` with component_id and, if they have ``row``, ``first``.
+
+    ``first`` is the component's first row by id (nulls last), fingerprint and ``row``.
+    """
+    found = {"component_id": F.min("doc_id")}
+    if "row" in rows.columns:
+        found["first"] = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "fp", "row"))
+    codes = saved(rows.groupBy("fp").agg(*(v.alias(k) for k, v in found.items())), "simhash-codes")
+    named = components(codes, bits, block).join(codes, "fp")
+    least = named.groupBy("component").agg(*(F.min(k).alias(k) for k in found))
+    by_fp = named.select("fp", "component").join(least, "component").drop("component")
+    return rows.join(by_fp, "fp")
+
+
 def near_duplicates(docs: DataFrame, bits: int = 3, shingle: int = 3, doc_id: str = "doc_id",
                     text: str = "text", block: int = BLOCK) -> DataFrame:
     """(doc_id, fp, component_id) for every row of ``docs``."""
     rows = saved(fingerprints(docs, shingle, doc_id, text), "simhash-rows")
-    codes = saved(rows.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "simhash-codes")
-    named = components(codes, bits, block).join(codes, "fp")
-    least = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    by_fp = named.join(least, "component").select("fp", "component_id")
-    return rows.join(by_fp, "fp").select("doc_id", "fp", "component_id")
+    return _with_component(rows, bits, block).select("doc_id", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, bits: int = 3, shingle: int = 3, doc_id: str = "doc_id",
-             text: str = "text") -> DataFrame:
-    """``docs`` with one document of each component, the one that names it; all columns.
+             text: str = "text", block: int = BLOCK) -> DataFrame:
+    """``docs`` with exactly one row of each component, all columns.
 
-    Rows that repeat an id are one document and become one row; rows without an
-    id cannot be named and stay.
+    The row that stays is the first by id (nulls last), fingerprint and a hash of
+    the row, so rows without an id go like others, and of different texts under
+    one id each is judged in its own component.
     """
-    found = saved(near_duplicates(docs, bits, shingle, doc_id, text), "simhash-found")
-    gone = found.filter(F.col("doc_id") != F.col("component_id")).select(
-        F.col("doc_id").alias("_gone")).distinct()
-    out = docs.join(gone, docs[doc_id] == F.col("_gone"), "left_anti")
-    repeated = found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1")
-    if repeated.limit(1).count():
-        out = out.filter(F.col(doc_id).isNull()).unionByName(
-            out.filter(F.col(doc_id).isNotNull()).dropDuplicates([doc_id]))
+    cells = [docs[f.name] for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    row = F.xxhash64(*cells, *(c.isNull() for c in cells))     # the hash itself skips nulls
+    rows = saved(fingerprints(docs, shingle, doc_id, text, row), "simhash-rows")
+    found = saved(_with_component(rows, bits, block).select(
+        F.col("doc_id").alias("_keep_id"), F.col("row").alias("_keep_row"),
+        (F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
+         & (F.col("row") == F.col("first.row"))).alias("stays")), "simhash-found")
+    gone = found.filter("not stays").select("_keep_id", "_keep_row").distinct()
+    same = docs[doc_id].eqNullSafe(F.col("_keep_id")) & (row == F.col("_keep_row"))
+    out = docs.join(gone, same, "left_anti")
+    equal = found.filter("stays").groupBy("_keep_id", "_keep_row").count().filter("count > 1")
+    if equal.limit(1).count():      # rows alike in all columns: one of them
+        equal = saved(equal.drop("count"), "simhash-equal")
+        one = out.join(equal, same, "left_semi").withColumn("_keep_row", row).dropDuplicates(
+            [doc_id, "_keep_row"]).drop("_keep_row")
+        out = out.join(equal, same, "left_anti").unionByName(one)
     return out
 
 

@@ -327,3 +327,22 @@ def test_co_training_looks_at_every_unlabelled_document(spark):
     assert sum(label for _, label, _, _ in found) == 1              # one of the equal ones
     again = pool.surest(model, 4.0, 50, [{k for _, _, k, _ in found}, set()])
     assert again == []
+
+
+def test_keep_one_keeps_one_row_of_each_component(spark):
+    """Rows without an id, one id on two texts, rows alike in all columns or in id and text only."""
+    text = {k: " ".join(f"{k}{i}" for i in range(60)) for k in "abcdefg"}
+    rows = [(1, "a", "x"), (None, "a", "x"), (None, "a", "y"),          # copies without an id
+            (None, "b", "x"), (None, "b", "x"), (None, "b", "y"),       # none has an id
+            (2, "a", "x"), (2, "c", "x"),                               # one of them resembles nothing
+            (3, "d", "x"), (3, "e", "x"),                               # two documents of one id
+            (4, "f", "x"), (4, "f", "x"), (4, "f", "y"),
+            (None, "g", None)]
+    docs = spark.createDataFrame([(d, text[k], s, k) for d, k, s in rows],
+                                 "doc_id long, text string, source string, kind string").repartition(3)
+    kept = simhash.keep_one(docs, 3, 3)
+    assert kept.columns == docs.columns
+    got = sorted((r.kind, r.doc_id) for r in kept.collect())
+    assert got == [("a", 1), ("b", None), ("c", 2), ("d", 3), ("e", 3), ("f", 4), ("g", None)]
+    again = simhash.keep_one(docs.repartition(5), 3, 3)
+    assert sorted(map(repr, again.collect())) == sorted(map(repr, kept.collect()))
