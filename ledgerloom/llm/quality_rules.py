@@ -173,22 +173,22 @@ def _best_literal(rows: DataFrame) -> tuple[Literal | None, int]:
     return best, all_p
 
 
-def learn(labelled: DataFrame, max_rules: int = 12, max_literals: int = 3,
-          min_precision: float = 0.95, min_cover: int = 2) -> DecisionList:
+def learn(labelled: DataFrame, min_precision: float = 0.95, min_cover: int = 2) -> DecisionList:
     """Sequential covering over a written table of statistics, ``doc_id`` and ``bad``.
 
     A rule is accepted if, of the labelled rows it covers, at least
     ``min_precision`` are bad, on the pruning part and overall, and at least
-    ``min_cover`` bad rows are covered.
+    ``min_cover`` bad rows are covered; so there are at most as many rules as that
+    allows. A rule grows while a literal gains, each time to fewer rows.
     """
     part = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")),
                   F.lit(3))
     rows = labelled.withColumn("grow", part > 0)
     out, left = DecisionList(), rows
-    while len(out.rules) < max_rules:
+    while True:
         rule: list[Literal] = []
         growing = left.filter("grow")
-        while len(rule) < max_literals:
+        while True:
             literal, n_bad = _best_literal(growing)
             if literal is None or n_bad < min_cover:
                 break
@@ -213,6 +213,8 @@ def learn(labelled: DataFrame, max_rules: int = 12, max_literals: int = 3,
             break
         out.rules.append(head)
         left = left.filter(~_all(head))
+        if len(out.rules) % 16 == 0:        # keeps the plan short
+            left = saved(left, "quality-left")
     return out
 
 

@@ -346,3 +346,16 @@ def test_keep_one_keeps_one_row_of_each_component(spark):
     assert got == [("a", 1), ("b", None), ("c", 2), ("d", 3), ("e", 3), ("f", 4), ("g", None)]
     again = simhash.keep_one(docs.repartition(5), 3, 3)
     assert sorted(map(repr, again.collect())) == sorted(map(repr, kept.collect()))
+
+
+def test_decision_list_covers_every_kind(spark):
+    """Fifteen kinds of bad documents, between good ones."""
+    rows = [(100 * k + 2 * i + bad, bool(bad), int(2 ** (k + (0.15 if bad else 0.65))))
+            for k in range(6, 21) for i in range(30) for bad in (0, 1)]
+    table = spark.createDataFrame(rows, "doc_id long, bad boolean, n_words long").select(
+        "doc_id", "bad", F.struct(
+            "n_words", (5 * F.col("n_words")).alias("word_chars"), *(F.lit(0).cast("long").alias(c) for c in (
+                "n_symbols", "n_dup_lines", "n_repeat_words")), F.lit(False).alias("base_failed")).alias("_quality"))
+    rules = quality_rules.learn(quality_rules.saved(table, "test-kinds"))
+    judged = table.withColumn("kept", rules.verdict()).collect()
+    assert len(rules.rules) > 12 and all(r.kept != r.bad for r in judged), str(rules)
