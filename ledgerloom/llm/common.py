@@ -59,3 +59,25 @@ def batch_rows(batch):
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def fresh(columns, name: str) -> str:
+    """``name``, or with underscores behind it, so that no column of ``columns`` has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def text_slices(batches, column: int, n_bytes: int):
+    """Arrow batches cut into rows of about ``n_bytes`` of text each (a longer text is whole)."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0)
+        part = np.cumsum(sizes.to_numpy(zero_copy_only=False), dtype=np.int64) // n_bytes
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+        for a, b in zip(cuts, cuts[1:]):
+            if b > a:
+                yield batch.slice(a, b - a)

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
-from . import cotraining, exact_topk, language_id, mixing, packing, quality_rules, simhash, substring_dedup, url_filters, warc
+from .common import let, table, words
+from . import (collocations, cotraining, decontamination, exact_topk, language_id, mixing, packing,
+               periodic_runs, quality_rules, simhash, substring_dedup, url_filters, warc)
 
 MIX_CYCLE = (3, 1, 2)
 WINDOW_WORDS = 13
@@ -195,6 +196,134 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "component_id")
 
 
+DECON_WORDS = 10
+
+
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.decontaminate(table(spark, sf_dir, "documents"),
+                                          table(spark, sf_dir, "benchmark"), DECON_WORDS)
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"))
+
+
+OP11_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS ws
+  FROM documents),
+b AS (
+  SELECT item_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, least(len(ws), 10) AS m,
+         array_to_string(list_slice(ws, i, i + 9), ' ') AS s
+  FROM (SELECT *, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) AS i FROM b WHERE len(ws) > 0)),
+grams AS (
+  SELECT r, m, i, array_to_string(list_slice(ws, i, i + m - 1), ' ') AS s
+  FROM (SELECT r, ws, m, unnest(range(1, len(ws) - m + 2)) AS i
+        FROM d, (SELECT DISTINCT m FROM win) WHERE len(ws) >= m)),
+hits AS (SELECT DISTINCT g.r, g.i, g.m, w.item_id FROM grams g JOIN win w ON g.m = w.m AND g.s = w.s),
+words AS (SELECT r, count(DISTINCT j) AS n FROM (SELECT r, unnest(range(i, i + m)) AS j FROM hits)
+          GROUP BY r),
+items AS (SELECT r, list_sort(list(DISTINCT item_id::VARCHAR)) AS ids FROM hits
+          WHERE item_id IS NOT NULL GROUP BY r)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_hit,
+       coalesce(len(ids), 0)::BIGINT AS n_items,
+       sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256,
+       coalesce(n, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (r) LEFT JOIN items USING (r)
+"""
+
+
+PHRASE_COUNT, PHRASE_WORDS, PHRASES_TOP, PHRASE_ABSORBED = 100, 5, 2000, 100
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("lang", "text")
+    found = collocations.collocations(docs, PHRASE_COUNT, PHRASE_WORDS, PHRASE_ABSORBED)
+    return collocations.ranked(found, PHRASES_TOP).select(
+        "lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
+
+
+OP12_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents WHERE text IS NOT NULL),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces),
+total AS (SELECT lang, sum(len(ws))::HUGEINT AS n FROM w GROUP BY lang),
+grams AS (
+  SELECT lang, k, array_to_string(list_slice(ws, i, i + k - 1), ' ') AS phrase
+  FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i
+        FROM w, (SELECT unnest(range(1, 6)) AS k) WHERE len(ws) >= k)),
+f AS (SELECT lang, k, phrase, count(*)::HUGEINT AS f FROM grams GROUP BY ALL HAVING count(*) >= 100),
+cut AS (
+  SELECT lang, phrase, k, f AS a, unnest(range(1, k)) AS j, string_split(phrase, ' ') AS ws
+  FROM f WHERE k >= 2),
+scored AS (
+  SELECT c.lang, c.phrase, c.k, c.a, t.n, x.f AS l, y.f AS r, c.j,
+         (1000 * c.a * t.n) // (x.f * y.f) AS score
+  FROM cut c JOIN total t ON t.lang = c.lang
+  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(list_slice(ws, 1, c.j), ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(list_slice(ws, c.j + 1, c.k), ' ')),
+best AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) AS o FROM scored),
+inside AS (
+  SELECT lang, array_to_string(list_slice(ws, s, s + m - 1), ' ') AS phrase, max(a) AS longer
+  FROM (SELECT *, unnest(range(1, k - m + 2)) AS s
+        FROM (SELECT lang, k, a, ws, unnest(range(2, k)) AS m FROM cut WHERE j = 1 AND k > 2))
+  GROUP BY ALL),
+kept AS (
+  SELECT b.* FROM best b LEFT JOIN inside i ON i.lang = b.lang AND i.phrase = b.phrase
+  WHERE o = 1 AND (longer IS NULL OR 100 * longer < 100 * a)),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r,
+       n::BIGINT AS n, score::BIGINT AS score
+FROM placed WHERE rank <= 2000
+"""
+
+
+def _periodic(text: Column, doc_id: Column) -> Column:
+    """The words of every tenth document, by hash of its id, made periodic from some word on."""
+    h = F.crc32(doc_id.cast("string").cast("binary"))
+    g = F.floor(h / 10).cast("long")
+
+    def rewrite(w: Column) -> Column:
+        n = F.size(w)
+        a = F.pmod(g, n).cast("int")
+        p = (1 + F.floor((n - a) / (3 + F.pmod(g, F.lit(8))))).cast("int")
+        return let(F.struct(w.alias("w"), a.alias("a"), p.alias("p")), lambda x: F.array_join(
+            F.transform(x["w"], lambda v, i: F.when(i < x["a"], v).otherwise(
+                F.get(x["w"], x["a"] + F.pmod(i - x["a"], x["p"])))), " "))
+
+    chosen = F.coalesce((F.pmod(h, F.lit(10)) == 0) & text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    return F.when(chosen, let(words(text), rewrite)).otherwise(text)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", _periodic(F.col("text"), F.col("doc_id")).alias("text"))
+    found = periodic_runs.annotate(docs)
+    longest = F.array_min(F.transform("_runs", lambda r: F.struct(
+        (-r["length"]).alias("order"), r["start"].alias("start"), r["period"].alias("period"))))
+    lines = F.transform("_runs", lambda r: F.format_string(
+        "%d,%d,%d\n", r["start"], r["length"], r["period"]))
+    return found.withColumn("longest", longest).select(
+        "doc_id", F.size("_runs").cast("long").alias("n_runs"), F.col("longest.start").alias("start"),
+        (-F.col("longest.order")).alias("length"), F.col("longest.period").alias("period"),
+        F.floor(-1000 * F.col("longest.order") / F.col("longest.period")).cast("long").alias(
+            "exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("_collapsed", 256).alias("collapsed_sha256"))
+
+
 def queries() -> dict:
     return {"op1_source_mixing": op1_source_mixing,
             "op2_packing": op2_packing,
@@ -205,10 +334,14 @@ def queries() -> dict:
             "op7_warc": op7_warc,
             "op8_quality_classifier": op8_quality_classifier,
             "op9_language_id": op9_language_id,
-            "op10_simhash": op10_simhash}
+            "op10_simhash": op10_simhash,
+            "op11_decontamination": op11_decontamination,
+            "op12_collocations": op12_collocations,
+            "op13_periodic_runs": op13_periodic_runs}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_source_mixing": OP1_SQL, "op4_url_filters": OP4_SQL,
-            "op5_exact_topk": OP5_SQL,            "op6_substring_dedup": OP6_SQL,
-            "op7_warc": OP7_SQL}
+            "op5_exact_topk": OP5_SQL, "op6_substring_dedup": OP6_SQL,
+            "op7_warc": OP7_SQL, "op11_decontamination": OP11_SQL,
+            "op12_collocations": OP12_SQL}

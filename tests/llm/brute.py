@@ -75,3 +75,70 @@ def substring_dedup(docs, length):
                 gone |= set(range(i, i + length))
         out.append([x for i, x in enumerate(w) if i not in gone])
     return out
+
+
+def runs(w, exponent=4, shortest=6):
+    """(start, length, period) of every run of ``w``, by start, then period."""
+    out = []
+    for q in range(1, len(w) // exponent + 1):
+        i = 0
+        while i + q < len(w):
+            j = i
+            while j + q < len(w) and w[j] == w[j + q]:
+                j += 1
+            s, n = i, j + q - i
+            if j > i and n >= max(shortest, exponent * q) and not any(
+                    all(w[x] == w[x + p] for x in range(s, s + n - p)) for p in range(1, q)):
+                out.append((s, n, q))
+            i = j + 1
+    return sorted(out, key=lambda r: (r[0], r[2]))
+
+
+def collapsed(w, found):
+    gone = {i for s, n, q in found for i in range(s + q, s + n)}
+    return " ".join(x for i, x in enumerate(w) if i not in gone)
+
+
+def test_words(text):
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+
+
+def windows(items, length):
+    """[(item, words)] -> {window: items}"""
+    out = {}
+    for item, w in items:
+        for i in range(max(len(w) - length + 1, 1) if w else 0):
+            out.setdefault(tuple(w[i:i + length]), set()).add(item)
+    return out
+
+
+def phrases(docs, most):
+    """[(lang, text)] -> counts of (lang, words) up to ``most`` words, words per language."""
+    counts, total = Counter(), Counter()
+    for lang, text in docs:
+        low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", low):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            total["und" if lang is None else lang] += len(w)
+            for k in range(1, most + 1):
+                for i in range(len(w) - k + 1):
+                    counts["und" if lang is None else lang, tuple(w[i:i + k])] += 1
+    return counts, total
+
+
+def collocations(docs, least, most, percent):
+    """Rows (lang, phrase, a, l, r, n, score) without those a longer phrase absorbs."""
+    counts, total = phrases(docs, most)
+    found = {k: a for k, a in counts.items() if len(k[1]) > 1 and a >= least}
+    out = set()
+    for (lang, w), a in found.items():
+        if any(100 * b >= percent * a for (other, v), b in found.items()
+               if other == lang and len(v) > len(w)
+               and any(v[i:i + len(w)] == w for i in range(len(v) - len(w) + 1))):
+            continue
+        cuts = [(1000 * a * total[lang] // (counts[lang, w[:k]] * counts[lang, w[k:]]), k)
+                for k in range(1, len(w))]
+        score, k = min(cuts)
+        out.add((lang, " ".join(w), a, counts[lang, w[:k]], counts[lang, w[k:]], total[lang], score))
+    return out
