@@ -27,11 +27,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without passages that an earlier document holds; emptied documents go."""
     out = substring_dedup.dedup(docs, WINDOW_WORDS)
-    emptied = (F.col("_sub_n_removed") > 0) & (F.col("_sub_n_removed") == F.col("_sub_n_words"))
-    changed = F.col("_sub_n_removed") > 0
+    words, removed = (F.col(f"`{c}`") for c in out.columns[len(docs.columns):][:2])
+    emptied = (removed > 0) & (removed == words)
+    changed = removed > 0
     return (out.filter(~emptied)
             .withColumn("n_chars", F.when(changed, F.length("text")).otherwise(F.col("n_chars")))
-            .select(*docs.columns))
+            .select(*(F.col(f"`{c}`") for c in docs.columns)))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
