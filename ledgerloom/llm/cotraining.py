@@ -23,7 +23,8 @@ learned from.
 
 Defined results: a null or blank text has no subwords and statistics 0; null
 metadata is a value of its own; documents without an id are scored, not learned
-from; of several labels of one document the lowest counts, null labels are none;
+from; rows alike in id, text and metadata are learned from once; labels of documents
+that are not there play no part; of several labels of one document the lowest counts, null labels are none;
 with labels of one class, or none, the score is that class's share (0.5 without
 labels); an empty table gives an empty result.
 """
@@ -39,13 +40,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import subwords
-from .common import saved
+from .common import bounded_draw, saved, small_side
 from .language_id import held_out
 from .substring_dedup import word_hashes
 
 BUCKETS = 512
 STATISTICS = 7
 META_BUCKETS = 128
+MAX_BROADCAST_LABELS = 500_000
+#: Gradient steps of the first fit: so many that rows times steps is about WORK.
+LEAST_STEPS, MOST_STEPS, WORK = 120, 1500, 1_500_000
 
 
 def _share_distinct(keys: np.ndarray, of: np.ndarray, n_texts: int) -> np.ndarray:
@@ -233,11 +237,17 @@ def known_labels(labels: DataFrame) -> DataFrame:
 
 
 def sample(rows: DataFrame, marks: DataFrame, max_labelled: int) -> list[dict]:
-    """The two views of about ``max_labelled`` drawn labelled documents."""
-    draw = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("cotrain")), F.lit(1 << 20))
-    cut = int(min(1.0, max_labelled / max(1, 0.75 * marks.count())) * (1 << 20))
-    drawn = marks.filter(draw < cut)                                            # bounded
-    found = _collected(_learnable(rows).join(F.broadcast(drawn), "doc_id"), "label")
+    """The two views of ``max_labelled`` labelled documents at most, drawn by hash of the row.
+
+    Only documents that are there and not held out are drawn from. An id on many rows
+    gives one row for each of its texts and metadata.
+    """
+    learnable = _learnable(rows)
+    known = saved(learnable.select("doc_id", "key").join(
+        small_side(marks, MAX_BROADCAST_LABELS), "doc_id").distinct(), "cotrain-known")
+    drawn = saved(bounded_draw(known, max_labelled, "doc_id", "key"), "cotrain-drawn")
+    found = _collected(learnable.join(F.broadcast(drawn), ["doc_id", "key"])
+                       .dropDuplicates(["doc_id", "key"]), "label")
     return sorted(found, key=lambda r: (r["doc_id"], r["view"]))
 
 
@@ -312,7 +322,9 @@ def fit(rows: list, rounds: int = 4, per_round: float = 0.1, confident: float =
 
     ``pool`` holds the candidates for pseudo-labels; without one they are the rows
     that have no label. A view hands over at most ``max_handed`` rows of a class in
-    a round, and at most ``per_round`` of all candidates.
+    a round, and at most ``per_round`` of all candidates. ``steps``: of the first fit,
+    a quarter of it in later rounds; by default ``WORK`` steps times rows, but between
+    ``LEAST_STEPS`` and ``MOST_STEPS``: a small sample needs more passes to converge.
     """
     if pool is None:
         pool = Listed([r for r in rows if r["label"] is None])
@@ -339,7 +351,7 @@ def fit(rows: list, rounds: int = 4, per_round: float = 0.1, confident: float =
     checked = [x[check] for x in own]
     train, known = [x[~held] for x in own], [y[~held], y[~held]]
     taken: list[set] = [set(), set()]
-    steps = steps or max(120, min(1500, 1_500_000 // len(rows)))     # small samples: more passes
+    steps = steps or max(LEAST_STEPS, min(MOST_STEPS, WORK // len(rows)))
     most = max(1, min(max_handed, int(per_round * len(pool))))
     edge = float(np.log(confident / (1 - confident)))
     before = [None, None]

@@ -2,18 +2,19 @@
 
 A text is the average of the embeddings of its hashed subwords, a linear layer and
 a softmax follow; both are trained by stochastic gradient descent in numpy. The
-fit uses a bounded sample: at most about ``per_language`` documents of each
-language, drawn by hash of their ids; their whole texts are reduced to bucket
-counts by the executors. One in ten of the sample calibrates: a temperature that
-minimises the log loss, and the score below which a prediction is rejected so
-that the accepted ones reach ``precision``.
+fit uses a bounded sample: at most ``per_language`` documents of each language,
+drawn by hash of id and text; their whole texts are reduced to bucket counts by the
+executors. Every tenth of the sample calibrates: a temperature that minimises the
+log loss, and the score below which a prediction is rejected so that the accepted
+ones reach ``precision``. A sample of under ten documents has no tenth and
+calibrates on what it was trained on.
 
 Prediction covers whole texts in parallel. The two layers are folded into one
 table (bucket -> a logit for each language), so a text is the mean of table rows.
 
 Defined results: texts that are null or hold no letter are ``und`` with score 0
 and are not learned from; documents without an id are predicted, not learned from;
-repeated rows are predicted alike; without anything to learn from all are
+repeated rows are predicted alike and learned from once; without anything to learn from all are
 ``und``; an empty table gives an empty result.
 """
 
@@ -25,8 +26,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from . import subwords
+from .common import saved
 
 UNKNOWN = "und"
 BUCKETS, DIMENSIONS = 1 << 13, 16
@@ -78,20 +81,28 @@ def _bucket_counts(batches, n_buckets: int):
 
 def sample(docs: DataFrame, per_language: int, doc_id: str, text: str, lang: str,
            n_buckets: int) -> list:
-    """Bucket counts of the drawn documents, in a fixed order (bounded rows)."""
-    rows = docs.select(docs[text].alias("text"), docs[lang].cast("string").alias("lang"),
-                       F.xxhash64(docs[doc_id].cast("string"), F.lit("draw")).alias("draw"),
-                       docs[doc_id].alias("doc_id")).filter(
-        F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    sizes = rows.groupBy("lang").count().collect()          # a row a language
-    share = F.lit(0.0)
-    for name, n in sizes:
-        share = F.when(F.col("lang") == name, F.lit(min(1.0, per_language / n))).otherwise(share)
-    drawn = rows.filter((F.pmod("draw", F.lit(1 << 20)) < share * (1 << 20))
-                        & has_letter(F.col("text")))
-    found = drawn.select("text", "lang", "draw").mapInArrow(
-        lambda b: _bucket_counts(b, n_buckets),
-        "lang string, draw long, buckets binary, counts binary").collect()
+    """Bucket counts of the drawn documents, in a fixed order (bounded rows).
+
+    At most ``per_language`` of each language; an id on many rows gives one for each of
+    its texts.
+    """
+    rows = docs.select(docs[text].cast("string").alias("text"), docs[lang].cast("string").alias("lang"),
+                       docs[doc_id].alias("doc_id"), F.xxhash64(docs[text]).alias("tid")).filter(
+        F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))
+        & has_letter(F.col("text")))
+    key = ["lang", "doc_id", "tid"]
+    known = saved(rows.select(*key).distinct(), "language-known")
+    sizes = known.groupBy("lang").count()                   # a row a language
+    draw = F.xxhash64(F.col("doc_id").cast("string"), "tid", F.lit("draw"))
+    near = known.join(F.broadcast(sizes), "lang").withColumn("draw", draw).filter(
+        F.pmod("draw", F.lit(1 << 40)) * F.col("count")
+        < F.lit((1.1 * per_language + 100) * (1 << 40)))
+    first = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "doc_id", "tid"))
+    drawn = saved(near.withColumn("place", first).filter(F.col("place") <= per_language)
+                  .select(*key, "draw"), "language-drawn")
+    found = (rows.join(F.broadcast(drawn), key).dropDuplicates(key).select("text", "lang", "draw")
+             .mapInArrow(lambda b: _bucket_counts(b, n_buckets),
+                         "lang string, draw long, buckets binary, counts binary").collect())
     return sorted(found, key=lambda r: (r["draw"], r["lang"], r["buckets"]))
 
 
@@ -104,10 +115,7 @@ def fit(rows: list, n_buckets: int = BUCKETS, dimensions: int = DIMENSIONS, epoc
     rng = np.random.default_rng(seed)
     x = [(np.frombuffer(r["buckets"], np.int32), np.frombuffer(r["counts"], np.float32)) for r in rows]
     y = np.array([languages.index(r["lang"]) for r in rows])
-    if len(rows) >= 50:
-        held = np.arange(len(rows)) % 10 == 9
-    else:
-        held = np.zeros(len(rows), bool)
+    held = np.arange(len(rows)) % 10 == 9
     train = np.flatnonzero(~held)
     embed = rng.uniform(-1 / dimensions, 1 / dimensions, (n_buckets, dimensions)).astype(np.float32)
     out = np.zeros((dimensions, len(languages)), np.float32)

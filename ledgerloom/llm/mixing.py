@@ -166,9 +166,11 @@ def mix(docs: DataFrame, weights, budget: float = 1.5, max_epochs: float = 2.0,
     """
     base = sized(docs, docs[doc_id], docs[source], word_count(docs[text]), seed)
     plan = mixing_plan(base, weights, budget, max_epochs)
-    out = with_copies(docs, plan, _source_key(F.col(source)), _draw_key(F.col(doc_id), seed))
+    rows = docs.select(F.struct("*").alias("row"), _source_key(docs[source]).alias("source_key"),
+                       _draw_key(docs[doc_id], seed).alias("draw"))
+    out = with_copies(rows, plan, F.col("source_key"), F.col("draw"))
     repeats = F.array_repeat(F.lit(1), F.col("_mix_copies").cast("int"))
-    return out.withColumn("_mix_copy", F.explode(repeats)).select(*docs.columns)
+    return out.select("row", F.explode(repeats)).select("row.*")
 
 
 def mix_report(docs: DataFrame, weights, budget: float = 1.5, max_epochs: float = 2.0,

@@ -16,8 +16,10 @@ partitioning. The list becomes one ordered ``CASE WHEN`` column.
 
 Defined results: null, empty and blank texts have all statistics 0 and fail the
 base rule; repeated rows are judged alike; labels that are null or belong to no
-document are not learned from; without labels, or with one class only, the list
-is empty and only the base rule rejects; an empty table gives an empty result.
+document are not learned from, nor counted when labels are drawn; rows that share
+an id and the text are learned from once; without labels, or with one class only,
+the list is empty and only the base rule rejects; an empty table gives an empty
+result; added columns take underscores where the table has one of their name.
 """
 
 from __future__ import annotations
@@ -28,8 +30,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, saved, words
+from .common import bounded_draw, fresh, let, saved, small_side, words
 
+MAX_BROADCAST_LABELS = 500_000
 _STATS = "_quality"      # the statistics struct, beside the columns of a table
 _GRID_SCALE, _GRID_STEPS = 1024.0, 8     # cells per doubling of 1 + 1024 * value
 
@@ -103,8 +106,8 @@ class Literal:
     at_least: bool
     threshold: float
 
-    def column(self) -> Column:
-        value = features()[self.feature]
+    def column(self, stats: str = _STATS) -> Column:
+        value = features(stats)[self.feature]
         return value >= self.threshold if self.at_least else value < self.threshold
 
     def __str__(self) -> str:
@@ -117,20 +120,20 @@ class DecisionList:
 
     rules: list[tuple[Literal, ...]] = field(default_factory=list)
 
-    def verdict(self) -> Column:
+    def verdict(self, stats: str = _STATS) -> Column:
         case = F
         for rule in self.rules:
-            case = case.when(_all(rule), F.lit(False))
+            case = case.when(_all(rule, stats), F.lit(False))
         return F.lit(True) if case is F else case.otherwise(F.lit(True))
 
     def __str__(self) -> str:
         return "; ".join("reject if " + " and ".join(map(str, r)) for r in self.rules) or "keep all"
 
 
-def _all(rule: tuple[Literal, ...]) -> Column:
+def _all(rule: tuple[Literal, ...], stats: str = _STATS) -> Column:
     out = F.lit(True)
     for literal in rule:
-        out = out & literal.column()
+        out = out & literal.column(stats)
     return out
 
 
@@ -220,31 +223,38 @@ def learn(labelled: DataFrame, min_precision: float = 0.95, min_cover: int = 2)
 
 def learn_from(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text",
                max_labelled: int = 50_000, **how) -> DecisionList:
-    """Learn from the documents of about ``max_labelled`` labels at most, drawn by hash.
+    """Learn from ``max_labelled`` labelled documents at most, drawn by hash of id and text.
 
     ``labels`` has (doc_id, quality): 0 is bad, 1 good; of several labels of one
-    document the lowest counts. The drawn ids are bounded, so they are broadcast.
+    document the lowest counts. They are joined to the documents first, so labels of
+    other documents take no part in the draw, and an id on many rows gives one row for
+    each of its texts. The drawn keys are bounded, so they are broadcast.
     """
     marks = (labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
              .groupBy("doc_id").agg((F.min("quality") == 0).alias("bad")))
-    marks = saved(marks, "quality-labels")
-    share = max_labelled / max(1, marks.count())
-    if share < 1:
-        marks = marks.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    rows = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"))
-    stats = (rows.join(F.broadcast(marks), "doc_id")
+    marks = small_side(saved(marks, "quality-labels"), MAX_BROADCAST_LABELS)
+    rows = docs.select(docs[doc_id].alias("doc_id"), docs[text].alias("text"),
+                       F.xxhash64(docs[text]).alias("tid"))
+    known = saved(rows.select("doc_id", "tid").join(marks, "doc_id").distinct(), "quality-known")
+    drawn = saved(bounded_draw(known, max_labelled, "doc_id", "tid"), "quality-drawn")
+    stats = (rows.join(F.broadcast(drawn), ["doc_id", "tid"]).dropDuplicates(["doc_id", "tid"])
              .select("doc_id", "bad", statistics(F.col("text")).alias(_STATS)))
     return learn(saved(stats, "quality-labelled").filter(f"not {_STATS}.base_failed"), **how)
 
 
 def judge(docs: DataFrame, rules: DecisionList, text: str = "text") -> DataFrame:
-    """All columns of ``docs``, the statistics struct and ``_kept``; no shuffle."""
-    out = docs.select(*(docs[c] for c in docs.columns), statistics(docs[text]).alias(_STATS))
-    return out.withColumn("_kept", ~F.col(f"{_STATS}.base_failed") & rules.verdict())
+    """All columns of ``docs``, the statistics struct ``_quality`` and ``_kept``; no shuffle.
+
+    Where ``docs`` has columns of these names, the added ones take underscores.
+    """
+    stats, kept = fresh(docs.columns, _STATS), fresh(docs.columns, "_kept")
+    out = docs.select("*", statistics(F.col(f"`{text}`")).alias(stats))
+    return out.withColumn(kept, ~F.col(f"{stats}.base_failed") & rules.verdict(stats))
 
 
 def filter_documents(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
                      text: str = "text", **how) -> DataFrame:
     """The rows of ``docs`` that the base rule and a learned list keep, all columns."""
     rules = learn_from(docs, labels, doc_id, text, **how)
-    return judge(docs, rules, text).filter("_kept").drop(_STATS, "_kept")
+    rows = docs.select(F.struct("*").alias("row"), F.col(f"`{text}`").alias("text"))
+    return judge(rows, rules).filter("_kept").select("row.*")

@@ -137,8 +137,7 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP6_SQL = r"""
 WITH w AS (
-  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ 	-
-]+') AS ws FROM documents),
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
 win AS (
   SELECT doc_id, i, array_to_string(list_slice(ws, i, i + 12), ' ') AS s
   FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w WHERE len(ws) >= 13)),

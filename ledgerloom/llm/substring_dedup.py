@@ -36,9 +36,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import saved
+from .common import fresh, saved
 
 _BASE = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
+ID_GROUPS = 1 << 16
 SLICE_BYTES = 4 << 20       # text worked on at once inside a task
 
 
@@ -300,11 +301,13 @@ def covered_windows(docs: DataFrame, length: int, doc_id: str, text: str) -> Dat
     whole = state.filter("copy").select("doc_id", "tid").distinct()
     settled = state.groupBy("doc_id").agg(F.min("copy").alias("all")).filter("all").select("doc_id")
 
-    half = repeats(listed.select(F.explode("anchors").alias("h"), "doc_id"), ["h"])
-    anchors = half.groupBy("doc_id").agg(F.collect_list("h").alias("anchors")).join(
+    # an id on many texts is dealt into groups; two bytes of ``tid`` cost little in the shuffle
+    group = F.pmod("tid", F.lit(ID_GROUPS)).alias("deal")
+    half = repeats(listed.select(F.explode("anchors").alias("h"), "doc_id", group), ["h"])
+    anchors = half.groupBy("doc_id", "deal").agg(F.collect_set("h").alias("anchors")).join(
         settled, "doc_id", "left_anti")
-    packed = _packed(rows.select("doc_id", "tid", "text"), "text")
-    windows = saved(packed.join(anchors, "doc_id").select("doc_id", "tid", "text", "anchors")
+    packed = _packed(rows.select("doc_id", "tid", group, "text"), "text")
+    windows = saved(packed.join(anchors, ["doc_id", "deal"]).select("doc_id", "tid", "text", "anchors")
                     .mapInArrow(lambda b: _extend(b, length),
                                 "h1 long, h2 long, doc_id long, tid long"), "substring-windows")
     full = repeats(windows, ["h1", "h2"], later=True).join(
@@ -319,11 +322,14 @@ def covered_windows(docs: DataFrame, length: int, doc_id: str, text: str) -> Dat
         "substring-covered")
 
 
-def _rewrite(batches, length: int, text: str):
-    """Drops covered words; adds n_words, n_removed and the digest of the kept words."""
+def _rewrite(batches, length: int, at: int, added: list[str]):
+    """Drops covered words; adds n_words, n_removed and the digest of the kept words.
+
+    The last three columns say what is covered.
+    """
     for whole in batches:
         names = whole.schema.names
-        at, w, a, b = (names.index(c) for c in (text, "_sub_whole", "_sub_h1", "_sub_h2"))
+        w, a, b = range(len(names) - 3, len(names))
         for batch in (whole.slice(i, 256) for i in range(0, whole.num_rows, 256)):
             texts, columns = [], (batch.column(w).to_pylist(), batch.column(a), batch.column(b))
             n_words, n_removed, digests = [], [], []
@@ -345,7 +351,7 @@ def _rewrite(batches, length: int, text: str):
                 [pa.array(texts, pa.binary()).cast(pa.string()) if i == at else batch.column(i)
                  for i in keep] + [pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()),
                                    pa.array(digests, pa.string())],
-                names=[names[i] for i in keep] + ["_sub_n_words", "_sub_n_removed", "_sub_sha256"])
+                names=[names[i] for i in keep] + added)
 
 
 def _uncovered(body: bytes, words: list[bytes], length: int, h1: np.ndarray, h2: np.ndarray):
@@ -363,18 +369,25 @@ def _uncovered(body: bytes, words: list[bytes], length: int, h1: np.ndarray, h2:
 
 
 def dedup(docs: DataFrame, length: int = 13, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs``, all columns, without covered words; adds _sub_n_words, _sub_n_removed, _sub_sha256."""
+    """``docs``, all columns, without covered words; adds _sub_n_words, _sub_n_removed, _sub_sha256.
+
+    Where ``docs`` has a column of such a name, the added one takes underscores.
+    """
     found = covered_windows(docs, length, doc_id, text)
-    found = found.select(F.col("doc_id").alias("_sub_id"), F.col("tid").alias("_sub_tid"),
-                         *(F.col(c).alias(f"_sub_{c}") for c in ("whole", "h1", "h2")))
+    names = {c: fresh(docs.columns, f"_sub_{c}")
+             for c in ("key", "text", "id", "tid", "whole", "h1", "h2", "n_words", "n_removed", "sha256")}
+    found = found.select(F.col("doc_id").alias(names["id"]),
+                         *(F.col(c).alias(names[c]) for c in ("tid", "whole", "h1", "h2")))
     tagged = docs.select(*(docs[c].cast("string").alias(c) if c == text else docs[c]
                            for c in docs.columns),
-                         docs[doc_id].cast("long").alias("_sub_key"),
-                         _text_id(docs[text]).alias("_sub_text"))
+                         docs[doc_id].cast("long").alias(names["key"]),
+                         _text_id(docs[text]).alias(names["text"]))
     joined = _packed(tagged, text).join(
-        found, (F.col("_sub_key") == F.col("_sub_id")) & (F.col("_sub_text") == F.col("_sub_tid")),
-        "left").drop("_sub_key", "_sub_text", "_sub_id", "_sub_tid")
+        found, (F.col(names["key"]) == F.col(names["id"])) & (F.col(names["text"]) == F.col(names["tid"])),
+        "left").drop(*(names[c] for c in ("key", "text", "id", "tid")))
+    added = [names[c] for c in ("n_words", "n_removed", "sha256")]
     schema = ", ".join([f"`{f.name}` " + ("string" if f.name == text else f.dataType.simpleString())
                         for f in docs.schema]
-                       + ["_sub_n_words long", "_sub_n_removed long", "_sub_sha256 string"])
-    return joined.mapInArrow(lambda b: _rewrite(b, length, text), schema)
+                       + [f"`{c}` {kind}" for c, kind in zip(added, ("long", "long", "string"))])
+    at = docs.columns.index(text)
+    return joined.mapInArrow(lambda b: _rewrite(b, length, at, added), schema)
