@@ -1,8 +1,11 @@
 """Semantic metrics and metric views as DataFrame aggregations.
 
 * :class:`Metric` - simple (agg over an expression, optional filter), ratio
-  (two metrics, each with an optional filter) and derived (arithmetic over
-  other metrics, possibly from other models).
+  (two metrics, each with an optional filter), derived (arithmetic over other
+  metrics, possibly from other models), cumulative (sum, count or distinct count
+  over trailing days or all time), semi_additive (each entity's last state, carried
+  forward) and conversion (share of base events that an event of the same entity
+  follows within some days).
 * :func:`query_metrics` - evaluates many metrics in one request: metrics of
   the same model share **one scan and one aggregation** (filters become
   conditional aggregates), results of different models are aggregated
@@ -19,7 +22,15 @@ counts, conditions that mix both sides) joins row by row, with the fact on the
 streamed side so that AQE can split a hot key.
 
 A request's ``where`` is applied to every model from which all its columns can be
-reached, directly or through a link; it is an error if there is none.
+reached, directly or through a link; it is an error if there is none. If it reaches
+only some of the models that one ratio or derived metric combines, the request must
+name the others in ``unfiltered``: otherwise numerator and denominator would be
+cut unevenly without a sign in the result. Of a conversion metric it picks the base
+events.
+
+Cumulative and semi-additive metrics have a value for every period between the first
+and the last day of their model's rows, also where a period has none; the value is
+that at the period's end.
 
 Precondition: a model's ``primary_key`` is unique (the ``unique`` test of the model
 checks it). Distinct counts of the key are plain counts.
@@ -34,8 +45,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.columns import avg_exact
+from ledgerloom.functions.columns import avg_exact, ratio
+from ledgerloom.operators import timed_metrics as timed
 
+TIMED = ("cumulative", "semi_additive", "conversion")
 GRAINS = ("day", "week", "month", "quarter", "year")
 
 
@@ -43,7 +56,7 @@ GRAINS = ("day", "week", "month", "quarter", "year")
 class Metric:
     name: str
     model: str
-    type: str = "simple"                  # simple | ratio | derived
+    type: str = "simple"    # simple | ratio | derived | cumulative | semi_additive | conversion
     agg: str | None = None                # sum | average | count | count_distinct | min | max
     expr: str | None = None
     filter: str | None = None
@@ -54,6 +67,16 @@ class Metric:
     hidden: bool = False
     label: str = ""
     meta: Mapping[str, object] = field(default_factory=dict)
+    window_days: int | None = None        # cumulative: None is all time; conversion: at most so late
+    entity: str | None = None             # semi_additive, conversion: whose states or events
+    order: tuple[str, ...] = ()           # semi_additive: which state of one day is the last
+    conversion: str | None = None         # condition on the converting events; None: any later event
+
+    def __post_init__(self):
+        if self.type in ("semi_additive", "conversion") and not self.entity:
+            raise ValueError(f"metric {self.name}: a {self.type} metric needs an entity")
+        if self.type == "conversion" and self.window_days is None:
+            raise ValueError(f"metric {self.name}: a conversion metric needs window_days")
 
 
 @dataclass(frozen=True)
@@ -217,12 +240,72 @@ def _model_result(ds, reg: MetricRegistry, model_name: str, parts: Sequence[_Par
     return grouped(attach(partial), dims, combined), dims
 
 
+def _rows_with(ds, reg: MetricRegistry, model_name: str, by: Sequence[str], where: str | None
+               ) -> DataFrame:
+    """The model's rows with the dimensions ``by`` as columns, those of linked models joined."""
+    sm, df = reg.models[model_name], ds[model_name]
+    own, linked = set(df.columns), _linked_columns(ds, reg, model_name)
+    needed: dict[str, set[str]] = {}
+    for c in (set(by) - own - set(sm.dimension_exprs)) | _names(where, set(linked)):
+        if c not in linked:
+            raise ValueError(f"dimension {c!r} is not reachable from {model_name} "
+                             "through an N:1 link")
+        needed.setdefault(linked[c], set()).add(c)
+    for target, columns in needed.items():
+        fk, pk = sm.links[target]
+        df = df.join(ds[target].select(F.col(pk).alias(fk), *sorted(columns)), fk, "left")
+    if where:
+        df = df.filter(F.expr(where))
+    return df.withColumns({d: F.expr(sm.dimension_exprs[d]) for d in by if d in sm.dimension_exprs})
+
+
+def _timed_result(ds, reg: MetricRegistry, m: Metric, alias: str, by: Sequence[str],
+                  grain: str | None, where: str | None) -> DataFrame:
+    """(by, metric_time, alias) of a cumulative, semi-additive or conversion metric."""
+    sm = reg.models[m.model]
+    if grain is not None or m.type != "conversion":
+        _time_col(sm, grain or "day")                       # raises without a time dimension
+    time = sm.time_dimension
+    rows = _rows_with(ds, reg, m.model, by, where)
+    if m.type == "conversion":
+        base = rows.filter(F.expr(m.filter)) if m.filter else rows
+        keep = list(dict.fromkeys([*by, m.entity, time, sm.primary_key]))
+        later = ds[m.model].filter(F.expr(m.conversion)) if m.conversion else None
+        found = timed.conversions(base.select(*keep), later, m.entity, time, sm.primary_key, m.window_days)
+        if grain:
+            found = found.withColumn("metric_time", _time_col(sm, grain))
+        dims = [*by, *(["metric_time"] if grain else [])]
+        share = ratio(F.sum(F.col("converted").cast("long")), F.count(F.lit(1))).alias(alias)
+        return found.groupBy(*dims).agg(share) if dims else found.agg(share)
+
+    picked = rows.filter(F.expr(m.filter)) if m.filter else rows
+    value = F.expr(m.expr)
+    if m.type == "cumulative":
+        changes = timed.trailing_changes(picked, by, time, m.agg, value, m.window_days)
+    else:
+        if m.agg != "sum":
+            raise ValueError(f"metric {m.name}: a semi_additive metric sums over its entities")
+        changes = timed.balance_changes(rows, by, m.entity, time,
+                                        F.when(F.expr(m.filter), value) if m.filter else value,
+                                        m.order, grain or "day")
+    bounds = ds[m.model].agg(F.min(F.col(time).cast("date")).alias("first"),
+                             F.max(F.col(time).cast("date")).alias("last"))
+    return timed.spread(changes, by, bounds, grain, alias)
+
+
 def query_metrics(ds, reg: MetricRegistry, metrics: Sequence[str], by: Sequence[str] = (),
-                  grain: str | None = None, where: str | None = None) -> DataFrame:
-    """Evaluate ``metrics`` grouped by ``by`` (+ ``metric_time`` at ``grain``)."""
+                  grain: str | None = None, where: str | None = None,
+                  unfiltered: Sequence[str] = ()) -> DataFrame:
+    """Evaluate ``metrics`` grouped by ``by`` (+ ``metric_time`` at ``grain``).
+
+    ``unfiltered``: models that ``where`` need not reach, though a ratio or derived
+    metric combines them with one that it does.
+    """
     # 1) flatten to simple components per model
     needed: dict[str, list[tuple[str, Metric]]] = {}
     finals: dict[str, object] = {}
+    alone: dict[str, Metric] = {}               # metrics over time, each a table of its own
+    combined: dict[str, set[str]] = {}          # models by requested metric
 
     def need(alias: str, m: Metric) -> None:
         lst = needed.setdefault(m.model, [])
@@ -231,8 +314,12 @@ def query_metrics(ds, reg: MetricRegistry, metrics: Sequence[str], by: Sequence[
 
     def plan(name_or_metric: Metric | str, alias: str):
         m = _resolve(name_or_metric, reg)
-        if m.type == "simple":
-            need(alias, m)
+        if m.type == "simple" or m.type in TIMED:
+            combined.setdefault(asking, set()).add(m.model)
+            if m.type == "simple":
+                need(alias, m)
+            else:
+                alone[alias] = m
             return ("col", alias)
         if m.type == "ratio":
             num, den = _resolve(m.numerator, reg), _resolve(m.denominator, reg)
@@ -243,16 +330,23 @@ def query_metrics(ds, reg: MetricRegistry, metrics: Sequence[str], by: Sequence[
         raise ValueError(f"unknown metric type {m.type!r}")
 
     for name in metrics:
+        asking = name
         finals[name] = plan(name, name)
 
     # 2) one aggregation per model; the condition goes where its columns are
-    reach = {m: set(ds[m].columns) | set(_linked_columns(ds, reg, m)) for m in needed}
+    used = dict.fromkeys([*needed, *(m.model for m in alone.values())])
+    reach = {m: set(ds[m].columns) | set(_linked_columns(ds, reg, m)) for m in used}
     known = set().union(*reach.values(), *(set(ds[m].columns) for m in reg.models)) if where else set()
     asked = _names(where, known)
-    owners = [m for m in needed if asked and asked <= reach[m]]
+    owners = [m for m in used if asked and asked <= reach[m]]
     if where and not owners:
         raise ValueError(f"where={where!r}: its columns {sorted(asked)} cannot be reached from "
-                         f"{sorted(needed)}")
+                         f"{sorted(used)}")
+    for name, models in combined.items() if where else ():
+        left = models - set(owners) - set(unfiltered)
+        if left and left != models:
+            raise ValueError(f"where={where!r} reaches {sorted(models & set(owners))} but not "
+                             f"{sorted(left)}, which {name} combines; name these in unfiltered")
     frames: list[tuple[DataFrame, list[str]]] = []
     exprs: dict[str, Column] = {}
     for model_name, comps in needed.items():
@@ -266,6 +360,10 @@ def query_metrics(ds, reg: MetricRegistry, metrics: Sequence[str], by: Sequence[
                                   where if model_name in owners else None)
         keep = [F.col(d) for d in dims] + [exprs[a].alias(a) for a, _ in comps]
         frames.append((agg.select(*keep), dims))
+    dims = [*by, *(["metric_time"] if grain else [])]
+    for alias, m in alone.items():
+        frames.append((_timed_result(ds, reg, m, alias, by, grain,
+                                     where if m.model in owners else None), dims))
 
     # 3) combine models on the dimension values (null-safe full join)
     out, dims = frames[0]

@@ -656,8 +656,8 @@ SELECT CAST((SELECT sum(CASE WHEN status = 'completed' THEN amount_paid END) FRO
              WHERE status IN ('completed', 'shipped')) AS DOUBLE)
        / CAST((SELECT nullif(count(*), 0) FROM dim_customers) AS DOUBLE) AS revenue_per_customer""")
 def metric_revenue_per_customer_shipped(ds: Datasets) -> DataFrame:
-    """A condition that only one of the two models owns filters that model."""
-    return query_metrics(ds, REGISTRY, ["revenue_per_customer"],
+    """A condition that only one of the two models owns filters that model; the other is named."""
+    return query_metrics(ds, REGISTRY, ["revenue_per_customer"], unfiltered=["dim_customers"],
                          where="status in ('completed', 'shipped')")
 
 
@@ -673,6 +673,110 @@ def metric_win_rate_of_industry(ds: Datasets) -> DataFrame:
                          where="industry = 'BUILDING'")
 
 
+# ------------------------------------------------------------------ metrics over time ---
+
+@register("metric_repeat_purchase_30d", """
+WITH credited AS (
+  SELECT c.order_id AS conversion, c.order_date AS day,
+         max((b.order_date, b.order_id)) AS base
+  FROM fct_orders c JOIN fct_orders b ON b.customer_id = c.customer_id
+   AND (b.order_date, b.order_id) < (c.order_date, c.order_id)
+  GROUP BY 1, 2),
+hits AS (SELECT DISTINCT base[2] AS order_id FROM credited WHERE day - base[1] <= 30)
+SELECT date_trunc('month', o.order_date)::DATE AS metric_time,
+       CAST(count(h.order_id) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS repeat_purchase_30d
+FROM fct_orders o LEFT JOIN hits h ON h.order_id = o.order_id GROUP BY 1""")
+def metric_repeat_purchase_30d(ds: Datasets) -> DataFrame:
+    """Share of orders that the customer's next order follows within 30 days, by month."""
+    return query_metrics(ds, REGISTRY, ["repeat_purchase_30d"], grain="month")
+
+
+@register("metric_return_after_purchase_by_segment", """
+WITH credited AS (
+  SELECT c.order_id AS conversion, c.order_date AS day,
+         max((b.order_date, b.order_id)) AS base
+  FROM fct_orders c JOIN fct_orders b ON b.customer_id = c.customer_id AND b.status = 'completed'
+   AND b.order_date <= c.order_date AND c.status = 'returned'
+  GROUP BY 1, 2),
+hits AS (SELECT DISTINCT base[2] AS order_id FROM credited WHERE day - base[1] <= 60)
+SELECT d.customer_segment, CAST(count(h.order_id) AS DOUBLE) / CAST(count(*) AS DOUBLE)
+       AS return_after_purchase_60d
+FROM fct_orders o JOIN dim_customers d ON d.customer_id = o.customer_id
+LEFT JOIN hits h ON h.order_id = o.order_id
+WHERE o.status = 'completed' GROUP BY 1""")
+def metric_return_after_purchase_by_segment(ds: Datasets) -> DataFrame:
+    """Two streams: completed orders that a returned one follows within 60 days, by segment."""
+    return query_metrics(ds, REGISTRY, ["return_after_purchase_60d"], by=["customer_segment"])
+
+
+@register("metric_open_pipeline_by_month_end", """
+WITH spine AS (
+  SELECT unnest(generate_series(date_trunc('month', (SELECT min(created_date) FROM fct_opportunities)),
+                                date_trunc('month', (SELECT max(greatest(created_date,
+                                    CASE WHEN is_closed THEN close_date END)) FROM fct_opportunities)),
+                                INTERVAL 1 MONTH))::DATE AS metric_time)
+SELECT metric_time, coalesce(sum(amount), 0)::DECIMAL(18,2) AS open_pipeline_balance
+FROM spine LEFT JOIN fct_opportunities o
+  ON created_date < metric_time + INTERVAL 1 MONTH
+ AND NOT (is_closed AND greatest(created_date, close_date) < metric_time + INTERVAL 1 MONTH)
+GROUP BY 1""")
+def metric_open_pipeline_by_month_end(ds: Datasets) -> DataFrame:
+    """Open pipeline at the end of every month, months without events included."""
+    out = query_metrics(ds, REGISTRY, ["open_pipeline_balance"], grain="month")
+    return out.withColumn("open_pipeline_balance", F.col("open_pipeline_balance").cast("decimal(18,2)"))
+
+
+_ACTIVE_90D = """
+WITH spine AS (
+  SELECT unnest(generate_series(date_trunc('month', (SELECT min(order_date) FROM fct_orders)),
+                                date_trunc('month', (SELECT max(order_date) FROM fct_orders)),
+                                INTERVAL 1 MONTH))::DATE AS metric_time),
+dims AS (SELECT DISTINCT {dim} AS dim FROM fct_orders o JOIN dim_customers d USING (customer_id)),
+seen AS (SELECT {dim} AS dim, order_date, o.customer_id, amount_paid, status
+         FROM fct_orders o JOIN dim_customers d USING (customer_id))
+SELECT metric_time, {named}
+       count(DISTINCT customer_id) AS active_customers_90d
+FROM spine CROSS JOIN dims LEFT JOIN seen s ON s.dim IS NOT DISTINCT FROM dims.dim
+ AND order_date < metric_time + INTERVAL 1 MONTH
+ AND order_date >= metric_time + INTERVAL 1 MONTH - INTERVAL 90 DAY
+GROUP BY ALL"""
+
+
+@register("metric_active_customers_90d", _ACTIVE_90D.format(dim="1", named=""))
+def metric_active_customers_90d(ds: Datasets) -> DataFrame:
+    """Distinct customers with an order in the 90 days up to each month's end."""
+    return query_metrics(ds, REGISTRY, ["active_customers_90d"], grain="month")
+
+
+@register("metric_active_customers_90d_by_country",
+          _ACTIVE_90D.format(dim="d.country", named="dims.dim AS country,"))
+def metric_active_customers_90d_by_country(ds: Datasets) -> DataFrame:
+    """The same by a dimension of the linked model."""
+    return query_metrics(ds, REGISTRY, ["active_customers_90d"], by=["country"], grain="month")
+
+
+@register("metric_cumulative_revenue", """
+WITH spine AS (
+  SELECT unnest(generate_series(date_trunc('month', (SELECT min(order_date) FROM fct_orders)),
+                                date_trunc('month', (SELECT max(order_date) FROM fct_orders)),
+                                INTERVAL 1 MONTH))::DATE AS metric_time)
+SELECT metric_time,
+       coalesce(sum(CASE WHEN status = 'completed' THEN amount_paid END), 0)::DECIMAL(18,2)
+           AS cumulative_revenue,
+       coalesce(sum(CASE WHEN status = 'completed'
+                          AND order_date >= metric_time + INTERVAL 1 MONTH - INTERVAL 28 DAY
+                         THEN amount_paid END), 0)::DECIMAL(18,2) AS trailing_revenue_28d,
+       count(DISTINCT customer_id) AS customers_to_date,
+       count(DISTINCT CASE WHEN order_date >= metric_time THEN order_id END) AS total_orders
+FROM spine LEFT JOIN fct_orders ON order_date < metric_time + INTERVAL 1 MONTH GROUP BY 1""")
+def metric_cumulative_revenue(ds: Datasets) -> DataFrame:
+    """Metrics over time and a simple one, in one request."""
+    out = query_metrics(ds, REGISTRY, ["cumulative_revenue", "trailing_revenue_28d", "customers_to_date",
+                                       "total_orders"], grain="month")
+    return out.withColumns({c: F.col(c).cast("decimal(18,2)")
+                            for c in ("cumulative_revenue", "trailing_revenue_28d")})
+
+
 # ----------------------------------------------------- metric explorer breakdowns ---
 
 _ORDER_METRICS = {"app_recognised_revenue", "app_avg_order_value", "app_return_rate_pct"}

@@ -46,6 +46,19 @@ def fct_opportunities(ds: Datasets) -> DataFrame:
     )
 
 
+@model("opportunity_states", materialized="ephemeral")
+def opportunity_states(ds: Datasets) -> DataFrame:
+    """What an opportunity adds to the open pipeline from a day on: its amount, then 0 once closed."""
+    o = ds["fct_opportunities"]
+    opened = F.struct(F.col("created_date").alias("state_date"), F.lit(0).alias("state_order"),
+                      F.col("amount").alias("open_amount"))
+    closed = F.struct(F.greatest("created_date", "close_date").alias("state_date"),
+                      F.lit(1).alias("state_order"),
+                      F.lit(0).cast("decimal(18,2)").alias("open_amount"))
+    return o.select("opportunity_id", "account_id", "lead_source", "opportunity_owner", F.inline(
+        F.when(F.col("is_closed"), F.array(opened, closed)).otherwise(F.array(opened))))
+
+
 @model("crm_opportunity_alerts", materialized="table")
 def crm_opportunity_alerts(ds: Datasets) -> DataFrame:
     """Open opportunities that are large (>= 100k) or overdue as of ``ds.as_of``.

@@ -17,6 +17,8 @@ MODELS = [
                   links={"dim_customers": ("customer_id", "customer_id")}),
     SemanticModel("fct_opportunities", "opportunity_id", time_dimension="close_date",
                   links={"dim_accounts": ("account_id", "account_id")}),
+    SemanticModel("opportunity_states", "opportunity_id", time_dimension="state_date",
+                  links={"dim_accounts": ("account_id", "account_id")}),
 ]
 
 COMPLETED = "status = 'completed'"
@@ -81,6 +83,26 @@ METRICS = [
 ]
 # ------------------------------------------------------------------------------
 
+# metrics over time: windows, balances and conversions
+TIMED_METRICS = [
+    Metric("active_customers_90d", "fct_orders", type="cumulative", agg="count_distinct",
+           expr="customer_id", window_days=90, label="Active Customers (90 days)"),
+    Metric("customers_to_date", "fct_orders", type="cumulative", agg="count_distinct",
+           expr="customer_id", label="Customers to Date"),
+    Metric("cumulative_revenue", "fct_orders", type="cumulative", agg="sum", expr="amount_paid",
+           filter=COMPLETED, label="Recognised Revenue to Date (USD)"),
+    Metric("trailing_revenue_28d", "fct_orders", type="cumulative", agg="sum", expr="amount_paid",
+           filter=COMPLETED, window_days=28, label="Recognised Revenue, 28 Days (USD)"),
+    Metric("open_pipeline_balance", "opportunity_states", type="semi_additive", agg="sum",
+           expr="open_amount", entity="opportunity_id", order=("state_order",),
+           label="Open Pipeline at Period End (USD)"),
+    Metric("repeat_purchase_30d", "fct_orders", type="conversion", entity="customer_id",
+           window_days=30, label="Repeat Purchase Rate (30 days)"),
+    Metric("return_after_purchase_60d", "fct_orders", type="conversion", entity="customer_id",
+           window_days=60, filter=COMPLETED, conversion="status = 'returned'",
+           label="Return after a Completed Purchase (60 days)"),
+]
+
 # --- fixed values: metric view definitions (formats and synonyms included) -------
 ORDERS_METRIC_VIEW_YAML = """
 version: 1.1
@@ -210,4 +232,4 @@ APP_BREAKDOWNS = {
 }
 # ------------------------------------------------------------------------------------
 
-REGISTRY = MetricRegistry(MODELS, METRICS + APP_METRICS)
+REGISTRY = MetricRegistry(MODELS, METRICS + TIMED_METRICS + APP_METRICS)
