@@ -47,6 +47,8 @@ PARTITION_BYTES = 1 << 20       # text per hash partition, about
 _ENDS, _BLANKS = b".,;:!?\x0a\x0b\x0c\x0d", b"\x20\x09"
 _CLASS = np.zeros(256, np.uint8)
 _CLASS[list(_BLANKS)], _CLASS[list(_ENDS)] = 1, 2
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[ord("A"):ord("Z") + 1] += 32
 
 
 def _mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -62,13 +64,9 @@ class _Slice:
     def __init__(self, langs: pa.Array, texts: pa.Array):
         import xxhash
 
-        lower = pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
-        offsets = np.frombuffer(lower.buffers()[1], np.int64)[
-            lower.offset:lower.offset + len(lower) + 1]
-        data = lower.buffers()[2]
-        raw = np.frombuffer(data, np.uint8)[offsets[0]:offsets[-1]] if data is not None else \
-            np.zeros(0, np.uint8)
-        offsets = offsets - offsets[0]
+        blobs = [t or b"" for t in texts.cast(pa.large_binary()).to_pylist()]
+        raw = _LOWER[np.frombuffer(b"".join(blobs), np.uint8)]
+        offsets = np.cumsum([0, *map(len, blobs)])
         kind = _CLASS[raw]
         inside = kind == 0
         begins = inside.copy()

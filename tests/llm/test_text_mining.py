@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import __spark_entry__ as E
@@ -130,6 +131,27 @@ def test_collocations_by_brute_force(spark, least, percent, bits):
     assert {tuple(r) for r in got.collect()} == brute.collocations(rows, least, 5, percent)
 
 
+def test_slices_of_a_batch_count_alike(monkeypatch):
+    """Slices that begin inside a batch, with texts that end and begin in a word."""
+    rng = random.Random(1)
+    rows = [(rng.choice(["en", None, "fr"]), None if i % 9 == 0 else "A".join(
+        rng.choice(["x y", "x. y ", "É z", "", "\t"]) for _ in range(rng.randint(0, 9)))) for i in range(200)]
+    batch = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows])],
+                                       names=["lang", "text"])
+    want, total = brute.phrases(rows, 4)
+    for size in (1 << 20, 300, 7):
+        monkeypatch.setattr(collocations, "SLICE_BYTES", size)
+        got, words = {}, {}
+        for out in collocations._count([batch], 4, np.full(1 << 10, 255, np.uint8), 4):
+            for lang, k, phrase, f in zip(*(c.to_pylist() for c in out.columns)):
+                into, key = (got, (lang, tuple(phrase.split(" ")))) if k else (words, lang)
+                into[key] = into.get(key, 0) + f
+        assert got == want and {k: n for k, n in words.items() if n} == {k: n for k, n in total.items() if n}
+        mass = sum(r for out in collocations._summarise([batch], 4, 6)
+                   for r, kind in zip(out.column(2).to_pylist(), out.column(1).to_pylist()) if kind == 0)
+        assert mass == sum(want.values())
+
+
 def test_collocations_odd_rows(spark, docs):
     got = {tuple(r) for r in collocations.collocations(docs, 3).collect()}
     assert got == brute.collocations([(r.lang, r.text) for r in docs.collect()], 3, 5, 100)
