@@ -104,7 +104,8 @@ class _Slice:
         h = self.hashes.copy()
         for k in range(1, max_words + 1):
             if k > 1:
-                h[:len(h) - k + 1] = _mix(h[:len(h) - k + 1], self.hashes[k - 1:])
+                n = max(0, len(h) - k + 1)
+                h[:n] = _mix(h[:n], self.hashes[k - 1:])
             yield k, h, self.left >= k
 
 
