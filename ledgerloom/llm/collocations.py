@@ -42,7 +42,7 @@ from pyspark.sql.window import Window
 
 from .common import saved, text_slices
 
-SLICE_BYTES = 8 << 20           # text counted at once inside a task
+SLICE_BYTES = 3 << 20           # text counted at once inside a task: about 230 MB of arrays
 PARTITION_BYTES = 1 << 20       # text per hash partition, about
 _ENDS, _BLANKS = b".,;:!?\x0a\x0b\x0c\x0d", b"\x20\x09"
 _CLASS = np.zeros(256, np.uint8)
@@ -69,23 +69,25 @@ class _Slice:
         offsets = np.cumsum([0, *map(len, blobs)])
         kind = _CLASS[raw]
         inside = kind == 0
-        begins = inside.copy()
-        begins[1:] &= ~inside[:-1]
         heads = offsets[:-1][offsets[:-1] < offsets[1:]]
-        begins[heads] = inside[heads]                       # texts do not run into each other
+        begins = inside.copy()                              # texts do not run into each other
+        begins[1:] &= ~inside[:-1]
+        begins[heads] = inside[heads]
         starts = np.flatnonzero(begins)
-        upto = np.concatenate([[0], np.cumsum(inside)])     # word bytes before a place
-        bounds = np.append(upto[starts], upto[-1])
+        begins[:] = inside
+        begins[:-1] &= ~inside[1:]
+        begins[heads[1:] - 1] = inside[heads[1:] - 1]
+        sizes = np.flatnonzero(begins) + 1 - starts
         flat = pa.LargeBinaryArray.from_buffers(
             pa.large_binary(), len(starts),
-            [None, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(raw[inside])])
+            [None, pa.py_buffer(np.concatenate([[0], np.cumsum(sizes)])), pa.py_buffer(raw[inside])])
         coded = flat.dictionary_encode()
         self.words = coded.dictionary.cast(pa.large_string())
         self.ids = coded.indices.to_numpy().astype(np.int64)
         doc = np.searchsorted(offsets, starts, "right") - 1
 
         n = len(starts)
-        breaks = np.concatenate([[0], np.cumsum(kind == 2, dtype=np.int32)])[starts]
+        breaks = np.searchsorted(np.flatnonzero(kind == 2), starts)
         first = np.ones(n, bool)
         first[1:] = (breaks[1:] != breaks[:-1]) | (doc[1:] != doc[:-1])
         cuts = np.append(np.flatnonzero(first), n)
