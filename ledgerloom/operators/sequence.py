@@ -106,8 +106,15 @@ def assign_ids(incoming: DataFrame, existing: DataFrame, id_col: str,
 
 
 def append_batch(df: DataFrame, path: str, schema: StructType | None = None,
-                 now: _dt.datetime | None = None, loaded_at: str = "_loaded_at") -> None:
-    """Typed append with a load stamp: validate against ``schema``, stamp, append."""
+                 now: _dt.datetime | None = None, loaded_at: str = "_loaded_at",
+                 batch: str | None = None) -> bool:
+    """Typed append with a load stamp: validate against ``schema``, stamp, append.
+
+    With the name of a ``batch`` its rows are there once, however often it is run, and as
+    a whole (read them with :func:`~ledgerloom.operators.buckets.read_batches`); False if
+    they were there already. Without one a repeated run appends its rows again.
+    """
+    from ledgerloom.operators.buckets import append_once
     from ledgerloom.operators.contracts import enforce_contract
 
     out = df
@@ -116,4 +123,8 @@ def append_batch(df: DataFrame, path: str, schema: StructType | None = None,
                                StructType([f for f in schema.fields if f.name != loaded_at]))
     stamp = ts_ntz(now) if now is not None else \
         F.current_timestamp().cast("timestamp_ntz")
-    out.withColumn(loaded_at, stamp).write.mode("append").parquet(path)
+    out = out.withColumn(loaded_at, stamp)
+    if batch is not None:
+        return append_once(out, path, batch)
+    out.write.mode("append").parquet(path)
+    return True

@@ -36,21 +36,22 @@ def period_of(day: Column, grain: str) -> Column:
     return day if grain == "day" else F.trunc(day, grain)
 
 
-def following(df: DataFrame, order: Sequence[str], columns: Sequence[str], prefix: str = "next_"
-              ) -> DataFrame:
-    """``df`` with ``columns`` of the row after it in ``order``, over the whole table.
+def following(df: DataFrame, order: Sequence[str], columns: Sequence[str], prefix: str = "next_",
+              back: bool = False) -> DataFrame:
+    """``df`` with ``columns`` of the row after it in ``order`` (``back``: before it), over the whole table.
 
     Rows are range-partitioned by ``order`` and written with their place; the row after
     the last one of a partition is the first of the next partition that has rows (one
     row a partition).
     """
     pos = positioned(df, order, "following")
-    after = F.struct(*columns)
+    step, edge = (F.lag, F.max_by) if back else (F.lead, F.min_by)
+    near = F.struct(*columns)
     inside = Window.partitionBy("__pid").orderBy("__pos")
-    heads = pos.groupBy("__pid").agg(F.min_by(after, F.col("__pos")).alias("__head"))
-    heads = heads.select("__pid", F.lead("__head").over(Window.orderBy("__pid")).alias("__carried"))
-    rows = pos.withColumn("__after", F.lead(after).over(inside)).join(
-        F.broadcast(heads), "__pid")                    # one row a partition
+    edges = pos.groupBy("__pid").agg(edge(near, F.col("__pos")).alias("__edge"))
+    edges = edges.select("__pid", step("__edge").over(Window.orderBy("__pid")).alias("__carried"))
+    rows = pos.withColumn("__after", step(near).over(inside)).join(
+        F.broadcast(edges), "__pid")                    # one row a partition
     after = F.coalesce("__after", "__carried")
     return rows.select(*df.columns, *(after[c].alias(f"{prefix}{c}") for c in columns))
 
