@@ -67,7 +67,7 @@ def oracle_statements() -> dict[str, str]:
 
 
 def _load() -> None:
-    from ledgerloom.plans import analytics, checks  # noqa: F401  (register queries)
+    from ledgerloom.plans import analytics, checks, increments  # noqa: F401  (register queries)
 
 
 # the query modules register into QUERIES/ORACLE on import (they import
