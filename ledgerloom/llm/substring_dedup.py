@@ -41,12 +41,13 @@ from .common import fresh, saved
 _BASE = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
 ID_GROUPS = 1 << 16
 SLICE_BYTES = 4 << 20       # text worked on at once inside a task
+BLOB_BYTES = 1 << 18        # the same of compressed texts, beside which their windows are held
 
 
-def _slices(batch: pa.RecordBatch, column: int):
-    """Row ranges of a batch that hold about SLICE_BYTES of text each."""
+def _slices(batch: pa.RecordBatch, column: int, n_bytes: int = SLICE_BYTES):
+    """Row ranges of a batch that hold about ``n_bytes`` of text each."""
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-    part = np.cumsum(sizes, dtype=np.int64) // SLICE_BYTES
+    part = np.cumsum(sizes, dtype=np.int64) // n_bytes
     cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
     for a, b in zip(cuts, cuts[1:]):
         if b > a:
@@ -148,6 +149,10 @@ def _read_runs(batches, n_keys: int, later: bool):
         if not batch.num_rows:
             continue
         names = batch.schema.names
+        cells = np.stack([c.to_numpy() for c in batch.columns])
+        again = (cells[:, 1:] == cells[:, :-1]).all(0)      # rows that say nothing new
+        if again.any():
+            batch = batch.filter(pa.array(np.append(True, ~again)))
         keys = np.stack([batch.column(i).to_numpy() for i in range(n_keys)])
         docs = batch.column(n_keys).to_numpy()
         new = np.ones(batch.num_rows, bool)
@@ -201,7 +206,7 @@ def repeats(rows: DataFrame, keys: list[str], later: bool = False) -> DataFrame:
     """
     names = [*keys, "doc_id", *(c for c in rows.columns if c not in (*keys, "doc_id"))]
     ordered = (rows.select(*names).repartitionByRange(*keys, "doc_id")
-               .sortWithinPartitions(*keys, "doc_id"))
+               .sortWithinPartitions(*names))
     schema = ", ".join(f"{c} long" for c in [*names, "first"]) + ", kind int"
     n_keys = len(keys)
     read = saved(ordered.mapInArrow(lambda b: _read_runs(b, n_keys, later), schema), "substring-runs")
@@ -249,7 +254,7 @@ def _full_windows(hashes: np.ndarray, length: int) -> np.ndarray:
 def _extend(batches, length: int):
     """(doc_id, tid, text, anchors) -> distinct full windows over the given anchors."""
     for whole in batches:
-        for batch in (whole.slice(i, 256) for i in range(0, whole.num_rows, 256)):
+        for batch in _slices(whole, 2, BLOB_BYTES):
             hashes, offsets = word_hashes(pa.array(_unpack(batch.column(2)), pa.binary())
                                           .cast(pa.string()))
             starts, at, halves = _anchors(hashes, offsets, length)
@@ -304,7 +309,7 @@ def covered_windows(docs: DataFrame, length: int, doc_id: str, text: str) -> Dat
     # an id on many texts is dealt into groups; two bytes of ``tid`` cost little in the shuffle
     group = F.pmod("tid", F.lit(ID_GROUPS)).alias("deal")
     half = repeats(listed.select(F.explode("anchors").alias("h"), "doc_id", group), ["h"])
-    anchors = half.groupBy("doc_id", "deal").agg(F.collect_set("h").alias("anchors")).join(
+    anchors = half.groupBy("doc_id", "deal").agg(F.collect_list("h").alias("anchors")).join(
         settled, "doc_id", "left_anti")
     packed = _packed(rows.select("doc_id", "tid", group, "text"), "text")
     windows = saved(packed.join(anchors, ["doc_id", "deal"]).select("doc_id", "tid", "text", "anchors")
@@ -330,7 +335,7 @@ def _rewrite(batches, length: int, at: int, added: list[str]):
     for whole in batches:
         names = whole.schema.names
         w, a, b = range(len(names) - 3, len(names))
-        for batch in (whole.slice(i, 256) for i in range(0, whole.num_rows, 256)):
+        for batch in _slices(whole, at, BLOB_BYTES):
             texts, columns = [], (batch.column(w).to_pylist(), batch.column(a), batch.column(b))
             n_words, n_removed, digests = [], [], []
             for r, body in enumerate(_unpack(batch.column(at))):
