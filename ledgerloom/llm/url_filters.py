@@ -14,9 +14,11 @@ partition, and every key takes the top left by the last end at or before it: a
 running last value inside a partition, and for the head of a partition what the
 partitions before it left (one row each).
 
-Urls are reduced to distinct (host, path) pairs first, so a host or a url that
-most pages share is combined map-side and then spread by its paths. Joins and
-windows only: no Python runs on the rows.
+Urls are reduced to distinct (host, path) pairs, and those to distinct keys, before
+the sweep: the home pages of all hosts below a domain share a key and are one row of
+it. What the sweep finds is written and joined back, keys to pairs and pairs to pages;
+both joins read written tables, so Spark splits a key or a url that most rows share.
+Joins and windows only: no Python runs on the rows.
 
 Defined results: a null url, or one without ``://``, has empty host and path and
 no rule; other urls without a rule get the default verdict; of equal rules block
@@ -66,12 +68,9 @@ def _rule_ends(rules: DataFrame) -> DataFrame:
 
 
 def last_at_or_before(ends: DataFrame, keys: DataFrame) -> DataFrame:
-    """``keys`` (binary key, others) with ``top`` of the last of ``ends`` (key, top) up to it."""
-    more = [c for c in keys.columns if c != "key"]
-    points = ends.select("key", F.lit(0).alias("kind"), "top",
-                         *(F.lit(None).cast(keys.schema[c].dataType).alias(c) for c in more)) \
-        .unionByName(keys.select("key", F.lit(1).alias("kind"),
-                                 F.lit(None).cast("string").alias("top"), *more))
+    """Distinct ``keys`` (binary) with ``top`` of the last of ``ends`` (key, top) up to each."""
+    points = ends.select("key", F.lit(0).alias("kind"), "top").unionByName(
+        keys.select("key", F.lit(1).alias("kind"), F.lit(None).cast("string").alias("top")))
     swept = saved(points.repartitionByRange("key", "kind").sortWithinPartitions("key", "kind")
                   .withColumn("at", F.monotonically_increasing_id())
                   .withColumn("part", F.shiftright("at", 33)), "url-sweep")
@@ -83,7 +82,7 @@ def last_at_or_before(ends: DataFrame, keys: DataFrame) -> DataFrame:
     inside = Window.partitionBy("part").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
     return (swept.withColumn("top", F.last("top", ignorenulls=True).over(inside))
             .filter("kind = 1").join(small_side(carried, 100_000), "part")
-            .select(*more, F.coalesce("top", "carried", F.lit(_NONE)).alias("top")))
+            .select("key", F.coalesce("top", "carried", F.lit(_NONE)).alias("top")))
 
 
 def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "allow") -> DataFrame:
@@ -105,14 +104,14 @@ def judge(pages: DataFrame, rules: DataFrame, url: str = "url", default: str = "
     labels = _labels(F.col("_url_host"))
     level = F.explode(F.sequence(F.lit(1), F.least(F.size(labels), F.lit(deepest)))) if deepest \
         else F.explode(F.array().cast("array<int>"))
-    keys = pairs.select("_url_host", "_url_path", level.alias("n")).select(
+    keys = saved(pairs.select("_url_host", "_url_path", level.alias("n")).select(
         F.encode(_key(F.slice(labels, F.lit(1), F.col("n")), F.col("_url_path")), "UTF-8").alias("key"),
-        "_url_host", "_url_path")
-    tops = last_at_or_before(_rule_ends(known), keys).filter(F.col("top") != _NONE)
-    named = tops.join(known.select(F.col("rule").alias("top"), "verdict", "labels"), "top")
-    best = named.groupBy("_url_host", "_url_path").agg(
+        "_url_host", "_url_path"), "url-keys")
+    tops = last_at_or_before(_rule_ends(known), keys.select("key").distinct()).filter(F.col("top") != _NONE)
+    named = saved(tops.join(known.select(F.col("rule").alias("top"), "verdict", "labels"), "top"), "url-tops")
+    best = saved(keys.join(named, "key").groupBy("_url_host", "_url_path").agg(
         F.max(F.struct(F.length("top").alias("n"), F.col("labels"), F.col("top").alias("rule"),
-                       F.col("verdict"))).alias("_url_best"))
+                       F.col("verdict"))).alias("_url_best")), "url-best")
     return marked.join(best, ["_url_host", "_url_path"], "left").select(
         *(marked[c] for c in pages.columns), "_url_host", "_url_path",
         F.col("_url_best.rule").alias("_url_rule"),

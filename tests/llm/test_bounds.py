@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import brute
 import corpus_pipeline
 from ledgerloom.llm import (common, cotraining, language_id, mixing, queries, quality_rules,
-                            substring_dedup, subwords)
+                            substring_dedup, subwords, url_filters)
 
 SF = "/root/testdata/sf0.01"
 
@@ -172,3 +172,22 @@ def test_pipeline_on_odd_rows_and_an_empty_table(spark, small, tmp_path):
         assert all(r.n <= 2048 for r in lengths) and bool(lengths) == (name == "odd")
         if name == "odd":
             assert 10 ** 6 + 1 in {r.doc_id for r in current.select("doc_id").distinct().collect()}
+
+
+def test_hot_keys_and_urls_are_split(spark):
+    """Home pages of many hosts of one domain, and one url on a third of all pages."""
+    rules = spark.createDataFrame(queries.URL_RULES, "host string, path string, verdict string")
+    rows = [(i, "https://hot.example.com/en/x" if i % 3 == 0 else f"http://h{i}.com/" if i % 3 == 1
+             else f"http://h{i % 40}.net/es/{i % 11}") for i in range(3000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string").repartition(6)
+    got = url_filters.judge(pages, rules)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan                          # both sides of the join are written tables
+    found = {r.page_id: (r._url_rule, r._url_verdict) for r in got.collect()}
+    want = {0: ("example.com/en/", "block"), 1: ("com/", "allow"), 2: ("net/es/", "block")}
+    assert found == {i: want[i % 3] for i in range(3000)}
+    # a key that many pairs share is one row of the sweep
+    ends = spark.createDataFrame([(b"com#/", "com/"), (b"com#/\xff", "")], "key binary, top string")
+    keys = spark.createDataFrame([(b"com#/",), (b"com#/a",), (b"a",), (b"net#/",)], "key binary")
+    tops = {bytes(r.key): r.top for r in url_filters.last_at_or_before(ends, keys).collect()}
+    assert tops == {b"com#/": "com/", b"com#/a": "com/", b"a": "", b"net#/": ""}
