@@ -8,15 +8,19 @@ File. Entries are dealt by hash into groups of bounded size. A group holds, per
 entry, one byte per component: its cell in a uniform grid over that component's
 range (the approximation), and the exact integers.
 
-Search, in blocks of queries against groups, each block pair one bounded task:
+Search, a block of queries at a time (``chunk`` queries at most, so what the tasks are
+sent is bounded), each pass reading the groups where they lie: nothing of the file is
+shuffled or copied.
 
 1. Scan the cells only. The centre of a cell and its half width give every entry
    a lower and an upper bound of its score (as a distance: an upper and a lower
    bound). A query's k + 1 best lower bounds of all groups give its limit.
 2. Scan the cells again; entries whose upper bound reaches the limit are read
    exactly, best bound first, until the kth exact score is certain: better than
-   the next bound.
-3. The groups' answers are merged by (score, smaller id).
+   the next bound. What a task found in earlier groups raises the limit for later ones.
+
+A task sends at most k + 1 bounds or answers of a query, whatever the number of its
+groups; they are merged by (score, smaller id).
 
 Defined results: vectors that are null, empty, or hold null or non-finite
 components take no part; vectors are compared with those of equal dimension;
@@ -32,10 +36,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.session import scratch_path
+
 from .common import batch_rows, saved
 
 GROUP = 16_384          # entries of a group, about
-CHUNK = 8_192           # queries of a block, about
+CHUNK = 16_384          # queries of a block, about
 SLICE = 256             # queries multiplied at once
 BITS = 6                # of a cell number
 
@@ -115,62 +121,68 @@ def _bounds(cells: bytes, queries: np.ndarray, grid):
         yield part, queries[part].astype(np.float64) @ centre.T, error[part]
 
 
-def _queries(table: pa.Table) -> np.ndarray:
-    d = table.column("dim")[0].as_py()
-    return np.frombuffer(table.column("vecs")[0].as_py(), np.int64).reshape(-1, d)
-
-
-def _limits(group: pa.Table, block: pa.Table, grids, keep: int) -> pa.Table:
-    """Per query of the block the best lower bounds in the group."""
-    at, lows = [], []
-    if group.num_rows and block.num_rows:
-        q = _queries(block)
-        for part, score, error in _bounds(group.column("cells")[0].as_py(), q,
-                                          grids[q.shape[1]]):
-            k = min(keep, score.shape[1])
-            best = np.partition(score, -k, axis=1)[:, -k:] - error[:, None]
-            at += range(part.start, part.start + len(best))
-            lows += list(best)
-    d, c = ((block.column(x)[0].as_py() if block.num_rows else 0) for x in ("dim", "chunk"))
-    n = len(at)
-    return pa.table({"dim": pa.array([d] * n, pa.int32()), "chunk": pa.array([c] * n, pa.int64()),
-                     "at": pa.array(at, pa.int32()), "lows": pa.array(lows, pa.list_(pa.float64()))})
-
-
-def _answers(group: pa.Table, block: pa.Table, grids, keep: int) -> pa.Table:
-    """Per query of the block the best (score, id) of the group, read in the bounds' order."""
-    at, scores, found = [], [], []
-    if group.num_rows and block.num_rows:
-        q = _queries(block)
-        d = q.shape[1]
-        limits = np.frombuffer(block.column("limits")[0].as_py(), np.float64)
-        kind = np.int16 if group.column("width")[0].as_py() == 2 else np.int64
-        exact = np.frombuffer(group.column("exact")[0].as_py(), kind).reshape(-1, d)
-        counts = np.frombuffer(group.column("counts")[0].as_py(), np.int16)
-        ids = np.split(np.frombuffer(group.column("ids")[0].as_py(), np.int64),
-                       np.cumsum(counts)[:-1])
-        for part, centre, error in _bounds(group.column("cells")[0].as_py(), q, grids[d]):
-            upper = centre + error[:, None]
-            for i in range(len(upper)):
-                row = part.start + i
-                order = np.flatnonzero(upper[i] >= limits[row])
-                order = order[np.argsort(-upper[i][order], kind="stable")]
-                best: list[tuple[int, int]] = []        # (-score, id)
-                for a in range(0, len(order), 64):
-                    if len(best) >= keep and -best[keep - 1][0] > upper[i][order[a]]:
-                        break
-                    take = order[a:a + 64]
-                    got = exact[take].astype(np.int64) @ q[row]
-                    best += [(-int(s), int(x)) for s, e in zip(got, take) for x in ids[e]]
-                    best = sorted(best)[:keep]
-                at += [row] * len(best)
-                scores += [-s for s, _ in best]
-                found += [x for _, x in best]
-    d, c = ((block.column(x)[0].as_py() if block.num_rows else 0) for x in ("dim", "chunk"))
-    n = len(at)
-    return pa.table({"dim": pa.array([d] * n, pa.int32()), "chunk": pa.array([c] * n, pa.int64()),
-                     "at": pa.array(at, pa.int32()), "score": pa.array(scores, pa.int64()),
-                     "vec_id": pa.array(found, pa.int64())})
+def _group(batch: pa.RecordBatch, row: int, names: list[str]) -> list:
+    return [batch.column(n)[row].as_py() for n in names]
+
+
+def _limits(batches, queries: dict[int, np.ndarray], grids, keep: int):
+    """(dim, at, lows): each query's best lower bounds over all groups of a task."""
+    best: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for row in range(batch.num_rows):
+            d, cells = _group(batch, row, ["dim", "cells"])
+            if d not in queries:
+                continue
+            held = best.setdefault(d, np.full((len(queries[d]), keep), -np.inf))
+            for part, score, error in _bounds(cells, queries[d], grids[d]):
+                k = min(keep, score.shape[1])
+                low = np.partition(score, -k, axis=1)[:, -k:] - error[:, None]
+                both = np.concatenate([held[part], low], axis=1)
+                held[part] = np.partition(both, -keep, axis=1)[:, -keep:]
+    for d, held in best.items():
+        for a in range(0, len(held), 4096):
+            part = held[a:a + 4096]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(part), d), pa.int32()),
+                 pa.array(np.arange(a, a + len(part)), pa.int32()),
+                 pa.array(list(part), pa.list_(pa.float64()))], names=["dim", "at", "lows"])
+
+
+def _answers(batches, queries: dict[int, np.ndarray], limits: dict[int, np.ndarray], grids, keep: int):
+    """(dim, at, score, vec_id): each query's best of a task's groups, read in the bounds' order."""
+    best: dict[tuple[int, int], list[tuple[int, int]]] = {}          # (-score, id), sorted
+    limits = {d: x.copy() for d, x in limits.items()}
+    for batch in batches:
+        for row in range(batch.num_rows):
+            d, cells, raw, width, ids, counts = _group(
+                batch, row, ["dim", "cells", "exact", "width", "ids", "counts"])
+            if d not in queries:
+                continue
+            q, limit = queries[d], limits[d]
+            exact = np.frombuffer(raw, np.int16 if width == 2 else np.int64).reshape(-1, d)
+            ids = np.split(np.frombuffer(ids, np.int64), np.cumsum(np.frombuffer(counts, np.int16))[:-1])
+            for part, centre, error in _bounds(cells, q, grids[d]):
+                upper = centre + error[:, None]
+                for i in np.flatnonzero((upper >= limit[part, None]).any(1)).tolist():
+                    at = part.start + i
+                    order = np.flatnonzero(upper[i] >= limit[at])
+                    order = order[np.argsort(-upper[i][order], kind="stable")]
+                    mine = best.get((d, at), [])
+                    for a in range(0, len(order), 64):
+                        if len(mine) >= keep and -mine[keep - 1][0] > upper[i][order[a]]:
+                            break
+                        take = order[a:a + 64]
+                        got = exact[take].astype(np.int64) @ q[at]
+                        mine = sorted(mine + [(-int(s), int(x)) for s, e in zip(got, take)
+                                              for x in ids[e]])[:keep]
+                    best[d, at] = mine
+                    if len(mine) == keep:
+                        limit[at] = max(limit[at], float(-mine[-1][0]))
+    rows = [(d, at, -s, x) for (d, at), found in best.items() for s, x in found]
+    if rows:
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int32(), pa.int64(), pa.int64()))],
+            names=["dim", "at", "score", "vec_id"])
 
 
 def top_k(vectors: DataFrame, queries: Column, k: int = 5, vec_id: str = "vec_id",
@@ -178,7 +190,8 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 5, vec_id: str = "vec_id
           group: int = GROUP, chunk: int = CHUNK) -> DataFrame:
     """query_id, rank, vec_id, score: each query's ``k`` best among all other rows.
 
-    ``queries`` is a condition on the columns of ``vectors``.
+    ``queries`` is a condition on the columns of ``vectors``. Blocks of queries are dealt
+    by hash, so that they have about ``chunk`` each.
     """
     if not 1 <= bits <= 8:
         raise ValueError("a cell number has 1 to 8 bits")
@@ -208,40 +221,13 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 5, vec_id: str = "vec_id
         F.collect_list("vec").alias("vecs"), F.collect_list("ids").alias("ids")).mapInArrow(
         lambda b: _group_rows(b, grids), "dim int, grp long, cells binary, exact binary, width int, "
         "ids binary, counts binary"), "topk-files")
-
-    asked = entries.filter("query").withColumn(
-        "chunk", F.pmod(F.xxhash64(F.lit(1), "vec"), F.lit(chunks)))
-    blocks = saved(asked.groupBy("dim", "chunk").agg(F.sort_array(F.collect_list("vec")).alias("vecs")),
-                   "topk-blocks")
-
-    def meet(blocks: DataFrame, files: DataFrame, run, schema: str) -> DataFrame:
-        left = files.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"),
-                                                              F.lit(chunks - 1).cast("long"))))
-        right = blocks.withColumn("grp", F.explode(F.sequence(F.lit(0).cast("long"),
-                                                              F.lit(groups - 1).cast("long"))))
-        keys = ["dim", "grp", "chunk"]
-        return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(
-            lambda a, b: run(a, b, grids, keep), schema)
-
-    packed = blocks.mapInArrow(_pack_blocks, "dim int, chunk long, vecs binary")
-    packed = saved(packed, "topk-queries")
-    lows = meet(packed, files.select("dim", "grp", "cells"), _limits,
-                "dim int, chunk long, at int, lows array<double>")
-    limit = F.sort_array(F.flatten(F.collect_list("lows")), asc=False)
-    limits = lows.groupBy("dim", "chunk", "at").agg(limit.alias("lows")).select(
-        "dim", "chunk", "at", F.coalesce(F.get("lows", F.lit(keep - 1)),
-                                         F.lit(float("-inf"))).alias("limit"))
-    limits = limits.groupBy("dim", "chunk").agg(
-        F.sort_array(F.collect_list(F.struct("at", "limit"))).alias("x")).select(
-        "dim", "chunk", F.col("x.limit").alias("limits"))
-    bounded = saved(packed.join(limits, ["dim", "chunk"]).mapInArrow(
-        _pack_limits, "dim int, chunk long, vecs binary, limits binary"), "topk-bounded")
-    answers = meet(bounded, files, _answers,
-                   "dim int, chunk long, at int, score long, vec_id long")
-    best = answers.groupBy("dim", "chunk", "at").agg(F.slice(F.sort_array(F.collect_list(
-        F.struct((-F.col("score")).alias("s"), F.col("vec_id")))), 1, keep).alias("best"))
-    placed = blocks.select("dim", "chunk", F.posexplode("vecs").alias("at", "vec"))
-    by_vec = placed.join(best, ["dim", "chunk", "at"]).select("vec", "best")
+    asked = saved(entries.filter("query").select("dim", "vec").withColumn(
+        "chunk", F.pmod(F.xxhash64(F.lit(1), "vec"), F.lit(chunks))), "topk-queries")
+    path = scratch_path(vectors.sparkSession, "llm-topk-found")
+    for number in range(chunks):            # a block that is written is done with
+        part = _block_answers(asked.filter(F.col("chunk") == number), files, grids, keep)
+        part.write.parquet(f"{path}/block={number}")
+    by_vec = vectors.sparkSession.read.schema(part.schema).parquet(path)
 
     mine = rows.filter("query").select("id", "v").distinct().mapInArrow(
         _vec_bytes, "query_id long, vec binary")
@@ -251,20 +237,26 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 5, vec_id: str = "vec_id
                 F.col("col.vec_id").alias("vec_id"), (-F.col("col.s")).alias("score"))
 
 
-def _pack_blocks(batches):
-    for batch in batches:
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1),
-             pa.array([b"".join(v) for v in batch.column(2).to_pylist()], pa.binary())],
-            names=["dim", "chunk", "vecs"])
-
-
-def _pack_limits(batches):
-    for batch in batches:
-        yield pa.RecordBatch.from_arrays(
-            [*(batch.column(i) for i in range(3)),
-             pa.array([np.array(v, np.float64).tobytes() for v in batch.column(3).to_pylist()],
-                      pa.binary())], names=["dim", "chunk", "vecs", "limits"])
+def _block_answers(asked: DataFrame, files: DataFrame, grids, keep: int) -> DataFrame:
+    """(vec, best): the answers to one block of queries; the block is bounded and sent to all tasks."""
+    spark = asked.sparkSession
+    by_dim: dict[int, list[bytes]] = {}
+    for d, vec in sorted(tuple(r) for r in asked.select("dim", "vec").collect()):
+        by_dim.setdefault(d, []).append(bytes(vec))
+    queries = {d: np.frombuffer(b"".join(v), np.int64).reshape(-1, d) for d, v in by_dim.items()}
+    lows = files.select("dim", "cells").mapInArrow(
+        lambda b: _limits(b, queries, grids, keep), "dim int, at int, lows array<double>")
+    limit = F.get(F.sort_array(F.flatten(F.collect_list("lows")), asc=False), F.lit(keep - 1))
+    limits = {d: np.full(len(q), -np.inf) for d, q in queries.items()}
+    for d, at, low in lows.groupBy("dim", "at").agg(limit.alias("limit")).toLocalIterator():
+        limits[d][at] = low             # a number a query of the block
+    answers = files.mapInArrow(lambda b: _answers(b, queries, limits, grids, keep),
+                               "dim int, at int, score long, vec_id long")
+    best = answers.groupBy("dim", "at").agg(F.slice(F.sort_array(F.collect_list(
+        F.struct((-F.col("score")).alias("s"), F.col("vec_id")))), 1, keep).alias("best"))
+    placed = spark.createDataFrame([(d, at, v) for d, vecs in by_dim.items() for at, v in enumerate(vecs)],
+                                   "dim int, at int, vec binary")
+    return placed.join(best, ["dim", "at"]).select("vec", "best")
 
 
 def _vec_bytes(batches):

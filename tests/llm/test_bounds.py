@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import brute
 import corpus_pipeline
-from ledgerloom.llm import (common, cotraining, language_id, mixing, queries, quality_rules,
+from ledgerloom.llm import (common, cotraining, exact_topk, language_id, mixing, queries, quality_rules,
                             substring_dedup, subwords, url_filters)
 
 SF = "/root/testdata/sf0.01"
@@ -191,3 +191,22 @@ def test_hot_keys_and_urls_are_split(spark):
     keys = spark.createDataFrame([(b"com#/",), (b"com#/a",), (b"a",), (b"net#/",)], "key binary")
     tops = {bytes(r.key): r.top for r in url_filters.last_at_or_before(ends, keys).collect()}
     assert tops == {b"com#/": "com/", b"com#/a": "com/", b"a": "", b"net#/": ""}
+
+
+def test_top_k_over_many_blocks_and_groups(spark):
+    """Several query blocks against several groups, at sizes near the defaults' shape; ties; one hot vector."""
+    rng = np.random.default_rng(12)
+    d, n = 12, 2500
+    v = rng.integers(-300, 300, (n, d))
+    v[n // 2:n // 2 + 700] = v[3]
+    rows = [(i, [float(x) / 256 for x in v[i]]) for i in range(n)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    out = exact_topk.top_k(table, F.col("vec_id") % 3 == 0, 7, group=300, chunk=90).collect()
+    got = {}
+    for r in out:
+        got.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
+    scores = v @ v.T
+    assert len(got) == len(range(0, n, 3))
+    for q in range(0, n, 3):
+        order = sorted((-int(s), i) for i, s in enumerate(scores[q]) if i != q)[:7]
+        assert sorted(got[q]) == [(k + 1, i, -s) for k, (s, i) in enumerate(order)]
