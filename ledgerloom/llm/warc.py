@@ -2,19 +2,22 @@
 
 Writing. Every page is one record. Of pages with equal payloads (SHA-1 and length,
 at least ``min_bytes`` long) the one of largest id is a response, the others are
-revisit records that refer to it and carry no payload. Records are rows of Spark's
-text sink with the record separator as line end, so each part file is a
-gzip-compressed WARC file on any file system Spark writes to, and lost or repeated
-task attempts leave no file behind.
-
-Reading. Archive files are read whole (``records_per_file`` bounds them) and parsed
-by the lengths in their headers; every payload's digest is computed again and
-compared. Each archive's captures are sorted by URL key and time: a run.
-
-Index. The runs are merged externally: ranges of (URL key, time, id) are dealt to
-tasks, a URL with any number of captures to as many as it needs, and a task merges
-its pieces of the k runs with a loser tree. The result is in one global order,
-``place``, so the captures of a URL are its history.
+revisit records that refer to it and carry no payload. Every record is a gzip member
+of its own, so one can be read from its offset. Members are rows of Spark's text sink,
+with an empty member as line end, so archives lie on any file system Spark writes to,
+and lost or repeated task attempts leave no file behind. An archive holds at most
+``file_bytes`` of records (or one larger record) and ``records_per_file`` records.
+
+Reading. Archive files are read whole, member by member, and parsed by the lengths in
+their headers; every payload's digest is computed again and compared. Each archive's
+captures are sorted by URL key and time and written: a run.
+
+Index. The runs are merged externally: ranges of (URL key, time, id), as many as the
+number of captures asks for, are dealt to tasks, a URL with any number of captures to as
+many as it needs. A task gets its pieces of the k runs one after the other; they stay
+Arrow columns, and of each piece only a block of ``BLOCK`` keys at a time is in the loser
+tree that merges them. The result is in one global order, ``place``, so the captures of a
+URL are its history.
 
 Defined results: null html is an empty payload; a null url is written as an empty
 one and has the URL key ``)/``; line breaks in a url are percent-encoded; of equal
@@ -28,7 +31,9 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import zlib
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +43,11 @@ from ledgerloom.session import scratch_path
 from .common import saved
 from .url_filters import host_and_path
 
+FILE_BYTES = 32 << 20       # of an archive's records, uncompressed
+RANGE_ROWS = 100_000        # captures merged by a task, about
+MAX_RANGES = 8_192          # their sampled bounds go through the driver
+BLOCK = 256                 # keys of a piece in the merge at once
+_EMPTY = gzip.compress(b"", mtime=0)
 _CRLF = "\r\n"
 _DIGITS, _BASE32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 _INDEX = ("urlkey string, captured string, page_id long, url string, payload_bytes long, "
@@ -79,7 +89,7 @@ def decide(pages: DataFrame, min_bytes: int = 0, page_id: str = "page_id", url:
 
 
 def record(captured: Column) -> Column:
-    """The text of a WARC record of a row of :func:`decide`, without its final separator."""
+    """The text of a WARC record of a row of :func:`decide`."""
     def line(name: str, value: Column) -> Column:
         return F.concat(F.lit(f"{name}: "), value, F.lit(_CRLF))
 
@@ -103,13 +113,29 @@ def record(captured: Column) -> Column:
             line("WARC-Refers-To", name("refers_to")))).otherwise(F.lit("")),
         line("Content-Type", F.lit("application/http; msgtype=response")),
         line("Content-Length", block.cast("string")),
-        F.lit(_CRLF), http, F.when(revisit, F.lit("")).otherwise(F.col("payload")))
+        F.lit(_CRLF), http, F.when(revisit, F.lit("")).otherwise(F.col("payload")), F.lit(_CRLF * 2))
+
+
+def _members(batches, file_bytes: int, records_per_file: int):
+    """(record) -> its gzip member and the number of its archive among those of the task."""
+    number = size = records = 0
+    for batch in batches:
+        members, files = [], []
+        for row in range(batch.num_rows):
+            raw = batch.column(0)[row].as_buffer()
+            if records and (size + raw.size > file_bytes or records >= records_per_file):
+                number, size, records = number + 1, 0, 0
+            size, records = size + raw.size, records + 1
+            members.append(gzip.compress(raw, 6, mtime=0))
+            files.append(number)
+        yield pa.RecordBatch.from_arrays([pa.array(members, pa.binary()), pa.array(files, pa.int32())],
+                                         names=["member", "file"])
 
 
 def write_archives(pages: DataFrame, path: str, captured: Column | None = None, min_bytes: int = 0,
-                   records_per_file: int = 4096, page_id: str = "page_id", url: str = "url",
-                   html: str = "html") -> None:
-    """Write ``pages`` as gzip-compressed WARC files below ``path``.
+                   records_per_file: int = 4096, file_bytes: int = FILE_BYTES,
+                   page_id: str = "page_id", url: str = "url", html: str = "html") -> None:
+    """Write ``pages`` as WARC files of gzip members below ``path``.
 
     ``captured``: the record's date as text, over (page_id, url, payload); by
     default a second per id after a fixed day, as pages carry no time.
@@ -119,12 +145,38 @@ def write_archives(pages: DataFrame, path: str, captured: Column | None = None,
         moment = F.timestamp_seconds(1_600_000_000 + F.coalesce("page_id", F.lit(0)) % 1_000_000_000)
         captured = F.date_format(F.to_utc_timestamp(moment, F.current_timezone()),
                                  "yyyy-MM-dd'T'HH:mm:ss'Z'")
-    rows.select(record(captured).alias("value")).write.option(
-        "maxRecordsPerFile", records_per_file).text(path, compression="gzip", lineSep=_CRLF * 2)
+    members = rows.select(record(captured).alias("record")).mapInArrow(
+        lambda b: _members(b, file_bytes, records_per_file), "member binary, file int")
+    # the sink writes a string's bytes as they are, and the line end in the given encoding
+    members.select(F.col("member").cast("string").alias("value"), "file").write.partitionBy("file") \
+        .option("encoding", "ISO-8859-1").option("lineSep", _EMPTY.decode("latin-1")).text(path)
+
+
+def members(data: bytes, at: int = 0):
+    """(start, content) of every gzip member of an archive from ``at`` on that is not empty."""
+    while at < len(data):
+        reader, out, end = zlib.decompressobj(31), [], at
+        while not reader.eof:
+            part = data[end:end + 65_536]
+            if not part:
+                raise ValueError(f"cut member at byte {at}")
+            out.append(reader.decompress(part))
+            end += len(part)
+        content = b"".join(out)
+        if content:
+            yield at, content
+        at = end - len(reader.unused_data)
+
+
+def record_at(data: bytes, at: int) -> tuple[dict, bytes]:
+    """Header fields and block of the record whose member begins at byte ``at`` of an archive."""
+    _, content = next(members(data, at))
+    _, fields, block = next(parse(content))
+    return fields, block
 
 
 def parse(data: bytes):
-    """(start, header fields, block) of every record of an uncompressed WARC file."""
+    """(start, header fields, block) of every record of uncompressed WARC content."""
     at = 0
     while at < len(data):
         end = data.index(b"\r\n\r\n", at)
@@ -144,7 +196,7 @@ def _captures(name: str, data: bytes) -> list[tuple]:
     """Index rows of an archive, without their URL key."""
     named = lambda x: int(x[12:-1]) if len(x) > 13 else None  # noqa: E731  <urn:x-page:N>
     rows = []
-    for at, fields, block in parse(data):
+    for at, (_, fields, block) in ((at, r) for at, content in members(data) for r in parse(content)):
         http, _, payload = block.partition(b"\r\n\r\n")
         size = next(int(x.split(b":")[1]) for x in http.split(b"\r\n")
                     if x.startswith(b"Content-Length"))
@@ -164,8 +216,7 @@ def _read(batches):
     names = [f for f in _FIELDS if f != "urlkey"]
     for batch in batches:
         for row in range(batch.num_rows):
-            rows = _captures(batch.column(0)[row].as_py(),
-                             gzip.decompress(batch.column(1)[row].as_py()))
+            rows = _captures(batch.column(0)[row].as_py(), batch.column(1)[row].as_py())
             columns = list(zip(*rows)) or [[] for _ in names]
             kinds = {"page_id": pa.int64(), "payload_bytes": pa.int64(), "refers_to": pa.int64(),
                      "record_at": pa.int64()}
@@ -176,7 +227,7 @@ def _read(batches):
 def read_captures(spark: SparkSession, path: str) -> DataFrame:
     """One row a record of the archives below ``path``, digests verified."""
     files = spark.read.format("binaryFile").load(path).select(
-        F.element_at(F.split("path", "/"), -1).alias("archive"), "content")
+        F.array_join(F.slice(F.split("path", "/"), -2, 2), "/").alias("archive"), "content")
     schema = ", ".join(f for f in _INDEX.split(", ") if not f.startswith("urlkey"))
     rows = files.mapInArrow(_read, schema)
     return rows.select(url_key(F.col("url")).alias("urlkey"), *_FIELDS[1:])
@@ -222,37 +273,48 @@ class LoserTree:
             self._play(run)
 
 
-def _order(row: tuple) -> tuple:
-    """URL key and time, then id (null first) and the record's place."""
-    return row[0], row[1], row[2] is not None, row[2] or 0, row[8], row[9]
+class Piece:
+    """Rows ``start`` to ``end`` of a sorted table as a list of keys; one block of them is held.
+
+    A key is URL key and time, then id (null first), the record's place, and the row.
+    """
+
+    def __init__(self, table: pa.Table, start: int, end: int):
+        self.columns = [table.column(c) for c in ("urlkey", "captured", "page_id", "archive", "record_at")]
+        self.start, self.end, self.first, self.block = start, end, 0, []
+
+    def __len__(self) -> int:
+        return self.end - self.start
+
+    def __getitem__(self, i: int) -> tuple:
+        if not self.first <= i < self.first + len(self.block):
+            n = min(BLOCK, len(self) - i)
+            self.first, at = i, self.start + i
+            self.block = [(key, time, page is not None, page or 0, archive, place, at + k)
+                          for k, (key, time, page, archive, place) in enumerate(
+                              zip(*(c.slice(at, n).to_pylist() for c in self.columns)))]
+        return self.block[i - self.first]
 
 
 def _merge(batches):
     """Pieces of sorted runs, one after the other, to one sorted sequence with its places."""
     from pyspark import TaskContext
 
-    runs: dict[str, list] = {}
-    schema = None
-    for batch in batches:
-        schema = batch.schema
-        for row in zip(*(c.to_pylist() for c in batch.columns)):
-            runs.setdefault(row[8], []).append(row)
-    if schema is None:
+    held = [b for b in batches if b.num_rows]
+    if not held:
         return
-    place, held = TaskContext.get().partitionId() << 33, []
-    for i, row in enumerate(LoserTree(list(runs.values()), _order)):
-        held.append((*row, place + i))
-        if len(held) == 10_000:
-            yield _batch(held, schema)
-            held = []
-    if held:
-        yield _batch(held, schema)
-
-
-def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
-    kinds = [*schema.types, pa.int64()]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=[*schema.names, "place"])
+    table = pa.Table.from_batches(held)
+    named = table.column("archive").combine_chunks().dictionary_encode().indices.to_numpy()
+    cuts = [0, *(np.flatnonzero(np.diff(named)) + 1).tolist(), len(named)]
+    pieces = [Piece(table, a, b) for a, b in zip(cuts, cuts[1:])]
+    place, rows = TaskContext.get().partitionId() << 33, []
+    for i, key in enumerate(LoserTree(pieces, lambda k: k)):
+        rows.append(key[-1])
+        if len(rows) == 10_000 or i + 1 == len(named):
+            part = table.take(pa.array(rows)).combine_chunks().to_batches()[0]      # one chunk a column
+            places = pa.array(np.arange(place + i + 1 - len(rows), place + i + 1))
+            yield pa.RecordBatch.from_arrays([*part.columns, places], names=[*part.schema.names, "place"])
+            rows = []
 
 
 def merge_runs(captures: DataFrame) -> DataFrame:
@@ -261,7 +323,10 @@ def merge_runs(captures: DataFrame) -> DataFrame:
     # an archive is read by one task, so its run needs no shuffle
     runs = saved(captures.sortWithinPartitions("archive", *order),
                  "warc-runs")
-    dealt = runs.repartitionByRange(*order).sortWithinPartitions("archive", *order)
+    spark = captures.sparkSession
+    ranges = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                 min(MAX_RANGES, -(-runs.count() // RANGE_ROWS)))
+    dealt = runs.repartitionByRange(ranges, *order).sortWithinPartitions("archive", *order)
     return dealt.mapInArrow(_merge, _INDEX + ", place long")
 
 

@@ -241,6 +241,12 @@ def test_warc_round_trip(spark, tmp_path):
     keys = [(r.urlkey, r.captured) for r in by]
     assert keys == sorted(keys) and len({r.place for r in index}) == len(index)
     got = {r.page_id: r for r in index}
+    for r in index:                     # a record is read from its own member
+        with open(f"{path}/{r.archive}", "rb") as f:
+            fields, block = warc.record_at(f.read(), r.record_at)
+        assert fields["WARC-Type"] == r.record_type and fields["WARC-Target-URI"] == r.url
+        body = block.partition(b"\r\n\r\n")[2]
+        assert len(body) == (r.payload_bytes if r.record_type == "response" else 0)
     assert got[6].record_type == "response" and got[2].refers_to == got[5].refers_to == 6
     assert got[None].refers_to == 9 and got[0].record_type == got[7].record_type == "response"
     for i, _, h, _ in rows:
@@ -252,6 +258,37 @@ def test_warc_round_trip(spark, tmp_path):
     assert warc.merge_runs(warc.read_captures(spark, path + "0")).count() == 0
 
 
+def test_warc_archives_are_bounded_and_plain_gzip(spark, tmp_path):
+    import glob
+    import gzip
+    pages = spark.createDataFrame([(i, f"http://h/{i}", f"{i}" + "y" * (900 if i % 7 else 9000)) for i in range(120)],
+                                  "page_id long, url string, html string").coalesce(2)
+    path = str(tmp_path / "a")
+    warc.write_archives(pages.select("*", F.lit(1).alias("file")), path, file_bytes=8000)
+    sizes = {}
+    for name in glob.glob(f"{path}/*/part-*"):
+        with open(name, "rb") as f:
+            data = f.read()
+        found = [c for _, c in warc.members(data)]
+        assert gzip.decompress(data) == b"".join(found) and all(len(list(warc.parse(c))) == 1 for c in found)
+        sizes[name] = (len(b"".join(found)), len(found))
+    assert sum(n for _, n in sizes.values()) == 120
+    assert all(size <= 8000 or n == 1 for size, n in sizes.values()) and len(sizes) > 10
+    with pytest.raises(ValueError):
+        list(warc.members(data[:-30]))
+
+
+def test_warc_merge_of_many_runs(spark, tmp_path, monkeypatch):
+    """Pieces longer than a block, many runs in one range, one url on most captures."""
+    rows = [(i, "http://hot/" if i % 3 else f"http://h{i % 50}/{i}", f"p{i % 400}") for i in range(6000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    path = str(tmp_path / "a")
+    warc.write_archives(pages, path, records_per_file=700)
+    by = sorted(warc.merge_runs(warc.read_captures(spark, path)).collect(), key=lambda r: r.place)
+    assert [r.page_id for r in by] == [r.page_id for r in sorted(by, key=lambda r: (r.urlkey, r.captured, r.page_id))]
+    assert len(by) == 6000 and len({r.archive for r in by}) >= 9
+
+
 def test_loser_tree():
     rng = random.Random(0)
     for k in (0, 1, 2, 3, 5, 8, 13):
