@@ -36,10 +36,11 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, saved
+from .common import fresh, saved, small_side
 
 _BASE = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
 ID_GROUPS = 1 << 16
+SEVERAL_IDS = 500_000       # ids on several texts that may be broadcast
 SLICE_BYTES = 4 << 20       # text worked on at once inside a task
 BLOB_BYTES = 1 << 18        # the same of compressed texts, beside which their windows are held
 
@@ -306,12 +307,15 @@ def covered_windows(docs: DataFrame, length: int, doc_id: str, text: str) -> Dat
     whole = state.filter("copy").select("doc_id", "tid").distinct()
     settled = state.groupBy("doc_id").agg(F.min("copy").alias("all")).filter("all").select("doc_id")
 
-    # an id on many texts is dealt into groups; two bytes of ``tid`` cost little in the shuffle
-    group = F.pmod("tid", F.lit(ID_GROUPS)).alias("deal")
-    half = repeats(listed.select(F.explode("anchors").alias("h"), "doc_id", group), ["h"])
+    # an id on several texts is dealt into groups by text; all others have group 0
+    several = saved(listed.groupBy("doc_id").agg(F.min("tid").alias("a"), F.max("tid").alias("b"))
+                    .filter("a < b").select("doc_id", F.lit(True).alias("several")), "substring-ids")
+    group = F.when(F.col("several"), F.pmod("tid", F.lit(ID_GROUPS))).otherwise(F.lit(0)).alias("deal")
+    dealt = lambda df: df.join(small_side(several, SEVERAL_IDS), "doc_id", "left")
+    half = repeats(dealt(listed).select(F.explode("anchors").alias("h"), "doc_id", group), ["h"])
     anchors = half.groupBy("doc_id", "deal").agg(F.collect_list("h").alias("anchors")).join(
         settled, "doc_id", "left_anti")
-    packed = _packed(rows.select("doc_id", "tid", group, "text"), "text")
+    packed = _packed(dealt(rows).select("doc_id", "tid", group, "text"), "text")
     windows = saved(packed.join(anchors, ["doc_id", "deal"]).select("doc_id", "tid", "text", "anchors")
                     .mapInArrow(lambda b: _extend(b, length),
                                 "h1 long, h2 long, doc_id long, tid long"), "substring-windows")
