@@ -9,12 +9,14 @@ new and updated rows).
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import title_from_snake
+from ledgerloom.operators.buckets import children, remove
 
 
 def changed_rows(current: DataFrame, previous: DataFrame, key: str | Sequence[str],
@@ -39,20 +41,30 @@ def changed_rows(current: DataFrame, previous: DataFrame, key: str | Sequence[st
     return j.select(*current.columns, change.alias("change")).filter(F.col("change").isNotNull())
 
 
+def run_order(run: str) -> tuple:
+    """Order of run names: numbers in them count as numbers, so ``week-10`` is after ``week-9``."""
+    return tuple((1, int(part), "") if part.isdigit() else (0, 0, part)
+                 for part in re.split(r"(\d+)", run) if part)
+
+
 def sync(current: DataFrame, state: str, key: str | Sequence[str], run: str,
-         compare: Sequence[str] | None = None) -> DataFrame:
+         compare: Sequence[str] | None = None, keep: int = 2) -> DataFrame:
     """One run of the feed: the rows of ``current`` to send, compared with the last run's.
 
     ``state`` is a folder with one snapshot a run (``run=<name>``). The snapshot of
     this run is written first and the rows to send are read from the two
     snapshots, so what was compared is what was stored, and a run that is
     repeated after a failure overwrites its own snapshot and sends the same rows.
-    Runs are ordered by name. The first run sends every row as new.
+    Runs are ordered by :func:`run_order` of their names. The first run sends every row as
+    new. Of the snapshots before this one the last ``keep`` stay.
     """
     spark = current.sparkSession
     current.write.mode("overwrite").parquet(f"{state}/run={run}")
-    stored = spark.read.parquet(state).withColumn("run", F.col("run").cast("string"))
-    last = stored.filter(F.col("run") < run).agg(F.max("run")).first()[0]
+    names = [c.split("=", 1)[1] for c in children(spark, state) if c.startswith("run=")]
+    before = sorted((n for n in names if run_order(n) < run_order(run)), key=run_order)
+    last = before[-1] if before else None
+    for old in before[:-max(1, keep)]:
+        remove(spark, f"{state}/run={old}")
     now = spark.read.schema(current.schema).parquet(f"{state}/run={run}")
     before = spark.read.schema(current.schema).parquet(f"{state}/run={last}") if last \
         else now.limit(0)

@@ -5,8 +5,13 @@ Generic tests return the *failing rows* of a DataFrame (generic-test semantics:
 passes ``unique`` / ``accepted_values`` / ``relationships``). :func:`run_tests`
 evaluates a whole test suite as one Spark job: per model all NULL, accepted-value
 and row-condition tests are conditional counts of one aggregation (one scan, no
-row is multiplied), ``unique`` groups by the key in its own type, and
-``relationships`` is an anti join per test.
+row is multiplied). Where a model has a ``unique`` test, that aggregation is by the
+tested key in its own type, so the same scan also finds the values that occur twice.
+``relationships`` counts the child rows by foreign key (a hot key is combined in every
+map task) and anti joins the keys. Over tables that are bucketed by these keys neither
+shuffles (:func:`~ledgerloom.sources.datasets.publish`).
+
+:func:`diff_rows` compares two tables row by row, by digests of hash buckets first.
 """
 
 from __future__ import annotations
@@ -84,6 +89,8 @@ def run_tests(ds, tests: Sequence[DataTest],
     def counted(t: DataTest, failing: DataFrame) -> DataFrame:
         return failing.agg(F.lit(t.test_name).alias("__test"), F.count(F.lit(1)).alias("__f"))
 
+    keyed: dict[str, DataTest] = {}     # a model's unique test that its other tests join
+
     for t in tests:
         if t.severity not in SEVERITIES:
             raise ValueError(f"severity must be one of {SEVERITIES}")
@@ -92,18 +99,32 @@ def run_tests(ds, tests: Sequence[DataTest],
             counts.setdefault(t.model, []).append((t, c.isNull()))
         elif t.kind == "accepted_values":
             counts.setdefault(t.model, []).append((t, c.isNotNull() & ~c.isin(list(t.values))))
+        elif t.kind == "unique" and t.model not in keyed:
+            keyed[t.model] = t
         elif t.kind == "unique":
             parts.append(counted(t, unique(ds[t.model], t.column)))
         else:
-            parts.append(counted(t, relationships(ds[t.model], t.column, ds[t.to], t.field)))
+            children = ds[t.model].groupBy(t.column).agg(F.count(F.lit(1)).alias("__n"))
+            lost = relationships(children, t.column, ds[t.to], t.field)
+            parts.append(lost.agg(F.lit(t.test_name).alias("__test"),
+                                  F.coalesce(F.sum("__n"), F.lit(0)).alias("__f")))
     for name, (severity, model, condition) in (singular or {}).items():
         t = DataTest(model=model, kind="singular", severity=severity, name=name)
         counts.setdefault(model, []).append((t, F.coalesce(F.expr(condition), F.lit(False))))
         rows.append((name, name, None, "singular", severity))
-    for model, checks in counts.items():
-        one = ds[model].agg(*[F.count_if(bad).alias(f"__c{i}") for i, (_, bad) in enumerate(checks)])
-        pairs = ", ".join(f"'{t.test_name}', __c{i}" for i, (t, _) in enumerate(checks))
-        parts.append(one.select(F.expr(f"stack({len(checks)}, {pairs}) as (__test, __f)")))
+    for model in dict.fromkeys([*counts, *keyed]):
+        checks, key = counts.get(model, []), keyed.get(model)
+        counted_bad = [F.count_if(bad).alias(f"__c{i}") for i, (_, bad) in enumerate(checks)]
+        if key is None:
+            one = ds[model].agg(*counted_bad)
+        else:
+            by_key = ds[model].groupBy(key.column).agg(F.count(F.lit(1)).alias("__n"), *counted_bad)
+            one = by_key.agg(
+                *[F.coalesce(F.sum(f"__c{i}"), F.lit(0)).alias(f"__c{i}") for i in range(len(checks))],
+                F.count_if(F.col(key.column).isNotNull() & (F.col("__n") > 1)).alias(f"__c{len(checks)}"))
+        names = [t.test_name for t, _ in checks] + ([key.test_name] if key else [])
+        pairs = ", ".join(f"'{name}', __c{i}" for i, name in enumerate(names))
+        parts.append(one.select(F.expr(f"stack({len(names)}, {pairs}) as (__test, __f)")))
     failures = parts[0]
     for p in parts[1:]:
         failures = failures.unionByName(p)
@@ -182,6 +203,56 @@ def reconcile(actual: DataFrame, expected: DataFrame, keys: Sequence[str],
                     F.col("expected").eqNullSafe(F.col("actual")).alias("matches"))
 
 
+def bucket_digests(df: DataFrame, keys: Sequence[str], columns: Sequence[str], n_buckets: int) -> DataFrame:
+    """(bucket, rows, digest): per hash bucket of the key a digest of its rows, in any order."""
+    row = F.xxhash64(*keys, *columns)
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(n_buckets)).alias("bucket")
+    # two sums of independent hashes, exact in 38 digits: rows that differ cannot cancel out
+    again = F.xxhash64(F.lit("again"), row, *columns, *keys)
+    return df.groupBy(bucket).agg(F.count(F.lit(1)).alias("rows"),
+                                  F.sum(row.cast("decimal(20,0)")).alias("first"),
+                                  F.sum(again.cast("decimal(20,0)")).alias("second"))
+
+
+def diff_rows(left: DataFrame, right: DataFrame, keys: Sequence[str], columns: Sequence[str] | None = None,
+              n_buckets: int = 4096) -> DataFrame:
+    """Rows in which two tables differ: keys, ``found`` (left_only, right_only, differs), ``columns``.
+
+    First a digest of every hash bucket of the key on both sides (one map-side combined
+    aggregation each, ``n_buckets`` rows); only rows of buckets whose digests differ are
+    joined. Both sides must have one row a key; null keys are keys. ``columns``: what is
+    compared, all common ones by default; the result names those that differ.
+    """
+    common = list(columns) if columns is not None else [
+        c for c in left.columns if c in right.columns and c not in keys]
+    kinds = {c: (left.schema[c].dataType, right.schema[c].dataType) for c in (*keys, *common)}
+    aligned = lambda df: df.select(*[F.col(c).cast(kinds[c][0]).alias(c)
+                                     for c in (*keys, *common)])
+    a, b = aligned(left), aligned(right)
+    mine, theirs = (bucket_digests(df, keys, common, n_buckets) for df in (a, b))
+    other = theirs.select(*[F.col(c).alias(f"__r_{c}") for c in theirs.columns])
+    same = F.lit(True)
+    for c in ("rows", "first", "second"):
+        same = same & F.col(c).eqNullSafe(F.col(f"__r_{c}"))
+    unequal = mine.join(other, F.col("bucket") == F.col("__r_bucket"), "full").filter(~same).select(
+        F.coalesce("bucket", "__r_bucket").alias("bucket"))
+    wanted = [r.bucket for r in unequal.collect()]              # at most n_buckets numbers
+    some = lambda df: df.filter(F.pmod(F.xxhash64(*keys), F.lit(n_buckets)).isin(wanted)
+                                if wanted else F.lit(False))
+    right_rows = some(b).select(*[F.col(c).alias(f"__r_{c}") for c in b.columns], F.lit(True).alias("__r"))
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"__r_{k}"))
+    both = some(a).withColumn("__l", F.lit(True)).join(right_rows, on, "full")
+    unlike = F.array_compact(F.array(*[F.when(~F.col(c).eqNullSafe(F.col(f"__r_{c}")), F.lit(c))
+                                       for c in common])) if common else F.array().cast("array<string>")
+    found = F.when(F.col("__r").isNull(), "left_only").when(F.col("__l").isNull(), "right_only").when(
+        F.size(unlike) > 0, "differs")
+    return both.withColumn("found", found).filter("found is not null").select(
+        *[F.when(F.col("__l").isNull(), F.col(f"__r_{k}")).otherwise(F.col(k)).alias(k) for k in keys], "found",
+        F.when(F.col("found") == "differs", F.array_join(unlike, ",")).otherwise(F.lit("")).alias("columns"))
+
+
 @dataclass(frozen=True)
 class Contract:
     model: str

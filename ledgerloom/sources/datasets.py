@@ -277,16 +277,24 @@ def once(spark: SparkSession, scope: tuple, name: str, build: Callable[[], objec
 def publish(ds: "Datasets", names: Sequence[str], path: str | None = None,
             schema: str | None = None, docs: Mapping[str, Mapping[str, str]] | None = None,
             comments: Mapping[str, str] | None = None,
-            properties: Mapping[str, Mapping[str, str]] | None = None) -> dict[str, str]:
+            properties: Mapping[str, Mapping[str, str]] | None = None,
+            buckets: Mapping[str, tuple[int, Sequence[str]]] | None = None) -> dict[str, str]:
     """Build models into a named place, where other jobs find them; name -> place.
 
     ``table`` models become parquet folders below ``path``, or catalog tables of
     ``schema`` (with table comment and properties); ``view`` models become temporary
     views of their name; ``ephemeral`` models are inlined and get no place. ``docs``
     holds column comments by model, kept in the written schema.
+
+    ``buckets``: model -> (number, keys): its catalog table is bucketed and sorted by the
+    keys. Tables with the same number of buckets of a key are joined, grouped and tested
+    on it without a shuffle (read them with ``Datasets(catalog=...)``). A bucket is
+    written by one task; choose the number so that one fits.
     """
     if (path is None) == (schema is None):
         raise ValueError("give either a path or a schema")
+    if buckets and schema is None:
+        raise ValueError("buckets need a catalog table, so a schema")
     places = {}
     for name in names:
         kind = materialization(name)
@@ -301,7 +309,13 @@ def publish(ds: "Datasets", names: Sequence[str], path: str | None = None,
             df.write.mode("overwrite").parquet(places[name])
         else:
             places[name] = f"{schema}.{name}"
-            df.write.mode("overwrite").saveAsTable(places[name])
+            writer = df.write.mode("overwrite")
+            if name in (buckets or {}):
+                number, keys = buckets[name]
+                # one file a bucket: its rows are sorted as a whole
+                writer = df.repartition(number, *keys).write.mode("overwrite") \
+                    .bucketBy(number, *keys).sortBy(*keys)
+            writer.saveAsTable(places[name])
             quoted = lambda v: "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
             if name in (comments or {}):
                 ds.spark.sql(f"COMMENT ON TABLE {places[name]} IS {quoted(comments[name])}")

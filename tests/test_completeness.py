@@ -162,7 +162,9 @@ def test_linked_dimension_conditions_and_groups(spark, shop):
 def test_where_goes_to_the_models_that_reach_it(spark, shop):
     ds, flat = shop
     done = flat[flat.status == "done"]
-    got = query_metrics(ds, REG, ["per"], where="status = 'done'").first()[0]
+    with pytest.raises(ValueError, match="unfiltered"):          # reaches one of two models
+        query_metrics(ds, REG, ["per"], where="status = 'done'")
+    got = query_metrics(ds, REG, ["per"], where="status = 'done'", unfiltered=["c"]).first()[0]
     assert got == pytest.approx(float(done.amount.sum()) / 40)
     gold = query_metrics(ds, REG, ["per"], where="tier = 'gold'").first()[0]     # both reach it
     part = flat[flat.tier == "gold"]
