@@ -8,16 +8,16 @@ to the others by weight in the next round, until none is above.
 
 Repetitions. A source of size S and target T gives ``floor(T / S)`` copies of all
 its documents, and one more of a seeded fraction that fills the rest: documents
-stand in the order of ``md5(seed:id)``, and the prefix that comes nearest to the
-rest is taken. The cut is found without sorting a source: sizes are summed by
+stand in the order of ``md5(seed:id:md5(text))``, and the prefix that comes nearest to
+the rest is taken. The cut is found without sorting a source: sizes are summed by
 the first three hex digits of the key, then, inside the one bucket that holds the
 cut, by the next three, and only the documents of that cell (one in 16.7 million
 of a source) are ordered. So a source that holds most of the rows is aggregated
 map-side and never gathered, and reruns give the same mix.
 
 Defined results: null or blank text has size 0 and takes 0 words; a null source
-is a source of its own; rows with one id are drawn together (their keys tie);
-null ids share one key; an empty table gives an empty mix; sources without a
+is a source of its own; rows equal in id and text are drawn together (their keys tie),
+rows that share an id, or have none, each for themselves; an empty table gives an empty mix; sources without a
 weight get target 0.
 """
 
@@ -38,9 +38,9 @@ def _source_key(source: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), source.cast("string")), F.lit(""))
 
 
-def _draw_key(doc_id: Column, seed: str) -> Column:
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("null")))
-                 .cast("binary"))
+def _draw_key(doc_id: Column, text: Column, seed: str) -> Column:
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(doc_id.cast("string"), F.lit("null")), F.lit(":"),
+                          F.coalesce(F.md5(text.cast("string").cast("binary")), F.lit("null"))).cast("binary"))
 
 
 def cyclic_weights(sources: DataFrame, cycle: tuple[int, ...]) -> DataFrame:
@@ -93,13 +93,13 @@ def _cell_with_cut(cells: DataFrame, cell: str) -> DataFrame:
             .select("source_key", cell, (F.col("rest") - before).alias("rest")))
 
 
-def sized(docs: DataFrame, doc_id: Column, source: Column, size: Column,
+def sized(docs: DataFrame, doc_id: Column, source: Column, size: Column, text: Column,
           seed: str = "mix") -> DataFrame:
     """The written narrow table the plan is made from: id, source, size, keys."""
     return saved(docs.select(
         doc_id.alias("doc_id"), source.alias("source"), _source_key(source).alias("source_key"),
         F.coalesce(size, F.lit(0)).cast("long").alias("size"),
-        _draw_key(doc_id, seed).alias("draw")), "mix-sizes")
+        _draw_key(doc_id, text, seed).alias("draw")), "mix-sizes")
 
 
 def mixing_plan(base: DataFrame, weights: DataFrame | Callable[[DataFrame], DataFrame],
@@ -164,10 +164,10 @@ def mix(docs: DataFrame, weights, budget: float = 1.5, max_epochs: float = 2.0,
 
     Keeps all columns of ``docs``, whatever they are called.
     """
-    base = sized(docs, docs[doc_id], docs[source], word_count(docs[text]), seed)
+    base = sized(docs, docs[doc_id], docs[source], word_count(docs[text]), docs[text], seed)
     plan = mixing_plan(base, weights, budget, max_epochs)
     rows = docs.select(F.struct("*").alias("row"), _source_key(docs[source]).alias("source_key"),
-                       _draw_key(docs[doc_id], seed).alias("draw"))
+                       _draw_key(docs[doc_id], docs[text], seed).alias("draw"))
     out = with_copies(rows, plan, F.col("source_key"), F.col("draw"))
     repeats = F.array_repeat(F.lit(1), F.col("_mix_copies").cast("int"))
     return out.select("row", F.explode(repeats)).select("row.*")
@@ -177,7 +177,7 @@ def mix_report(docs: DataFrame, weights, budget: float = 1.5, max_epochs: float
                seed: str = "mix", doc_id: str = "doc_id", source: str = "source",
                text: str = "text") -> DataFrame:
     """Per row of ``docs``: id, source, size, its source's size and target, copies, taken words."""
-    base = sized(docs, docs[doc_id], docs[source], word_count(docs[text]), seed)
+    base = sized(docs, docs[doc_id], docs[source], word_count(docs[text]), docs[text], seed)
     plan = mixing_plan(base, weights, budget, max_epochs)
     out = with_copies(base, plan, F.col("source_key"), F.col("draw"))
     return out.select(

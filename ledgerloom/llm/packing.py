@@ -41,7 +41,8 @@ from pyspark.sql import functions as F
 from .common import saved, small_side
 
 CAPACITY, END_ID = 2048, 0
-CACHE_CHUNKS = 300_000      # chunks whose ids a Python worker keeps
+CACHE_CHUNKS = 300_000      # chunks whose ids a Python worker keeps,
+CACHE_LENGTH = 48           # of so many characters at most
 
 
 def tokenizer_files() -> tuple[str, str]:
@@ -93,7 +94,9 @@ class Encoder:
             if ids is None:
                 if len(known) >= CACHE_CHUNKS:
                     known.clear()
-                ids = known[chunk] = self._whole(" " + chunk)
+                ids = self._whole(" " + chunk)
+                if len(chunk) <= CACHE_LENGTH:
+                    known[chunk] = ids
             out.append(ids)
         return b"".join(out)
 
@@ -207,6 +210,8 @@ def pack(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         "_len long, _from long, _to long, _bin long, _per long, _off long")
     rows = ranked(items)
     at = F.col("rank") - F.col("_from")
+    # as many steps as there are different fillings of a bin's part by one length: a few per
+    # length, whatever the number of documents
     joined = rows.join(F.broadcast(steps), (F.col("length") == F.col("_len"))
                        & (F.col("rank") >= F.col("_from")) & (F.col("rank") < F.col("_to")))
     return joined.withColumn("sequence_id", F.col("_bin") + F.floor(at / F.col("_per"))) \

@@ -23,7 +23,7 @@ def op1_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP1_SQL = r"""
 WITH base AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
-         md5('mix:' || coalesce(doc_id::VARCHAR, 'null')) AS draw
+         md5('mix:' || coalesce(doc_id::VARCHAR, 'null') || ':' || coalesce(md5(text), 'null')) AS draw
   FROM documents),
 srcs AS (SELECT source, sum(size)::BIGINT AS source_size FROM base GROUP BY source),
 weighted AS (

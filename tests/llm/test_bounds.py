@@ -210,3 +210,13 @@ def test_top_k_over_many_blocks_and_groups(spark):
     for q in range(0, n, 3):
         order = sorted((-int(s), i) for i, s in enumerate(scores[q]) if i != q)[:7]
         assert sorted(got[q]) == [(k + 1, i, -s) for k, (s, i) in enumerate(order)]
+
+
+def test_rows_that_share_an_id_are_drawn_for_themselves(spark):
+    """One id, or none, on a third of a source's rows: the mix still comes near its target."""
+    rows = [(1 if i % 3 == 0 else None if i % 7 == 0 else i, " ".join(["w"] * (5 + i % 9)) + f" {i}", f"s{i % 2}")
+            for i in range(3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    out = mixing.mix_report(docs, lambda s: mixing.cyclic_weights(s, (3, 1))).groupBy("source").agg(
+        F.sum("taken").alias("taken"), F.first("target").alias("target")).collect()
+    assert len(out) == 2 and all(abs(r.taken - r.target) <= 20 for r in out)
