@@ -9,7 +9,9 @@
   latest version and flags rows that the source deleted.
 
 All three return the new table as a plan of joins and unions over the old table
-and the batch, shuffled by the key.
+and the batch, shuffled by the key. Null keys are keys: they are compared null-safe.
+For histories that are kept on storage and merged batch by batch, with late rows and
+several versions of a key, see :mod:`ledgerloom.operators.history`.
 """
 
 from __future__ import annotations
@@ -62,9 +64,13 @@ def _differs(columns: Sequence[str]) -> Column:
     return out
 
 
-def _beside(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return batch.select(*keys, *[F.col(c).alias(f"__new_{c}") for c in batch.columns if c not in keys],
-                        F.lit(True).alias("__in_batch"))
+def _beside(batch: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, Column]:
+    """``batch`` under other names, and the condition that its row has the key of another's."""
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__new_{k}"))
+    return batch.select(*[F.col(c).alias(f"__new_{c}") for c in batch.columns],
+                        F.lit(True).alias("__in_batch")), same
 
 
 def apply_history(history: DataFrame, batch: DataFrame, keys: Sequence[str], at: Column) -> DataFrame:
@@ -75,12 +81,11 @@ def apply_history(history: DataFrame, batch: DataFrame, keys: Sequence[str], at:
     """
     columns = [c for c in batch.columns if c not in keys]
     open_, closed = history.filter("valid_to is null"), history.filter("valid_to is not null")
-    joined = open_.join(_beside(batch, keys), list(keys), "left")
+    joined = open_.join(*_beside(batch, keys), "left")
     changed = F.coalesce(F.col("__in_batch"), F.lit(False)) & _differs(columns)
     kept = joined.withColumn("valid_to", F.when(changed, at).otherwise(F.col("valid_to")))
     current = open_.select(*keys, *columns)
-    known = _beside(current, keys)
-    fresh = batch.join(known, list(keys), "left").filter(
+    fresh = batch.join(*_beside(current, keys), "left").filter(
         F.col("__in_batch").isNull() | _differs(columns)).select(
         *batch.columns, at.alias("valid_from"), F.lit(None).cast(history.schema["valid_to"].dataType)
         .alias("valid_to"))
@@ -89,9 +94,17 @@ def apply_history(history: DataFrame, batch: DataFrame, keys: Sequence[str], at:
 
 def apply_soft_delete(landed: DataFrame, batch: DataFrame, keys: Sequence[str],
                       deleted: str = "_deleted") -> DataFrame:
-    """Latest version of every row; rows of the batch with ``deleted`` true keep their last values."""
-    gone = batch.filter(F.coalesce(F.col(deleted), F.lit(False))).select(*keys).withColumn("__gone", F.lit(True))
-    live = batch.filter(~F.coalesce(F.col(deleted), F.lit(False)))
-    stay = landed.join(live.select(*keys), list(keys), "left_anti").join(gone, list(keys), "left")
+    """Latest version of every row; rows of the batch with ``deleted`` true keep their last values.
+
+    Of several rows of one key in the batch a deletion counts, else one of them by hash.
+    """
+    values = F.struct(*[c for c in batch.columns if c not in keys])
+    flag = F.coalesce(F.col(deleted), F.lit(False))
+    batch = batch.groupBy(*keys).agg(F.max_by(values, F.struct(flag, F.xxhash64(values))).alias("__v")) \
+        .select(*keys, "__v.*").select(*batch.columns)
+    gone = batch.filter(flag).select(*keys)
+    live = batch.filter(~flag)
+    stay = landed.join(*_beside(live.select(*keys), keys), "left_anti")
+    stay = stay.join(*_beside(gone, keys), "left").withColumnRenamed("__in_batch", "__gone")
     stay = stay.withColumn(deleted, F.coalesce(F.col("__gone"), F.col(deleted))).select(*landed.columns)
     return stay.unionByName(live.select(*landed.columns))

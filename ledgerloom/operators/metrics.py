@@ -4,8 +4,8 @@
   (two metrics, each with an optional filter), derived (arithmetic over other
   metrics, possibly from other models), cumulative (sum, count or distinct count
   over trailing days or all time), semi_additive (each entity's last state, carried
-  forward) and conversion (share of base events that an event of the same entity
-  follows within some days).
+  forward), conversion (share of base events that an event of the same entity follows
+  within some days) and offset (another metric, some periods earlier).
 * :func:`query_metrics` - evaluates many metrics in one request: metrics of
   the same model share **one scan and one aggregation** (filters become
   conditional aggregates), results of different models are aggregated
@@ -30,7 +30,9 @@ events.
 
 Cumulative and semi-additive metrics have a value for every period between the first
 and the last day of their model's rows, also where a period has none; the value is
-that at the period's end.
+that at the period's end. An offset metric needs a grain; it stands beside the periods
+that the request's other metrics have (alone: beside those of its own input), NULL where
+the earlier period has no value.
 
 Precondition: a model's ``primary_key`` is unique (the ``unique`` test of the model
 checks it). Distinct counts of the key are plain counts.
@@ -40,7 +42,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,6 +51,7 @@ from ledgerloom.functions.columns import avg_exact, ratio
 from ledgerloom.operators import timed_metrics as timed
 
 TIMED = ("cumulative", "semi_additive", "conversion")
+_STEP_DAYS, _STEP_MONTHS = {"day": 1, "week": 7}, {"month": 1, "quarter": 3, "year": 12}
 GRAINS = ("day", "week", "month", "quarter", "year")
 
 
@@ -56,7 +59,8 @@ GRAINS = ("day", "week", "month", "quarter", "year")
 class Metric:
     name: str
     model: str
-    type: str = "simple"    # simple | ratio | derived | cumulative | semi_additive | conversion
+    # simple | ratio | derived | cumulative | semi_additive | conversion | offset
+    type: str = "simple"
     agg: str | None = None                # sum | average | count | count_distinct | min | max
     expr: str | None = None
     filter: str | None = None
@@ -71,6 +75,7 @@ class Metric:
     entity: str | None = None             # semi_additive, conversion: whose states or events
     order: tuple[str, ...] = ()           # semi_additive: which state of one day is the last
     conversion: str | None = None         # condition on the converting events; None: any later event
+    periods: int = 1                      # offset: so many periods of the request's grain earlier
 
     def __post_init__(self):
         if self.type in ("semi_additive", "conversion") and not self.entity:
@@ -306,6 +311,7 @@ def query_metrics(ds, reg: MetricRegistry, metrics: Sequence[str], by: Sequence[
     finals: dict[str, object] = {}
     alone: dict[str, Metric] = {}               # metrics over time, each a table of its own
     combined: dict[str, set[str]] = {}          # models by requested metric
+    earlier: dict[str, tuple[Metric, int]] = {}     # offsets: metric and periods
 
     def need(alias: str, m: Metric) -> None:
         lst = needed.setdefault(m.model, [])
@@ -321,6 +327,13 @@ def query_metrics(ds, reg: MetricRegistry, metrics: Sequence[str], by: Sequence[
             else:
                 alone[alias] = m
             return ("col", alias)
+        if m.type == "offset":
+            base = _resolve(m.inputs[0], reg)
+            if grain is None:
+                raise ValueError(f"metric {m.name}: an offset needs a grain")
+            combined.setdefault(asking, set()).add(base.model)
+            earlier[alias] = (base, m.periods)
+            return ("col", alias)
         if m.type == "ratio":
             num, den = _resolve(m.numerator, reg), _resolve(m.denominator, reg)
             return ("ratio", plan(num, f"{alias}__num"), plan(den, f"{alias}__den"))
@@ -334,7 +347,8 @@ def query_metrics(ds, reg: MetricRegistry, metrics: Sequence[str], by: Sequence[
         finals[name] = plan(name, name)
 
     # 2) one aggregation per model; the condition goes where its columns are
-    used = dict.fromkeys([*needed, *(m.model for m in alone.values())])
+    used = dict.fromkeys([*needed, *(m.model for m in alone.values()),
+                          *(m.model for m, _ in earlier.values())])
     reach = {m: set(ds[m].columns) | set(_linked_columns(ds, reg, m)) for m in used}
     known = set().union(*reach.values(), *(set(ds[m].columns) for m in reg.models)) if where else set()
     asked = _names(where, known)
@@ -365,6 +379,17 @@ def query_metrics(ds, reg: MetricRegistry, metrics: Sequence[str], by: Sequence[
         frames.append((_timed_result(ds, reg, m, alias, by, grain,
                                      where if m.model in owners else None), dims))
 
+    shifted = []
+    for alias, (m, periods) in earlier.items():
+        table = query_metrics(ds, MetricRegistry(list(reg.models.values()),
+                                                 [*reg.metrics.values(), replace(m, name=alias)]),
+                              [alias], by, grain, where, unfiltered)
+        if not frames:              # nothing else in the request: the input's own periods
+            frames.append((table.select(*dims), dims))
+        step = F.make_dt_interval(days=F.lit(periods * _STEP_DAYS[grain])) if grain in _STEP_DAYS else \
+            F.make_ym_interval(months=F.lit(periods * _STEP_MONTHS[grain]))
+        shifted.append(table.withColumn("metric_time", (F.col("metric_time") + step).cast("date")))
+
     # 3) combine models on the dimension values (null-safe full join)
     out, dims = frames[0]
     for other, _ in frames[1:]:
@@ -384,6 +409,13 @@ def query_metrics(ds, reg: MetricRegistry, metrics: Sequence[str], by: Sequence[
         else:
             out = out.crossJoin(F.broadcast(other))   # two one-row results
 
+    for other in shifted:
+        other = other.select(*[F.col(d).alias(f"__r_{d}") if d in dims else F.col(d) for d in other.columns])
+        cond = F.lit(True)
+        for d in dims:
+            cond = cond & F.col(d).eqNullSafe(F.col(f"__r_{d}"))
+        out = out.join(other, cond, "left").drop(*[f"__r_{d}" for d in dims])
+
     def render(node) -> Column:
         kind = node[0]
         if kind == "col":

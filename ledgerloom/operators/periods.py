@@ -46,7 +46,9 @@ def windowed_totals(df: DataFrame, date_col: str, value: Column | str, grain: st
     """``[by..., period, value, windowed]``: running total, or that of the last ``trailing`` periods.
 
     The window slides over the periods of each group, a table bounded by the
-    calendar; it counts calendar periods, so periods without rows take part as zero.
+    calendar; it counts calendar periods, so periods without rows add nothing to a
+    window. They are no rows of the result (a cumulative metric has them, see
+    :mod:`ledgerloom.operators.timed_metrics`).
     """
     if grain not in _MONTHS:
         raise ValueError(f"grain must be one of {sorted(_MONTHS)}")

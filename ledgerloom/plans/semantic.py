@@ -101,6 +101,14 @@ TIMED_METRICS = [
     Metric("return_after_purchase_60d", "fct_orders", type="conversion", entity="customer_id",
            window_days=60, filter=COMPLETED, conversion="status = 'returned'",
            label="Return after a Completed Purchase (60 days)"),
+    Metric("recognised_revenue_before", "fct_orders", type="offset",
+           inputs=("total_recognised_revenue",), label="Recognised Revenue, Period before (USD)"),
+    Metric("recognised_revenue_growth", "fct_orders", type="derived",
+           inputs=("total_recognised_revenue", "recognised_revenue_before"),
+           derived="(total_recognised_revenue - recognised_revenue_before) / recognised_revenue_before",
+           label="Recognised Revenue Growth"),
+    Metric("active_customers_90d_year_before", "fct_orders", type="offset", periods=12,
+           inputs=("active_customers_90d",), label="Active Customers (90 days), Year before"),
 ]
 
 # --- fixed values: metric view definitions (formats and synonyms included) -------

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from ledgerloom.operators.buckets import children
 from ledgerloom.operators.expectations import Expectation, apply_expectations
 from ledgerloom.plans.medallion import BRONZE, SILVER_EXPECTATIONS, SILVER_FNS
 from ledgerloom.session import scratch_path
@@ -70,7 +71,9 @@ def stream_table(spark: SparkSession, src: str, dst: str, schema: StructType,
 
 
 def expectation_counts(spark: SparkSession, counters: str) -> DataFrame:
-    """(expectation, violations) over all batches; ``__rows`` counts the rows."""
+    """(expectation, violations) over all batches, none where none has run; ``__rows`` counts the rows."""
+    if not children(spark, counters):
+        return spark.createDataFrame([], "expectation string, violations bigint")
     return spark.read.parquet(counters).groupBy("expectation").agg(
         F.sum("violations").alias("violations"))
 
@@ -81,9 +84,18 @@ class MedallionRun:
     silver_paths: dict[str, str]
     bronze_paths: dict[str, str]
     counter_paths: dict[str, str]
+    schemas: dict[str, StructType]
 
     def silver(self, spark: SparkSession) -> dict[str, DataFrame]:
-        return {t: spark.read.parquet(p).drop(BATCH) for t, p in self.silver_paths.items()}
+        """The streamed silver tables; one whose source has no file yet is empty."""
+        out = {}
+        for t, path in self.silver_paths.items():
+            if children(spark, path):
+                out[t] = spark.read.parquet(path).drop(BATCH)
+            else:
+                none = SILVER_FNS[t](spark.createDataFrame([], self.schemas[t]))
+                out[t], _ = apply_expectations(none, SILVER_EXPECTATIONS[t])
+        return out
 
     def counts(self, spark: SparkSession, table: str) -> DataFrame:
         return expectation_counts(spark, self.counter_paths[table])
@@ -133,4 +145,5 @@ def run_medallion(spark: SparkSession, raw: dict[str, DataFrame], tables: Sequen
                                  for kind in ("bronze", "silver", "counters"))
     with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
         list(pool.map(one, tables))
-    return MedallionRun(root, silvers if silver else {}, bronze, counters if silver else {})
+    return MedallionRun(root, silvers if silver else {}, bronze, counters if silver else {},
+                        {t: raw[t].schema for t in tables})

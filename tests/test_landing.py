@@ -50,3 +50,22 @@ def test_windowed_totals_skip_no_calendar_period(spark):
     last = {(r.k, r.period.month): r.windowed for r in
             windowed_totals(df, "day", "v", by=["k"], trailing=3).collect()}
     assert last == {("a", 1): 1, ("a", 2): 3, ("a", 5): 5, ("a", 6): 11, ("b", 5): 7}
+
+
+def test_history_mode_and_null_keys(spark):
+    schema = "id int, tier string, valid_from timestamp_ntz, valid_to timestamp_ntz"
+    table = spark.createDataFrame([], schema)
+    for day in (1, 2, 3):
+        at = F.lit(dt.datetime(2020, 1, day)).cast("timestamp_ntz")
+        rows = [(None, "a" if day < 3 else "b"), (1, "x")]
+        table = apply_history(table, spark.createDataFrame(rows, "id int, tier string"), ["id"], at)
+    got = sorted(((r.id, r.tier, r.valid_to is None) for r in table.collect()), key=str)
+    assert got == sorted([(None, "a", False), (None, "b", True), (1, "x", True)], key=str)
+
+
+def test_soft_delete_of_a_key_that_is_live_and_deleted_in_one_batch(spark):
+    schema = "id int, v string, _deleted boolean"
+    landed = spark.createDataFrame([(1, "a", False), (None, "n", False)], schema)
+    batch = spark.createDataFrame([(1, "a2", False), (1, "a3", True), (None, "n2", False), (5, "x", True)], schema)
+    got = {r.id: (r.v, r._deleted) for r in apply_soft_delete(landed, batch, ["id"]).collect()}
+    assert got == {1: ("a", True), None: ("n2", False)}

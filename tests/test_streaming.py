@@ -88,3 +88,15 @@ def test_rerun_adds_nothing(spark):
     q = stream_table(spark, f"{root}/landing", f"{root}/bronze", src.schema, f"{root}/chk")
     q.awaitTermination()
     assert spark.read.parquet(f"{root}/bronze").count() == src.count() + 5
+
+
+def test_a_source_without_a_file(spark, tmp_path):
+    """Nothing has landed yet: empty silver tables with their columns, no counters."""
+    ds = Datasets(spark, SF, dt.date(2001, 8, 2))
+    raw = {t: ds[f"raw_{t}"] for t in ("orders", "payments")}
+    for t in raw:
+        (tmp_path / t).mkdir()
+    run = run_medallion(spark, raw, list(raw), landing={t: str(tmp_path / t) for t in raw})
+    silver = run.silver(spark)
+    assert all(silver[t].count() == 0 and silver[t].columns == ds[f"silver_{t}"].columns for t in raw)
+    assert run.counts(spark, "orders").count() == 0

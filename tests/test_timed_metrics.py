@@ -186,3 +186,23 @@ def test_a_condition_for_half_of_a_ratio_is_refused(spark):
     query_metrics(ds, REGISTRY, ["revenue_per_customer"], where="status = 'completed'",
                   unfiltered=["dim_customers"]).collect()
     query_metrics(ds, REGISTRY, ["revenue_per_customer"], where="customer_segment = 'high_value'").collect()
+
+
+def test_offsets(world):
+    ds, reg, rows = world
+    more = MetricRegistry(list(reg.models.values()), [
+        *reg.metrics.values(), Metric("before", "ev", type="offset", inputs=("events",)),
+        Metric("active3", "ev", type="offset", inputs=("active",), periods=3),
+        Metric("growth", "ev", type="derived", inputs=("events", "before"), derived="events - before")])
+    out = query_metrics(ds, more, ["events", "before", "growth", "active", "active3"], grain="month").collect()
+    got = {r.metric_time: r for r in out if r.metric_time}
+    months = sorted(got)
+    for i, m in enumerate(months):
+        assert got[m].before == (got[months[i - 1]].events if i else None)
+        assert got[m].growth == (got[m].events - got[months[i - 1]].events if i else None)
+        assert got[m].active3 == (got[months[i - 3]].active if i > 2 else None)
+    alone = query_metrics(ds, more, ["before"], ["dim"], grain="week").collect()
+    assert {r.metric_time for r in alone if r.metric_time} >= {
+        r[2] - dt.timedelta(days=r[2].weekday()) for r in rows if r[2]}
+    with pytest.raises(ValueError, match="grain"):
+        query_metrics(ds, more, ["before"])
