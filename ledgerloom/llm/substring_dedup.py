@@ -101,6 +101,8 @@ def _anchors(hashes: np.ndarray, offsets: np.ndarray, length: int):
 
 def _list_anchors(batches, length: int):
     """(doc_id, text, tid) -> doc_id, tid, digest of the word sequence, distinct anchors."""
+    import xxhash
+
     for whole in batches:
         for batch in _slices(whole, 1):
             texts = batch.column(1)
@@ -114,8 +116,8 @@ def _list_anchors(batches, length: int):
             new[1:] = (rows[:, 1:] != rows[:, :-1]).any(0)
             rows = rows[:, new]
             cuts = np.searchsorted(rows[0], np.arange(batch.num_rows + 1).astype(np.uint64))
-            digests = [hashlib.sha256(b" ".join(t.split())).digest()[:16] if t else b""
-                       for t in texts.cast(pa.binary()).to_pylist()]
+            digests = [xxhash.xxh3_128_digest(hashes[:, a:b].tobytes())
+                       for a, b in zip(offsets.tolist(), offsets[1:].tolist())]
             long = np.diff(offsets) >= length
             yield pa.RecordBatch.from_arrays([
                 batch.column(0), batch.column(2), pa.array(digests, pa.binary()), pa.array(long),
