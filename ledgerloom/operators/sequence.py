@@ -68,6 +68,19 @@ def global_rank(df: DataFrame, order: Sequence[str], output: str = "__rank") ->
         .drop("__pid", "__pos", "__off")
 
 
+def running_total(df: DataFrame, order: Sequence[str], value: str, output: str) -> DataFrame:
+    """Add the sum of ``value`` over all rows before each row in ``order``."""
+    pos = positioned(df, order, "running-total")
+    inside = Window.partitionBy("__pid").orderBy("__pos").rowsBetween(Window.unboundedPreceding, -1)
+    sums = pos.groupBy("__pid").agg(F.sum(value).alias("__sum"))
+    # one row per partition
+    before = sums.select("__pid", F.coalesce(F.sum("__sum").over(
+        Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
+    return pos.withColumn("__inside", F.coalesce(F.sum(value).over(inside), F.lit(0))) \
+        .join(F.broadcast(before), "__pid") \
+        .withColumn(output, F.col("__before") + F.col("__inside")).drop("__pid", "__pos", "__inside", "__before")
+
+
 def number_within(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                   output: str = "row_number") -> DataFrame:
     """``row_number() over (partition by keys order by order)``, skew-safe.

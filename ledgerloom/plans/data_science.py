@@ -21,6 +21,12 @@ from ledgerloom.sources.datasets import Datasets, model
 # --- fixed values --------------------------------------------------------------
 CHURN_DAYS = 90          # is_churned: more than 90 days since the last order
 RFM_PROBS = QUINTILES    # cut points 0.2 / 0.4 / 0.6 / 0.8
+# columns that are 0 for customers without (completed) orders
+RFM_ZERO_FILLED = ["frequency", "monetary_value", "avg_order_value", "total_items_purchased"]
+CHURN_ZERO_FILLED = [
+    "total_orders", "completed_orders", "returned_orders", "total_spend", "avg_order_value",
+    "stddev_order_value", "avg_items_per_order", "avg_days_between_orders",
+    "stddev_days_between_orders", "max_gap_days", "distinct_payment_methods", "return_rate"]
 # ------------------------------------------------------------------------------
 
 
@@ -74,8 +80,7 @@ def rfm_features(customers: DataFrame, orders: DataFrame, as_of,
             F.col("total_items_purchased"),
         )
         # customers without (completed) orders: 0, including recency (scores as most recent)
-        .fillna(0, subset=(["recency_days"] if null_recency == "zero" else [])
-                + ["frequency", "monetary_value", "avg_order_value", "total_items_purchased"])
+        .fillna(0, subset=(["recency_days"] if null_recency == "zero" else []) + RFM_ZERO_FILLED)
     )
     rfm = written(rfm, "rfm")       # read for the cut points and for the scores
     scored = quantile_scores(rfm, [
@@ -136,11 +141,7 @@ def churn_features(customers: DataFrame, orders: DataFrame, as_of) -> DataFrame:
         )
         .withColumn("is_churned", F.coalesce(F.col("days_since_last_order") > CHURN_DAYS,
                                              F.lit(False)))
-        .fillna(0, subset=[
-            "total_orders", "completed_orders", "returned_orders", "total_spend",
-            "avg_order_value", "stddev_order_value", "avg_items_per_order",
-            "avg_days_between_orders", "stddev_days_between_orders", "max_gap_days",
-            "distinct_payment_methods", "return_rate"])
+        .fillna(0, subset=CHURN_ZERO_FILLED)
     )
     return features
 

@@ -10,11 +10,11 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import money_from_cents, ts_ntz
-from ledgerloom.operators.sequence import global_rank
+from ledgerloom.operators.sequence import number_within, running_total, written
 from ledgerloom.sources.datasets import Datasets, model, once
 
 # --- fixed values of the adapter mapping ---------------------------------------
@@ -89,20 +89,25 @@ def raw_customers(ds: Datasets) -> DataFrame:
     )
 
 
-def _order_line_flags(ds: Datasets) -> DataFrame:
-    """Per order: number of lines and number of 'R' lines (partial aggregation)."""
-    return (
-        ds.driver("lineitem")
-        .groupBy("l_orderkey")
-        .agg(F.count(F.lit(1)).alias("n_lines"),
-             F.sum(F.when(F.col("l_returnflag") == "R", 1).otherwise(0)).alias("n_returned"))
-    )
+@model("order_line_counts", "adapter", materialized="ephemeral")
+def order_line_counts(ds: Datasets) -> DataFrame:
+    """Per order: number of lines, number of 'R' lines, and the lines of all orders before it.
+
+    Written once: the orders read the flags, the lines their first number.
+    """
+    def count() -> DataFrame:
+        per = ds.driver("lineitem").groupBy("l_orderkey").agg(
+            F.count(F.lit(1)).alias("n_lines"),
+            F.sum(F.when(F.col("l_returnflag") == "R", 1).otherwise(0)).alias("n_returned"))
+        return written(running_total(per, ["l_orderkey"], "n_lines", "lines_before"), "order-lines")
+
+    return once(ds.spark, ds.scope, "order_line_counts", count) if ds.sf_dir else count()
 
 
 @model("raw_orders", "source")
 def raw_orders(ds: Datasets) -> DataFrame:
     o = ds.driver("orders")
-    flags = _order_line_flags(ds)
+    flags = ds["order_line_counts"].select("l_orderkey", "n_lines", "n_returned")
     j = o.join(flags, o.o_orderkey == flags.l_orderkey, "left")
     status = F.when(F.col("n_returned") * 2 > F.col("n_lines"), F.lit(RETURNED_STATUS)) \
         .otherwise(_map(F.col("o_orderstatus"), ORDER_STATUS))
@@ -117,34 +122,49 @@ def raw_orders(ds: Datasets) -> DataFrame:
     )
 
 
+HOT_LINES = 100_000         # lines of an order that one task numbers
 LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice",
               "l_quantity", "l_returnflag"]
 
 
 @model("line_items_numbered", "adapter", materialized="ephemeral")
 def line_items_numbered(ds: Datasets) -> DataFrame:
-    """Line items with ``order_item_id``: their place, from 1, in the order of all lines.
+    """Line items with ``order_item_id``, their place, from 1, in the order of all lines, and
+    their order's date and customer.
 
     ``(l_orderkey, l_linenumber)`` is not unique in the driver data, so the order
-    runs over every column used. The place is unique however many lines an order
-    has. The lines are range partitioned and written once (a hot order spans
-    many tasks); the place is derived from that table, not written again.
+    runs over every column used. The place is that of the order's first line plus the
+    place within the order, so the lines are shuffled once, by order, like the orders
+    they are joined to, and written once. Orders of more than ``HOT_LINES`` lines (and
+    lines without an order) are range-sorted instead, so a hot order spans many tasks.
     """
     def number() -> DataFrame:
         li = ds.driver("lineitem").select(
             "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
             "l_extendedprice", "l_returnflag", "l_shipdate")
-        return global_rank(li, ["l_orderkey", *LINE_ORDER], "__rn") \
-            .withColumn("order_item_id", F.col("__rn") + 1).drop("__rn")
+        counts = ds["order_line_counts"].select("l_orderkey", "n_lines", "lines_before")
+        o = _lookup(ds.driver("orders"), "o_orderkey", "o_orderdate", "o_custkey")
+        rest = counts.filter(F.col("l_orderkey").isNull() | (F.col("n_lines") > HOT_LINES))
+        place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*LINE_ORDER))
+        plain = counts.filter(F.col("n_lines") <= HOT_LINES).drop("n_lines")
+        parts = [li.join(plain, "l_orderkey").withColumn("__place", place)]
+        if rest.limit(1).count():
+            hot = rest.select(F.col("l_orderkey").alias("__hot"), F.col("lines_before"))
+            lines = number_within(li.join(hot.select("__hot"), F.col("l_orderkey").eqNullSafe(F.col("__hot")),
+                                          "left_semi"), ["l_orderkey"], LINE_ORDER, "__place")
+            parts.append(lines.join(hot, F.col("l_orderkey").eqNullSafe(F.col("__hot"))).drop("__hot"))
+        parts = [p.join(o, p.l_orderkey == o.o_orderkey, "left").select(
+            *li.columns, "o_orderdate", "o_custkey",
+            (F.col("lines_before") + F.col("__place")).alias("order_item_id")) for p in parts]
+        out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        return written(out, "line-items")
 
     return once(ds.spark, ds.scope, "line_items_numbered", number) if ds.sf_dir else number()
 
 
 @model("raw_order_items", "source")
 def raw_order_items(ds: Datasets) -> DataFrame:
-    li = ds["line_items_numbered"]
-    o = _lookup(ds.driver("orders"), "o_orderkey", "o_orderdate")
-    return li.join(o, li.l_orderkey == o.o_orderkey, "left").select(
+    return ds["line_items_numbered"].select(
         F.col("order_item_id"),
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("product_id"),
@@ -199,9 +219,7 @@ def raw_payments(ds: Datasets) -> DataFrame:
 
 @model("raw_reviews", "source")
 def raw_reviews(ds: Datasets) -> DataFrame:
-    li = ds["line_items_numbered"].filter(F.col("l_returnflag") == "A")
-    o = _lookup(ds.driver("orders"), "o_orderkey", "o_custkey")
-    return li.join(o, li.l_orderkey == o.o_orderkey, "left").select(
+    return ds["line_items_numbered"].filter(F.col("l_returnflag") == "A").select(
         F.col("order_item_id").alias("review_id"),
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("product_id"),

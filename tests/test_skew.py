@@ -3,6 +3,7 @@ line items. Skew-sensitive queries must still equal the oracle exactly."""
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from test_oracle import TABLES, _digest
@@ -44,3 +45,31 @@ def test_hot_keys_match_oracle(spark, skewed, name):
     ocols = [d[0] for d in cur.description]
     assert len(rows) == len(orows)
     assert _digest(rows, df.columns) == _digest(orows, ocols)
+
+
+def test_lines_are_numbered_alike_beside_hot_orders_and_without(spark, tmp_path, monkeypatch):
+    """One order with a third of the lines, lines without an order, equal lines; all numbers are dense."""
+    import datetime as dt
+
+    from ledgerloom.sources import adapters
+    from ledgerloom.sources.datasets import Datasets
+
+    src = "/root/testdata/sf0.001"
+    li = spark.read.parquet(f"{src}/lineitem.parquet")
+    n = li.count()
+    hot = li.limit(n // 2).withColumn("l_orderkey", F.lit(1).cast(li.schema["l_orderkey"].dataType))
+    none = li.limit(7).withColumn("l_orderkey", F.lit(None).cast(li.schema["l_orderkey"].dataType))
+    li.unionByName(hot).unionByName(none).repartition(6).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.read.parquet(f"{src}/orders.parquet").write.parquet(f"{tmp_path}/orders.parquet")
+
+    def numbered(limit):
+        monkeypatch.setattr(adapters, "HOT_LINES", limit)
+        ds = Datasets(spark, None, dt.date(2001, 8, 2))
+        ds.driver = lambda name: spark.read.parquet(f"{tmp_path}/{name}.parquet")
+        cols = ["order_item_id", "l_orderkey", *adapters.LINE_ORDER]
+        return sorted(map(tuple, ds["line_items_numbered"].select(*cols).collect()))
+
+    split, whole = numbered(20), numbered(10 ** 9)
+    assert split == whole and [r[0] for r in split] == list(range(1, n + n // 2 + 8))
+    keys = [((r[1] is not None, r[1] or 0), r[2:]) for r in split]
+    assert keys == sorted(keys)
