@@ -85,6 +85,7 @@ def fresh(columns, name: str) -> str:
 def text_slices(batches, column: int, n_bytes: int):
     """Arrow batches cut into rows of about ``n_bytes`` of text each (a longer text is whole)."""
     import numpy as np
+    import pyarrow as pa
     import pyarrow.compute as pc
 
     for batch in batches:
@@ -94,3 +95,4 @@ def text_slices(batches, column: int, n_bytes: int):
         for a, b in zip(cuts, cuts[1:]):
             if b > a:
                 yield batch.slice(a, b - a)
+                pa.default_memory_pool().release_unused()

@@ -41,7 +41,7 @@ from .common import fresh, saved, small_side
 _BASE = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
 ID_GROUPS = 1 << 16
 SEVERAL_IDS = 500_000       # ids on several texts that may be broadcast
-SLICE_BYTES = 4 << 20       # text worked on at once inside a task
+SLICE_BYTES = 2 << 20       # text worked on at once inside a task
 BLOB_BYTES = 1 << 18        # the same of compressed texts, beside which their windows are held
 
 
@@ -53,6 +53,7 @@ def _slices(batch: pa.RecordBatch, column: int, n_bytes: int = SLICE_BYTES):
     for a, b in zip(cuts, cuts[1:]):
         if b > a:
             yield batch.slice(a, b - a)
+            pa.default_memory_pool().release_unused()
 
 
 def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
