@@ -1,14 +1,15 @@
 """Phrase collocations: frequent n-grams by Misra-Gries summaries, exact counts, cohesion.
 
-First pass. Every slice of a task counts the n-grams of 1 to ``max_words`` words it
-holds, by a 64-bit hash of language and words. The upper bits of the hash name a hash
-partition; what a slice knows of one partition is an exact summary (hashes and
-counts), and these are shuffled and merged by partition. A merged summary holds at
+First pass. Every task counts the n-grams of 1 to ``max_words`` words it holds, some
+millions at a time, by a 64-bit hash of language and words. The upper bits of the hash
+name a hash partition; what a task knows of one partition is an exact summary (hashes
+and counts), and these are shuffled and merged by partition. A merged summary holds at
 most c counters, c being the partition's mass (its n-gram occurrences) divided by the
 threshold: beyond that the (c+1)-th largest count is taken from all counters and the
 emptied ones go. Each such step takes that count from more than c counters at once, so
 all steps together take less than the threshold from any one, and every n-gram that
-occurs ``min_count`` times or more survives. Masses travel ahead of the summaries, so
+occurs ``min_count`` times or more survives. A survivor whose counter and all that was
+taken together stay below the threshold goes too. Masses travel ahead of the summaries, so
 c is known before the first merge.
 
 Between the passes the survivors become a bit filter of fixed size
@@ -43,7 +44,9 @@ from pyspark.sql.window import Window
 from .common import saved, text_slices
 
 SLICE_BYTES = 3 << 20           # text counted at once inside a task: about 230 MB of arrays
-PARTITION_BYTES = 1 << 20       # text per hash partition, about
+PARTITION_BYTES = 1 << 20       # text per hash partition, about, up to
+MOST_PART_BITS = 16             # so many partitions: a task's summaries stay long rows
+HELD_KEYS = 2_000_000           # distinct n-grams that a task counts before it sends them
 _ENDS, _BLANKS = b".,;:!?\x0a\x0b\x0c\x0d", b"\x20\x09"
 _CLASS = np.zeros(256, np.uint8)
 _CLASS[list(_BLANKS)], _CLASS[list(_ENDS)] = 1, 2
@@ -126,47 +129,67 @@ def _unpack(blob: bytes) -> np.ndarray:
     return planes.reshape(4, -1).T.copy().view("<u4").reshape(-1).astype(np.int64)
 
 
+def _partitioned(keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    """Sorted keys (partition, then 32 bits of the hash) as rows by partition: mass, summary."""
+    part = (keys >> np.uint64(32)).astype(np.int64)
+    cuts = np.append(np.flatnonzero(np.diff(part, prepend=-1)), len(part))
+    low = (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    rows = []
+    for a, b in zip(cuts.tolist(), cuts[1:].tolist()):
+        mass = int(counts[a:b].sum())
+        rows.append((int(part[a]), 0, mass, None, None))
+        rows.append((int(part[a]), 1, mass, _pack(np.diff(low[a:b], prepend=0)), _pack(counts[a:b])))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(column, kind) for column, kind in zip(
+            zip(*rows), (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()))],
+        names=["part", "kind", "mass", "keys", "counts"])
+
+
 def _summarise(batches, max_words: int, part_bits: int):
-    """(lang, text) -> per slice and hash partition its mass (kind 0) and its summary (kind 1)."""
+    """(lang, text) -> per hash partition its mass (kind 0) and its summary (kind 1).
+
+    Slices are counted together until ``HELD_KEYS`` distinct keys are held.
+    """
+    keys, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
     for batch in text_slices(batches, 1, SLICE_BYTES):
         piece = _Slice(batch.column(0), batch.column(1))
-        keys = np.concatenate([h[fits] for _, h, fits in piece.grams(max_words)])
-        keys >>= np.uint64(32 - part_bits)                  # partition, then 32 bits of the hash
-        keys.sort()
-        first = np.ones(len(keys), bool)
-        first[1:] = keys[1:] != keys[:-1]
-        at = np.flatnonzero(first)
-        counts, keys = np.diff(np.append(at, len(keys))), keys[at]
-        part = (keys >> np.uint64(32)).astype(np.int64)
-        cuts = np.append(np.flatnonzero(np.diff(part, prepend=-1)), len(part))
-        low = (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        rows = []
-        for a, b in zip(cuts.tolist(), cuts[1:].tolist()):
-            mass = int(counts[a:b].sum())
-            steps = np.diff(low[a:b], prepend=0)
-            rows.append((int(part[a]), 0, mass, None, None))
-            rows.append((int(part[a]), 1, mass, _pack(steps), _pack(counts[a:b])))
-        if rows:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(column, kind) for column, kind in zip(
-                    zip(*rows), (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary()))],
-                names=["part", "kind", "mass", "keys", "counts"])
+        new = np.concatenate([h[fits] for _, h, fits in piece.grams(max_words)])
+        new >>= np.uint64(32 - part_bits)
+        new.sort()
+        at = np.flatnonzero(np.append(True, new[1:] != new[:-1])) if len(new) else np.zeros(0, np.int64)
+        keys, counts = _added(keys, counts, new[at], np.diff(np.append(at, len(new))))
+        if len(keys) > HELD_KEYS:
+            yield _partitioned(keys, counts)
+            keys, counts = keys[:0], counts[:0]
+    if len(keys):
+        yield _partitioned(keys, counts)
+
+
+def _added(keys: np.ndarray, counts: np.ndarray, more: np.ndarray, number: np.ndarray):
+    """Sum of two sorted summaries."""
+    keys, counts = np.concatenate([keys, more]), np.concatenate([counts, number])
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], counts[order]
+    at = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    return keys[at], np.add.reduceat(counts, at) if len(at) else counts
 
 
 def merge(summaries: list[tuple[np.ndarray, np.ndarray]], capacity: int
-          ) -> tuple[np.ndarray, np.ndarray]:
-    """One summary of at most ``capacity`` counters from several (keys, counts)."""
+          ) -> tuple[np.ndarray, np.ndarray, int]:
+    """One summary of at most ``capacity`` counters from several (keys, counts), and what was
+    taken from each counter."""
     keys = np.concatenate([k for k, _ in summaries])
     counts = np.concatenate([c for _, c in summaries])
     order = np.argsort(keys, kind="stable")
     keys, counts = keys[order], counts[order]
     at = np.flatnonzero(np.diff(keys, prepend=-1))
     keys, counts = keys[at], np.add.reduceat(counts, at) if len(at) else counts
+    taken = 0
     if len(keys) > capacity:
         taken = np.partition(counts, len(counts) - capacity - 1)[len(counts) - capacity - 1]
         left = counts > taken
         keys, counts = keys[left], counts[left] - taken
-    return keys, counts
+    return keys, counts, int(taken)
 
 
 def _bits(keys: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -178,10 +201,11 @@ def _bits(keys: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _survivors(batches, min_count: int, width: int):
     """Rows ordered by (part, kind) -> per partition its bits of the survivors' filter."""
-    part, mass, held, size = None, 0, [], 0
+    part, mass, held, size, lost = None, 0, [], 0, 0
 
     def settled() -> pa.RecordBatch:
-        keys, _ = merge(held, mass // min_count) if held else (np.zeros(0, np.int64), None)
+        keys, counts, taken = merge(held, mass // min_count)
+        keys = keys[counts + (lost + taken) >= min_count]       # others cannot be frequent
         bits = np.zeros(width, bool)
         for places in _bits(keys, width):
             bits[places] = True
@@ -196,7 +220,7 @@ def _survivors(batches, min_count: int, width: int):
             if parts[r] != part:
                 if part is not None:
                     yield settled()
-                part, mass, held, size = int(parts[r]), 0, [], 0
+                part, mass, held, size, lost = int(parts[r]), 0, [], 0, 0
             if kinds[r] == 0:
                 mass += int(masses[r])
                 continue
@@ -204,8 +228,8 @@ def _survivors(batches, min_count: int, width: int):
             held.append((keys, _unpack(batch.column(4)[r].as_py())))
             size += len(keys)
             if size > max(2 * (mass // min_count), 1 << 16):
-                held = [merge(held, mass // min_count)]
-                size = len(held[0][0])
+                keys, counts, taken = merge(held, mass // min_count)
+                held, size, lost = [(keys, counts)], len(keys), lost + taken
     if part is not None:
         yield settled()
 
@@ -217,7 +241,7 @@ def survivors(docs: DataFrame, min_count: int, max_words: int, filter_bits: int)
     partition where that is more; it is what the driver collects.
     """
     n_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    part_bits = min(20, max(4, math.ceil(math.log2(1 + n_bytes / PARTITION_BYTES))))
+    part_bits = min(MOST_PART_BITS, max(4, math.ceil(math.log2(1 + n_bytes / PARTITION_BYTES))))
     width = max(64, filter_bits >> part_bits)
     found = (docs.mapInArrow(lambda b: _summarise(b, max_words, part_bits),
                              "part int, kind int, mass long, keys binary, counts binary")

@@ -105,17 +105,22 @@ def test_merged_summaries_keep_every_frequent_key():
     rng = np.random.default_rng(2)
     stream = rng.zipf(1.3, 60_000) % 9_000
     least = 100
-    held = []
+    held, lost = [], 0
     for part in np.array_split(stream, 37):
         keys, counts = np.unique(part, return_counts=True)
         held.append((keys, counts))
         if len(held) == 3:
-            held = [collocations.merge(held, len(stream) // least)]
-    keys, counts = collocations.merge(held, len(stream) // least)
+            keys, counts, taken = collocations.merge(held, len(stream) // least)
+            held, lost = [(keys, counts)], lost + taken
+    keys, counts, taken = collocations.merge(held, len(stream) // least)
+    lost += taken
     assert len(keys) <= len(stream) // least
     full = dict(zip(*np.unique(stream, return_counts=True)))
     assert {k for k, n in full.items() if n >= least} <= set(keys.tolist())
-    assert all(full[k] - least < c <= full[k] for k, c in zip(keys.tolist(), counts.tolist()))
+    assert 0 < lost < least
+    assert all(full[k] - lost <= c <= full[k] for k, c in zip(keys.tolist(), counts.tolist()))
+    sure = {k for k, c in zip(keys.tolist(), counts.tolist()) if c + lost >= least}
+    assert {k for k, n in full.items() if n >= least} <= sure
 
 
 @pytest.mark.parametrize("least,percent,bits", [(5, 100, 1 << 16), (3, 80, 64), (2, 100, 1 << 20)])
@@ -236,3 +241,27 @@ def test_proximity_by_brute_force(spark):
                 want.append((d, len(w), item, min(starts)))
     assert want and sorted(((r.doc_id, r.n_words, r.item_id, r.start) for r in got), key=str) == \
         sorted(want, key=str)
+
+
+def test_summaries_of_a_task_add_up(monkeypatch):
+    """Slices counted together, sent in several parts: masses and counts are those of all n-grams."""
+    rng = random.Random(3)
+    rows = [("en", " ".join(f"v{rng.randrange(60)}" for _ in range(50))) for _ in range(80)]
+    batch = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows])],
+                                       names=["lang", "text"])
+    monkeypatch.setattr(collocations, "SLICE_BYTES", 700)
+    found = []
+    for held in (10 ** 9, 2000, 1):
+        monkeypatch.setattr(collocations, "HELD_KEYS", held)
+        counts = {}
+        for out in collocations._summarise([batch], 3, 5):
+            for part, kind, mass, keys, number in zip(*(c.to_pylist() for c in out.columns)):
+                if kind == 1:
+                    ks, ns = np.cumsum(collocations._unpack(keys)), collocations._unpack(number)
+                    assert ns.sum() == mass and (np.diff(ks) > 0).all()
+                    for k, n in zip(ks.tolist(), ns.tolist()):
+                        counts[part, k] = counts.get((part, k), 0) + n
+        found.append(counts)
+    assert found[0] == found[1] == found[2]
+    full, _ = brute.phrases(rows, 3)
+    assert sorted(found[0].values()) == sorted(full.values())
