@@ -63,7 +63,7 @@ def water_fill(sizes: DataFrame, budget: float, max_epochs: float) -> DataFrame:
     total = sizes.agg(F.sum("source_size")).first()[0] or 0
     cap = F.col("source_size") * F.lit(float(max_epochs))
     state = sizes.withColumn("closed", F.lit(False))
-    rate = 0.0
+    rate, rounds = 0.0, 0
     while True:
         open_weight, spent = state.agg(
             F.sum(F.when(~F.col("closed"), F.col("weight"))),
@@ -74,7 +74,9 @@ def water_fill(sizes: DataFrame, budget: float, max_epochs: float) -> DataFrame:
         above = ~F.col("closed") & (F.col("weight") * F.lit(rate) > cap)
         if not state.filter(above).limit(1).count():
             break
-        state = state.withColumn("closed", F.col("closed") | above)
+        state, rounds = state.withColumn("closed", F.col("closed") | above), rounds + 1
+        if rounds % 8 == 0:         # keeps the plan short
+            state = saved(state, "mix-rounds")
     return state.withColumn(
         "target", F.when(F.col("closed"), cap)
         .otherwise(F.col("weight") * F.lit(rate)).cast("double")).drop("closed")

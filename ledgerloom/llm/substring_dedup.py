@@ -315,7 +315,11 @@ def covered_windows(docs: DataFrame, length: int, doc_id: str, text: str) -> Dat
                     .filter("a < b").select("doc_id", F.lit(True).alias("several")), "substring-ids")
     group = F.when(F.col("several"), F.pmod("tid", F.lit(ID_GROUPS))).otherwise(F.lit(0)).alias("deal")
     dealt = lambda df: df.join(small_side(several, SEVERAL_IDS), "doc_id", "left")
-    half = repeats(dealt(listed).select(F.explode("anchors").alias("h"), "doc_id", group), ["h"])
+    if several.limit(1).count():
+        half = repeats(dealt(listed).select(F.explode("anchors").alias("h"), "doc_id", group), ["h"])
+    else:                   # the column would be all zeros on the way through the shuffle
+        half = repeats(listed.select(F.explode("anchors").alias("h"), "doc_id"), ["h"]).withColumn(
+            "deal", F.lit(0))
     anchors = half.groupBy("doc_id", "deal").agg(F.collect_list("h").alias("anchors")).join(
         settled, "doc_id", "left_anti")
     packed = _packed(dealt(rows).select("doc_id", "tid", group, "text"), "text")
