@@ -41,12 +41,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import saved, text_slices
+from .common import saved, small_side, text_slices
 
 SLICE_BYTES = 3 << 20           # text counted at once inside a task: about 230 MB of arrays
 PARTITION_BYTES = 1 << 20       # text per hash partition, about, up to
 MOST_PART_BITS = 16             # so many partitions: a task's summaries stay long rows
 HELD_KEYS = 2_000_000           # distinct n-grams that a task counts before it sends them
+MAX_LANGUAGES = 100_000         # whose word counts may be broadcast
 _ENDS, _BLANKS = b".,;:!?\x0a\x0b\x0c\x0d", b"\x20\x09"
 _CLASS = np.zeros(256, np.uint8)
 _CLASS[list(_BLANKS)], _CLASS[list(_ENDS)] = 1, 2
@@ -322,7 +323,7 @@ def collocations(docs: DataFrame, min_count: int = 100, max_words: int = 5, abso
     Without those inside a longer one that occurs ``absorbed_percent`` % as often or more.
     """
     counts = frequent_phrases(docs, min_count, max_words, lang, text, filter_bits)
-    totals = counts.filter("k = 0").select("lang", F.col("f").alias("n"))
+    totals = small_side(counts.filter("k = 0").select("lang", F.col("f").alias("n")), MAX_LANGUAGES)
     found = counts.filter("k >= 2").select("lang", "k", "phrase", F.col("f").alias("a"))
     cut_word = F.explode(F.sequence(F.lit(1), F.col("k") - 1))
     join = lambda start, size: F.array_join(
