@@ -47,6 +47,7 @@ SLICE_BYTES = 3 << 20           # text counted at once inside a task: about 230
 PARTITION_BYTES = 1 << 20       # text per hash partition, about, up to
 MOST_PART_BITS = 16             # so many partitions: a task's summaries stay long rows
 HELD_KEYS = 2_000_000           # distinct n-grams that a task counts before it sends them
+HELD_ROWS = 400_000             # the same of phrases, in the second pass
 MAX_LANGUAGES = 100_000         # whose word counts may be broadcast
 _ENDS, _BLANKS = b".,;:!?\x0a\x0b\x0c\x0d", b"\x20\x09"
 _CLASS = np.zeros(256, np.uint8)
@@ -268,7 +269,31 @@ def _passes(hashes: np.ndarray, bits: np.ndarray, part_bits: int) -> np.ndarray:
 
 
 def _count(batches, max_words: int, bits: np.ndarray, part_bits: int):
-    """(lang, text) -> lang, k, phrase, f: exact counts of what passes the filter; k 0: all words."""
+    """(lang, text) -> lang, k, phrase, f: exact counts of what passes the filter; k 0: all words.
+
+    Slices are summed until ``HELD_ROWS`` rows are held, so a task sends a phrase about once.
+    """
+    held, size = [], 0
+
+    def summed() -> pa.Table:
+        return pa.Table.from_batches(held).group_by(["lang", "k", "phrase"]).aggregate(
+            [("f", "sum")]).rename_columns({"f_sum": "f"}).select(["lang", "k", "phrase", "f"])
+
+    for rows in _slice_counts(batches, max_words, bits, part_bits):
+        held.append(rows)
+        size += rows.num_rows
+        if size > HELD_ROWS:
+            held = summed().to_batches()
+            size = sum(b.num_rows for b in held)
+            if size > HELD_ROWS // 2:
+                yield from held
+                held, size = [], 0
+    if held:
+        yield from summed().to_batches()
+
+
+def _slice_counts(batches, max_words: int, bits: np.ndarray, part_bits: int):
+    """The rows of :func:`_count`, slice by slice."""
     for batch in text_slices(batches, 1, SLICE_BYTES):
         piece = _Slice(batch.column(0), batch.column(1))
         n = len(piece.ids)

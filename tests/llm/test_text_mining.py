@@ -144,8 +144,9 @@ def test_slices_of_a_batch_count_alike(monkeypatch):
     batch = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows])],
                                        names=["lang", "text"])
     want, total = brute.phrases(rows, 4)
-    for size in (1 << 20, 300, 7):
+    for size, held in ((1 << 20, 10 ** 6), (300, 50), (7, 1)):
         monkeypatch.setattr(collocations, "SLICE_BYTES", size)
+        monkeypatch.setattr(collocations, "HELD_ROWS", held)
         got, words = {}, {}
         for out in collocations._count([batch], 4, np.full(1 << 10, 255, np.uint8), 4):
             for lang, k, phrase, f in zip(*(c.to_pylist() for c in out.columns)):
