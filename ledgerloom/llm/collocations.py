@@ -17,7 +17,8 @@ Between the passes the survivors become a bit filter of fixed size
 driver ever sees; with more survivors the filter lets more n-grams pass, never fewer.
 
 Second pass. N-grams that pass the filter, and whose parts pass, are counted exactly,
-by their words, in every slice, and summed by Spark; those below the threshold go.
+by their words, in every task; the counts of a hash partition of phrases meet in one
+place and are summed; those below the threshold go.
 
 Parts of a frequent phrase are at least as frequent as the phrase, so the counts that
 scoring needs are in the same table. A cut of a phrase after k words scores
@@ -268,28 +269,70 @@ def _passes(hashes: np.ndarray, bits: np.ndarray, part_bits: int) -> np.ndarray:
     return out
 
 
-def _count(batches, max_words: int, bits: np.ndarray, part_bits: int):
-    """(lang, text) -> lang, k, phrase, f: exact counts of what passes the filter; k 0: all words.
+def _summed(held: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
+    """One row for each language and phrase of several (lang, k, phrase, f)."""
+    return pa.Table.from_batches(held).group_by(["lang", "k", "phrase"]).aggregate(
+        [("f", "sum")]).rename_columns({"f_sum": "f"}).select(["lang", "k", "phrase", "f"]) \
+        .combine_chunks().to_batches()
 
-    Slices are summed until ``HELD_ROWS`` rows are held, so a task sends a phrase about once.
-    """
-    held, size = [], 0
 
-    def summed() -> pa.Table:
-        return pa.Table.from_batches(held).group_by(["lang", "k", "phrase"]).aggregate(
-            [("f", "sum")]).rename_columns({"f_sum": "f"}).select(["lang", "k", "phrase", "f"])
+def _dealt(rows: pa.RecordBatch, parts: int) -> pa.RecordBatch:
+    """One row for each hash partition of the phrases, with columns of lists."""
+    import xxhash
+
+    part = np.array([xxhash.xxh3_64_intdigest(p) % parts for p in rows.column(2).to_pylist()], np.int64)
+    order = np.argsort(part, kind="stable")
+    part, rows = part[order], rows.take(pa.array(order))
+    cuts = np.append(np.flatnonzero(np.diff(part, prepend=-1)), len(part))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(part[cuts[:-1]].astype(np.int32)),
+         *(pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), c) for c in rows.columns)],
+        names=["part", *rows.schema.names])
+
 
+def _count(batches, max_words: int, bits: np.ndarray, part_bits: int, parts: int):
+    """(lang, text) -> part and lists of lang, k, phrase, f: exact counts of what passes the filter.
+
+    k 0: all words. Slices are summed until ``HELD_ROWS`` rows are held, so a task sends a
+    phrase about once, and those of a hash partition as one row.
+    """
+    held, size = [], 0
     for rows in _slice_counts(batches, max_words, bits, part_bits):
         held.append(rows)
         size += rows.num_rows
         if size > HELD_ROWS:
-            held = summed().to_batches()
+            held = _summed(held)
             size = sum(b.num_rows for b in held)
             if size > HELD_ROWS // 2:
-                yield from held
+                yield from (_dealt(b, parts) for b in held)
                 held, size = [], 0
     if held:
-        yield from summed().to_batches()
+        yield from (_dealt(b, parts) for b in _summed(held))
+
+
+def _frequent(batches, min_count: int):
+    """Rows ordered by part -> lang, k, phrase, f of the phrases that are frequent, and k 0."""
+    part, held, size, limit = None, [], 0, HELD_ROWS
+
+    def settled():
+        for b in _summed(held):
+            yield b.filter(pc.or_(pc.equal(b.column(1), 0), pc.greater_equal(b.column(3), min_count)))
+
+    for batch in batches:
+        for r, p in enumerate(batch.column(0).to_pylist()):
+            if p != part:
+                if held:
+                    yield from settled()
+                part, held, size, limit = p, [], 0, HELD_ROWS
+            held.append(pa.RecordBatch.from_arrays(
+                [batch.column(i)[r].values for i in range(1, 5)], names=batch.schema.names[1:]))
+            size += held[-1].num_rows
+            if size > limit:
+                held = _summed(held)
+                size = sum(b.num_rows for b in held)
+                limit = max(HELD_ROWS, 2 * size)
+    if held:
+        yield from settled()
 
 
 def _slice_counts(batches, max_words: int, bits: np.ndarray, part_bits: int):
@@ -335,10 +378,12 @@ def frequent_phrases(docs: DataFrame, min_count: int = 100, max_words: int = 5,
     rows = docs.select(F.col(f"`{lang}`").cast("string").alias("lang"),
                        F.col(f"`{text}`").cast("string").alias("text"))
     bits, part_bits = survivors(rows, min_count, max_words, filter_bits)
-    counted = rows.mapInArrow(lambda b: _count(b, max_words, bits, part_bits),
-                              "lang string, k int, phrase string, f long")
-    return saved(counted.groupBy("lang", "k", "phrase").agg(F.sum("f").alias("f"))
-                 .filter((F.col("k") == 0) | (F.col("f") >= min_count)), "phrase-counts")
+    parts = 1 << max(4, part_bits - 3)
+    counted = rows.mapInArrow(
+        lambda b: _count(b, max_words, bits, part_bits, parts),
+        "part int, lang array<string>, k array<int>, phrase array<string>, f array<long>")
+    return saved(counted.repartition("part").sortWithinPartitions("part").mapInArrow(
+        lambda b: _frequent(b, min_count), "lang string, k int, phrase string, f long"), "phrase-counts")
 
 
 def collocations(docs: DataFrame, min_count: int = 100, max_words: int = 5, absorbed_percent: int = 100,

@@ -148,7 +148,10 @@ def test_slices_of_a_batch_count_alike(monkeypatch):
         monkeypatch.setattr(collocations, "SLICE_BYTES", size)
         monkeypatch.setattr(collocations, "HELD_ROWS", held)
         got, words = {}, {}
-        for out in collocations._count([batch], 4, np.full(1 << 10, 255, np.uint8), 4):
+        sent = sorted((b.slice(i, 1) for b in collocations._count(
+            [batch], 4, np.full(1 << 10, 255, np.uint8), 4, 8) for i in range(b.num_rows)),
+            key=lambda b: b.column(0)[0].as_py())
+        for out in collocations._frequent(sent, 1):
             for lang, k, phrase, f in zip(*(c.to_pylist() for c in out.columns)):
                 into, key = (got, (lang, tuple(phrase.split(" ")))) if k else (words, lang)
                 into[key] = into.get(key, 0) + f
