@@ -18,15 +18,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerloom.operators.sequence import dealt
 
-def gap_stats(df: DataFrame, key: str, date_col: str, prefix: str = "") -> DataFrame:
+
+def gap_stats(df: DataFrame, key: str, date_col: str, prefix: str = "",
+              parts: int | None = None) -> DataFrame:
     """``DataFrame[key, avg_days_between, stddev_days_between, max_gap_days]``.
 
     Only keys with at least one gap (two events) appear, as in
     ``lag(...)`` followed by ``filter(gap is not null)`` and ``groupBy``.
     """
-    daily = df.where(F.col(date_col).isNotNull()) \
-        .groupBy(key, date_col).agg(F.count(F.lit(1)).alias("__c"))
+    daily = dealt(df.where(F.col(date_col).isNotNull()) \
+        .groupBy(key, date_col).agg(F.count(F.lit(1)).alias("__c")), parts, key)
     w = Window.partitionBy(key).orderBy(date_col)
     gaps = daily.withColumn("__gap", F.datediff(F.col(date_col), F.lag(date_col).over(w)))
     per_key = gaps.groupBy(key).agg(

@@ -23,7 +23,18 @@ from pyspark.sql.types import StructType
 _LOW_BITS = 33
 
 
-def positioned(df: DataFrame, order: Sequence[str], name: str = "positioned") -> DataFrame:
+def dealt(df: DataFrame, parts: int | None, *keys: str) -> DataFrame:
+    """``df`` hashed by ``keys`` to ``parts`` partitions, or as it is without a number.
+
+    Joins, groups and windows on the keys then work in these partitions. The number comes
+    from the rows (``Datasets.parts``), so what a task sorts stays the same however large
+    the input is and whatever number of shuffle partitions the session has.
+    """
+    return df.repartition(parts, *keys) if parts else df
+
+
+def positioned(df: DataFrame, order: Sequence[str], name: str = "positioned",
+               parts: int | None = None) -> DataFrame:
     """``df`` range-partitioned and sorted by ``order``, written once with its
     partition id (``__pid``) and position inside the partition (``__pos``).
 
@@ -37,7 +48,8 @@ def positioned(df: DataFrame, order: Sequence[str], name: str = "positioned") ->
     spark = df.sparkSession
     path = scratch_path(spark, name)
     mono = F.monotonically_increasing_id()
-    (df.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranged = df.repartitionByRange(parts, *order) if parts else df.repartitionByRange(*order)
+    (ranged.sortWithinPartitions(*order)
      .withColumn("__pid", F.spark_partition_id())
      .withColumn("__pos", mono - F.shiftleft(F.shiftright(mono, _LOW_BITS), _LOW_BITS))
      .write.mode("overwrite").parquet(path))
@@ -68,15 +80,16 @@ def global_rank(df: DataFrame, order: Sequence[str], output: str = "__rank") ->
         .drop("__pid", "__pos", "__off")
 
 
-def running_total(df: DataFrame, order: Sequence[str], value: str, output: str) -> DataFrame:
+def running_total(df: DataFrame, order: Sequence[str], value: str, output: str,
+                  parts: int | None = None) -> DataFrame:
     """Add the sum of ``value`` over all rows before each row in ``order``."""
-    pos = positioned(df, order, "running-total")
+    pos = positioned(df, order, "running-total", parts)
     inside = Window.partitionBy("__pid").orderBy("__pos").rowsBetween(Window.unboundedPreceding, -1)
     sums = pos.groupBy("__pid").agg(F.sum(value).alias("__sum"))
     # one row per partition
     before = sums.select("__pid", F.coalesce(F.sum("__sum").over(
         Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("__before"))
-    return pos.withColumn("__inside", F.coalesce(F.sum(value).over(inside), F.lit(0))) \
+    return dealt(pos, parts, "__pid").withColumn("__inside", F.coalesce(F.sum(value).over(inside), F.lit(0))) \
         .join(F.broadcast(before), "__pid") \
         .withColumn(output, F.col("__before") + F.col("__inside")).drop("__pid", "__pos", "__inside", "__before")
 

@@ -30,6 +30,8 @@ def dim_accounts(ds: Datasets) -> DataFrame:
 def fct_opportunities(ds: Datasets) -> DataFrame:
     o = ds["stg_crm_opportunities"]
     a = ds["stg_crm_accounts"].select("account_id", "account_name")
+    if ds.parts("customer"):    # too many to broadcast: a task holds its accounts, no opportunity is sorted
+        a = a.hint("shuffle_hash")
     u = ds["stg_crm_users"].select(F.col("user_id").alias("owner_id"),
                                    F.col("user_name").alias("opportunity_owner"))
     return (

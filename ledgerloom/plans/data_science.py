@@ -101,7 +101,7 @@ def rfm_customer_features(ds: Datasets) -> DataFrame:
     return rfm_features(public(ds, "dim_customers"), public(ds, "fct_orders"), ds.as_of_col())
 
 
-def churn_features(customers: DataFrame, orders: DataFrame, as_of) -> DataFrame:
+def churn_features(customers: DataFrame, orders: DataFrame, as_of, parts: int | None = None) -> DataFrame:
     completed = F.col("status") == "completed"
     returned = F.col("status") == "returned"
     cents = (F.col("amount_paid") * 100).cast("decimal(38,0)")
@@ -119,7 +119,7 @@ def churn_features(customers: DataFrame, orders: DataFrame, as_of) -> DataFrame:
         F.min("order_date").alias("first_order_date"),
         F.countDistinct("payment_method").alias("distinct_payment_methods"),
     )
-    gaps = gap_stats(orders, "customer_id", "order_date")
+    gaps = gap_stats(orders, "customer_id", "order_date", parts=parts)
     features = (
         customers.select("customer_id", "customer_segment", "country", "total_lifetime_value")
         .join(per, "customer_id", "left")
@@ -148,7 +148,8 @@ def churn_features(customers: DataFrame, orders: DataFrame, as_of) -> DataFrame:
 
 @model("customer_churn_features", "data_science", materialized="table")
 def customer_churn_features(ds: Datasets) -> DataFrame:
-    return churn_features(public(ds, "dim_customers"), public(ds, "fct_orders"), ds.as_of_col())
+    return churn_features(public(ds, "dim_customers"), public(ds, "fct_orders"), ds.as_of_col(),
+                          ds.parts("orders"))
 
 
 @model("payment_method_affinity_pairs", "data_science", materialized="table")

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import MONEY, dec0, segment
+from ledgerloom.operators.sequence import dealt
 from ledgerloom.sources.datasets import Datasets, model
 
 # --- fixed values: customer value segments (lower bound, label), high to low ---
@@ -22,7 +23,8 @@ VALUE_DEFAULT = "low_value"
 @model("order_payments", materialized="ephemeral")
 def order_payments(ds: Datasets) -> DataFrame:
     """Successful payments per order (shared by ``fct_orders`` and LTV)."""
-    p = ds["stg_payments"]
+    p = dealt(ds["stg_payments"].select("order_id", "payment_status", "amount", "payment_date"),
+              ds.parts("orders"), "order_id")
     return p.groupBy("order_id").agg(
         F.sum(F.when(F.col("payment_status") == "success", F.col("amount"))
               .otherwise(F.lit(0))).alias("amount_paid"),
@@ -33,7 +35,7 @@ def order_payments(ds: Datasets) -> DataFrame:
 @model("int_customer_orders", materialized="ephemeral")
 def int_customer_orders(ds: Datasets) -> DataFrame:
     """Orders -> customer: order count, LTV (NULL when no order has a payment row)."""
-    o = ds["stg_orders"].select("order_id", "customer_id", "order_date")
+    o = dealt(ds["stg_orders"].select("order_id", "customer_id", "order_date"), ds.parts("orders"), "order_id")
     op = ds["order_payments"].select("order_id", "amount_paid")
     return (
         o.join(op, "order_id", "left")
@@ -51,6 +53,8 @@ def int_customer_orders(ds: Datasets) -> DataFrame:
 def int_order_items_enriched(ds: Datasets) -> DataFrame:
     oi = ds["stg_order_items"]
     p = ds["stg_products"].select("product_id", "product_name", "category")
+    if ds.parts("part"):        # too many to broadcast: a task holds its products, no line is sorted
+        p = p.hint("shuffle_hash")
     return oi.join(p, "product_id", "left").select(
         "order_item_id", "order_id", "product_id", "product_name", "category",
         "quantity", "unit_price", "line_total",
@@ -98,8 +102,9 @@ def order_items_by_order(ds: Datasets) -> DataFrame:
 
 @model("fct_orders", materialized="table")
 def fct_orders(ds: Datasets) -> DataFrame:
-    o = ds["stg_orders"]
-    oi = ds["order_items_by_order"]
+    parts = ds.parts("orders")
+    o = dealt(ds["stg_orders"], parts, "order_id")
+    oi = dealt(ds["order_items_by_order"], parts, "order_id")
     p = ds["order_payments"].select("order_id", "amount_paid")
     return (
         o.join(oi, "order_id", "left")

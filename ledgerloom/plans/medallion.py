@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import MONEY, dec0, round_half_up_ratio, segment
 from ledgerloom.operators.expectations import Expectation, enforce
+from ledgerloom.operators.sequence import dealt
 from ledgerloom.plans.data_science import churn_features, rfm_features
 from ledgerloom.plans.marts import VALUE_BANDS, VALUE_DEFAULT
 from ledgerloom.sources.datasets import Datasets, model
@@ -108,13 +109,14 @@ for _n in BRONZE:
 # -- gold ------------------------------------------------------------------------
 
 def _success_by_order(ds: Datasets) -> DataFrame:
-    p = ds["silver_payments"].filter(F.col("payment_status") == "success")
+    p = dealt(ds["silver_payments"].filter(F.col("payment_status") == "success").select("order_id", "amount"),
+              ds.parts("orders"), "order_id")
     return p.groupBy("order_id").agg(F.sum("amount").alias("amount_paid"))
 
 
 @model("gold_dim_customers", "pipeline", materialized="table")
 def gold_dim_customers(ds: Datasets) -> DataFrame:
-    o = ds["silver_orders"].select("order_id", "customer_id", "order_date")
+    o = dealt(ds["silver_orders"].select("order_id", "customer_id", "order_date"), ds.parts("orders"), "order_id")
     pay = _success_by_order(ds)
     # payments -> order (1 row per order) -> customer; no N:M fan-out
     per = o.join(pay, "order_id", "left").groupBy("customer_id").agg(
@@ -136,10 +138,11 @@ def gold_dim_customers(ds: Datasets) -> DataFrame:
 
 @model("gold_fct_orders", "pipeline", materialized="table")
 def gold_fct_orders(ds: Datasets) -> DataFrame:
-    o = ds["silver_orders"]
-    items = ds["silver_order_items"].groupBy("order_id").agg(
+    parts = ds.parts("orders")
+    o = dealt(ds["silver_orders"], parts, "order_id")
+    items = dealt(ds["silver_order_items"].groupBy("order_id").agg(
         F.count("order_item_id").alias("number_of_items"),
-        F.sum("line_total").alias("items_total"))
+        F.sum("line_total").alias("items_total")), parts, "order_id")
     pay = _success_by_order(ds)
     return o.join(items, "order_id", "left").join(pay, "order_id", "left").select(
         "order_id", "customer_id", "status", "order_date", "amount",
@@ -288,4 +291,5 @@ def ds_rfm_customer_features(ds: Datasets) -> DataFrame:
 
 @model("ds_customer_churn_features", "ds_pipeline", materialized="table")
 def ds_customer_churn_features(ds: Datasets) -> DataFrame:
-    return churn_features(ds["gold_dim_customers"], ds["gold_fct_orders"], ds.as_of_col())
+    return churn_features(ds["gold_dim_customers"], ds["gold_fct_orders"], ds.as_of_col(),
+                          ds.parts("orders"))

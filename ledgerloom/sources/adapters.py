@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import money_from_cents, ts_ntz
-from ledgerloom.operators.sequence import number_within, running_total, written
+from ledgerloom.operators.sequence import dealt, number_within, running_total, written
 from ledgerloom.sources.datasets import Datasets, model, once
 
 # --- fixed values of the adapter mapping ---------------------------------------
@@ -99,15 +99,17 @@ def order_line_counts(ds: Datasets) -> DataFrame:
         per = ds.driver("lineitem").groupBy("l_orderkey").agg(
             F.count(F.lit(1)).alias("n_lines"),
             F.sum(F.when(F.col("l_returnflag") == "R", 1).otherwise(0)).alias("n_returned"))
-        return written(running_total(per, ["l_orderkey"], "n_lines", "lines_before"), "order-lines")
+        return written(running_total(per, ["l_orderkey"], "n_lines", "lines_before", ds.parts("orders")),
+                       "order-lines")
 
     return once(ds.spark, ds.scope, "order_line_counts", count) if ds.sf_dir else count()
 
 
 @model("raw_orders", "source")
 def raw_orders(ds: Datasets) -> DataFrame:
-    o = ds.driver("orders")
-    flags = ds["order_line_counts"].select("l_orderkey", "n_lines", "n_returned")
+    parts = ds.parts("orders")
+    o = dealt(ds.driver("orders"), parts, "o_orderkey")
+    flags = dealt(ds["order_line_counts"].select("l_orderkey", "n_lines", "n_returned"), parts, "l_orderkey")
     j = o.join(flags, o.o_orderkey == flags.l_orderkey, "left")
     status = F.when(F.col("n_returned") * 2 > F.col("n_lines"), F.lit(RETURNED_STATUS)) \
         .otherwise(_map(F.col("o_orderstatus"), ORDER_STATUS))
@@ -135,7 +137,8 @@ def line_items_numbered(ds: Datasets) -> DataFrame:
     ``(l_orderkey, l_linenumber)`` is not unique in the driver data, so the order
     runs over every column used. The place is that of the order's first line plus the
     place within the order, so the lines are shuffled once, by order, like the orders
-    they are joined to, and written once. Orders of more than ``HOT_LINES`` lines (and
+    they are joined to, and written once. The number of partitions follows the rows, so
+    no task sorts more than some hundred thousand lines. Orders of more than ``HOT_LINES`` lines (and
     lines without an order) are range-sorted instead, so a hot order spans many tasks.
     """
     def number() -> DataFrame:
@@ -143,11 +146,14 @@ def line_items_numbered(ds: Datasets) -> DataFrame:
             "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
             "l_extendedprice", "l_returnflag", "l_shipdate")
         counts = ds["order_line_counts"].select("l_orderkey", "n_lines", "lines_before")
-        o = _lookup(ds.driver("orders"), "o_orderkey", "o_orderdate", "o_custkey")
+        n = ds.parts("lineitem")
+        o = _lookup(dealt(ds.driver("orders").select("o_orderkey", "o_orderdate", "o_custkey"), n, "o_orderkey"),
+                    "o_orderkey", "o_orderdate", "o_custkey")
         rest = counts.filter(F.col("l_orderkey").isNull() | (F.col("n_lines") > HOT_LINES))
         place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*LINE_ORDER))
         plain = counts.filter(F.col("n_lines") <= HOT_LINES).drop("n_lines")
-        parts = [li.join(plain, "l_orderkey").withColumn("__place", place)]
+        parts = [dealt(li, n, "l_orderkey").join(dealt(plain, n, "l_orderkey"), "l_orderkey")
+                 .withColumn("__place", place)]
         if rest.limit(1).count():
             hot = rest.select(F.col("l_orderkey").alias("__hot"), F.col("lines_before"))
             lines = number_within(li.join(hot.select("__hot"), F.col("l_orderkey").eqNullSafe(F.col("__hot")),

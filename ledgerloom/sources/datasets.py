@@ -23,6 +23,8 @@ _REGISTRY: dict[str, Builder] = {}
 _PROJECT: dict[str, str] = {}
 _MATERIALIZED: dict[str, str] = {}
 MATERIALIZATIONS = ("view", "ephemeral", "table")
+ROWS_A_TASK = 250_000       # rows of a driver table that one task of a large shuffle takes
+FEW_ROWS = 500_000          # shuffles of fewer rows are left to the session's settings
 
 
 def model(name: str, project: str = "platform",
@@ -177,6 +179,17 @@ class Datasets:
             self._cache[key] = _LANDED[gkey]
         return self._cache[key]
 
+    def parts(self, name: str) -> int | None:
+        """Partitions for a shuffle of as many rows as driver table ``name`` has; None if few.
+
+        Counted once per session and input; parquet footers hold the number.
+        """
+        if self.sf_dir is None:
+            return None
+        rows = once(self.spark, self.scope, f"rows of {name}", self.driver(name).count)
+        return None if rows < FEW_ROWS else max(-(-rows // ROWS_A_TASK),
+                                                self.spark.sparkContext.defaultParallelism)
+
     def as_of_col(self):
         from pyspark.sql import functions as F
 
