@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import MONEY, dec0
+from ledgerloom.operators.sequence import dealt
 from ledgerloom.plans.contracts import public
 from ledgerloom.sources.datasets import Datasets, model
 
@@ -63,10 +64,12 @@ def product_order_lines(ds: Datasets) -> DataFrame:
     """(product, order) grain: line revenue of each product within each order.
 
     Pre-aggregating to this grain first turns the per-product distinct order
-    counts into plain counts and combines a hot product map-side.
+    counts into plain counts and combines a hot product map-side. Join and totals share
+    partitions by order, whose number follows the lines: a task holds its lines only.
     """
-    oi = ds["stg_order_items"].select("order_id", "product_id", "line_total")
-    o = public(ds, "fct_orders").select("order_id", "status", "order_date")
+    parts = ds.parts("lineitem")
+    oi = dealt(ds["stg_order_items"].select("order_id", "product_id", "line_total"), parts, "order_id")
+    o = dealt(public(ds, "fct_orders").select("order_id", "status", "order_date"), parts, "order_id")
     return (
         oi.join(o, "order_id", "inner")
         .groupBy("product_id", "order_id", "status", "order_date")

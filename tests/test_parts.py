@@ -58,3 +58,11 @@ def test_lines_are_numbered_in_partitions_by_rows(spark, small_tasks, few_shuffl
     assert files.count() >= 30 and files.agg(F.max("count")).first()[0] < 700
     got = [r[0] for r in lines.orderBy("l_orderkey", *LINE_ORDER).select("order_item_id").collect()]
     assert sorted(got) == list(range(1, ds.driver("lineitem").count() + 1))
+
+
+def test_product_lines_are_summed_in_partitions_by_rows(spark, small_tasks, few_shuffle_partitions, monkeypatch):
+    wide = product_order_lines(small_tasks(spark))
+    assert _largest(wide) < 700
+    monkeypatch.setattr(datasets, "FEW_ROWS", 10 ** 9)
+    plain = product_order_lines(_ds(spark))
+    assert wide.count() == plain.count() and wide.exceptAll(plain).count() == 0
