@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.columns import ts_ntz
+from ledgerloom.operators.sequence import dealt
 
 SEVERITIES = ("error", "warn")
 
@@ -76,11 +77,13 @@ def _status(failures: Column, severity: Column) -> Column:
 
 
 def run_tests(ds, tests: Sequence[DataTest],
-              singular: Mapping[str, tuple[str, str, str]] | None = None) -> DataFrame:
+              singular: Mapping[str, tuple[str, str, str]] | None = None,
+              sizes: Mapping[str, str] | None = None) -> DataFrame:
     """``DataFrame[test_name, model, column_name, test_type, failures, severity, status]``.
 
     ``singular`` maps a test name to ``(severity, model, condition)``; rows of the
-    model for which the condition holds are failures.
+    model for which the condition holds are failures. ``sizes`` names the driver table that
+    has about as many rows as a model: its number sets that of the partitions by key.
     """
     counts: dict[str, list[tuple[DataTest, Column]]] = {}
     rows = [(t.test_name, t.model, t.column, t.kind, t.severity) for t in tests]
@@ -118,7 +121,12 @@ def run_tests(ds, tests: Sequence[DataTest],
         if key is None:
             one = ds[model].agg(*counted_bad)
         else:
-            by_key = ds[model].groupBy(key.column).agg(F.count(F.lit(1)).alias("__n"), *counted_bad)
+            # only the key and flags are dealt
+            flags = ds[model].select(key.column, *[bad.alias(f"__b{i}") for i, (_, bad) in enumerate(checks)])
+            number = ds.parts(sizes[model]) if model in (sizes or {}) else None
+            by_key = dealt(flags, number, key.column).groupBy(key.column).agg(
+                F.count(F.lit(1)).alias("__n"),
+                *[F.count_if(F.col(f"__b{i}")).alias(f"__c{i}") for i in range(len(checks))])
             one = by_key.agg(
                 *[F.coalesce(F.sum(f"__c{i}"), F.lit(0)).alias(f"__c{i}") for i in range(len(checks))],
                 F.count_if(F.col(key.column).isNotNull() & (F.col("__n") > 1)).alias(f"__c{len(checks)}"))

@@ -94,6 +94,11 @@ TESTS: list[DataTest] = [
     DataTest("payment_method_affinity_pairs", "not_null", "method_b"),
 ]
 
+# models with about as many rows as a driver table
+TEST_SIZES = {"stg_order_items": "lineitem",
+              **dict.fromkeys(("stg_orders", "stg_payments", "stg_crm_opportunities", "fct_orders",
+                               "fct_opportunities", "crm_opportunity_alerts", "fct_revenue"), "orders")}
+
 # --- fixed values: source freshness (loaded-at field, warn after, error after) ------
 FRESHNESS = [
     FreshnessRule("raw_customers", "_loaded_at", 1 * H, 6 * H),
@@ -163,7 +168,7 @@ _RUN_TESTS_SQL = (
 
 @register("run_tests", _RUN_TESTS_SQL)
 def run_tests_query(ds: Datasets) -> DataFrame:
-    return run_tests(ds, TESTS, SINGULAR)
+    return run_tests(ds, TESTS, SINGULAR, TEST_SIZES)
 
 
 @register("assert_positive_revenue", """

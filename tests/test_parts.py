@@ -66,3 +66,21 @@ def test_product_lines_are_summed_in_partitions_by_rows(spark, small_tasks, few_
     monkeypatch.setattr(datasets, "FEW_ROWS", 10 ** 9)
     plain = product_order_lines(_ds(spark))
     assert wide.count() == plain.count() and wide.exceptAll(plain).count() == 0
+
+
+def test_large_products_are_hashed_not_sorted(spark, small_tasks):
+    ds = small_tasks(spark)
+    plan = ds["int_order_items_enriched"]._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+    # products are a few hundred: one row a line, as many as there are
+    assert ds["int_order_items_enriched"].count() == ds["stg_order_items"].count()
+
+
+def test_unique_tests_deal_keys_by_rows(spark, small_tasks, few_shuffle_partitions):
+    ds = small_tasks(spark)
+    tests = [DataTest("stg_orders", "not_null", "amount"), DataTest("stg_orders", "unique", "order_id")]
+    dealt = run_tests(ds, tests, sizes={"stg_orders": "orders"})
+    n = ds.parts("orders")
+    plan = dealt._jdf.queryExecution().executedPlan().toString()
+    assert f", {n}), REPARTITION_BY_NUM" in plan
+    assert sorted(map(str, dealt.collect())) == sorted(map(str, run_tests(ds, tests).collect()))
