@@ -28,7 +28,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ledgerloom.operators.buckets import BATCH, KeyedTable, Ledger, _hadoop, children, remove
 from ledgerloom.operators.landing import wider
-from ledgerloom.operators.sequence import written
+from ledgerloom.operators.sequence import dealt, written
 from ledgerloom.streaming.medallion import MAX_FILES_PER_TRIGGER
 
 POLICIES = ("allow_all", "new_columns", "block_all")
@@ -221,14 +221,17 @@ class RunningTotals:
     ``key`` identifies a row, ``version`` orders its versions (a late older one is
     ignored), ``groups`` are its columns to group by. ``sums``: name -> column;
     ``least`` and ``greatest`` likewise. Rows for which ``where`` does not hold count
-    nowhere.
+    nowhere. ``parts``: partitions in which a batch's rows are sorted by key, else the
+    session's number.
     """
 
     def __init__(self, spark: SparkSession, path: str, schema: StructType, key: Sequence[str], version: str,
                  groups: Sequence[str], sums: Mapping[str, str] = {}, least: Mapping[str, str] = {},
-                 greatest: Mapping[str, str] = {}, where: str = "true", n_buckets: int = 64):
+                 greatest: Mapping[str, str] = {}, where: str = "true", n_buckets: int = 64,
+                 parts: int | None = None):
         self.spark, self.key, self.version, self.groups = spark, list(key), version, list(groups)
         self.sums, self.least, self.greatest, self.where = dict(sums), dict(least), dict(greatest), where
+        self.parts = parts
         self.rows = KeyedTable(spark, f"{path}/rows", key, schema, n_buckets)
         probe = self._total(spark.createDataFrame([], schema).withColumn("__sign", F.lit(1)))
         self.totals = KeyedTable(spark, f"{path}/totals", groups, probe.schema, n_buckets)
@@ -251,7 +254,7 @@ class RunningTotals:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         names = self.rows.schema.names
         values = F.struct(*[c for c in names if c not in self.key])
-        newest = written(batch.select(*names).groupBy(*self.key).agg(
+        newest = written(dealt(batch.select(*names), self.parts, *self.key).groupBy(*self.key).agg(
             F.max_by(values, F.struct(self.version, F.xxhash64(values))).alias("__v"))
             .select(*self.key, "__v.*").select(*names), "totals-batch")
         buckets = self.rows.touched(newest)

@@ -76,6 +76,19 @@ def test_large_products_are_hashed_not_sorted(spark, small_tasks):
     assert ds["int_order_items_enriched"].count() == ds["stg_order_items"].count()
 
 
+def test_running_totals_take_the_number_given(spark, tmp_path):
+    df = spark.createDataFrame([(i, i % 3, i * 2, 1) for i in range(50)] + [(1, 2, 9, 2), (None, 0, 5, 1)],
+                               "id int, g int, v int, version int")
+    found = []
+    for n in (None, 7):
+        keep = RunningTotals(spark, f"{tmp_path}/{n}", df.schema, ["id"], "version", ["g"], {"s": "v"},
+                             least={"lo": "v"}, n_buckets=2, parts=n)
+        keep(df.filter("version = 1"), 0)
+        keep(df.filter("version = 2"), 1)
+        found.append(sorted(map(tuple, keep.result().collect())))
+    assert found[0] == found[1] and len(found[0]) == 3
+
+
 def test_unique_tests_deal_keys_by_rows(spark, small_tasks, few_shuffle_partitions):
     ds = small_tasks(spark)
     tests = [DataTest("stg_orders", "not_null", "amount"), DataTest("stg_orders", "unique", "order_id")]
