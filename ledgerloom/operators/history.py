@@ -21,7 +21,7 @@ from pyspark.sql.types import BooleanType, StructField, StructType
 
 from ledgerloom.operators.buckets import KeyedTable
 from ledgerloom.operators.contracts import ContractError
-from ledgerloom.operators.sequence import written
+from ledgerloom.operators.sequence import dealt, written
 from ledgerloom.operators.timed_metrics import following
 
 AT, DELETED, OPENS, UNTIL = "_event_at", "_deleted", "_opens", "valid_to"
@@ -42,13 +42,13 @@ def _all_equal(columns: Sequence[str], prefix: str) -> Column:
 
 
 def merge_history(batch: DataFrame, path: str, keys: Sequence[str], event_time: str, number: int,
-                  deleted: str | None = None, n_buckets: int = 64) -> KeyedTable:
+                  deleted: str | None = None, n_buckets: int = 64, parts: int | None = None) -> KeyedTable:
     """Merge a batch of events into the history at ``path``; only buckets of its keys are rewritten.
 
     ``number`` orders batches; a batch that is repeated under its number is merged once.
     Of several events of one key and time a deletion wins, then one of them by hash; a
     later batch corrects an earlier one. Null keys are a key. Events without a time are
-    refused.
+    refused. ``parts``: partitions in which events are sorted, else the session's number.
     """
     spark, keys = batch.sparkSession, list(keys)
     values = [c for c in batch.columns if c not in (*keys, event_time, deleted)]
@@ -59,7 +59,7 @@ def merge_history(batch: DataFrame, path: str, keys: Sequence[str], event_time:
 
     events = batch.select(*keys, F.col(event_time).alias(AT), *values, gone.alias(DELETED))
     state = F.struct(*payload)
-    new = written(events.groupBy(*keys, AT).agg(
+    new = written(dealt(events, parts, *keys, AT).groupBy(*keys, AT).agg(
         F.max_by(state, F.struct(F.col(DELETED), F.xxhash64(*values) if values else F.lit(0))).alias("__s"))
         .select(*keys, AT, "__s.*"), "history-batch")
     if new.filter(F.col(AT).isNull()).limit(1).count():
@@ -72,11 +72,12 @@ def merge_history(batch: DataFrame, path: str, keys: Sequence[str], event_time:
 
     order = [*keys, AT]
     seen = following(all_events.withColumn("__is", F.lit(True)), order, ["__is", *keys, *payload],
-                     "__p_", back=True)
+                     "__p_", back=True, parts=parts)
     opens = ~(F.coalesce(F.col("__p___is"), F.lit(False)) & _all_equal(keys, "__p_")
               & _all_equal(payload, "__p_"))
     marked = written(seen.select(*keys, AT, *payload, opens.alias(OPENS)), "history-marked")
-    changes = following(marked.filter(OPENS).withColumn("__is", F.lit(True)), order, ["__is", *order], "__n_")
+    changes = following(marked.filter(OPENS).withColumn("__is", F.lit(True)), order, ["__is", *order], "__n_",
+                        parts=parts)
     until = F.when(F.coalesce(F.col("__n___is"), F.lit(False)) & _all_equal(keys, "__n_"), F.col(f"__n_{AT}"))
     names = table.schema.names
     rows = changes.withColumn(UNTIL, until).select(*names).unionByName(

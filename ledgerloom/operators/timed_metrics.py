@@ -26,7 +26,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.sequence import positioned
+from ledgerloom.operators.sequence import dealt, positioned
 
 _STEP = {"day": "INTERVAL 1 DAY", "week": "INTERVAL 7 DAY", "month": "INTERVAL 1 MONTH",
          "quarter": "INTERVAL 3 MONTH", "year": "INTERVAL 1 YEAR"}
@@ -37,20 +37,20 @@ def period_of(day: Column, grain: str) -> Column:
 
 
 def following(df: DataFrame, order: Sequence[str], columns: Sequence[str], prefix: str = "next_",
-              back: bool = False) -> DataFrame:
+              back: bool = False, parts: int | None = None) -> DataFrame:
     """``df`` with ``columns`` of the row after it in ``order`` (``back``: before it), over the whole table.
 
     Rows are range-partitioned by ``order`` and written with their place; the row after
     the last one of a partition is the first of the next partition that has rows (one
-    row a partition).
+    row a partition). ``parts``: how many partitions, else the session's number.
     """
-    pos = positioned(df, order, "following")
+    pos = positioned(df, order, "following", parts)
     step, edge = (F.lag, F.max_by) if back else (F.lead, F.min_by)
     near = F.struct(*columns)
     inside = Window.partitionBy("__pid").orderBy("__pos")
     edges = pos.groupBy("__pid").agg(edge(near, F.col("__pos")).alias("__edge"))
     edges = edges.select("__pid", step("__edge").over(Window.orderBy("__pid")).alias("__carried"))
-    rows = pos.withColumn("__after", step(near).over(inside)).join(
+    rows = dealt(pos, parts, "__pid").withColumn("__after", step(near).over(inside)).join(
         F.broadcast(edges), "__pid")                    # one row a partition
     after = F.coalesce("__after", "__carried")
     return rows.select(*df.columns, *(after[c].alias(f"{prefix}{c}") for c in columns))

@@ -75,7 +75,8 @@ def history_three_batches(ds: Datasets) -> DataFrame:
         event(every(6, 0), F.lit("HELD"), 1).unionByName(event(every(50, 0), F.lit(None), 10, gone=True))]
     path = scratch_path(ds.spark, "history")
     for number, batch in enumerate(batches):
-        table = merge_history(batch, path, ["order_id"], "at", number, deleted="gone", n_buckets=16)
+        table = merge_history(batch, path, ["order_id"], "at", number, deleted="gone", n_buckets=16,
+                              parts=ds.parts("orders"))
     return read_history(table)
 
 
@@ -146,7 +147,7 @@ def _running(ds: Datasets, **totals) -> DataFrame:
     parts = _order_changes(ds)
     root = scratch_path(ds.spark, "running-totals")
     keep = RunningTotals(ds.spark, f"{root}/state", parts[0].schema, ["order_id"], "version", n_buckets=16,
-                         **totals)
+                         parts=ds.parts("orders"), **totals)
     for i, part in enumerate(parts):
         part.write.parquet(f"{root}/in/delivery={i}")
         run_batches(ds.spark, f"{root}/in/delivery=*", parts[0].schema, f"{root}/_chk", keep,

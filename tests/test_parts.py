@@ -76,6 +76,19 @@ def test_large_products_are_hashed_not_sorted(spark, small_tasks):
     assert ds["int_order_items_enriched"].count() == ds["stg_order_items"].count()
 
 
+def test_gaps_and_histories_take_the_number_given(spark, few_shuffle_partitions, tmp_path):
+    rows = [(k, dt.date(2001, 1, 1) + dt.timedelta(days=d * (k % 3 + 1))) for k in range(40) for d in range(5)]
+    rows += [(None, dt.date(2001, 1, 3)), (None, dt.date(2001, 2, 3)), (7, None)]
+    df = spark.createDataFrame(rows, "k int, day date")
+    wide = gap_stats(df, "k", "day", parts=9)
+    assert wide.rdd.getNumPartitions() == 9
+    assert sorted(map(str, wide.collect())) == sorted(map(str, gap_stats(df, "k", "day").collect()))
+    events = df.filter("day is not null").distinct().withColumn("v", F.dayofmonth("day") % 2)
+    held = [read_history(merge_history(events, f"{tmp_path}/{n}", ["k"], "day", 0, n_buckets=2, parts=n or None))
+            for n in (0, 7)]
+    assert sorted(map(str, held[0].collect())) == sorted(map(str, held[1].collect()))
+
+
 def test_running_totals_take_the_number_given(spark, tmp_path):
     df = spark.createDataFrame([(i, i % 3, i * 2, 1) for i in range(50)] + [(1, 2, 9, 2), (None, 0, 5, 1)],
                                "id int, g int, v int, version int")
